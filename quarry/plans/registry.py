@@ -33,6 +33,19 @@ def F2(expr: str) -> str:
     return f"printf('%.2f', {R(expr)})"
 
 
+def JT(expr: str) -> str:
+    """Oracle-side Java `trim` (strip characters up to U+0020)."""
+    return f"regexp_replace({expr}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
+
+
+def CLEAN(expr: str) -> str:
+    """Oracle-side review cleaning: lower, then the two character classes."""
+    return (
+        f"regexp_replace(regexp_replace(lower({expr}), '[@''\\^!?,.]', ' ', 'g'), "
+        f"'[0-9%\\-?+/&:~<>=]', ' ', 'g')"
+    )
+
+
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
@@ -59,3 +72,398 @@ register(
     FROM ratings r JOIN movies m ON r.movie_id = m.movie_id
     GROUP BY r.movie_id, m.title HAVING count(r.rating) > 0""",
 )(lambda spark, d: ratings.movie_rating_stats(role(spark, d, "ratings"), role(spark, d, "movies")))
+
+
+def _r(spark, d, *names):
+    return [role(spark, d, n) for n in names]
+
+
+_MOVIE_STATE = "ms AS (SELECT movie_id, sum(rating) AS rs, count(rating) AS n FROM ratings GROUP BY movie_id)"
+
+
+def _title(default_prefix: str, alias: str = "w") -> str:
+    return (
+        f"CASE WHEN m.movie_id IS NULL THEN '{default_prefix}' || CAST({alias}.movie_id AS VARCHAR) "
+        f"ELSE m.title END AS title"
+    )
+
+
+register(
+    "best_movie",
+    role_cte("ratings", "movies")
+    + f""", {_MOVIE_STATE},
+    top AS (SELECT * FROM ms WHERE n >= 5 ORDER BY rs / n DESC NULLS LAST, movie_id ASC LIMIT 1)
+    SELECT w.movie_id, {_title('MovieID:')}, {R('w.rs / w.n')} AS avg_rating, w.n AS n_ratings
+    FROM top w LEFT JOIN movies m ON w.movie_id = m.movie_id""",
+)(lambda spark, d: ratings.best_movie(*_r(spark, d, "ratings", "movies")))
+
+_GENRES = (
+    f"gs AS (SELECT {JT('g.genre')} AS genre, g.rs, g.n FROM (SELECT unnest(string_split(m.genres, '|')) AS genre, "
+    "ms.rs, ms.n FROM ms JOIN movies m ON ms.movie_id = m.movie_id) g), "
+    "gst AS (SELECT genre, sum(rs) / sum(n) AS a, CAST(sum(n) AS BIGINT) AS n FROM gs GROUP BY genre HAVING sum(n) > 0)"
+)
+
+register(
+    "genre_rating",
+    role_cte("ratings", "movies")
+    + f""", {_MOVIE_STATE}, {_GENRES}
+    SELECT genre, {R('a')} AS avg_rating, n AS n_ratings FROM gst""",
+)(lambda spark, d: ratings.genre_rating(*_r(spark, d, "ratings", "movies")))
+
+register(
+    "best_genre",
+    role_cte("ratings", "movies")
+    + f""", {_MOVIE_STATE}, {_GENRES}
+    SELECT genre, {R('a')} AS avg_rating, n AS n_ratings FROM gst ORDER BY a DESC NULLS LAST, genre ASC LIMIT 1""",
+)(lambda spark, d: ratings.best_genre(*_r(spark, d, "ratings", "movies")))
+
+register(
+    "genre_report_with_best",
+    role_cte("ratings", "movies")
+    + f""", {_MOVIE_STATE}, {_GENRES}
+    SELECT genre AS key, printf('Average rating: %s (Total ratings: %d)', {F2('a')}, n) AS line FROM gst
+    UNION ALL
+    SELECT '*** BEST GENRE ***' AS key,
+           printf('"%s" is the highest rated genre with average rating %s over %d rating(s).', genre, {F2('a')}, n) AS line
+    FROM (SELECT * FROM gst ORDER BY a DESC NULLS LAST, genre ASC LIMIT 1)""",
+)(lambda spark, d: ratings.genre_report_with_best(*_r(spark, d, "ratings", "movies")))
+
+_GENDER_WIDE = (
+    f"rg AS (SELECT r.movie_id, r.rating, upper({JT('u.gender')}) AS g FROM ratings r "
+    "JOIN users u ON r.user_id = u.user_id WHERE r.rating IS NOT NULL), "
+    "gw AS (SELECT movie_id, sum(CASE WHEN g = 'M' THEN rating END) AS sm, count(CASE WHEN g = 'M' THEN rating END) AS nm, "
+    "sum(CASE WHEN g = 'F' THEN rating END) AS sf, count(CASE WHEN g = 'F' THEN rating END) AS nf FROM rg GROUP BY movie_id)"
+)
+
+register(
+    "movie_gender_wide",
+    role_cte("ratings", "users", "movies")
+    + f""", {_GENDER_WIDE}
+    SELECT w.movie_id, {_title('MovieID:')}, COALESCE({R('w.sm / w.nm')}, 0.0) AS avg_male, w.nm AS n_male,
+           COALESCE({R('w.sf / w.nf')}, 0.0) AS avg_female, w.nf AS n_female
+    FROM gw w LEFT JOIN movies m ON w.movie_id = m.movie_id""",
+)(lambda spark, d: ratings.movie_gender_wide(*_r(spark, d, "ratings", "users", "movies")))
+
+register(
+    "biggest_gender_gap",
+    role_cte("ratings", "users", "movies")
+    + f""", {_GENDER_WIDE},
+    top AS (SELECT movie_id, abs(sm / nm - sf / nf) AS gap FROM gw WHERE nm > 0 AND nf > 0
+            ORDER BY gap DESC NULLS LAST, movie_id ASC LIMIT 1)
+    SELECT w.movie_id, {_title('MovieID:')}, {R('w.gap')} AS gap FROM top w LEFT JOIN movies m ON w.movie_id = m.movie_id""",
+)(lambda spark, d: ratings.biggest_gender_gap(*_r(spark, d, "ratings", "users", "movies")))
+
+register(
+    "movie_gender_long",
+    role_cte("ratings", "users", "movies")
+    + f""",
+    rg AS (SELECT r.movie_id, r.rating, CASE WHEN u.user_id IS NULL THEN 'Unknown' ELSE u.gender END AS gender
+           FROM ratings r LEFT JOIN users u ON r.user_id = u.user_id WHERE r.rating IS NOT NULL),
+    w AS (SELECT movie_id, gender, sum(rating) / count(rating) AS a, count(rating) AS n FROM rg GROUP BY movie_id, gender)
+    SELECT w.movie_id, {_title('MovieID ')}, w.gender, {R('w.a')} AS avg_rating, w.n AS n_ratings
+    FROM w LEFT JOIN movies m ON w.movie_id = m.movie_id""",
+)(lambda spark, d: ratings.movie_gender_long(*_r(spark, d, "ratings", "users", "movies")))
+
+_BAND_RIGHT = (
+    "CASE WHEN {a} IS NULL THEN NULL WHEN {a} <= 18 THEN '0-18' WHEN {a} <= 35 THEN '18-35' "
+    "WHEN {a} <= 50 THEN '35-50' ELSE '50+' END"
+)
+_BAND_LEFT = (
+    "CASE WHEN {a} IS NULL THEN NULL WHEN {a} < 18 THEN '0 - 18' WHEN {a} < 35 THEN '18 - 35' "
+    "WHEN {a} < 50 THEN '35 -50' ELSE '50+' END"
+)
+
+
+def _band_avg(label: str) -> str:
+    return (
+        f"COALESCE({R(f'sum(CASE WHEN b = {chr(39)}{label}{chr(39)} THEN rating END) / '
+                     f'count(CASE WHEN b = {chr(39)}{label}{chr(39)} THEN rating END)')}, 0.0)"
+    )
+
+
+register(
+    "movie_age_wide",
+    role_cte("ratings", "users", "movies")
+    + f""",
+    rb AS (SELECT r.movie_id, r.rating, {_BAND_RIGHT.format(a='u.age')} AS b FROM ratings r
+           JOIN users u ON r.user_id = u.user_id WHERE r.rating IS NOT NULL AND u.age IS NOT NULL),
+    w AS (SELECT movie_id, {_band_avg('0-18')} AS avg_0_18, {_band_avg('18-35')} AS avg_18_35,
+                 {_band_avg('35-50')} AS avg_35_50, {_band_avg('50+')} AS avg_50p FROM rb GROUP BY movie_id)
+    SELECT w.movie_id, {_title('MovieID:')}, avg_0_18, avg_18_35, avg_35_50, avg_50p
+    FROM w LEFT JOIN movies m ON w.movie_id = m.movie_id""",
+)(lambda spark, d: ratings.movie_age_wide(*_r(spark, d, "ratings", "users", "movies")))
+
+register(
+    "movie_age_long",
+    role_cte("ratings", "users", "movies")
+    + f""",
+    rb AS (SELECT r.movie_id, r.rating,
+                  CASE WHEN u.user_id IS NULL THEN 'Unknown' ELSE COALESCE({_BAND_LEFT.format(a='u.age')}, 'Unknown') END AS age_group
+           FROM ratings r LEFT JOIN users u ON r.user_id = u.user_id WHERE r.rating IS NOT NULL),
+    w AS (SELECT movie_id, age_group, sum(rating) / count(rating) AS a, count(rating) AS n FROM rb GROUP BY movie_id, age_group)
+    SELECT w.movie_id, {_title('MovieID ')}, w.age_group, {R('w.a')} AS avg_rating, w.n AS n_ratings
+    FROM w LEFT JOIN movies m ON w.movie_id = m.movie_id""",
+)(lambda spark, d: ratings.movie_age_long(*_r(spark, d, "ratings", "users", "movies")))
+
+register(
+    "age_bands",
+    role_cte("users")
+    + f"""
+    SELECT age, {_BAND_RIGHT.format(a='age')} AS band_upper_inclusive, {_BAND_LEFT.format(a='age')} AS band_lower_inclusive,
+           count(*) AS n_users
+    FROM users GROUP BY age""",
+)(lambda spark, d: ratings.age_bands(role(spark, d, "users")))
+
+register(
+    "occupation_rating",
+    role_cte("ratings", "users", "occupations")
+    + f""",
+    pu AS (SELECT user_id, sum(rating) AS rs, count(rating) AS n FROM ratings GROUP BY user_id),
+    wo AS (SELECT pu.rs, pu.n, CASE WHEN u.user_id IS NULL THEN 0 ELSE u.occupation_id END AS occupation_id
+           FROM pu LEFT JOIN users u ON pu.user_id = u.user_id),
+    wn AS (SELECT wo.rs, wo.n, CASE WHEN o.occupation_id IS NULL THEN 'Unknown' ELSE o.occupation END AS occupation
+           FROM wo LEFT JOIN occupations o ON wo.occupation_id = o.occupation_id)
+    SELECT occupation, {R('sum(rs) / sum(n)')} AS avg_rating, CAST(sum(n) AS BIGINT) AS n_ratings
+    FROM wn GROUP BY occupation HAVING sum(n) > 0""",
+)(lambda spark, d: ratings.occupation_rating(*_r(spark, d, "ratings", "users", "occupations")))
+
+register(
+    "rating_by_year",
+    role_cte("ratings")
+    + f"""
+    SELECT year(make_timestamp(CAST(epoch(rated_at) AS BIGINT) * 1000000)) AS year,
+           {R('sum(rating) / count(rating)')} AS avg_rating, count(rating) AS n_ratings
+    FROM ratings GROUP BY 1""",
+)(
+    lambda spark, d: ratings.rating_by_year(
+        ratings.with_epoch_seconds(role(spark, d, "ratings")), "rated_epoch", epoch=True
+    )
+)
+
+register(
+    "movie_report_lines",
+    role_cte("ratings", "movies")
+    + f""", {_MOVIE_STATE}
+    SELECT m.title, printf('AverageRating: %s (TotalRatings: %d)', {F2('w.rs / w.n')}, w.n) AS line
+    FROM ms w JOIN movies m ON w.movie_id = m.movie_id WHERE w.n > 0""",
+)(lambda spark, d: ratings.movie_report_lines(*_r(spark, d, "ratings", "movies")))
+
+
+def _unique_latest_order(spark, d):
+    from quarry.operators.lookup import unique_lookup
+
+    orders = role(spark, d, "shop_orders").select("customer_trx_id", "order_id", "purchase_ts")
+    return unique_lookup(orders, "customer_trx_id", order=["purchase_ts", "order_id"])
+
+
+register(
+    "unique_lookup",
+    role_cte("shop_orders")
+    + """
+    SELECT customer_trx_id, order_id, purchase_ts FROM (
+        SELECT customer_trx_id, order_id, purchase_ts,
+               row_number() OVER (PARTITION BY customer_trx_id ORDER BY purchase_ts DESC, order_id DESC) AS rn
+        FROM shop_orders) WHERE rn = 1""",
+)(_unique_latest_order)
+
+# --------------------------------------------------------------------------
+# Review text (C7-C11)
+
+_TOKENS = (
+    "tok AS (SELECT id, word, topic, aspect, sentiment FROM ("
+    f"SELECT id, unnest(string_split_regex({CLEAN('review')}, '[ \",()*]+')) AS word, topic, aspect, sentiment "
+    "FROM reviews) t WHERE word <> '' AND NOT EXISTS (SELECT 1 FROM stopwords s WHERE s.word = t.word))"
+)
+
+
+def _tokens(spark, d):
+    return text_insights.remove_stopwords(role(spark, d, "reviews"), role(spark, d, "stopwords"))
+
+
+register(
+    "remove_stopwords",
+    role_cte("reviews", "stopwords") + f", {_TOKENS}\n    SELECT id, word, topic, aspect, sentiment FROM tok",
+)(_tokens)
+
+register(
+    "word_freq_over",
+    role_cte("reviews", "stopwords")
+    + f", {_TOKENS}\n    SELECT word, count(id) AS frequency FROM tok GROUP BY word HAVING count(id) > 500",
+)(lambda spark, d: text_insights.word_freq_over(_tokens(spark, d), 500))
+
+register(
+    "topic_counts",
+    role_cte("reviews") + "\n    SELECT topic, count(id) AS num_comments FROM reviews GROUP BY topic",
+)(lambda spark, d: text_insights.topic_counts(role(spark, d, "reviews")))
+
+register(
+    "aspect_counts",
+    role_cte("reviews") + "\n    SELECT aspect, count(id) AS num_comments FROM reviews GROUP BY aspect",
+)(lambda spark, d: text_insights.aspect_counts(role(spark, d, "reviews")))
+
+_CLEAN_REVIEWS = (
+    f"cr AS (SELECT id, aspect, lower({JT('sentiment')}) AS sentiment FROM reviews "
+    "WHERE id IS NOT NULL AND aspect IS NOT NULL AND sentiment IS NOT NULL AND CAST(id AS VARCHAR) <> 'id')"
+)
+
+register(
+    "clean_reviews",
+    role_cte("reviews") + f", {_CLEAN_REVIEWS}\n    SELECT id, aspect, sentiment FROM cr",
+)(lambda spark, d: text_insights.clean_reviews(role(spark, d, "reviews")))
+
+for _s in ("negative", "positive"):
+    register(
+        f"aspect_counts_{_s}",
+        role_cte("reviews")
+        + f", {_CLEAN_REVIEWS}\n    SELECT aspect, count(aspect) AS cnt FROM cr WHERE sentiment = '{_s}' GROUP BY aspect",
+    )(lambda spark, d, s=_s: text_insights.aspect_counts_for(text_insights.clean_reviews(role(spark, d, "reviews")), s))
+    register(
+        f"top_aspect_{_s}",
+        role_cte("reviews")
+        + f", {_CLEAN_REVIEWS}\n    SELECT aspect, count(aspect) AS cnt FROM cr WHERE sentiment = '{_s}' "
+        "GROUP BY aspect ORDER BY cnt DESC, aspect ASC LIMIT 1",
+    )(lambda spark, d, s=_s: text_insights.top_aspect(text_insights.clean_reviews(role(spark, d, "reviews")), s))
+
+register(
+    "top_aspect_by_sentiment",
+    role_cte("reviews")
+    + f""", {_CLEAN_REVIEWS},
+    c AS (SELECT sentiment, aspect, count(aspect) AS cnt FROM cr WHERE sentiment IN ('negative', 'positive')
+          GROUP BY sentiment, aspect)
+    SELECT sentiment, aspect, cnt FROM (
+        SELECT *, row_number() OVER (PARTITION BY sentiment ORDER BY cnt DESC, aspect ASC) AS rn FROM c) WHERE rn = 1""",
+)(lambda spark, d: text_insights.top_aspect_by_sentiment(text_insights.clean_reviews(role(spark, d, "reviews"))))
+
+
+def _topk_sql(where: str, counter: str, out: str) -> str:
+    return (
+        role_cte("reviews", "stopwords")
+        + f""", {_TOKENS},
+    c AS (SELECT topic, word, count({counter}) AS cnt FROM tok {where} GROUP BY topic, word),
+    r AS (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY cnt DESC, word ASC) AS rn FROM c)
+    SELECT topic, '{{' || string_agg('(' || word || ',' || CAST(cnt AS VARCHAR) || ')', ',' ORDER BY rn) || '}}' AS {out}
+    FROM r WHERE rn <= 5 GROUP BY topic"""
+    )
+
+
+register("topk_words_positive", _topk_sql("WHERE sentiment = 'positive'", "id", "top_positive_words"))(
+    lambda spark, d: text_insights.topk_words(_tokens(spark, d), "positive", 5, "top_positive_words")
+)
+register("topk_words_negative", _topk_sql("WHERE sentiment = 'negative'", "id", "top_negative_words"))(
+    lambda spark, d: text_insights.topk_words(_tokens(spark, d), "negative", 5, "top_negative_words")
+)
+register("topk_words_all", _topk_sql("", "topic", "top_words"))(
+    lambda spark, d: text_insights.topk_words(_tokens(spark, d), None, 5, "top_words")
+)
+
+# A preview: any 10 token rows. No order is implied, so only the row count
+# is comparable (no oracle).
+register("sample_tokens")(lambda spark, d: text_insights.sample_tokens(_tokens(spark, d), 10))
+
+# --------------------------------------------------------------------------
+# Commerce (C12-C18)
+
+_SHOP_TABLES = ("orders", "customer", "lineitem", "part", "events")
+
+register(
+    "table_row_counts",
+    "\n    UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in _SHOP_TABLES),
+)(lambda spark, d: commerce.table_row_counts({t: roles.table(spark, d, t) for t in _SHOP_TABLES}))
+
+register(
+    "summary_metrics",
+    role_cte("shop_orders", "shop_customers", "shop_items")
+    + """
+    SELECT 'total_orders' AS metric, count(*) AS value FROM shop_orders
+    UNION ALL SELECT 'distinct_customers', CAST(count(DISTINCT customer_trx_id)
+        + max(CASE WHEN customer_trx_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) FROM shop_customers
+    UNION ALL SELECT 'distinct_sellers', CAST(count(DISTINCT seller_id)
+        + max(CASE WHEN seller_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) FROM shop_items""",
+)(lambda spark, d: commerce.summary_metrics(*_r(spark, d, "shop_orders", "shop_customers", "shop_items")))
+
+register(
+    "orders_by_country",
+    role_cte("shop_orders", "shop_customers")
+    + """
+    SELECT c.country, count(*) AS total_orders
+    FROM shop_orders o LEFT JOIN shop_customers c ON o.customer_trx_id = c.customer_trx_id GROUP BY c.country""",
+)(lambda spark, d: commerce.orders_by_country(*_r(spark, d, "shop_orders", "shop_customers")))
+
+register(
+    "order_month_counts",
+    role_cte("shop_orders")
+    + """
+    SELECT CAST(year(purchase_ts) AS BIGINT) AS year, CAST(month(purchase_ts) AS BIGINT) AS month,
+           count(*) AS total_orders
+    FROM shop_orders GROUP BY 1, 2""",
+)(lambda spark, d: commerce.order_month_counts(role(spark, d, "shop_orders")))
+
+_SCORES = (
+    "sc AS (SELECT review_score FROM (SELECT CASE WHEN regexp_full_match(review_score, '\\s*[+-]?[0-9]+\\s*') "
+    "THEN TRY_CAST(review_score AS INTEGER) END AS review_score FROM shop_reviews) "
+    "WHERE review_score IS NOT NULL AND review_score BETWEEN 1 AND 5)"
+)
+
+register(
+    "avg_score",
+    role_cte("shop_reviews") + f", {_SCORES}\n    SELECT {R('avg(review_score)')} AS avg_score FROM sc",
+)(lambda spark, d: commerce.avg_score(role(spark, d, "shop_reviews")))
+
+register(
+    "score_distribution",
+    role_cte("shop_reviews") + f", {_SCORES}\n    SELECT review_score, count(*) AS count FROM sc GROUP BY review_score",
+)(lambda spark, d: commerce.score_distribution(role(spark, d, "shop_reviews")))
+
+REVENUE_YEAR = 1998
+
+register(
+    "revenue_by_category",
+    role_cte("shop_orders", "shop_items", "shop_products")
+    + f"""
+    SELECT p.category, CAST(round(sum(i.price + i.freight), 2) AS DOUBLE) AS total_revenue,
+           count(o.order_id) AS total_orders
+    FROM shop_orders o JOIN shop_items i ON o.order_id = i.order_id JOIN shop_products p ON i.product_id = p.product_id
+    WHERE year(o.purchase_ts) = {REVENUE_YEAR} GROUP BY p.category""",
+)(
+    lambda spark, d: commerce.revenue_by_category(
+        *_r(spark, d, "shop_orders", "shop_items", "shop_products"), year=REVENUE_YEAR
+    )
+)
+
+_DELIVERY = (
+    "dl AS (SELECT o.order_id, CAST(datediff('day', CAST(i.shipping_limit_date AS DATE), CAST(o.carrier_date AS DATE)) AS BIGINT) AS diff "
+    "FROM shop_orders o JOIN shop_items i ON o.order_id = i.order_id "
+    "WHERE o.carrier_date IS NOT NULL AND i.shipping_limit_date IS NOT NULL)"
+)
+
+register(
+    "delivery_summary",
+    role_cte("shop_orders", "shop_items")
+    + f""", {_DELIVERY}
+    SELECT count(order_id) AS total_orders, {R('sum(diff)::DOUBLE / count(diff)')} AS avg_diff_days,
+           min(diff) AS min_diff_days, max(diff) AS max_diff_days,
+           CAST(sum(CASE WHEN diff <= 0 THEN 1 ELSE 0 END) AS BIGINT) AS on_time_or_early,
+           CAST(sum(CASE WHEN diff > 0 THEN 1 ELSE 0 END) AS BIGINT) AS late_deliveries
+    FROM dl""",
+)(lambda spark, d: commerce.delivery_summary(*_r(spark, d, "shop_orders", "shop_items")))
+
+register(
+    "delivery_classes",
+    role_cte("shop_orders", "shop_items")
+    + f""", {_DELIVERY}
+    SELECT CASE WHEN diff < 0 THEN 'Giao som' WHEN diff = 0 THEN 'Dung han' ELSE 'Giao tre' END AS status,
+           count(*) AS count, {R('sum(diff)::DOUBLE / count(diff)')} AS avg_diff_days
+    FROM dl GROUP BY 1""",
+)(lambda spark, d: commerce.delivery_classes(*_r(spark, d, "shop_orders", "shop_items")))
+
+register(
+    "seller_ranking",
+    role_cte("shop_items")
+    + """,
+    st AS (SELECT seller_id, round(sum(price + freight), 2) AS rev, count(DISTINCT order_id) AS total_orders
+           FROM shop_items GROUP BY seller_id)
+    SELECT seller_id, CAST(rev AS DOUBLE) AS total_revenue, total_orders,
+           CAST(dense_rank() OVER (ORDER BY rev DESC NULLS LAST) AS BIGINT) AS revenue_rank,
+           CAST(dense_rank() OVER (ORDER BY total_orders DESC NULLS LAST) AS BIGINT) AS orders_rank
+    FROM st""",
+)(lambda spark, d: commerce.seller_ranking(role(spark, d, "shop_items")))

@@ -1 +1,124 @@
-"""Review text analyses."""
+"""Review-text analyses: cleaning to tokens without stopwords, frequent
+words, comments per topic / aspect, top aspect per sentiment, top-k words
+per topic.
+
+Input roles:
+  reviews(id, review, topic, aspect, sentiment)
+  stopwords(word)
+
+Plan shape: tokenising is `explode(split(regexp_replace(...)))` followed by
+a plain filter (all JVM expressions, no Python); the stopword anti join is
+broadcast only when the term list is under the planner's size threshold.
+Every count is a `groupBy` with a partial aggregate, so a very frequent word
+(or a topic holding a third of all tokens) is pre-aggregated in each map
+task. Top-k per topic keeps k rows per topic in each partition before the
+shuffle (`WindowGroupLimit`), so the final per-topic task sees at most
+k x partitions rows, never a whole topic.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quarry.functions.scalar import (
+    TOKEN_SEPARATORS,
+    bag_to_string,
+    clean_review_text,
+    normalize_label,
+)
+from quarry.operators.agg import best_of, count_by
+from quarry.operators.lookup import exclude_terms
+from quarry.operators.rank import collect_top_k, top_k_per_group
+
+TOKEN_COLUMNS = ("id", "word", "topic", "aspect", "sentiment")
+
+
+def explode_tokens(df: DataFrame, text: str = "review", out: str = "word", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per token of the cleaned text; null text gives no rows."""
+    pieces = F.split(clean_review_text(text), TOKEN_SEPARATORS)
+    return df.select(*keep[:1], F.explode(pieces).alias(out), *keep[1:]).filter(F.col(out) != "")
+
+
+def remove_stopwords(reviews: DataFrame, stopwords: DataFrame) -> DataFrame:
+    """(id, word, topic, aspect, sentiment) for every token that is not a
+    stopword. Sentiment is carried as stored (not normalised)."""
+    tokens = explode_tokens(reviews, "review", "word", ("id", "topic", "aspect", "sentiment"))
+    return exclude_terms(tokens, stopwords, "word").select(*TOKEN_COLUMNS)
+
+
+def word_freq_over(tokens: DataFrame, min_freq: int = 500) -> DataFrame:
+    """Words occurring more than `min_freq` times (tokens with a null id are
+    not counted)."""
+    counts = count_by(tokens, "word", count_col="id", name="frequency")
+    return counts.filter(F.col("frequency") > min_freq)
+
+
+def word_freq(tokens: DataFrame) -> DataFrame:
+    """Occurrences of every word (tokens with a null id are not counted)."""
+    return count_by(tokens, "word", count_col="id", name="frequency")
+
+
+def topic_counts(reviews: DataFrame) -> DataFrame:
+    """Comments per topic (null topic is one group; null ids not counted)."""
+    return count_by(reviews, "topic", count_col="id", name="num_comments")
+
+
+def aspect_counts(reviews: DataFrame) -> DataFrame:
+    """Comments per aspect (null aspect is one group; null ids not counted)."""
+    return count_by(reviews, "aspect", count_col="id", name="num_comments")
+
+
+def clean_reviews(reviews: DataFrame) -> DataFrame:
+    """Rows with id, aspect and sentiment present (and not a header line),
+    sentiment trimmed and lower-cased."""
+    kept = reviews.filter(
+        F.col("id").isNotNull()
+        & F.col("aspect").isNotNull()
+        & F.col("sentiment").isNotNull()
+        & (F.col("id").cast("string") != F.lit("id"))
+    )
+    return kept.select("id", "aspect", normalize_label("sentiment").alias("sentiment"))
+
+
+def aspect_counts_for(clean: DataFrame, sentiment: str) -> DataFrame:
+    """Comments per aspect for one (normalised) sentiment."""
+    return count_by(clean.filter(F.col("sentiment") == sentiment), "aspect", count_col="aspect", name="cnt")
+
+
+def top_aspect(clean: DataFrame, sentiment: str) -> DataFrame:
+    """Aspect with the most comments of that sentiment (ties: smallest name)."""
+    return best_of(aspect_counts_for(clean, sentiment), "cnt", tie="aspect")
+
+
+def top_aspect_by_sentiment(clean: DataFrame, sentiments: tuple[str, ...] = ("negative", "positive")) -> DataFrame:
+    """The top aspect of several sentiments in one pass: one grouped count
+    on (sentiment, aspect), then the first row per sentiment."""
+    counts = count_by(clean.filter(F.col("sentiment").isin(*sentiments)), ["sentiment", "aspect"], "aspect", "cnt")
+    return top_k_per_group(counts, "sentiment", "cnt", 1, tie="aspect").drop("rank")
+
+
+def topk_words(
+    tokens: DataFrame,
+    sentiment: str | None = None,
+    k: int = 5,
+    out: str = "top_words",
+) -> DataFrame:
+    """Per topic, the k most frequent words as a bag `{(word,n),...}`.
+
+    With `sentiment`, only tokens whose stored sentiment equals it exactly
+    are used and a token counts when its id is present; without it every
+    token counts when its topic is present. Ties go to the smaller word."""
+    if sentiment is not None:
+        tokens = tokens.filter(F.col("sentiment") == sentiment)
+        counter = "id"
+    else:
+        counter = "topic"
+    counts = count_by(tokens, ["topic", "word"], count_col=counter, name="count")
+    top = collect_top_k(counts, "topic", "count", k, ["word", "count"], tie="word", out="__bag")
+    return top.select("topic", bag_to_string("__bag", ["word", "count"]).alias(out))
+
+
+def sample_tokens(tokens: DataFrame, n: int = 10) -> DataFrame:
+    """Any n token rows (a preview: no order is implied)."""
+    return tokens.limit(n)
