@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry import roles
-from quarry.plans import commerce, ratings, text_insights
+from quarry.plans import commerce, files, ratings, text_insights
 from quarry.roles import role, role_cte
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -467,3 +467,63 @@ register(
            CAST(dense_rank() OVER (ORDER BY total_orders DESC NULLS LAST) AS BIGINT) AS orders_rank
     FROM st""",
 )(lambda spark, d: commerce.seller_ranking(role(spark, d, "shop_items")))
+
+# --------------------------------------------------------------------------
+# Sources and sinks (S1-S13): Spark-derived files written to the shared
+# checkpoint folder and read back through the library's readers.
+
+
+def _ratings_epoch(spark, d):
+    return ratings.with_epoch_seconds(role(spark, d, "ratings"))
+
+
+def _junk(spark, d):
+    return files.junk_lines(roles.table(spark, d, "events"), role(spark, d, "shop_reviews"))
+
+
+_RATINGS_EPOCH_SQL = (
+    role_cte("ratings")
+    + "\n    SELECT user_id, movie_id, rating, CAST(epoch(rated_at) AS BIGINT) AS rated_epoch FROM ratings"
+)
+
+register("scan_ratings", _RATINGS_EPOCH_SQL)(
+    lambda spark, d: files.scan_ratings(spark, _ratings_epoch(spark, d), _junk(spark, d))
+)
+
+register(
+    "bad_record_filter",
+    role_cte("shop_reviews")
+    + """
+    SELECT 'unparsable movie_id' AS reject_reason, count(*) AS n_lines FROM events
+    UNION ALL SELECT 'too few fields', count(*) FROM shop_reviews""",
+)(lambda spark, d: files.bad_record_counts(spark, _ratings_epoch(spark, d), _junk(spark, d)))
+
+register("union_sources", _RATINGS_EPOCH_SQL)(
+    lambda spark, d: files.union_sources(spark, _ratings_epoch(spark, d), 1998)
+)
+
+register(
+    "scan_reviews",
+    role_cte("reviews")
+    + """
+    SELECT id, NULLIF(regexp_replace(review, '[;\\r\\n]', ' ', 'g'), '') AS review, NULLIF(topic, '') AS topic,
+           NULLIF(aspect, '') AS aspect, NULLIF(sentiment, '') AS sentiment
+    FROM reviews""",
+)(lambda spark, d: files.scan_reviews(spark, role(spark, d, "reviews")))
+
+register("scan_csv", role_cte("shop_items") + "\n    SELECT * FROM shop_items")(
+    lambda spark, d: files.scan_csv(spark, role(spark, d, "shop_items"))
+)
+
+register("write_roundtrip", ORACLE["movie_rating_stats"])(
+    lambda spark, d: files.tsv_roundtrip(
+        spark,
+        QUERIES["movie_rating_stats"](spark, d),
+        [("movie_id", "bigint"), ("title", "string"), ("avg_rating", "double"), ("n_ratings", "bigint")],
+    )
+)
+
+register(
+    "staged_word_freq",
+    role_cte("reviews", "stopwords") + f", {_TOKENS}\n    SELECT word, count(id) AS frequency FROM tok GROUP BY word",
+)(lambda spark, d: text_insights.word_freq(files.staged(spark, _tokens(spark, d), "tokens")))
