@@ -25,7 +25,7 @@ AGE_EDGES = (18, 35, 50)
 # ---------------------------------------------------------------------------
 
 # Characters up to U+0020, the set a Java `String.trim` removes.
-_JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
+JAVA_TRIM_CHARS = "".join(chr(i) for i in range(0x21))
 # A plain decimal number: what the text parsers accept as a number.
 _PLAIN_INT = r"^\s*[+-]?[0-9]+\s*$"
 _PLAIN_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)\s*$"
@@ -33,7 +33,7 @@ _PLAIN_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)\s*$"
 
 def java_trim(c: Column | str) -> Column:
     """Strip every control character and space at both ends (Java `trim`)."""
-    return F.regexp_replace(col(c), _JAVA_TRIM, "")
+    return F.trim(col(c), F.lit(JAVA_TRIM_CHARS))
 
 
 def normalize_label(c: Column | str) -> Column:
@@ -48,6 +48,24 @@ def clean_review_text(c: Column | str) -> Column:
     return F.regexp_replace(step1, REVIEW_DIGIT_CLASS, " ")
 
 
+def _fused_token_class() -> str:
+    """One character class equal to: blank the two cleaning classes, then
+    split on the separators. Every blanked character becomes a space, and a
+    space is a separator, so splitting once on the union gives the same
+    tokens as the three passes, with one regex scan instead of three."""
+    members = REVIEW_PUNCT_CLASS[1:-1] + REVIEW_DIGIT_CLASS[1:-1] + TOKEN_SEPARATORS[1:-2]
+    return "[" + members + "]+"
+
+
+REVIEW_TOKEN_SPLIT = _fused_token_class()
+
+
+def review_tokens(c: Column | str) -> Column:
+    """Tokens of a review: lower-case, cleaned, split (empty pieces remain;
+    filter them after exploding)."""
+    return F.split(F.lower(col(c)), REVIEW_TOKEN_SPLIT)
+
+
 def tokenize(c: Column | str, separators: str = TOKEN_SEPARATORS) -> Column:
     """Split on the separator class; empty pieces are dropped, null gives null."""
     return F.filter(F.split(col(c), separators), lambda t: t != F.lit(""))

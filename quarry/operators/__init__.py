@@ -15,4 +15,10 @@ from quarry.operators.agg import (  # noqa: F401
     with_summary_row,
 )
 from quarry.operators.lookup import attach, exclude_terms, unique_lookup  # noqa: F401
-from quarry.operators.rank import collect_top_k, global_dense_rank, top_k_per_group  # noqa: F401
+from quarry.operators.rank import (  # noqa: F401
+    attach_rank,
+    collect_top_k,
+    dense_rank_table,
+    global_dense_rank,
+    top_k_per_group,
+)

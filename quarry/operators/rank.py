@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import checkpoint_dir
+from quarry.session import scratch_path
 
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id: partition << 33 | row
 
@@ -70,42 +70,44 @@ def collect_top_k(
     )
 
 
-def global_dense_rank(
+def dense_rank_table(
     df: DataFrame,
     by: str,
     out: str,
     ascending: bool = False,
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """`dense_rank() OVER (ORDER BY by)` for the whole relation, computed
-    without a single-partition window.
+    """(`__v`, out): the dense rank of every distinct value of `by`, as
+    `dense_rank() OVER (ORDER BY by)` gives it, without a single-partition
+    window.
 
     1. distinct values of `by` (shuffle by value, partial aggregation);
     2. range partitioning on the value + sort inside each partition; each
        row gets partition index and position from `monotonically_increasing_id`;
-       the ranged values are checkpointed to the shared checkpoint folder so
-       both uses below see the same partition ids (and lineage is cut);
+       the ranged values are written as a parquet table in the shared
+       checkpoint folder (one job; lineage cut, survives executor loss) so
+       both uses below read the same partition ids;
     3. one count per partition -> running offsets (as many rows as
        partitions: a bounded, broadcastable table);
-    4. rank = offset + position + 1, joined back to the rows on the value
-       (null-safe, so a null value ranks like Spark ranks nulls).
+    4. rank = offset + position + 1.
     """
     spark = df.sparkSession
-    checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _order("__v", ascending)
-    ranged = (
+    path = scratch_path(spark, f"rank-{out}")
+    (
         df.select(F.col(by).alias("__v"))
         .distinct()
         .repartitionByRange(n, order)
         .sortWithinPartitions(order)
         .withColumn("__mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-        .select(
-            "__v",
-            F.shiftright(F.col("__mid"), 33).alias("__pid"),
-            F.col("__mid").bitwiseAND(F.lit(_LOW_BITS)).alias("__pos"),
-        )
+        .write.mode("overwrite")
+        .parquet(path)
+    )
+    ranged = spark.read.parquet(path).select(
+        "__v",
+        F.shiftright(F.col("__mid"), 33).alias("__pid"),
+        F.col("__mid").bitwiseAND(F.lit(_LOW_BITS)).alias("__pos"),
     )
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -114,8 +116,23 @@ def global_dense_rank(
         .withColumn("__off", F.coalesce(F.sum("__cnt").over(before), F.lit(0)))
         .select("__pid", "__off")
     )
-    ranks = ranged.join(F.broadcast(offsets), "__pid").select(
-        "__v", (F.col("__off") + F.col("__pos") + 1).alias(out)
-    )
-    joined = df.join(ranks, df[by].eqNullSafe(ranks["__v"]), "left")
-    return joined.drop("__v")
+    return ranged.join(F.broadcast(offsets), "__pid").select("__v", (F.col("__off") + F.col("__pos") + 1).alias(out))
+
+
+def attach_rank(df: DataFrame, by: str, ranks: DataFrame) -> DataFrame:
+    """Join a `dense_rank_table` back to the rows on the value (null-safe,
+    so a null value gets the rank Spark gives nulls)."""
+    return df.join(ranks, df[by].eqNullSafe(ranks["__v"]), "left").drop("__v")
+
+
+def global_dense_rank(
+    df: DataFrame,
+    by: str,
+    out: str,
+    ascending: bool = False,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """`df` with `out` = dense rank of `by` over the whole relation. `df` is
+    read twice (values, then rows): pass a materialised relation when it is
+    expensive to compute."""
+    return attach_rank(df, by, dense_rank_table(df, by, out, ascending, num_partitions))

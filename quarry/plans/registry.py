@@ -35,7 +35,7 @@ def F2(expr: str) -> str:
 
 def JT(expr: str) -> str:
     """Oracle-side Java `trim` (strip characters up to U+0020)."""
-    return f"regexp_replace({expr}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
+    return f"trim({expr}, {_JAVA_TRIM_SQL})"
 
 
 def CLEAN(expr: str) -> str:
@@ -46,6 +46,8 @@ def CLEAN(expr: str) -> str:
     )
 
 
+_JAVA_TRIM_SQL = " || ".join(f"chr({i})" for i in range(0x21))
+
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 

@@ -21,12 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.scalar import (
-    TOKEN_SEPARATORS,
-    bag_to_string,
-    clean_review_text,
-    normalize_label,
-)
+from quarry.functions.scalar import bag_to_string, normalize_label, review_tokens
 from quarry.operators.agg import best_of, count_by
 from quarry.operators.lookup import exclude_terms
 from quarry.operators.rank import collect_top_k, top_k_per_group
@@ -36,7 +31,7 @@ TOKEN_COLUMNS = ("id", "word", "topic", "aspect", "sentiment")
 
 def explode_tokens(df: DataFrame, text: str = "review", out: str = "word", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per token of the cleaned text; null text gives no rows."""
-    pieces = F.split(clean_review_text(text), TOKEN_SEPARATORS)
+    pieces = review_tokens(text)
     return df.select(*keep[:1], F.explode(pieces).alias(out), *keep[1:]).filter(F.col(out) != "")
 
 
