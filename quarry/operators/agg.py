@@ -61,7 +61,8 @@ def mean_count(
 ) -> DataFrame:
     """Mean (rounded half-up to `digits`, or raw when None) and count per key."""
     state = sum_count(df, keys, value, "__s", count_name)
-    return finish_mean(state, "__s", count_name, digits, avg_name, raw_name).drop("__s")
+    out = finish_mean(state, "__s", count_name, digits, avg_name, raw_name)
+    return out.select(*_cols(keys), avg_name, count_name, *([raw_name] if raw_name else []))
 
 
 def finish_mean(
@@ -165,7 +166,8 @@ def biggest_gap(
 def count_distinct_with_null(c: str) -> Column:
     """Exact number of distinct values, a null counted as one more value
     (what `select(c).distinct().count()` reports), in the same aggregate."""
-    return (F.count_distinct(F.col(c)) + F.max(F.col(c).isNull().cast("long"))).cast("bigint")
+    has_null = F.coalesce(F.max(F.col(c).isNull().cast("long")), F.lit(0))
+    return (F.count_distinct(F.col(c)) + has_null).cast("bigint")
 
 
 def with_summary_row(detail: DataFrame, summary: DataFrame) -> DataFrame:

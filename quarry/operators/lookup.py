@@ -62,14 +62,15 @@ def unique_lookup(
     order: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per key: the row with the greatest `order` wins ("a later
-    duplicate overwrites an earlier one"). Without `order` the greatest row
-    by its own values wins, which is deterministic. Partial aggregation keeps
-    a hot key from landing whole in one task."""
+    duplicate overwrites an earlier one"). Rows tied on `order` (or all
+    rows, without `order`) are decided by their own values, greatest first,
+    so the result never depends on task timing. Partial aggregation keeps a
+    hot key from landing whole in one task."""
     keys = _keys(key)
     values = [c for c in lookup.columns if c not in keys]
-    order_cols = _keys(order) if order is not None else values
+    order_cols = _keys(order) if order is not None else []
     payload = F.struct(*[F.col(c) for c in values])
-    rank = F.struct(*[F.col(c) for c in order_cols])
+    rank = F.struct(*[F.col(c) for c in order_cols + values])
     return (
         lookup.groupBy(*keys)
         .agg(F.max_by(payload, rank).alias("__row"))
