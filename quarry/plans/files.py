@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.session import scratch_path
-from quarry.sources.delimited import read_csv_table, read_delimited, read_delimited_rejects
+from quarry.sources.delimited import read_csv_table, read_delimited, read_delimited_rejects, read_terms
 from quarry.sources.sinks import stage, to_lines, write_csv, write_delimited
 
 RATINGS_SCHEMA = [("user_id", "bigint"), ("movie_id", "bigint"), ("rating", "double"), ("rated_epoch", "bigint")]
@@ -101,3 +101,10 @@ def tsv_roundtrip(spark: SparkSession, report: DataFrame, schema) -> DataFrame:
 def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """`df` materialised as parquet in the shared folder and read back."""
     return stage(df, scratch_path(spark, name))
+
+
+def stopwords_from_file(spark: SparkSession, stopwords: DataFrame) -> DataFrame:
+    """A stopword list written one term per line and read back as a term list."""
+    path = scratch_path(spark, "stopwords-text")
+    stopwords.select("word").write.mode("overwrite").text(path)
+    return read_terms(spark, path)

@@ -26,6 +26,7 @@ from quarry.functions.scalar import (
     epoch_utc_year,
     fmt2,
     java_trim,
+    pad_right,
     round_half_up,
     split_list,
     to_epoch_seconds,
@@ -122,27 +123,30 @@ def genre_rating(
     digits: int = 2,
     trim: bool = True,
     raw_name: str | None = None,
+    order: bool = True,
 ) -> DataFrame:
-    """Mean rating and count per genre; a rating counts once for every genre
-    of its movie. Ratings of movies without a genre row disappear."""
+    """Mean rating and count per genre, best first; a rating counts once for
+    every genre of its movie. Ratings of movies without a genre row
+    disappear."""
     state = movie_state(ratings)
     genres = movies.select("movie_id", split_list("genres", "|", trim).alias("genre_list"))
     joined = state.join(genres, "movie_id", "inner")
     exploded = joined.select(F.explode("genre_list").alias("genre"), "rating_sum", "n_ratings")
     merged = merge_sum_count(exploded, "genre", "rating_sum", "n_ratings").filter(F.col("n_ratings") > 0)
     out = finish_mean(merged, "rating_sum", "n_ratings", digits, raw_name=raw_name)
-    return out.select("genre", "avg_rating", "n_ratings", *([raw_name] if raw_name else []))
+    out = out.select("genre", "avg_rating", "n_ratings", *([raw_name] if raw_name else []))
+    return out.orderBy(F.desc("avg_rating"), "genre") if order else out
 
 
 def best_genre(ratings: DataFrame, movies: DataFrame, digits: int = 2) -> DataFrame:
     """Genre with the highest (unrounded) mean; ties to the smallest name."""
-    stats = genre_rating(ratings, movies, digits, raw_name="avg_raw")
+    stats = genre_rating(ratings, movies, digits, raw_name="avg_raw", order=False)
     return best_of(stats, "avg_raw", tie="genre").select("genre", "avg_rating", "n_ratings")
 
 
 def genre_report_with_best(ratings: DataFrame, movies: DataFrame) -> DataFrame:
     """Report lines (key, line): one per genre plus the best-genre line."""
-    stats = genre_rating(ratings, movies, digits=2, raw_name="avg_raw")
+    stats = genre_rating(ratings, movies, digits=2, raw_name="avg_raw", order=False)
     detail = stats.select(
         F.col("genre").alias("key"),
         F.format_string(GENRE_LINE, F.col("avg_raw"), F.col("n_ratings")).alias("line"),
@@ -162,6 +166,19 @@ def movie_report_lines(ratings: DataFrame, movies: DataFrame) -> DataFrame:
     )
 
 
+def occupation_report_lines(
+    ratings: DataFrame, users: DataFrame, occupations: DataFrame, widths: tuple[int, int] = (20, 12)
+) -> DataFrame:
+    """Fixed-width report lines: occupation left-justified in 20 columns,
+    mean with two decimals in 12, then the count (fields are never cut)."""
+    stats = occupation_rating(ratings, users, occupations)
+    line = F.concat(
+        F.lit("  "), pad_right("occupation", widths[0]), F.lit(" "),
+        pad_right(fmt2("avg_rating"), widths[1]), F.lit(" "), F.col("n_ratings").cast("string"),
+    )
+    return stats.select("occupation", line.alias("line"))
+
+
 def _rated_with(ratings: DataFrame, users: DataFrame, attr: Column, name: str, missing: str) -> DataFrame:
     lookup = users.select("user_id", attr.alias(name))
     rated = ratings.filter(F.col("rating").isNotNull())
@@ -195,12 +212,14 @@ def biggest_gender_gap(ratings: DataFrame, users: DataFrame, movies: DataFrame,
 
 
 def movie_gender_long(ratings: DataFrame, users: DataFrame, movies: DataFrame, digits: int = 2) -> DataFrame:
-    """One row per (movie, gender) with mean and count; ratings of unknown
-    users form the group 'Unknown'; any gender value is its own group."""
+    """One row per (movie, gender) with mean and count, ordered by movie id
+    (as text) and gender; ratings of unknown users form the group 'Unknown';
+    any gender value is its own group."""
     rated = _rated_with(ratings, users, F.col("gender"), "gender", "default")
     stats = mean_count(rated, ["movie_id", "gender"], "rating", digits)
     named = attach(stats, _titles(movies), "movie_id", "default", {"title": _movie_id_title("MovieID ")})
-    return named.select("movie_id", "title", "gender", "avg_rating", "n_ratings")
+    out = named.select("movie_id", "title", "gender", "avg_rating", "n_ratings")
+    return out.orderBy(F.col("movie_id").cast("string"), "gender")
 
 
 def movie_age_wide(ratings: DataFrame, users: DataFrame, movies: DataFrame, digits: int = 2) -> DataFrame:
@@ -220,7 +239,8 @@ def movie_age_long(ratings: DataFrame, users: DataFrame, movies: DataFrame, digi
     rated = _rated_with(ratings, users, band, "age_group", "default")
     stats = mean_count(rated, ["movie_id", "age_group"], "rating", digits)
     named = attach(stats, _titles(movies), "movie_id", "default", {"title": _movie_id_title("MovieID ")})
-    return named.select("movie_id", "title", "age_group", "avg_rating", "n_ratings")
+    out = named.select("movie_id", "title", "age_group", "avg_rating", "n_ratings")
+    return out.orderBy(F.col("movie_id").cast("string"), "age_group")
 
 
 def age_bands(users: DataFrame) -> DataFrame:
@@ -244,7 +264,7 @@ def occupation_rating(
     digits: int = 2,
     default_occupation_id: object = 0,
 ) -> DataFrame:
-    """Mean and count per occupation name. A rating whose user is unknown
+    """Mean and count per occupation name, best first. A rating whose user is unknown
     gets occupation id `default_occupation_id`, which is then looked up like
     any id; an id without a name gives 'Unknown'. Ratings are reduced per
     user before the two lookups."""
@@ -255,7 +275,8 @@ def occupation_rating(
     )
     named = attach(with_occ, occupations, "occupation_id", "default", {"occupation": UNKNOWN_GROUP})
     merged = merge_sum_count(named, "occupation", "rating_sum", "n_ratings").filter(F.col("n_ratings") > 0)
-    return finish_mean(merged, "rating_sum", "n_ratings", digits).select("occupation", "avg_rating", "n_ratings")
+    out = finish_mean(merged, "rating_sum", "n_ratings", digits).select("occupation", "avg_rating", "n_ratings")
+    return out.orderBy(F.desc("avg_rating"), "occupation")
 
 
 def rating_by_year(
@@ -267,7 +288,7 @@ def rating_by_year(
     """Mean and count per calendar year (UTC) of the rating time; `epoch`
     says the column holds Unix seconds."""
     year = epoch_utc_year(ts_col) if epoch else F.year(F.col(ts_col)).cast("bigint")
-    return mean_count(ratings.withColumn("year", year), "year", "rating", digits)
+    return mean_count(ratings.withColumn("year", year), "year", "rating", digits).orderBy("year")
 
 
 def with_epoch_seconds(ratings: DataFrame, ts_col: str = "rated_at", out: str = "rated_epoch") -> DataFrame:

@@ -251,6 +251,23 @@ register(
 )(lambda spark, d: ratings.movie_report_lines(*_r(spark, d, "ratings", "movies")))
 
 
+register(
+    "report_lines",
+    role_cte("ratings", "users", "occupations")
+    + f""",
+    pu AS (SELECT user_id, sum(rating) AS rs, count(rating) AS n FROM ratings GROUP BY user_id),
+    wo AS (SELECT pu.rs, pu.n, CASE WHEN u.user_id IS NULL THEN 0 ELSE u.occupation_id END AS occupation_id
+           FROM pu LEFT JOIN users u ON pu.user_id = u.user_id),
+    wn AS (SELECT wo.rs, wo.n, CASE WHEN o.occupation_id IS NULL THEN 'Unknown' ELSE o.occupation END AS occupation
+           FROM wo LEFT JOIN occupations o ON wo.occupation_id = o.occupation_id),
+    st AS (SELECT occupation, {F2('sum(rs) / sum(n)')} AS a, CAST(sum(n) AS BIGINT) AS n
+           FROM wn GROUP BY occupation HAVING sum(n) > 0)
+    SELECT occupation, '  ' || rpad(occupation, CAST(greatest(length(occupation), 20) AS INTEGER), ' ') || ' '
+           || rpad(a, CAST(greatest(length(a), 12) AS INTEGER), ' ') || ' ' || CAST(n AS VARCHAR) AS line
+    FROM st""",
+)(lambda spark, d: ratings.occupation_report_lines(*_r(spark, d, "ratings", "users", "occupations")))
+
+
 def _unique_latest_order(spark, d):
     from quarry.operators.lookup import unique_lookup
 
@@ -282,6 +299,15 @@ def _tokens(spark, d):
     return text_insights.remove_stopwords(role(spark, d, "reviews"), role(spark, d, "stopwords"))
 
 
+register(
+    "scan_stopwords",
+    role_cte("reviews", "stopwords") + f", {_TOKENS}\n    SELECT id, word, topic, aspect, sentiment FROM tok",
+)(
+    lambda spark, d: text_insights.remove_stopwords(
+        role(spark, d, "reviews"), files.stopwords_from_file(spark, role(spark, d, "stopwords"))
+    )
+)
+
 register(
     "remove_stopwords",
     role_cte("reviews", "stopwords") + f", {_TOKENS}\n    SELECT id, word, topic, aspect, sentiment FROM tok",

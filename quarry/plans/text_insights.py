@@ -46,7 +46,7 @@ def word_freq_over(tokens: DataFrame, min_freq: int = 500) -> DataFrame:
     """Words occurring more than `min_freq` times (tokens with a null id are
     not counted)."""
     counts = count_by(tokens, "word", count_col="id", name="frequency")
-    return counts.filter(F.col("frequency") > min_freq)
+    return counts.filter(F.col("frequency") > min_freq).orderBy(F.desc("frequency"), "word")
 
 
 def word_freq(tokens: DataFrame) -> DataFrame:
