@@ -555,3 +555,7 @@ register(
     "staged_word_freq",
     role_cte("reviews", "stopwords") + f", {_TOKENS}\n    SELECT word, count(id) AS frequency FROM tok GROUP BY word",
 )(lambda spark, d: text_insights.word_freq(files.staged(spark, _tokens(spark, d), "tokens")))
+
+register("stream_movie_rating_stats", ORACLE["movie_rating_stats"])(
+    lambda spark, d: files.stream_movie_stats(spark, _ratings_epoch(spark, d), _junk(spark, d), role(spark, d, "movies"))
+)
