@@ -25,6 +25,7 @@ from quarry.functions.scalar import bag_to_string, normalize_label, review_token
 from quarry.operators.agg import best_of, count_by
 from quarry.operators.lookup import exclude_terms
 from quarry.operators.rank import collect_top_k, top_k_per_group
+from quarry.sources.delimited import spread_small_input
 
 TOKEN_COLUMNS = ("id", "word", "topic", "aspect", "sentiment")
 
@@ -32,6 +33,7 @@ TOKEN_COLUMNS = ("id", "word", "topic", "aspect", "sentiment")
 def explode_tokens(df: DataFrame, text: str = "review", out: str = "word", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per token of the cleaned text; null text gives no rows."""
     pieces = review_tokens(text)
+    df = spread_small_input(df)
     return df.select(*keep[:1], F.explode(pieces).alias(out), *keep[1:]).filter(F.col(out) != "")
 
 

@@ -6,5 +6,6 @@ from quarry.sources.delimited import (  # noqa: F401
     read_delimited_rejects,
     read_terms,
     split_fields,
+    spread_small_input,
 )
 from quarry.sources.sinks import read_stage, stage, to_lines, write_csv, write_delimited  # noqa: F401

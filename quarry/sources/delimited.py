@@ -155,3 +155,20 @@ def read_csv_table(
     else:
         reader = reader.option("inferSchema", True).option("samplingRatio", sampling_ratio)
     return reader.csv(_paths(paths))
+
+
+def spread_small_input(df: DataFrame, min_files: int | None = None) -> DataFrame:
+    """Spread rows over the cores before CPU-heavy per-row work when the
+    input comes in fewer files than there are cores.
+
+    A parquet row group is read by one task, so a table stored as one or two
+    files with a single row group each keeps all downstream per-row work in
+    one task until the first shuffle. With fewer input files than
+    `min_files` (default: the default parallelism) the rows are spread
+    round-robin. A large table arrives in many files and is left as it is,
+    so the full-size case never pays this extra shuffle."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= (min_files or cores):
+        return df
+    return df.repartition(cores)
