@@ -62,12 +62,15 @@ def bad_record_counts(spark: SparkSession, ratings_epoch: DataFrame, junk: DataF
 
 
 def union_sources(spark: SparkSession, ratings_epoch: DataFrame, split_year: int) -> DataFrame:
-    """Ratings written as two files (before / from `split_year`) and read
-    back as one relation from a list of paths."""
-    year = F.year("rated_at")
-    first = write_ratings_text(spark, ratings_epoch.filter(year < split_year))
-    second = write_ratings_text(spark, ratings_epoch.filter(year >= split_year))
-    return read_delimited(spark, [first, second], RATINGS_SCHEMA, ",")
+    """Ratings written as two sources (before / from `split_year`) in one
+    pass (a partitioned write), read back as one relation from the list of
+    the two folders."""
+    path = scratch_path(spark, "ratings-two-sources")
+    source = F.when(F.year("rated_at") < split_year, "first").otherwise("second")
+    tagged = ratings_epoch.withColumn("source", source)
+    fields = ("user_id", "movie_id", "rating", "rated_epoch")
+    to_lines(tagged, ", ", fields, keep=("source",)).write.mode("overwrite").partitionBy("source").text(path)
+    return read_delimited(spark, [f"{path}/source=first", f"{path}/source=second"], RATINGS_SCHEMA, ",")
 
 
 def scan_reviews(spark: SparkSession, reviews: DataFrame) -> DataFrame:

@@ -7,14 +7,19 @@ through one task (`coalesce(1)`): only for small final reports.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def to_lines(df: DataFrame, sep: str = ",") -> DataFrame:
-    """Render rows as positional text lines (null -> empty field)."""
-    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
-    return df.select(F.concat_ws(sep, *fields).alias("value"))
+def to_lines(
+    df: DataFrame, sep: str = ",", columns: Sequence[str] | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Render rows as positional text lines (null -> empty field); `keep`
+    columns pass through unrendered (e.g. for a partitioned write)."""
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (columns or df.columns)]
+    return df.select(F.concat_ws(sep, *fields).alias("value"), *keep)
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = "\t", single_file: bool = False) -> str:
