@@ -79,12 +79,7 @@ def split_fields(
 
     need = max([names.index(r) for r in required], default=-1) + 1
     short = F.size(parts) < F.lit(need)
-    unparsed = [
-        (values[n].isNull() & raws[n].isNotNull(), n) for n, t in fields if n in required and t != "string"
-    ]
-    reason = F.when(short, F.lit("too few fields"))
-    for cond, name in unparsed:
-        reason = reason.when(cond, F.lit(f"unparsable {name}"))
+    typed_required = [n for n, t in fields if n in required and t != "string"]
 
     # Blank lines are skipped in every mode (an empty line holds no record).
     lines = lines.filter(java_trim(F.col(text_col)) != F.lit(""))
@@ -92,14 +87,23 @@ def split_fields(
         # The arity check sits in a filter so column pruning cannot drop it.
         checked = F.when(short, F.raise_error(F.concat(F.lit("too few fields: "), F.col(text_col))))
         return lines.filter(checked.isNull()).select(*[values[n].alias(n) for n in names])
-    out = lines.select(*[values[n].alias(n) for n in names], reason.alias("reject_reason"))
     if with_reason:
+        reason = F.when(short, F.lit("too few fields"))
+        for n in typed_required:
+            reason = reason.when(values[n].isNull() & raws[n].isNotNull(), F.lit(f"unparsable {n}"))
         return lines.select(
             *[values[n].alias(n) for n in names], reason.alias("reject_reason"), F.col(text_col).alias("line")
         )
-    if on_bad == "drop":
-        out = out.filter(F.col("reject_reason").isNull())
-    return out.drop("reject_reason")
+    out = lines.select(*[values[n].alias(n) for n in names])
+    if on_bad == "null":
+        return out
+    # A good line has every required field, and each typed one parsed (or
+    # null as written). The check reads the parsed columns; for a good line
+    # it stops at the first test of each field.
+    keep = ~short
+    for n in typed_required:
+        keep = keep & (values[n].isNotNull() | raws[n].isNull())
+    return lines.filter(keep).select(*[values[n].alias(n) for n in names])
 
 
 def read_delimited(
