@@ -76,3 +76,13 @@ def test_invariants(spark, q):
     genre_total = q["genre_rating"](spark, d).agg(F.sum("n_ratings")).first()[0]
     movie_total = q["movie_rating_stats"](spark, d).agg(F.sum("n_ratings")).first()[0]
     assert genre_total >= movie_total  # a rating counts once per genre
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01", "0.1"])
+def test_declared_schemas_match_files(spark, sf):
+    from quarry.roles import TABLE_SCHEMAS
+
+    for name, ddl in TABLE_SCHEMAS.items():
+        stored = spark.read.parquet(f"/root/testdata/sf{sf}/{name}.parquet").schema
+        declared = spark.read.schema(ddl).parquet(f"/root/testdata/sf{sf}/{name}.parquet").schema
+        assert [(f.name, f.dataType) for f in stored] == [(f.name, f.dataType) for f in declared]
