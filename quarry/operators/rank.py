@@ -70,16 +70,25 @@ def collect_top_k(
     )
 
 
+# Largest relation ranked in one window task; above it the range path runs.
+LOCAL_RANK_MAX_ROWS = 200_000
+
+
 def dense_rank_table(
     df: DataFrame,
     by: str,
     out: str,
     ascending: bool = False,
     num_partitions: int | None = None,
+    local_max_rows: int | None = LOCAL_RANK_MAX_ROWS,
 ) -> DataFrame:
     """(`__v`, out): the dense rank of every distinct value of `by`, as
-    `dense_rank() OVER (ORDER BY by)` gives it, without a single-partition
-    window.
+    `dense_rank() OVER (ORDER BY by)` gives it.
+
+    Size check first: when `df` has at most `local_max_rows` rows (counted;
+    pass a materialised relation), its distinct values are ranked by one
+    window in one task and the (value, rank) table is small enough to
+    broadcast. Otherwise, without any single-partition window over rows:
 
     1. distinct values of `by` (shuffle by value, partial aggregation);
     2. range partitioning on the value + sort inside each partition; each
@@ -92,13 +101,15 @@ def dense_rank_table(
     4. rank = offset + position + 1.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _order("__v", ascending)
+    values = df.select(F.col(by).alias("__v")).distinct()
+    if local_max_rows is not None and df.count() <= local_max_rows:
+        # bounded by the count just taken: one task, one broadcastable table
+        return F.broadcast(values.withColumn(out, F.dense_rank().over(Window.orderBy(order))))
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, f"rank-{out}")
     (
-        df.select(F.col(by).alias("__v"))
-        .distinct()
-        .repartitionByRange(n, order)
+        values.repartitionByRange(n, order)
         .sortWithinPartitions(order)
         .withColumn("__mid", F.monotonically_increasing_id())
         .write.mode("overwrite")
@@ -131,8 +142,9 @@ def global_dense_rank(
     out: str,
     ascending: bool = False,
     num_partitions: int | None = None,
+    local_max_rows: int | None = LOCAL_RANK_MAX_ROWS,
 ) -> DataFrame:
     """`df` with `out` = dense rank of `by` over the whole relation. `df` is
-    read twice (values, then rows): pass a materialised relation when it is
-    expensive to compute."""
-    return attach_rank(df, by, dense_rank_table(df, by, out, ascending, num_partitions))
+    read more than once (size check, values, rows): pass a materialised
+    relation when it is expensive to compute."""
+    return attach_rank(df, by, dense_rank_table(df, by, out, ascending, num_partitions, local_max_rows))

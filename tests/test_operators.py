@@ -121,21 +121,23 @@ def test_global_dense_rank_equals_window(spark):
     data = [(i, rnd.choice([None] + list(range(40)))) for i in range(600)]
     df = spark.createDataFrame(data, "id int, v int")
     for ascending in (False, True):
-        ours = K.global_dense_rank(df, "v", "r", ascending=ascending, num_partitions=7)
-        want = _spark_dense_rank(df, "v", ascending)
-        assert rows(ours, "id", "r") == rows(want, "id", "expected")
+        want = rows(_spark_dense_rank(df, "v", ascending), "id", "expected")
+        ranged = K.global_dense_rank(df, "v", "r", ascending=ascending, num_partitions=7, local_max_rows=None)
+        assert rows(ranged, "id", "r") == want
+        local = K.global_dense_rank(df, "v", "r", ascending=ascending)
+        assert rows(local, "id", "r") == want
 
 
 def test_global_dense_rank_all_equal_and_single_row(spark):
     df = spark.createDataFrame([(i, 5) for i in range(20)], "id int, v int")
-    assert {r.r for r in K.global_dense_rank(df, "v", "r", num_partitions=4).collect()} == {1}
+    assert {r.r for r in K.global_dense_rank(df, "v", "r", num_partitions=4, local_max_rows=None).collect()} == {1}
     one = spark.createDataFrame([(1, 2.5)], "id int, v double")
     assert K.global_dense_rank(one, "v", "r").first().r == 1
 
 
 def test_global_dense_rank_has_no_single_partition_window_over_rows(spark):
     df = spark.range(1000).withColumn("v", F.col("id") % 37)
-    ranks = K.dense_rank_table(df, "v", "r", num_partitions=8)
+    ranks = K.dense_rank_table(df, "v", "r", num_partitions=8, local_max_rows=None)
     ranked = K.attach_rank(df, "v", ranks)
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     # the only un-partitioned window runs over the per-partition counts

@@ -57,11 +57,21 @@ def test_movie_stats_aggregate_before_title_join(spark, q):
     assert "partial_sum(rating" in plan
 
 
-def test_dense_rank_window_only_over_partition_counts(spark, q):
-    plan = plan_text(q["seller_ranking"](spark, SF_SMALL))
-    for line in plan.splitlines():
-        if line.startswith("Arguments:") and "windowspecdefinition" in line:
-            assert "__cnt" in line
+def test_dense_rank_window_only_over_partition_counts(spark):
+    from quarry.operators.rank import attach_rank, dense_rank_table
+
+    df = spark.range(5000).withColumn("v", F.col("id") % 97)
+    ranked = attach_rank(df, "v", dense_rank_table(df, "v", "r", num_partitions=8, local_max_rows=None))
+    windows = [ln for ln in plan_text(ranked).splitlines() if ln.startswith("Arguments:") and "windowspecdefinition" in ln]
+    assert windows and all("__cnt" in ln for ln in windows)
+
+
+def test_dense_rank_local_path_is_bounded(spark):
+    from quarry.operators.rank import LOCAL_RANK_MAX_ROWS, dense_rank_table
+
+    small = spark.range(100).withColumn("v", F.col("id") % 7)
+    assert "BroadcastExchange" in plan_text(small.join(dense_rank_table(small, "v", "r"), F.col("v") == F.col("__v")))
+    assert LOCAL_RANK_MAX_ROWS <= 1_000_000
 
 
 def test_invariants(spark, q):
