@@ -398,15 +398,27 @@ register(
     "\n    UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in _SHOP_TABLES),
 )(lambda spark, d: commerce.table_row_counts({t: roles.table(spark, d, t) for t in _SHOP_TABLES}))
 
+register(
+    "table_profile",
+    "\n    UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS n_rows, "
+        f"(SELECT count(*) FROM information_schema.columns WHERE table_name = '{t}') AS n_columns, "
+        f"(SELECT string_agg(column_name, ',' ORDER BY ordinal_position) FROM information_schema.columns "
+        f"WHERE table_name = '{t}') AS column_names"
+        for t in _SHOP_TABLES + ("documents", "labels")
+    ),
+)(lambda spark, d: commerce.table_profile({t: roles.table(spark, d, t) for t in _SHOP_TABLES + ("documents", "labels")}))
+
 register(
     "summary_metrics",
     role_cte("shop_orders", "shop_customers", "shop_items")
     + """
-    SELECT 'total_orders' AS metric, count(*) AS value FROM shop_orders
-    UNION ALL SELECT 'distinct_customers', CAST(count(DISTINCT customer_trx_id)
-        + max(CASE WHEN customer_trx_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) FROM shop_customers
-    UNION ALL SELECT 'distinct_sellers', CAST(count(DISTINCT seller_id)
-        + max(CASE WHEN seller_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) FROM shop_items""",
+    SELECT metric, value, format('{:,}', value) AS value_text FROM (
+        SELECT 'total_orders' AS metric, count(*) AS value FROM shop_orders
+        UNION ALL SELECT 'distinct_customers', CAST(count(DISTINCT customer_trx_id)
+            + COALESCE(max(CASE WHEN customer_trx_id IS NULL THEN 1 ELSE 0 END), 0) AS BIGINT) FROM shop_customers
+        UNION ALL SELECT 'distinct_sellers', CAST(count(DISTINCT seller_id)
+            + COALESCE(max(CASE WHEN seller_id IS NULL THEN 1 ELSE 0 END), 0) AS BIGINT) FROM shop_items)""",
 )(lambda spark, d: commerce.summary_metrics(*_r(spark, d, "shop_orders", "shop_customers", "shop_items")))
 
 register(

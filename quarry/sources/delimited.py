@@ -56,9 +56,12 @@ def split_fields(
     required: Sequence[str] | None = None,
     text_col: str = "value",
     with_reason: bool = False,
+    max_fields: int = -1,
 ) -> DataFrame:
     """Split text lines into typed positional columns (see module notes).
 
+    `max_fields` > 0 splits into at most that many pieces, so the last field
+    keeps the rest of the line, separators included (a split with a limit).
     With `with_reason`, no row is dropped: a `reject_reason` column says why
     a line would be (null for good lines)."""
     if on_bad not in ("drop", "null", "fail"):
@@ -66,7 +69,7 @@ def split_fields(
     fields = _fields(schema)
     names = [n for n, _ in fields]
     required = list(required) if required is not None else names
-    parts = F.split(F.col(text_col), re.escape(sep), -1)
+    parts = F.split(F.col(text_col), re.escape(sep), max_fields if max_fields > 0 else -1)
     raws, values = {}, {}
     for i, (name, typ) in enumerate(fields):
         raw = F.get(parts, i)
@@ -115,10 +118,11 @@ def read_delimited(
     trim: bool = True,
     empty_as_null: bool = False,
     required: Sequence[str] | None = None,
+    max_fields: int = -1,
 ) -> DataFrame:
     """Headerless delimited text, several files read as one relation."""
     lines = spark.read.text(_paths(paths))
-    return split_fields(lines, schema, sep, on_bad, trim, empty_as_null, required)
+    return split_fields(lines, schema, sep, on_bad, trim, empty_as_null, required, max_fields=max_fields)
 
 
 def read_delimited_rejects(

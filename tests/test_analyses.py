@@ -146,7 +146,7 @@ def test_summary_metrics_and_delivery(spark):
         "shipping_limit_date timestamp_ntz",
     ).selectExpr("order_id", "product_id", "seller_id", "CAST(price AS DECIMAL(18,2)) AS price",
                  "CAST(freight AS DECIMAL(18,2)) AS freight", "shipping_limit_date")
-    metrics = dict(rows(C.summary_metrics(orders, customers, items)))
+    metrics = {r.metric: r.value for r in C.summary_metrics(orders, customers, items).collect()}
     assert metrics == {"total_orders": 3, "distinct_customers": 3, "distinct_sellers": 3}
     assert rows(C.orders_by_country(orders, customers)) == [("DE", 2), (None, 1)]
     summary = C.delivery_summary(orders, items).first()

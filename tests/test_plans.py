@@ -81,7 +81,7 @@ def test_invariants(spark, q):
     assert topic == aspect
     by_country = q["orders_by_country"](spark, d).agg(F.sum("total_orders")).first()[0]
     by_month = q["order_month_counts"](spark, d).agg(F.sum("total_orders")).first()[0]
-    total = dict(q["summary_metrics"](spark, d).collect())["total_orders"]
+    total = {r.metric: r.value for r in q["summary_metrics"](spark, d).collect()}["total_orders"]
     assert by_country == by_month == total
     genre_total = q["genre_rating"](spark, d).agg(F.sum("n_ratings")).first()[0]
     movie_total = q["movie_rating_stats"](spark, d).agg(F.sum("n_ratings")).first()[0]
