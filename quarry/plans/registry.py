@@ -384,6 +384,18 @@ register("topk_words_all", _topk_sql("", "topic", "top_words"))(
     lambda spark, d: text_insights.topk_words(_tokens(spark, d), None, 5, "top_words")
 )
 
+register(
+    "topk_words_by_sentiment",
+    role_cte("reviews", "stopwords")
+    + f""", {_TOKENS},
+    c AS (SELECT sentiment, topic, word, count(id) AS cnt FROM tok WHERE sentiment IN ('positive', 'negative')
+          GROUP BY sentiment, topic, word),
+    r AS (SELECT *, row_number() OVER (PARTITION BY sentiment, topic ORDER BY cnt DESC, word ASC) AS rn FROM c)
+    SELECT sentiment, topic,
+           '{{' || string_agg('(' || word || ',' || CAST(cnt AS VARCHAR) || ')', ',' ORDER BY rn) || '}}' AS top_words
+    FROM r WHERE rn <= 5 GROUP BY sentiment, topic""",
+)(lambda spark, d: text_insights.topk_words_by_sentiment(_tokens(spark, d)))
+
 # A preview: any 10 token rows. No order is implied, so only the row count
 # is comparable (no oracle).
 register("sample_tokens")(lambda spark, d: text_insights.sample_tokens(_tokens(spark, d), 10))

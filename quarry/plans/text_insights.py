@@ -116,6 +116,21 @@ def topk_words(
     return top.select("topic", bag_to_string("__bag", ["word", "count"]).alias(out))
 
 
+def topk_words_by_sentiment(
+    tokens: DataFrame,
+    sentiments: tuple[str, ...] = ("positive", "negative"),
+    k: int = 5,
+    out: str = "top_words",
+) -> DataFrame:
+    """`topk_words` for several sentiments in one pass: one grouped count on
+    (sentiment, topic, word) and one top-k per (sentiment, topic), instead
+    of a scan, count and top-k per sentiment."""
+    picked = tokens.filter(F.col("sentiment").isin(*sentiments))
+    counts = count_by(picked, ["sentiment", "topic", "word"], count_col="id", name="count")
+    top = collect_top_k(counts, ["sentiment", "topic"], "count", k, ["word", "count"], tie="word", out="__bag")
+    return top.select("sentiment", "topic", bag_to_string("__bag", ["word", "count"]).alias(out))
+
+
 def sample_tokens(tokens: DataFrame, n: int = 10) -> DataFrame:
     """Any n token rows (a preview: no order is implied)."""
     return tokens.limit(n)

@@ -43,7 +43,7 @@ def text_stream(
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return split_fields(reader.load(folder), schema, sep, on_bad if on_bad != "fail" else "null", trim)
+    return split_fields(reader.load(folder), schema, sep, on_bad, trim)
 
 
 def movie_state_stream(ratings: DataFrame) -> DataFrame:
