@@ -35,6 +35,25 @@ PLAN_DEFAULTS: dict[str, str] = {
 }
 
 
+def settings_for_input(
+    input_bytes: float,
+    executor_cores: int,
+    target_partition_bytes: int = 128 << 20,
+) -> dict[str, str]:
+    """Planner settings sized for a given input volume (e.g. 100 TB on a
+    1000-executor cluster): enough initial shuffle partitions that each holds
+    about `target_partition_bytes` of the largest shuffle (adaptive execution
+    then coalesces the small ones), scan splits of the same size, and at
+    least two tasks per core so a lost executor costs little rework."""
+    partitions = max(int(input_bytes // target_partition_bytes), 2 * executor_cores, 1)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
+
+
 def get_session(
     master: str | None = None,
     app_name: str = "quarry",

@@ -123,3 +123,12 @@ def test_pad_right_never_truncates(spark):
 def test_days_between(spark):
     df = spark.sql("SELECT TIMESTAMP_NTZ'2020-01-03 01:00:00' AS a, TIMESTAMP_NTZ'2020-01-01 23:00:00' AS b")
     assert df.select(S.days_between("a", "b"), S.days_between("b", "a")).first() == (2, -2)
+
+
+def test_settings_for_input_scale():
+    from quarry.session import settings_for_input
+
+    big = settings_for_input(100 * 2**40, executor_cores=4000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (128 << 20)
+    small = settings_for_input(10 << 20, executor_cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
