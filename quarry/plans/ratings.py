@@ -42,6 +42,7 @@ from quarry.operators.agg import (
     with_summary_row,
 )
 from quarry.operators.lookup import attach
+from quarry.sources.sinks import format_report
 
 # ---------------------------------------------------------------------------
 # Report texts and default labels as the reference prints them.
@@ -49,6 +50,12 @@ BEST_GENRE_LABEL = "*** BEST GENRE ***"
 GENRE_LINE = "Average rating: %.2f (Total ratings: %d)"
 BEST_GENRE_LINE = '"%s" is the highest rated genre with average rating %.2f over %d rating(s).'
 MOVIE_LINE = "AverageRating: %s (TotalRatings: %d)"
+BEST_MOVIE_LABEL = "*** BEST MOVIE ***"
+BEST_MOVIE_LINE = "%s is the highest rated movie with an average rating of %.2f among movies with at least %d ratings."
+GENDER_LINE = "Male_Avg: %.2f (count: %d), Female_Avg: %.2f (count: %d)"
+GAP_LABEL = "*** BIGGEST GENDER GAP ***"
+GAP_LINE = '"%s" gap=%.2f'
+AGE_LINE = "[0-18: %.2f, 18-35: %.2f, 35-50: %.2f, 50+: %.2f]"
 UNKNOWN_GROUP = "Unknown"
 # ---------------------------------------------------------------------------
 
@@ -179,6 +186,38 @@ def occupation_report_lines(
     return stats.select("occupation", line.alias("line"))
 
 
+def movie_report_with_best(ratings: DataFrame, movies: DataFrame, min_count: int = 5) -> DataFrame:
+    """(key, line): one line per titled movie, then the best-movie line
+    (highest unrounded mean among titled movies with >= min_count ratings)."""
+    state = movie_state(ratings).filter(F.col("n_ratings") > 0)
+    named = attach(state, _titles(movies), "movie_id", "drop")
+    stats = finish_mean(named, "rating_sum", "n_ratings", 2, raw_name="avg_raw")
+    detail = stats.select("title", fmt2("avg_rating").alias("avg_text"), "n_ratings")
+    detail = format_report(detail, "title", MOVIE_LINE, ["avg_text", "n_ratings"])
+    best = best_of(stats, "avg_raw", tie="movie_id", min_count=min_count, count_col="n_ratings")
+    best = best.select(F.lit(BEST_MOVIE_LABEL).alias("label"), "title", "avg_raw", F.lit(min_count).alias("k"))
+    return with_summary_row(detail, format_report(best, "label", BEST_MOVIE_LINE, ["title", "avg_raw", "k"]))
+
+
+def gender_report_with_gap(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
+    """(key, line): male / female means and counts per movie, then the
+    biggest-gap line."""
+    wide = movie_gender_wide(ratings, users, movies, raw=True)
+    raw = {"m": F.coalesce(F.col("raw_avg_male"), F.lit(0.0)), "f": F.coalesce(F.col("raw_avg_female"), F.lit(0.0))}
+    lines = wide.select("title", raw["m"].alias("m"), "n_male", raw["f"].alias("f"), "n_female")
+    detail = format_report(lines, "title", GENDER_LINE, ["m", "n_male", "f", "n_female"])
+    top = biggest_gap(wide, "raw_avg_male", "raw_avg_female", "n_male", "n_female", tie="movie_id", out="raw_gap")
+    gap = format_report(top.select(F.lit(GAP_LABEL).alias("label"), "title", "raw_gap"), "label", GAP_LINE,
+                        ["title", "raw_gap"])
+    return with_summary_row(detail, gap)
+
+
+def age_report_lines(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
+    """(key, line): the four upper-inclusive age-band means per movie."""
+    wide = movie_age_wide(ratings, users, movies)
+    return format_report(wide, "title", AGE_LINE, [f"avg_{s}" for s in AGE_BANDS_RIGHT])
+
+
 def _rated_with(ratings: DataFrame, users: DataFrame, attr: Column, name: str, missing: str) -> DataFrame:
     lookup = users.select("user_id", attr.alias(name))
     rated = ratings.filter(F.col("rating").isNotNull())

@@ -583,3 +583,57 @@ register(
 register("stream_movie_rating_stats", ORACLE["movie_rating_stats"])(
     lambda spark, d: files.stream_movie_stats(spark, _ratings_epoch(spark, d), _junk(spark, d), role(spark, d, "movies"))
 )
+
+# --------------------------------------------------------------------------
+# Report renderings (S12 with A15): detail lines plus a summary line.
+
+register(
+    "movie_report_with_best",
+    role_cte("ratings", "movies")
+    + f""", {_MOVIE_STATE},
+    st AS (SELECT ms.movie_id, m.title, ms.rs / ms.n AS a, ms.n FROM ms JOIN movies m ON ms.movie_id = m.movie_id
+           WHERE ms.n > 0)
+    SELECT title AS key, printf('AverageRating: %s (TotalRatings: %d)', {F2('a')}, n) AS line FROM st
+    UNION ALL
+    SELECT '*** BEST MOVIE ***' AS key,
+           printf('%s is the highest rated movie with an average rating of %s among movies with at least %d ratings.',
+                  title, {F2('a')}, 5) AS line
+    FROM (SELECT * FROM st WHERE n >= 5 ORDER BY a DESC NULLS LAST, movie_id ASC LIMIT 1)""",
+)(lambda spark, d: ratings.movie_report_with_best(*_r(spark, d, "ratings", "movies")))
+
+register(
+    "gender_report_with_gap",
+    role_cte("ratings", "users", "movies")
+    + f""", {_GENDER_WIDE},
+    named AS (SELECT w.*, {_title('MovieID:')} FROM gw w LEFT JOIN movies m ON w.movie_id = m.movie_id)
+    SELECT title AS key,
+           printf('Male_Avg: %s (count: %d), Female_Avg: %s (count: %d)',
+                  COALESCE({F2('sm / nm')}, '0.00'), nm, COALESCE({F2('sf / nf')}, '0.00'), nf) AS line
+    FROM named
+    UNION ALL
+    SELECT '*** BIGGEST GENDER GAP ***' AS key, printf('"%s" gap=%s', title, {F2('gap')}) AS line
+    FROM (SELECT title, movie_id, abs(sm / nm - sf / nf) AS gap FROM named WHERE nm > 0 AND nf > 0
+          ORDER BY gap DESC NULLS LAST, movie_id ASC LIMIT 1)""",
+)(lambda spark, d: ratings.gender_report_with_gap(*_r(spark, d, "ratings", "users", "movies")))
+
+
+def _p2(expr: str) -> str:
+    return f"printf('%.2f', COALESCE({R(expr)}, 0.0))"
+
+
+register(
+    "age_report_lines",
+    role_cte("ratings", "users", "movies")
+    + f""",
+    rb AS (SELECT r.movie_id, r.rating, {_BAND_RIGHT.format(a='u.age')} AS b FROM ratings r
+           JOIN users u ON r.user_id = u.user_id WHERE r.rating IS NOT NULL AND u.age IS NOT NULL),
+    w AS (SELECT movie_id,
+                 sum(CASE WHEN b = '0-18' THEN rating END) / count(CASE WHEN b = '0-18' THEN rating END) AS a1,
+                 sum(CASE WHEN b = '18-35' THEN rating END) / count(CASE WHEN b = '18-35' THEN rating END) AS a2,
+                 sum(CASE WHEN b = '35-50' THEN rating END) / count(CASE WHEN b = '35-50' THEN rating END) AS a3,
+                 sum(CASE WHEN b = '50+' THEN rating END) / count(CASE WHEN b = '50+' THEN rating END) AS a4
+          FROM rb GROUP BY movie_id)
+    SELECT {_title('MovieID:').replace(' AS title', '')} AS key,
+           printf('[0-18: %s, 18-35: %s, 35-50: %s, 50+: %s]', {_p2('a1')}, {_p2('a2')}, {_p2('a3')}, {_p2('a4')}) AS line
+    FROM w LEFT JOIN movies m ON w.movie_id = m.movie_id""",
+)(lambda spark, d: ratings.age_report_lines(*_r(spark, d, "ratings", "users", "movies")))

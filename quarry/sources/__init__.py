@@ -8,4 +8,11 @@ from quarry.sources.delimited import (  # noqa: F401
     split_fields,
     spread_small_input,
 )
-from quarry.sources.sinks import read_stage, stage, to_lines, write_csv, write_delimited  # noqa: F401
+from quarry.sources.sinks import (  # noqa: F401
+    format_report,
+    read_stage,
+    stage,
+    to_lines,
+    write_csv,
+    write_delimited,
+)

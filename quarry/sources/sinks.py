@@ -22,6 +22,14 @@ def to_lines(
     return df.select(F.concat_ws(sep, *fields).alias("value"), *keep)
 
 
+def format_report(df: DataFrame, key: str, pattern: str, columns: Sequence[str]) -> DataFrame:
+    """(key, line) report rows: `line` is `pattern` (printf style: %s, %d,
+    %.2f) filled with `columns`; numbers are formatted by the JVM, so %.2f
+    rounds half-up like `round(x, 2)`."""
+    return df.select(F.col(key).cast("string").alias("key"),
+                     F.format_string(pattern, *[F.col(c) for c in columns]).alias("line"))
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = "\t", single_file: bool = False) -> str:
     """Headerless delimited text with no quoting (a line per row)."""
     out = to_lines(df, sep)

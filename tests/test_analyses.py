@@ -165,3 +165,20 @@ def test_scores_filtering(spark):
                                "review_id bigint, review_score string")
     assert rows(C.score_distribution(rv)) == [(1, 1), (5, 2)]
     assert C.avg_score(rv).first()[0] == 3.67
+
+
+def test_report_lines(spark):
+    data = [(u, 10, 4.0) for u in range(5)] + [(1, 11, 3.0), (2, 11, 5.0), (3, 11, 2.0)]
+    r = ratings_df(spark, data)
+    m = movies_df(spark, [(10, "Ten", "A"), (11, "Eleven", "B")])
+    u = users_df(spark, [(0, "M", 18, 1), (1, "F", 60, 1), (2, "M", 30, 1), (3, "F", 40, 1), (4, "M", 50, 1)])
+    movie = dict(rows(R.movie_report_with_best(r, m)))
+    assert movie["Eleven"] == "AverageRating: 3.33 (TotalRatings: 3)"
+    assert movie["*** BEST MOVIE ***"] == (
+        "Ten is the highest rated movie with an average rating of 4.00 among movies with at least 5 ratings."
+    )
+    gender = dict(rows(R.gender_report_with_gap(r, u, m)))
+    assert gender["Eleven"] == "Male_Avg: 5.00 (count: 1), Female_Avg: 2.50 (count: 2)"
+    assert gender["*** BIGGEST GENDER GAP ***"] == '"Eleven" gap=2.50'
+    age = dict(rows(R.age_report_lines(r, u, m)))
+    assert age["Eleven"] == "[0-18: 0.00, 18-35: 5.00, 35-50: 2.00, 50+: 3.00]"
