@@ -14,7 +14,7 @@ from quarry.operators.agg import (  # noqa: F401
     sum_count,
     with_summary_row,
 )
-from quarry.operators.lookup import attach, exclude_terms, unique_lookup  # noqa: F401
+from quarry.operators.lookup import attach, exclude_terms, skew_safe_lookup, unique_lookup  # noqa: F401
 from quarry.operators.rank import (  # noqa: F401
     attach_rank,
     collect_top_k,

@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 
 _HIT = "__quarry_hit"
 
+# Largest lookup (in rows, counted) that `skew_safe_lookup` broadcasts.
+SKEW_SAFE_BROADCAST_ROWS = 1_000_000
+
 
 def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
@@ -94,3 +97,33 @@ def exclude_terms(
     if broadcast:
         right = F.broadcast(right)
     return df.join(right, column, "left_anti")
+
+
+def skew_safe_lookup(
+    lookup: DataFrame,
+    key: str | Sequence[str],
+    max_broadcast_rows: int | None = None,
+) -> DataFrame:
+    """A de-duplicated lookup for a join whose fact side may hold a hot key
+    (one key with a large share of all facts).
+
+    The size is checked first (a row count of the lookup):
+      * up to `max_broadcast_rows` rows: broadcast. The facts are not
+        shuffled for this join, so a hot key costs nothing; the broadcast is
+        bounded by the count just taken.
+      * larger: the de-duplicated lookup is written to the shared checkpoint
+        folder and read back. Read back it carries no partitioning, so the
+        join gets a plain shuffle on both sides, which is the shape adaptive
+        execution needs to split a hot key's partition into several tasks.
+        (Joined straight onto the de-duplicating aggregate, the lookup side
+        would not be a plain shuffle and the hot partition would stay whole.)
+    """
+    from quarry.session import scratch_path
+
+    limit = SKEW_SAFE_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
+    unique = unique_lookup(lookup, key)
+    if lookup.count() <= limit:
+        return F.broadcast(unique)
+    path = scratch_path(lookup.sparkSession, "lookup")
+    unique.write.mode("overwrite").parquet(path)
+    return lookup.sparkSession.read.parquet(path)

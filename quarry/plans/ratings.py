@@ -6,6 +6,12 @@ Input roles (column names):
   users(user_id, gender, age, occupation_id)
   occupations(occupation_id, occupation)
 
+Lookups never multiply facts: every lookup projection is reduced to one row
+per key first (`unique_lookup`; among duplicates the greatest value wins,
+deterministically), as a per-key dictionary or a reducer holding one value
+per key would. The de-duplicating aggregate is hash-partitioned on the join
+key, so a sort-merge join reuses it without another shuffle of the lookup.
+
 Plan shape: where the grouping key determines the lookup key, ratings are
 reduced to (sum, count) per lookup key *before* the join (per movie for
 titles and genres, per user for occupations), so the join and the second
@@ -41,7 +47,7 @@ from quarry.operators.agg import (
     sum_count,
     with_summary_row,
 )
-from quarry.operators.lookup import attach
+from quarry.operators.lookup import attach, skew_safe_lookup, unique_lookup
 from quarry.sources.sinks import format_report
 
 # ---------------------------------------------------------------------------
@@ -68,7 +74,7 @@ def _movie_id_title(prefix: str) -> Column:
 
 
 def _titles(movies: DataFrame) -> DataFrame:
-    return movies.select("movie_id", "title")
+    return unique_lookup(movies.select("movie_id", "title"), "movie_id")
 
 
 def movie_state(ratings: DataFrame) -> DataFrame:
@@ -136,7 +142,9 @@ def genre_rating(
     every genre of its movie. Ratings of movies without a genre row
     disappear."""
     state = movie_state(ratings)
-    genres = movies.select("movie_id", split_list("genres", "|", trim).alias("genre_list"))
+    genres = unique_lookup(movies.select("movie_id", "genres"), "movie_id").select(
+        "movie_id", split_list("genres", "|", trim).alias("genre_list")
+    )
     joined = state.join(genres, "movie_id", "inner")
     exploded = joined.select(F.explode("genre_list").alias("genre"), "rating_sum", "n_ratings")
     merged = merge_sum_count(exploded, "genre", "rating_sum", "n_ratings").filter(F.col("n_ratings") > 0)
@@ -219,7 +227,10 @@ def age_report_lines(ratings: DataFrame, users: DataFrame, movies: DataFrame) ->
 
 
 def _rated_with(ratings: DataFrame, users: DataFrame, attr: Column, name: str, missing: str) -> DataFrame:
-    lookup = users.select("user_id", attr.alias(name))
+    # Ratings are joined to users row by row, so a user holding a large share
+    # of all ratings is a hot key here: broadcast a small user table, or give
+    # the join plain shuffles that adaptive execution can split.
+    lookup = skew_safe_lookup(users.select("user_id", attr.alias(name)), "user_id")
     rated = ratings.filter(F.col("rating").isNotNull())
     return attach(rated, lookup, "user_id", missing, {name: F.lit(UNKNOWN_GROUP)})
 
@@ -309,10 +320,11 @@ def occupation_rating(
     user before the two lookups."""
     per_user = sum_count(ratings, "user_id", "rating", "rating_sum", "n_ratings")
     with_occ = attach(
-        per_user, users.select("user_id", "occupation_id"), "user_id", "default",
+        per_user, unique_lookup(users.select("user_id", "occupation_id"), "user_id"), "user_id", "default",
         {"occupation_id": default_occupation_id},
     )
-    named = attach(with_occ, occupations, "occupation_id", "default", {"occupation": UNKNOWN_GROUP})
+    names = unique_lookup(occupations.select("occupation_id", "occupation"), "occupation_id")
+    named = attach(with_occ, names, "occupation_id", "default", {"occupation": UNKNOWN_GROUP})
     merged = merge_sum_count(named, "occupation", "rating_sum", "n_ratings").filter(F.col("n_ratings") > 0)
     out = finish_mean(merged, "rating_sum", "n_ratings", digits).select("occupation", "avg_rating", "n_ratings")
     return out.orderBy(F.desc("avg_rating"), "occupation")

@@ -48,6 +48,15 @@ def CLEAN(expr: str) -> str:
 
 _JAVA_TRIM_SQL = " || ".join(f"chr({i})" for i in range(0x21))
 
+# Lookups reduced to one row per key (the greatest value wins), as the Spark
+# side does with `unique_lookup` before every lookup join.
+_MT = "(SELECT movie_id, max(title) AS title FROM movies GROUP BY movie_id)"
+_MG = "(SELECT movie_id, max(genres) AS genres FROM movies GROUP BY movie_id)"
+_UG_LONG = "(SELECT user_id, max(gender) AS gender FROM users GROUP BY user_id)"
+_UO = "(SELECT user_id, max(occupation_id) AS occupation_id FROM users GROUP BY user_id)"
+_OO = "(SELECT occupation_id, max(occupation) AS occupation FROM occupations GROUP BY occupation_id)"
+
+
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
@@ -71,7 +80,7 @@ register(
     + f"""
     SELECT r.movie_id, m.title, {R('sum(r.rating) / count(r.rating)')} AS avg_rating,
            count(r.rating) AS n_ratings
-    FROM ratings r JOIN movies m ON r.movie_id = m.movie_id
+    FROM ratings r JOIN {_MT} m ON r.movie_id = m.movie_id
     GROUP BY r.movie_id, m.title HAVING count(r.rating) > 0""",
 )(lambda spark, d: ratings.movie_rating_stats(role(spark, d, "ratings"), role(spark, d, "movies")))
 
@@ -96,12 +105,12 @@ register(
     + f""", {_MOVIE_STATE},
     top AS (SELECT * FROM ms WHERE n >= 5 ORDER BY rs / n DESC NULLS LAST, movie_id ASC LIMIT 1)
     SELECT w.movie_id, {_title('MovieID:')}, {R('w.rs / w.n')} AS avg_rating, w.n AS n_ratings
-    FROM top w LEFT JOIN movies m ON w.movie_id = m.movie_id""",
+    FROM top w LEFT JOIN {_MT} m ON w.movie_id = m.movie_id""",
 )(lambda spark, d: ratings.best_movie(*_r(spark, d, "ratings", "movies")))
 
 _GENRES = (
     f"gs AS (SELECT {JT('g.genre')} AS genre, g.rs, g.n FROM (SELECT unnest(string_split(m.genres, '|')) AS genre, "
-    "ms.rs, ms.n FROM ms JOIN movies m ON ms.movie_id = m.movie_id) g), "
+    f"ms.rs, ms.n FROM ms JOIN {_MG} m ON ms.movie_id = m.movie_id) g), "
     "gst AS (SELECT genre, sum(rs) / sum(n) AS a, CAST(sum(n) AS BIGINT) AS n FROM gs GROUP BY genre HAVING sum(n) > 0)"
 )
 
@@ -131,8 +140,9 @@ register(
 )(lambda spark, d: ratings.genre_report_with_best(*_r(spark, d, "ratings", "movies")))
 
 _GENDER_WIDE = (
-    f"rg AS (SELECT r.movie_id, r.rating, upper({JT('u.gender')}) AS g FROM ratings r "
-    "JOIN users u ON r.user_id = u.user_id WHERE r.rating IS NOT NULL), "
+    f"rg AS (SELECT r.movie_id, r.rating, u.g AS g FROM ratings r "
+    f"JOIN (SELECT user_id, max(upper({JT('gender')})) AS g FROM users GROUP BY user_id) u "
+    "ON r.user_id = u.user_id WHERE r.rating IS NOT NULL), "
     "gw AS (SELECT movie_id, sum(CASE WHEN g = 'M' THEN rating END) AS sm, count(CASE WHEN g = 'M' THEN rating END) AS nm, "
     "sum(CASE WHEN g = 'F' THEN rating END) AS sf, count(CASE WHEN g = 'F' THEN rating END) AS nf FROM rg GROUP BY movie_id)"
 )
@@ -143,7 +153,7 @@ register(
     + f""", {_GENDER_WIDE}
     SELECT w.movie_id, {_title('MovieID:')}, COALESCE({R('w.sm / w.nm')}, 0.0) AS avg_male, w.nm AS n_male,
            COALESCE({R('w.sf / w.nf')}, 0.0) AS avg_female, w.nf AS n_female
-    FROM gw w LEFT JOIN movies m ON w.movie_id = m.movie_id""",
+    FROM gw w LEFT JOIN {_MT} m ON w.movie_id = m.movie_id""",
 )(lambda spark, d: ratings.movie_gender_wide(*_r(spark, d, "ratings", "users", "movies")))
 
 register(
@@ -152,7 +162,7 @@ register(
     + f""", {_GENDER_WIDE},
     top AS (SELECT movie_id, abs(sm / nm - sf / nf) AS gap FROM gw WHERE nm > 0 AND nf > 0
             ORDER BY gap DESC NULLS LAST, movie_id ASC LIMIT 1)
-    SELECT w.movie_id, {_title('MovieID:')}, {R('w.gap')} AS gap FROM top w LEFT JOIN movies m ON w.movie_id = m.movie_id""",
+    SELECT w.movie_id, {_title('MovieID:')}, {R('w.gap')} AS gap FROM top w LEFT JOIN {_MT} m ON w.movie_id = m.movie_id""",
 )(lambda spark, d: ratings.biggest_gender_gap(*_r(spark, d, "ratings", "users", "movies")))
 
 register(
@@ -160,10 +170,10 @@ register(
     role_cte("ratings", "users", "movies")
     + f""",
     rg AS (SELECT r.movie_id, r.rating, CASE WHEN u.user_id IS NULL THEN 'Unknown' ELSE u.gender END AS gender
-           FROM ratings r LEFT JOIN users u ON r.user_id = u.user_id WHERE r.rating IS NOT NULL),
+           FROM ratings r LEFT JOIN {_UG_LONG} u ON r.user_id = u.user_id WHERE r.rating IS NOT NULL),
     w AS (SELECT movie_id, gender, sum(rating) / count(rating) AS a, count(rating) AS n FROM rg GROUP BY movie_id, gender)
     SELECT w.movie_id, {_title('MovieID ')}, w.gender, {R('w.a')} AS avg_rating, w.n AS n_ratings
-    FROM w LEFT JOIN movies m ON w.movie_id = m.movie_id""",
+    FROM w LEFT JOIN {_MT} m ON w.movie_id = m.movie_id""",
 )(lambda spark, d: ratings.movie_gender_long(*_r(spark, d, "ratings", "users", "movies")))
 
 _BAND_RIGHT = (
@@ -176,6 +186,15 @@ _BAND_LEFT = (
 )
 
 
+_UA_RIGHT = (
+    f"(SELECT user_id, max({_BAND_RIGHT.format(a='age')}) AS b FROM users WHERE age IS NOT NULL GROUP BY user_id)"
+)
+_UA_LEFT = (
+    f"(SELECT user_id, max(COALESCE({_BAND_LEFT.format(a='age')}, 'Unknown')) AS age_group FROM users "
+    "GROUP BY user_id)"
+)
+
+
 def _band_avg(label: str) -> str:
     return (
         f"COALESCE({R(f'sum(CASE WHEN b = {chr(39)}{label}{chr(39)} THEN rating END) / '
@@ -187,12 +206,12 @@ register(
     "movie_age_wide",
     role_cte("ratings", "users", "movies")
     + f""",
-    rb AS (SELECT r.movie_id, r.rating, {_BAND_RIGHT.format(a='u.age')} AS b FROM ratings r
-           JOIN users u ON r.user_id = u.user_id WHERE r.rating IS NOT NULL AND u.age IS NOT NULL),
+    rb AS (SELECT r.movie_id, r.rating, u.b AS b FROM ratings r
+           JOIN {_UA_RIGHT} u ON r.user_id = u.user_id WHERE r.rating IS NOT NULL),
     w AS (SELECT movie_id, {_band_avg('0-18')} AS avg_0_18, {_band_avg('18-35')} AS avg_18_35,
                  {_band_avg('35-50')} AS avg_35_50, {_band_avg('50+')} AS avg_50p FROM rb GROUP BY movie_id)
     SELECT w.movie_id, {_title('MovieID:')}, avg_0_18, avg_18_35, avg_35_50, avg_50p
-    FROM w LEFT JOIN movies m ON w.movie_id = m.movie_id""",
+    FROM w LEFT JOIN {_MT} m ON w.movie_id = m.movie_id""",
 )(lambda spark, d: ratings.movie_age_wide(*_r(spark, d, "ratings", "users", "movies")))
 
 register(
@@ -200,11 +219,11 @@ register(
     role_cte("ratings", "users", "movies")
     + f""",
     rb AS (SELECT r.movie_id, r.rating,
-                  CASE WHEN u.user_id IS NULL THEN 'Unknown' ELSE COALESCE({_BAND_LEFT.format(a='u.age')}, 'Unknown') END AS age_group
-           FROM ratings r LEFT JOIN users u ON r.user_id = u.user_id WHERE r.rating IS NOT NULL),
+                  CASE WHEN u.user_id IS NULL THEN 'Unknown' ELSE u.age_group END AS age_group
+           FROM ratings r LEFT JOIN {_UA_LEFT} u ON r.user_id = u.user_id WHERE r.rating IS NOT NULL),
     w AS (SELECT movie_id, age_group, sum(rating) / count(rating) AS a, count(rating) AS n FROM rb GROUP BY movie_id, age_group)
     SELECT w.movie_id, {_title('MovieID ')}, w.age_group, {R('w.a')} AS avg_rating, w.n AS n_ratings
-    FROM w LEFT JOIN movies m ON w.movie_id = m.movie_id""",
+    FROM w LEFT JOIN {_MT} m ON w.movie_id = m.movie_id""",
 )(lambda spark, d: ratings.movie_age_long(*_r(spark, d, "ratings", "users", "movies")))
 
 register(
@@ -222,9 +241,9 @@ register(
     + f""",
     pu AS (SELECT user_id, sum(rating) AS rs, count(rating) AS n FROM ratings GROUP BY user_id),
     wo AS (SELECT pu.rs, pu.n, CASE WHEN u.user_id IS NULL THEN 0 ELSE u.occupation_id END AS occupation_id
-           FROM pu LEFT JOIN users u ON pu.user_id = u.user_id),
+           FROM pu LEFT JOIN {_UO} u ON pu.user_id = u.user_id),
     wn AS (SELECT wo.rs, wo.n, CASE WHEN o.occupation_id IS NULL THEN 'Unknown' ELSE o.occupation END AS occupation
-           FROM wo LEFT JOIN occupations o ON wo.occupation_id = o.occupation_id)
+           FROM wo LEFT JOIN {_OO} o ON wo.occupation_id = o.occupation_id)
     SELECT occupation, {R('sum(rs) / sum(n)')} AS avg_rating, CAST(sum(n) AS BIGINT) AS n_ratings
     FROM wn GROUP BY occupation HAVING sum(n) > 0""",
 )(lambda spark, d: ratings.occupation_rating(*_r(spark, d, "ratings", "users", "occupations")))
@@ -247,7 +266,7 @@ register(
     role_cte("ratings", "movies")
     + f""", {_MOVIE_STATE}
     SELECT m.title, printf('AverageRating: %s (TotalRatings: %d)', {F2('w.rs / w.n')}, w.n) AS line
-    FROM ms w JOIN movies m ON w.movie_id = m.movie_id WHERE w.n > 0""",
+    FROM ms w JOIN {_MT} m ON w.movie_id = m.movie_id WHERE w.n > 0""",
 )(lambda spark, d: ratings.movie_report_lines(*_r(spark, d, "ratings", "movies")))
 
 
@@ -257,9 +276,9 @@ register(
     + f""",
     pu AS (SELECT user_id, sum(rating) AS rs, count(rating) AS n FROM ratings GROUP BY user_id),
     wo AS (SELECT pu.rs, pu.n, CASE WHEN u.user_id IS NULL THEN 0 ELSE u.occupation_id END AS occupation_id
-           FROM pu LEFT JOIN users u ON pu.user_id = u.user_id),
+           FROM pu LEFT JOIN {_UO} u ON pu.user_id = u.user_id),
     wn AS (SELECT wo.rs, wo.n, CASE WHEN o.occupation_id IS NULL THEN 'Unknown' ELSE o.occupation END AS occupation
-           FROM wo LEFT JOIN occupations o ON wo.occupation_id = o.occupation_id),
+           FROM wo LEFT JOIN {_OO} o ON wo.occupation_id = o.occupation_id),
     st AS (SELECT occupation, {F2('sum(rs) / sum(n)')} AS a, CAST(sum(n) AS BIGINT) AS n
            FROM wn GROUP BY occupation HAVING sum(n) > 0)
     SELECT occupation, '  ' || rpad(occupation, CAST(greatest(length(occupation), 20) AS INTEGER), ' ') || ' '
@@ -591,7 +610,7 @@ register(
     "movie_report_with_best",
     role_cte("ratings", "movies")
     + f""", {_MOVIE_STATE},
-    st AS (SELECT ms.movie_id, m.title, ms.rs / ms.n AS a, ms.n FROM ms JOIN movies m ON ms.movie_id = m.movie_id
+    st AS (SELECT ms.movie_id, m.title, ms.rs / ms.n AS a, ms.n FROM ms JOIN {_MT} m ON ms.movie_id = m.movie_id
            WHERE ms.n > 0)
     SELECT title AS key, printf('AverageRating: %s (TotalRatings: %d)', {F2('a')}, n) AS line FROM st
     UNION ALL
@@ -605,7 +624,7 @@ register(
     "gender_report_with_gap",
     role_cte("ratings", "users", "movies")
     + f""", {_GENDER_WIDE},
-    named AS (SELECT w.*, {_title('MovieID:')} FROM gw w LEFT JOIN movies m ON w.movie_id = m.movie_id)
+    named AS (SELECT w.*, {_title('MovieID:')} FROM gw w LEFT JOIN {_MT} m ON w.movie_id = m.movie_id)
     SELECT title AS key,
            printf('Male_Avg: %s (count: %d), Female_Avg: %s (count: %d)',
                   COALESCE({F2('sm / nm')}, '0.00'), nm, COALESCE({F2('sf / nf')}, '0.00'), nf) AS line
@@ -625,8 +644,8 @@ register(
     "age_report_lines",
     role_cte("ratings", "users", "movies")
     + f""",
-    rb AS (SELECT r.movie_id, r.rating, {_BAND_RIGHT.format(a='u.age')} AS b FROM ratings r
-           JOIN users u ON r.user_id = u.user_id WHERE r.rating IS NOT NULL AND u.age IS NOT NULL),
+    rb AS (SELECT r.movie_id, r.rating, u.b AS b FROM ratings r
+           JOIN {_UA_RIGHT} u ON r.user_id = u.user_id WHERE r.rating IS NOT NULL),
     w AS (SELECT movie_id,
                  sum(CASE WHEN b = '0-18' THEN rating END) / count(CASE WHEN b = '0-18' THEN rating END) AS a1,
                  sum(CASE WHEN b = '18-35' THEN rating END) / count(CASE WHEN b = '18-35' THEN rating END) AS a2,
@@ -635,5 +654,5 @@ register(
           FROM rb GROUP BY movie_id)
     SELECT {_title('MovieID:').replace(' AS title', '')} AS key,
            printf('[0-18: %s, 18-35: %s, 35-50: %s, 50+: %s]', {_p2('a1')}, {_p2('a2')}, {_p2('a3')}, {_p2('a4')}) AS line
-    FROM w LEFT JOIN movies m ON w.movie_id = m.movie_id""",
+    FROM w LEFT JOIN {_MT} m ON w.movie_id = m.movie_id""",
 )(lambda spark, d: ratings.age_report_lines(*_r(spark, d, "ratings", "users", "movies")))

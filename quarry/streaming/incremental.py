@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.agg import finish_mean, sum_count
-from quarry.operators.lookup import attach
+from quarry.operators.lookup import attach, unique_lookup
 from quarry.session import scratch_path
 from quarry.sources.delimited import split_fields
 
@@ -65,7 +65,7 @@ def run_movie_stats(
     (a catch-up run); otherwise it keeps running on new files."""
     spark = state.sparkSession
     checkpoint = checkpoint or scratch_path(spark, "stream-ckpt")
-    titles = movies.select("movie_id", "title")
+    titles = unique_lookup(movies.select("movie_id", "title"), "movie_id")
 
     def write_batch(batch: DataFrame, _batch_id: int) -> None:
         named = attach(batch.filter(F.col("n_ratings") > 0), titles, "movie_id", "drop")

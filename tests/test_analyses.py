@@ -182,3 +182,18 @@ def test_report_lines(spark):
     assert gender["*** BIGGEST GENDER GAP ***"] == '"Eleven" gap=2.50'
     age = dict(rows(R.age_report_lines(r, u, m)))
     assert age["Eleven"] == "[0-18: 0.00, 18-35: 5.00, 35-50: 2.00, 50+: 3.00]"
+
+
+def test_duplicate_lookup_keys_do_not_multiply_ratings(spark):
+    r = ratings_df(spark, [(1, 10, 4.0), (2, 10, 2.0), (1, 11, 5.0)])
+    m = movies_df(spark, [(10, "A", "X"), (10, "B", "Y"), (11, "C", "X")])
+    u = users_df(spark, [(1, "F", 20, 3), (1, "M", 40, 4), (2, "F", 30, 3)])
+    occ = spark.createDataFrame([(3, "Artist"), (4, "Nurse"), (4, "Doctor")], "occupation_id int, occupation string")
+    # one title per movie (the greatest), counts untouched
+    assert rows(R.movie_rating_stats(r, m)) == [(10, "B", 3.0, 2), (11, "C", 5.0, 1)]
+    # genres of movie 10 come from one row only (the greatest: "Y")
+    assert rows(R.genre_rating(r, m)) == [("X", 5.0, 1), ("Y", 3.0, 2)]
+    wide = rows(R.movie_gender_wide(r, u, m), "movie_id", "n_male", "n_female")
+    assert wide == [(10, 1, 1), (11, 1, 0)]  # user 1 counted once, as 'M' (the greatest)
+    occ_rows = rows(R.occupation_rating(r, u, occ))
+    assert sum(n for _, _, n in occ_rows) == 3

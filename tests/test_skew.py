@@ -46,7 +46,10 @@ def final_plan(df) -> str:
     return buf.getvalue()
 
 
-def test_hot_user_join_is_split_and_complete(spark):
+def test_hot_user_join_is_split_and_complete(spark, monkeypatch):
+    from quarry.operators import lookup as L
+
+    monkeypatch.setattr(L, "SKEW_SAFE_BROADCAST_ROWS", 0)  # force the large-lookup path
     n = 30_000
     data = [(0 if i % 3 == 0 else 1 + i % 997, i % 50, float(1 + i % 5), datetime(2020, 1, 1)) for i in range(n)]
     ratings = spark.createDataFrame(data, "user_id bigint, movie_id bigint, rating double, rated_at timestamp_ntz")
@@ -64,3 +67,17 @@ def test_hot_user_join_is_split_and_complete(spark):
     assert sum(r[4] for r in got) == n
     joined = ratings.join(users, "user_id").groupBy("movie_id", "gender").agg(F.count(F.lit(1)).alias("n"))
     assert sorted((r[0], r[2], r[4]) for r in got) == sorted(tuple(r) for r in joined.collect())
+
+
+def test_small_user_table_is_broadcast(spark):
+    data = [(0 if i % 3 == 0 else 1 + i % 97, i % 20, 1.0, datetime(2020, 1, 1)) for i in range(3000)]
+    ratings = spark.createDataFrame(data, "user_id bigint, movie_id bigint, rating double, rated_at timestamp_ntz")
+    users = spark.createDataFrame([(u, "MF"[u % 2], 30, 1) for u in range(98)],
+                                  "user_id bigint, gender string, age int, occupation_id int")
+    movies = spark.createDataFrame([(m, f"m{m}", "A") for m in range(20)], "movie_id bigint, title string, genres string")
+    with conf(spark, SKEW_CONF):
+        out = R.movie_gender_wide(ratings, users, movies)
+        assert sum(r.n_male + r.n_female for r in out.collect()) == 3000
+        plan = final_plan(out)
+    # the ratings-users join is a broadcast: the hot user is never shuffled for it
+    assert "BroadcastHashJoin" in plan
