@@ -116,10 +116,10 @@ def stopwords_from_file(spark: SparkSession, stopwords: DataFrame) -> DataFrame:
 def stream_movie_stats(spark: SparkSession, ratings_epoch: DataFrame, junk: DataFrame, movies: DataFrame) -> DataFrame:
     """The per-movie report computed incrementally from the ratings text
     folder (catch-up run over every file present), then read back."""
-    from quarry.streaming.incremental import movie_state_stream, run_movie_stats, text_stream
+    from quarry.streaming.incremental import movie_state_stream, read_movie_stats, run_movie_stats, text_stream
 
     source = write_ratings_text(spark, ratings_epoch, junk)
     out = scratch_path(spark, "stream-out")
-    query = run_movie_stats(movie_state_stream(text_stream(spark, source, RATINGS_SCHEMA)), movies, out)
+    query = run_movie_stats(movie_state_stream(text_stream(spark, source, RATINGS_SCHEMA)), out)
     query.awaitTermination()
-    return spark.read.parquet(out)
+    return read_movie_stats(spark, out, movies)

@@ -9,12 +9,11 @@ reader and the same mean/count aggregate run incrementally:
   movie_state_stream per-movie (sum, count) as a streaming aggregate: the
                      state store keeps one row per movie, every micro-batch
                      is partially aggregated before its shuffle;
-  run_movie_stats    writes the complete aggregate after each micro-batch,
-                     joined to the titles there (the join sees one row per
-                     movie, never the raw ratings). Each batch overwrites the
-                     result, so a replayed batch after a failure rewrites the
-                     same table. Progress and state live in the shared
-                     checkpoint folder.
+  run_movie_stats    update mode: after each micro-batch only the movies whose
+                     state changed are written, one folder per batch
+                     (overwritten on replay); progress and state live in the
+                     shared checkpoint folder;
+  read_movie_stats   the latest state per movie, titled: the report.
 """
 
 from __future__ import annotations
@@ -53,29 +52,40 @@ def movie_state_stream(ratings: DataFrame) -> DataFrame:
 
 def run_movie_stats(
     state: DataFrame,
-    movies: DataFrame,
     out_path: str,
     checkpoint: str | None = None,
     available_now: bool = True,
-    digits: int = 2,
 ):
-    """Start the incremental per-movie report; returns the StreamingQuery.
+    """Start the incremental per-movie state; returns the StreamingQuery.
 
-    With `available_now` the query processes every file present and stops
-    (a catch-up run); otherwise it keeps running on new files."""
+    Update mode: each micro-batch emits only the movies whose running
+    (sum, count) changed, written to `out_path/batch_id=<n>` (overwrite, so
+    a replayed batch rewrites the same folder). Work per batch grows with
+    the keys touched, not with all keys seen so far. `read_movie_stats`
+    turns the folders into the report. With `available_now` the query
+    processes every file present and stops (a catch-up run); otherwise it
+    keeps running on new files."""
     spark = state.sparkSession
     checkpoint = checkpoint or scratch_path(spark, "stream-ckpt")
-    titles = unique_lookup(movies.select("movie_id", "title"), "movie_id")
 
-    def write_batch(batch: DataFrame, _batch_id: int) -> None:
-        named = attach(batch.filter(F.col("n_ratings") > 0), titles, "movie_id", "drop")
-        report = finish_mean(named, "rating_sum", "n_ratings", digits)
-        report.select("movie_id", "title", "avg_rating", "n_ratings").write.mode("overwrite").parquet(out_path)
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
     writer = (
-        state.writeStream.outputMode("complete")
+        state.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(write_batch)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()
+
+
+def read_movie_stats(spark: SparkSession, out_path: str, movies: DataFrame, digits: int = 2) -> DataFrame:
+    """The per-movie report from the batch folders: the latest state of each
+    movie (highest batch id), titled (movies without a title dropped)."""
+    changes = spark.read.parquet(out_path)
+    latest = unique_lookup(changes, "movie_id", order="batch_id").drop("batch_id")
+    titles = unique_lookup(movies.select("movie_id", "title"), "movie_id")
+    named = attach(latest.filter(F.col("n_ratings") > 0), titles, "movie_id", "drop")
+    report = finish_mean(named, "rating_sum", "n_ratings", digits)
+    return report.select("movie_id", "title", "avg_rating", "n_ratings")

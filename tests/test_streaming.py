@@ -8,7 +8,7 @@ import tempfile
 from conftest import rows
 
 from quarry.plans.files import RATINGS_SCHEMA
-from quarry.streaming import movie_state_stream, run_movie_stats, text_stream
+from quarry.streaming import movie_state_stream, read_movie_stats, run_movie_stats, text_stream
 
 
 def test_state_carries_across_runs(spark):
@@ -19,8 +19,8 @@ def test_state_carries_across_runs(spark):
 
     def run():
         stream = text_stream(spark, src, RATINGS_SCHEMA)
-        run_movie_stats(movie_state_stream(stream), movies, out, checkpoint=ckpt).awaitTermination()
-        return rows(spark.read.parquet(out))
+        run_movie_stats(movie_state_stream(stream), out, checkpoint=ckpt).awaitTermination()
+        return rows(read_movie_stats(spark, out, movies))
 
     with open(os.path.join(src, "a.txt"), "w") as fh:
         fh.write("1,10,4.0,0\n2,10,2.0,0\nbad,line\n")
@@ -28,3 +28,6 @@ def test_state_carries_across_runs(spark):
     with open(os.path.join(src, "b.txt"), "w") as fh:
         fh.write("3,10,5.0,0\n4,11,1.0,0\n5,99,1.0,0\n")
     assert run() == [(10, "Ten", 3.67, 3), (11, "Eleven", 1.0, 1)]
+    # the second batch wrote only the movies it touched
+    second = spark.read.parquet(out).filter("batch_id = 1")
+    assert sorted(r.movie_id for r in second.collect()) == [10, 11, 99]
