@@ -132,3 +132,10 @@ def test_settings_for_input_scale():
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (128 << 20)
     small = settings_for_input(10 << 20, executor_cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_parse_double_fail_mode(spark):
+    ok = one_col(spark, ["1.5", None, " 2 "])
+    assert [r[0] for r in ok.select(S.parse_double("x", on_bad="fail")).collect()] == [1.5, None, 2.0]
+    with pytest.raises(Exception):
+        one_col(spark, ["1e3"]).select(S.parse_double("x", on_bad="fail")).collect()

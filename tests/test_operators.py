@@ -143,3 +143,26 @@ def test_global_dense_rank_has_no_single_partition_window_over_rows(spark):
     # the only un-partitioned window runs over the per-partition counts
     assert "SinglePartition" not in plan or plan.count("Window") <= 1
     assert ranked.count() == 1000
+
+
+def test_broadcast_hints_keep_results(spark):
+    facts = spark.createDataFrame([(1, "the"), (2, "cat"), (3, None)], "k int, word string")
+    look = spark.createDataFrame([(1, "one")], "k int, name string")
+    assert rows(L.attach(facts, look, "k", "default", {"name": "-"}, broadcast=True), "k", "name") == [
+        (1, "one"), (2, "-"), (3, "-")]
+    terms = spark.createDataFrame([("the",)], "word string")
+    assert rows(L.exclude_terms(facts, terms, "word", broadcast=True), "k") == [(2,), (3,)]
+
+
+def test_best_of_n_and_ascending(spark):
+    df = spark.createDataFrame([(1, 3.0), (2, 1.0), (3, 2.0), (4, 1.0)], "k int, v double")
+    assert rows(A.best_of(df, "v", tie="k", n=2)) == [(1, 3.0), (3, 2.0)]
+    assert rows(A.best_of(df, "v", tie="k", ascending=True)) == [(2, 1.0)]
+
+
+def test_top_k_ascending_and_raw_mean(spark):
+    df = spark.createDataFrame([("g", "a", 3), ("g", "b", 1), ("g", "c", 2)], "g string, w string, n int")
+    assert rows(K.top_k_per_group(df, "g", "n", 2, tie="w", ascending=True), "w") == [("b",), ("c",)]
+    means = spark.createDataFrame([("x", 1.0), ("x", 2.0), ("x", 2.0)], "k string, v double")
+    raw = A.mean_count(means, "k", "v", digits=None).first()
+    assert abs(raw.avg_rating - 5.0 / 3.0) < 1e-12 and raw.n_ratings == 3
