@@ -31,10 +31,10 @@ TOKEN_COLUMNS = ("id", "word", "topic", "aspect", "sentiment")
 
 
 def explode_tokens(df: DataFrame, text: str = "review", out: str = "word", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per token of the cleaned text; null text gives no rows."""
-    pieces = review_tokens(text)
+    """One row per token of the cleaned text (with the `keep` columns of its
+    row); null text gives no rows."""
     df = spread_small_input(df)
-    return df.select(*keep[:1], F.explode(pieces).alias(out), *keep[1:]).filter(F.col(out) != "")
+    return df.select(*keep, F.explode(review_tokens(text)).alias(out)).filter(F.col(out) != "")
 
 
 def remove_stopwords(reviews: DataFrame, stopwords: DataFrame) -> DataFrame:
