@@ -154,13 +154,15 @@ def read_csv_table(
     header: bool = True,
     sampling_ratio: float = 1.0,
     mode: str = "PERMISSIVE",
+    infer: bool = True,
 ) -> DataFrame:
     """CSV with a header line. With `schema` nothing is inferred; without it
-    the types are inferred from a `sampling_ratio` share of the rows."""
+    the types are inferred from a `sampling_ratio` share of the rows, or
+    (`infer=False`) every column is read as text with no extra pass."""
     reader = spark.read.option("header", header).option("sep", sep).option("mode", mode)
     if schema is not None:
         reader = reader.schema(schema)
-    else:
+    elif infer:
         reader = reader.option("inferSchema", True).option("samplingRatio", sampling_ratio)
     return reader.csv(_paths(paths))
 
