@@ -123,3 +123,16 @@ def stream_movie_stats(spark: SparkSession, ratings_epoch: DataFrame, junk: Data
     query = run_movie_stats(movie_state_stream(text_stream(spark, source, RATINGS_SCHEMA)), out)
     query.awaitTermination()
     return read_movie_stats(spark, out, movies)
+
+
+def reference_files_movie_stats(spark: SparkSession, ratings_epoch: DataFrame, movies: DataFrame) -> DataFrame:
+    """The per-movie report computed the way a user of the reference would:
+    ratings and movies written in the reference's own text layouts, read
+    back with `quarry.sources.formats` (ids as text), then analysed."""
+    from quarry.plans.ratings import movie_rating_stats
+    from quarry.sources.formats import read_movies, read_ratings
+
+    ratings_path = write_ratings_text(spark, ratings_epoch)
+    movies_path = scratch_path(spark, "movies-text")
+    to_lines(movies.select("movie_id", "title", "genres"), ",").write.mode("overwrite").text(movies_path)
+    return movie_rating_stats(read_ratings(spark, ratings_path), read_movies(spark, movies_path))

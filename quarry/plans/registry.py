@@ -656,3 +656,13 @@ register(
            printf('[0-18: %s, 18-35: %s, 35-50: %s, 50+: %s]', {_p2('a1')}, {_p2('a2')}, {_p2('a3')}, {_p2('a4')}) AS line
     FROM w LEFT JOIN {_MT} m ON w.movie_id = m.movie_id""",
 )(lambda spark, d: ratings.age_report_lines(*_r(spark, d, "ratings", "users", "movies")))
+
+register(
+    "reference_files_movie_stats",
+    role_cte("ratings", "movies")
+    + f"""
+    SELECT CAST(r.movie_id AS VARCHAR) AS movie_id, m.title, {R('sum(r.rating) / count(r.rating)')} AS avg_rating,
+           count(r.rating) AS n_ratings
+    FROM ratings r JOIN {_MT} m ON r.movie_id = m.movie_id
+    GROUP BY r.movie_id, m.title HAVING count(r.rating) > 0""",
+)(lambda spark, d: files.reference_files_movie_stats(spark, _ratings_epoch(spark, d), role(spark, d, "movies")))
