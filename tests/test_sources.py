@@ -117,3 +117,22 @@ def test_split_limit_keeps_rest_of_line(spark):
     assert limited == [(1, "Heat", "The (1995),Action|Crime"), (2, "Up", "Animation")]
     full = rows(D.read_delimited(spark, path, schema, ","))
     assert full == [(1, "Heat", "The (1995)"), (2, "Up", "Animation")]
+
+
+def test_spread_small_input_only_for_few_files(spark):
+    import contextlib
+    import io
+
+    def plan(df):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        return buf.getvalue()
+
+    one = D.read_terms(spark, write_text(["a", "b", "c"]))
+    assert "RoundRobinPartitioning" in plan(D.spread_small_input(one))
+    folder = tempfile.mkdtemp(prefix="quarry-many-")
+    spark.range(0, 1000, numPartitions=12).selectExpr("CAST(id AS STRING) AS value").write.mode("overwrite").text(folder)
+    many = D.read_terms(spark, folder)
+    assert len(many.inputFiles()) >= 8
+    assert "RoundRobinPartitioning" not in plan(D.spread_small_input(many, min_files=8))
