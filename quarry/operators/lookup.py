@@ -1,8 +1,9 @@
 """Lookup joins: attach with drop/default semantics, de-duplicated lookups,
 anti joins for term lists.
 
-Broadcast policy: no operator here forces a broadcast of data-derived input.
-`broadcast=None` leaves the choice to the planner, which broadcasts a side
+Broadcast policy: data-derived input is broadcast only behind a size check.
+`skew_safe_lookup` counts the lookup and broadcasts it only under a row
+bound. `broadcast=None` leaves the choice to the planner, which broadcasts a side
 only when its estimated size is under `spark.sql.autoBroadcastJoinThreshold`
 and, under adaptive execution, re-checks the measured shuffle size against
 `spark.sql.adaptive.autoBroadcastJoinThreshold`; above either bound the join
