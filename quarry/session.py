@@ -32,6 +32,11 @@ PLAN_DEFAULTS: dict[str, str] = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # Streaming state off the JVM heap: per-key state of a large stream
+    # (one row per movie) is kept in RocksDB on local disk, checkpointed to
+    # the shared checkpoint folder.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
