@@ -80,15 +80,16 @@ def dense_rank_table(
     out: str,
     ascending: bool = False,
     num_partitions: int | None = None,
-    local_max_rows: int | None = LOCAL_RANK_MAX_ROWS,
+    local_max_rows: int | None = -1,
 ) -> DataFrame:
     """(`__v`, out): the dense rank of every distinct value of `by`, as
     `dense_rank() OVER (ORDER BY by)` gives it.
 
     Size check first: when `df` has at most `local_max_rows` rows (counted;
-    pass a materialised relation), its distinct values are ranked by one
-    window in one task and the (value, rank) table is small enough to
-    broadcast. Otherwise, without any single-partition window over rows:
+    pass a materialised relation; -1 means `LOCAL_RANK_MAX_ROWS`, None never),
+    its distinct values are ranked by one window in one task and the
+    (value, rank) table is small enough to broadcast. Otherwise, without any
+    single-partition window over rows:
 
     1. distinct values of `by` (shuffle by value, partial aggregation);
     2. range partitioning on the value + sort inside each partition; each
@@ -101,6 +102,8 @@ def dense_rank_table(
     4. rank = offset + position + 1.
     """
     spark = df.sparkSession
+    if local_max_rows == -1:
+        local_max_rows = LOCAL_RANK_MAX_ROWS
     order = _order("__v", ascending)
     values = df.select(F.col(by).alias("__v")).distinct()
     if local_max_rows is not None and df.count() <= local_max_rows:
@@ -142,7 +145,7 @@ def global_dense_rank(
     out: str,
     ascending: bool = False,
     num_partitions: int | None = None,
-    local_max_rows: int | None = LOCAL_RANK_MAX_ROWS,
+    local_max_rows: int | None = -1,
 ) -> DataFrame:
     """`df` with `out` = dense rank of `by` over the whole relation. `df` is
     read more than once (size check, values, rows): pass a materialised
