@@ -136,3 +136,13 @@ def test_spread_small_input_only_for_few_files(spark):
     many = D.read_terms(spark, folder)
     assert len(many.inputFiles()) >= 8
     assert "RoundRobinPartitioning" not in plan(D.spread_small_input(many, min_files=8))
+
+
+def test_multi_character_and_special_separators(spark):
+    ml = write_text(["1::F::1::10::48067", "2::M::56::16::70072"])
+    users = D.read_delimited(spark, ml, [("user_id", "int"), ("gender", "string"), ("age", "int")], "::")
+    assert rows(users) == [(1, "F", 1), (2, "M", 56)]
+    piped = write_text(["a|1", "b|x"])
+    assert rows(D.read_delimited(spark, piped, [("k", "string"), ("v", "int")], "|")) == [("a", 1)]
+    tabbed = write_text(["a\t 2 "])
+    assert rows(D.read_delimited(spark, tabbed, [("k", "string"), ("v", "int")], "\t")) == [("a", 2)]
