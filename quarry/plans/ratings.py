@@ -153,10 +153,13 @@ def genre_rating(
     return out.orderBy(F.desc("avg_rating"), "genre") if order else out
 
 
-def best_genre(ratings: DataFrame, movies: DataFrame, digits: int = 2) -> DataFrame:
-    """Genre with the highest (unrounded) mean; ties to the smallest name."""
+def best_genre(ratings: DataFrame, movies: DataFrame, digits: int = 2, rank_on: str = "raw") -> DataFrame:
+    """Genre with the highest mean; ties to the smallest name. rank_on='raw'
+    compares unrounded means, 'rounded' the means rounded to `digits` (two
+    genres equal after rounding then tie)."""
     stats = genre_rating(ratings, movies, digits, raw_name="avg_raw", order=False)
-    return best_of(stats, "avg_raw", tie="genre").select("genre", "avg_rating", "n_ratings")
+    key = "avg_raw" if rank_on == "raw" else "avg_rating"
+    return best_of(stats, key, tie="genre").select("genre", "avg_rating", "n_ratings")
 
 
 def genre_report_with_best(ratings: DataFrame, movies: DataFrame) -> DataFrame:

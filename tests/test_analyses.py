@@ -197,3 +197,12 @@ def test_duplicate_lookup_keys_do_not_multiply_ratings(spark):
     assert wide == [(10, 1, 1), (11, 1, 0)]  # user 1 counted once, as 'M' (the greatest)
     occ_rows = rows(R.occupation_rating(r, u, occ))
     assert sum(n for _, _, n in occ_rows) == 3
+
+
+def test_best_genre_raw_or_rounded(spark):
+    # B: 4.004 (rounds to 4.00), A: 4.0 -> raw picks B, rounded ties and picks A (smaller name)
+    data = [(u, 10, 4.0) for u in range(3)] + [(u, 11, 4.0) for u in range(249)] + [(999, 11, 5.0)]
+    r = ratings_df(spark, data)
+    m = movies_df(spark, [(10, "Ten", "A"), (11, "Eleven", "B")])
+    assert rows(R.best_genre(r, m), "genre") == [("B",)]
+    assert rows(R.best_genre(r, m, rank_on="rounded"), "genre") == [("A",)]
