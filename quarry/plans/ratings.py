@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import (
+    AGE_LABELS_LEFT,
+    AGE_LABELS_RIGHT,
     age_band,
     epoch_utc_year,
     fmt2,
@@ -66,7 +68,9 @@ UNKNOWN_GROUP = "Unknown"
 # ---------------------------------------------------------------------------
 
 GENDERS = {"male": "M", "female": "F"}
-AGE_BANDS_RIGHT = {"0_18": "0-18", "18_35": "18-35", "35_50": "35-50", "50p": "50+"}
+AGE_SUFFIXES = ("0_18", "18_35", "35_50", "50p")
+AGE_BANDS_RIGHT = dict(zip(AGE_SUFFIXES, AGE_LABELS_RIGHT))
+AGE_BANDS_LEFT = dict(zip(AGE_SUFFIXES, AGE_LABELS_LEFT))
 
 
 def _movie_id_title(prefix: str) -> Column:
@@ -226,7 +230,7 @@ def gender_report_with_gap(ratings: DataFrame, users: DataFrame, movies: DataFra
 def age_report_lines(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
     """(key, line): the four upper-inclusive age-band means per movie."""
     wide = movie_age_wide(ratings, users, movies)
-    return format_report(wide, "title", AGE_LINE, [f"avg_{s}" for s in AGE_BANDS_RIGHT])
+    return format_report(wide, "title", AGE_LINE, [f"avg_{s}" for s in AGE_SUFFIXES])
 
 
 def _rated_with(ratings: DataFrame, users: DataFrame, attr: Column, name: str, missing: str) -> DataFrame:
@@ -244,16 +248,23 @@ def movie_gender_wide(
     movies: DataFrame,
     digits: int = 2,
     raw: bool = False,
+    missing: str = "drop",
+    genders: dict[str, str] | None = None,
 ) -> DataFrame:
     """Per movie: male and female mean and count side by side (0.0 when a
-    side is empty). Ratings of unknown users are dropped; genders other than
-    M/F (compared case-insensitively) count for neither side but the movie
-    still appears."""
-    rated = _rated_with(ratings, users, F.upper(java_trim("gender")), "gender", "drop")
-    wide = mean_count_wide(rated, "movie_id", "gender", "rating", GENDERS, digits, 0.0, raw=raw)
+    side is empty). Ratings of unknown users are dropped (missing='drop') or
+    count for neither side (missing='default'); genders other than the
+    listed ones (compared case-insensitively, default M/F) count for neither
+    side but the movie still appears. `genders` maps a column suffix to a
+    gender value; the output columns then follow those suffixes."""
+    genders = genders or GENDERS
+    rated = _rated_with(ratings, users, F.upper(java_trim("gender")), "gender", missing)
+    wide = mean_count_wide(rated, "movie_id", "gender", "rating",
+                           {k: v.upper() for k, v in genders.items()}, digits, 0.0, raw=raw)
     named = attach(wide, _titles(movies), "movie_id", "default", {"title": _movie_id_title("MovieID:")})
-    extra = ["raw_avg_male", "raw_avg_female"] if raw else []
-    return named.select("movie_id", "title", "avg_male", "n_male", "avg_female", "n_female", *extra)
+    pairs = [c for g in genders for c in (f"avg_{g}", f"n_{g}")]
+    extra = [f"raw_avg_{g}" for g in genders] if raw else []
+    return named.select("movie_id", "title", *pairs, *extra)
 
 
 def biggest_gender_gap(ratings: DataFrame, users: DataFrame, movies: DataFrame, digits: int = 2) -> DataFrame:
@@ -264,32 +275,53 @@ def biggest_gender_gap(ratings: DataFrame, users: DataFrame, movies: DataFrame,
     return top.select("movie_id", "title", round_half_up("raw_gap", digits).alias("gap"))
 
 
-def movie_gender_long(ratings: DataFrame, users: DataFrame, movies: DataFrame, digits: int = 2) -> DataFrame:
+def movie_gender_long(
+    ratings: DataFrame, users: DataFrame, movies: DataFrame, digits: int = 2, missing: str = "default"
+) -> DataFrame:
     """One row per (movie, gender) with mean and count, ordered by movie id
-    (as text) and gender; ratings of unknown users form the group 'Unknown';
-    any gender value is its own group."""
-    rated = _rated_with(ratings, users, F.col("gender"), "gender", "default")
+    (as text) and gender; ratings of unknown users form the group 'Unknown'
+    (missing='default') or are dropped (missing='drop'); any gender value is
+    its own group."""
+    rated = _rated_with(ratings, users, F.col("gender"), "gender", missing)
     stats = mean_count(rated, ["movie_id", "gender"], "rating", digits)
     named = attach(stats, _titles(movies), "movie_id", "default", {"title": _movie_id_title("MovieID ")})
     out = named.select("movie_id", "title", "gender", "avg_rating", "n_ratings")
     return out.orderBy(F.col("movie_id").cast("string"), "gender")
 
 
-def movie_age_wide(ratings: DataFrame, users: DataFrame, movies: DataFrame, digits: int = 2) -> DataFrame:
-    """Per movie: mean rating in each upper-inclusive age band (0.0 when
-    empty). Users without a usable age and their ratings are dropped."""
+def movie_age_wide(
+    ratings: DataFrame,
+    users: DataFrame,
+    movies: DataFrame,
+    digits: int = 2,
+    closed: str = "right",
+    missing: str = "drop",
+) -> DataFrame:
+    """Per movie: mean rating in each age band (0.0 when empty); bands are
+    upper-inclusive (closed='right') or lower-inclusive ('left'). Users
+    without a usable age are left out of the lookup; ratings of users not in
+    it are dropped (missing='drop') or count for no band ('default')."""
     banded_users = users.filter(F.col("age").isNotNull())
-    rated = _rated_with(ratings, banded_users, age_band("age", "right"), "age_group", "drop")
-    wide = mean_count_wide(rated, "movie_id", "age_group", "rating", AGE_BANDS_RIGHT, digits, 0.0, with_counts=False)
+    bands = AGE_BANDS_RIGHT if closed == "right" else AGE_BANDS_LEFT
+    rated = _rated_with(ratings, banded_users, age_band("age", closed), "age_group", missing)
+    wide = mean_count_wide(rated, "movie_id", "age_group", "rating", bands, digits, 0.0, with_counts=False)
     named = attach(wide, _titles(movies), "movie_id", "default", {"title": _movie_id_title("MovieID:")})
-    return named.select("movie_id", "title", *[f"avg_{s}" for s in AGE_BANDS_RIGHT])
+    return named.select("movie_id", "title", *[f"avg_{s}" for s in AGE_SUFFIXES])
 
 
-def movie_age_long(ratings: DataFrame, users: DataFrame, movies: DataFrame, digits: int = 2) -> DataFrame:
-    """One row per (movie, lower-inclusive age band); unknown users (and
-    users without an age) form the group 'Unknown'."""
-    band = F.coalesce(age_band("age", "left"), F.lit(UNKNOWN_GROUP))
-    rated = _rated_with(ratings, users, band, "age_group", "default")
+def movie_age_long(
+    ratings: DataFrame,
+    users: DataFrame,
+    movies: DataFrame,
+    digits: int = 2,
+    closed: str = "left",
+    missing: str = "default",
+) -> DataFrame:
+    """One row per (movie, age band), bands lower-inclusive (closed='left')
+    or upper-inclusive ('right'); unknown users (and users without an age)
+    form the group 'Unknown' (missing='default') or are dropped ('drop')."""
+    band = F.coalesce(age_band("age", closed), F.lit(UNKNOWN_GROUP))
+    rated = _rated_with(ratings, users, band, "age_group", missing)
     stats = mean_count(rated, ["movie_id", "age_group"], "rating", digits)
     named = attach(stats, _titles(movies), "movie_id", "default", {"title": _movie_id_title("MovieID ")})
     out = named.select("movie_id", "title", "age_group", "avg_rating", "n_ratings")

@@ -206,3 +206,18 @@ def test_best_genre_raw_or_rounded(spark):
     m = movies_df(spark, [(10, "Ten", "A"), (11, "Eleven", "B")])
     assert rows(R.best_genre(r, m), "genre") == [("B",)]
     assert rows(R.best_genre(r, m, rank_on="rounded"), "genre") == [("A",)]
+
+
+def test_semantic_parameters(spark):
+    r = ratings_df(spark, [(1, 10, 4.0), (2, 10, 2.0), (9, 10, 5.0)])
+    u = users_df(spark, [(1, "M", 18, 1), (2, "f", 35, 1)])
+    m = movies_df(spark, [(10, "Ten", "A")])
+    # unknown user 9 kept in the long form by default, dropped on request
+    assert ("Unknown",) in rows(R.movie_gender_long(r, u, m), "gender")
+    assert ("Unknown",) not in rows(R.movie_gender_long(r, u, m, missing="drop"), "gender")
+    # wide gender with its own value list
+    wide = R.movie_gender_wide(r, u, m, genders={"f": "F"})
+    assert wide.columns == ["movie_id", "title", "avg_f", "n_f"] and rows(wide, "avg_f") == [(2.0,)]
+    # the same ages banded both ways in both shapes
+    assert rows(R.movie_age_wide(r, u, m, closed="left"), "avg_0_18", "avg_18_35", "avg_35_50") == [(0.0, 4.0, 2.0)]
+    assert rows(R.movie_age_long(r, u, m, closed="right", missing="drop"), "age_group") == [("0-18",), ("18-35",)]
