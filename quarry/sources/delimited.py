@@ -101,12 +101,18 @@ def split_fields(
     if on_bad == "null":
         return out
     # A good line has every required field, and each typed one parsed (or
-    # null as written). The check reads the parsed columns; for a good line
-    # it stops at the first test of each field.
+    # null as written). The flag is computed in the same projection as the
+    # values, so the line is split, trimmed and cast once. The filter also
+    # reads the (always true) partition-id test: a projection holding a
+    # nondeterministic column is not merged into the filter, which would
+    # otherwise evaluate the whole parse a second time.
     keep = ~short
     for n in typed_required:
         keep = keep & (values[n].isNotNull() | raws[n].isNull())
-    return lines.filter(keep).select(*[values[n].alias(n) for n in names])
+    parsed = lines.select(
+        *[values[n].alias(n) for n in names], keep.alias("__keep"), F.spark_partition_id().alias("__part")
+    )
+    return parsed.filter(F.col("__keep") & (F.col("__part") >= 0)).select(*names)
 
 
 def read_delimited(
