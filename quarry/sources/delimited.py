@@ -94,9 +94,13 @@ def split_fields(
         reason = F.when(short, F.lit("too few fields"))
         for n in typed_required:
             reason = reason.when(values[n].isNull() & raws[n].isNotNull(), F.lit(f"unparsable {n}"))
-        return lines.select(
-            *[values[n].alias(n) for n in names], reason.alias("reject_reason"), F.col(text_col).alias("line")
+        parsed = lines.select(
+            *[values[n].alias(n) for n in names], reason.alias("reject_reason"), F.col(text_col).alias("line"),
+            F.spark_partition_id().alias("__part"),
         )
+        # A filter on the reason added later combines with this one and stays
+        # above the projection (see the note below), so the parse runs once.
+        return parsed.filter(F.col("__part") >= 0).drop("__part")
     out = lines.select(*[values[n].alias(n) for n in names])
     if on_bad == "null":
         return out
