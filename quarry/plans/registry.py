@@ -429,16 +429,21 @@ register(
     "\n    UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in _SHOP_TABLES),
 )(lambda spark, d: commerce.table_row_counts({t: roles.table(spark, d, t) for t in _SHOP_TABLES}))
 
+def _columns_of(name: str) -> list[str]:
+    return [part.strip().split(" ")[0] for part in roles.TABLE_SCHEMAS[name].split(",")]
+
+
+_PROFILED = _SHOP_TABLES + ("documents", "labels")
+
 register(
     "table_profile",
     "\n    UNION ALL ".join(
         f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS n_rows, "
-        f"(SELECT count(*) FROM information_schema.columns WHERE table_name = '{t}') AS n_columns, "
-        f"(SELECT string_agg(column_name, ',' ORDER BY ordinal_position) FROM information_schema.columns "
-        f"WHERE table_name = '{t}') AS column_names"
-        for t in _SHOP_TABLES + ("documents", "labels")
+        f"CAST({len(_columns_of(t))} AS BIGINT) AS n_columns, '{','.join(_columns_of(t))}' AS column_names"
+        for t in _PROFILED
     ),
-)(lambda spark, d: commerce.table_profile({t: roles.table(spark, d, t) for t in _SHOP_TABLES + ("documents", "labels")}))
+)(lambda spark, d: commerce.table_profile({t: roles.table(spark, d, t) for t in _PROFILED}))
+
 
 register(
     "summary_metrics",
