@@ -8,7 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import exact_dedup
+from quarry.llm import exact_dedup, warc
+from quarry.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,11 +20,30 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archive")
+    warc.write_archive(table(spark, sf_dir, "pages"), path)
+    return warc.page_digests(warc.read_archive(spark, path))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_warc": op6_warc,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
 ORACLE: dict[str, str] = {
+    "op6_warc": """
+        WITH payloads AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        firsts AS (
+            SELECT payload_digest, min(page_id) AS first_id FROM payloads
+            WHERE payload_bytes >= 100 GROUP BY payload_digest)
+        SELECT page_id, payload_bytes, p.payload_digest,
+               CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+        FROM payloads p LEFT JOIN firsts f ON p.payload_digest = f.payload_digest AND payload_bytes >= 100""",
     "op9_exact_dedup": r"""
         WITH rows AS (
             SELECT doc_id, length(coalesce(text, '')) AS points,
