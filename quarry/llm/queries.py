@@ -7,8 +7,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.llm import exact_dedup, warc
+from quarry.llm import exact_dedup, quality, warc
+from quarry.llm.common import held_out
 from quarry.session import scratch_path
 
 
@@ -20,6 +22,16 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
+    return docs.select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        quality.quality_score(model, F.col("text")).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "archive")
     warc.write_archive(table(spark, sf_dir, "pages"), path)
@@ -27,6 +39,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op6_warc": op6_warc,
     "op9_exact_dedup": op9_exact_dedup,
 }
