@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import exact_dedup, quality, warc
-from quarry.llm.common import held_out
+from quarry.llm import exact_dedup, packing, quality, warc
+from quarry.llm.common import held_out, staged
 from quarry.session import scratch_path
 
 
@@ -32,6 +32,23 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def packed_digests(docs: DataFrame) -> DataFrame:
+    """Packed pieces with the CRC of their ids in place of the ids."""
+    pieces = packing.cut_documents(docs, tokenizer_path())
+    narrow = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(staged(narrow, "pieces"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_digests(table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "archive")
     warc.write_archive(table(spark, sf_dir, "pages"), path)
@@ -40,6 +57,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op5_packing": op5_packing,
     "op6_warc": op6_warc,
     "op9_exact_dedup": op9_exact_dedup,
 }
