@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import exact_dedup, packing, quality, warc
+from quarry.llm import exact_dedup, packing, quality, substring_dedup, warc
 from quarry.llm.common import held_out, staged
 from quarry.session import scratch_path
 
@@ -18,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op5_packing": op5_packing,
     "op6_warc": op6_warc,
+    "op7_substring_dedup": op7_substring_dedup,
     "op9_exact_dedup": op9_exact_dedup,
 }
 

@@ -148,3 +148,14 @@ def shingle_sets(words: Words, size: int = 5) -> list[np.ndarray]:
         else:
             out.append(np.zeros(0, np.uint64))
     return out
+
+
+def portions(batch: pa.RecordBatch, text_index: int, most: int = 8 << 20) -> list[pa.RecordBatch]:
+    """The batch cut into runs of rows with about `most` bytes of text each, so
+    that the arrays made from one run stay small; a longer text is its own run."""
+    _, at = text_buffer(batch.column(text_index))
+    cuts = [0]
+    while cuts[-1] < batch.num_rows:
+        stop = int(np.searchsorted(at, at[cuts[-1]] + most, "right")) - 1
+        cuts.append(min(max(stop, cuts[-1] + 1), batch.num_rows))
+    return [batch.slice(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
