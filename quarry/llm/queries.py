@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import exact_dedup, packing, quality, substring_dedup, warc
+from quarry.llm import decontamination, exact_dedup, packing, quality, substring_dedup, warc
 from quarry.llm.common import held_out, staged
 from quarry.session import scratch_path
 
@@ -60,12 +60,18 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_digests(warc.read_archive(spark, path))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_shingles", "n_shared")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op5_packing": op5_packing,
     "op6_warc": op6_warc,
     "op7_substring_dedup": op7_substring_dedup,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE: dict[str, str] = {
@@ -93,4 +99,20 @@ ORACLE: dict[str, str] = {
             FROM rows)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256
         FROM ranked""",
+    "op10_decontamination": r"""
+        WITH words AS (
+            SELECT 0 AS kind, doc_id AS id,
+                   regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+            UNION ALL
+            SELECT 1, item_id,
+                   regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+')
+            FROM benchmark),
+        shingles AS (
+            SELECT DISTINCT kind, id, array_to_string(w[i:i + 4], ' ') AS s
+            FROM (SELECT kind, id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+        items AS (SELECT id, s, count(*) OVER (PARTITION BY id) AS n FROM shingles WHERE kind = 1)
+        SELECT d.id AS doc_id, i.id AS item_id, any_value(i.n)::INT AS n_shingles, count(*)::INT AS n_shared
+        FROM shingles d JOIN items i ON d.s = i.s AND d.kind = 0
+        GROUP BY d.id, i.id HAVING count(*) * 4 >= any_value(i.n) * 3""",
 }
