@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontamination, exact_dedup, packing, quality, substring_dedup, warc
+from quarry.llm import decontamination, exact_dedup, jaccard_join, packing, quality, substring_dedup, warc
 from quarry.llm.common import held_out, staged
 from quarry.session import scratch_path
 
@@ -37,6 +37,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.similarity_classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -67,6 +72,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op3_jaccard_join": op3_jaccard_join,
     "op5_packing": op5_packing,
     "op6_warc": op6_warc,
     "op7_substring_dedup": op7_substring_dedup,
@@ -75,6 +81,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_jaccard_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        links AS (
+            SELECT a.doc_id AS x, b.doc_id AS y
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+            JOIN sizes p ON p.doc_id = a.doc_id JOIN sizes q ON q.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id, p.n, q.n
+            HAVING 100 * count(*) >= 75 * (p.n + q.n - count(*))),
+        reach AS (
+            SELECT doc_id AS x, doc_id AS r FROM documents
+            UNION
+            SELECT links.y, reach.r FROM reach JOIN links ON links.x = reach.x)
+        SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
+        FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+        JOIN (SELECT x, min(r) AS component_id FROM reach GROUP BY x) r ON r.x = d.doc_id""",
     "op6_warc": """
         WITH payloads AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
