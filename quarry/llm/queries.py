@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontamination, exact_dedup, jaccard_join, packing, quality, substring_dedup, warc
+from quarry.llm import decontamination, exact_dedup, jaccard_join, packing, quality, substring_dedup, toxicity, warc
 from quarry.llm.common import held_out, staged
 from quarry.session import scratch_path
 
@@ -37,6 +37,16 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return docs.select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        toxicity.toxicity_score(model, F.col("text")).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_join.similarity_classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
@@ -72,6 +82,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_toxicity": op2_toxicity,
     "op3_jaccard_join": op3_jaccard_join,
     "op5_packing": op5_packing,
     "op6_warc": op6_warc,

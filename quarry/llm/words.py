@@ -9,6 +9,8 @@ different words or shingles share a hash with a chance of about 2**-58.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
 
@@ -108,6 +110,48 @@ class Words:
         data, starts, ends = self.data, self.starts, self.ends
         return b" ".join([data[starts[i] : ends[i]].tobytes() for i in range(a, b)])
 
+    @cached_property
+    def _bytes(self) -> bytes:
+        return self.data.tobytes()
+
+    def strings(self, at: np.ndarray) -> list[str]:
+        """The words at the given positions."""
+        data = self._bytes
+        spans = zip(self.starts[at].tolist(), self.ends[at].tolist(), strict=True)
+        return [data[a:b].decode() for a, b in spans]
+
+
+def distinct_words(words: Words) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """The distinct hashes of a batch's words, for each word the index of its
+    hash among them, and for each of them the position of its first word."""
+    coded = pa.array(words.hashes).dictionary_encode()
+    which = coded.indices.to_numpy()
+    first = np.empty(len(coded.dictionary), dtype=np.int64)
+    first[which[::-1]] = np.arange(len(which) - 1, -1, -1)
+    return coded.dictionary.to_pylist(), which, first
+
+
+class Generations:
+    """Remembered values in bounded memory: when `most` are held they become
+    the old generation, and those still asked for are taken over from there."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def find(self, keys: list) -> list:
+        """The value of each key, None where it is not known."""
+        found = list(map(self.young.get, keys))
+        if self.old:
+            for i, value in enumerate(found):
+                if value is None and (value := self.old.get(keys[i])) is not None:
+                    found[i] = self.young[keys[i]] = value
+        return found
+
+    def add(self, keys, values) -> None:
+        if len(self.young) >= self.most:
+            self.old, self.young = self.young, {}
+        self.young.update(zip(keys, values, strict=True))
+
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hash of every `size` consecutive words, by position of the first; the
@@ -150,12 +194,18 @@ def shingle_sets(words: Words, size: int = 5) -> list[np.ndarray]:
     return out
 
 
-def portions(batch: pa.RecordBatch, text_index: int, most: int = 8 << 20) -> list[pa.RecordBatch]:
-    """The batch cut into runs of rows with about `most` bytes of text each, so
-    that the arrays made from one run stay small; a longer text is its own run."""
-    _, at = text_buffer(batch.column(text_index))
+def parts(column: pa.Array, most: int) -> list[tuple[int, int]]:
+    """Row ranges of the column with about `most` bytes of text each; a longer
+    text is a range of its own."""
+    _, at = text_buffer(column)
     cuts = [0]
-    while cuts[-1] < batch.num_rows:
+    while cuts[-1] < len(column):
         stop = int(np.searchsorted(at, at[cuts[-1]] + most, "right")) - 1
-        cuts.append(min(max(stop, cuts[-1] + 1), batch.num_rows))
-    return [batch.slice(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        cuts.append(min(max(stop, cuts[-1] + 1), len(column)))
+    return list(zip(cuts[:-1], cuts[1:], strict=True))
+
+
+def portions(batch: pa.RecordBatch, text_index: int, most: int = 4 << 20) -> list[pa.RecordBatch]:
+    """The batch cut into such ranges of rows, so that the arrays made from one
+    stay small."""
+    return [batch.slice(a, b - a) for a, b in parts(batch.column(text_index), most)]
