@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontamination, exact_dedup, jaccard_join, packing, quality, substring_dedup, toxicity, warc
+from quarry.llm import decontamination, exact_dedup, jaccard_join, line_dedup, packing, quality, substring_dedup, toxicity, warc
 from quarry.llm.common import held_out, staged
 from quarry.session import scratch_path
 
@@ -52,6 +52,11 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.remove_repeated_chunks(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_line_dedup": op4_line_dedup,
     "op5_packing": op5_packing,
     "op6_warc": op6_warc,
     "op7_substring_dedup": op7_substring_dedup,
@@ -114,6 +120,35 @@ ORACLE: dict[str, str] = {
         SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
         FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
         JOIN (SELECT x, min(r) AS component_id FROM reach GROUP BY x) r ON r.x = d.doc_id""",
+    "op4_line_dedup": r"""
+        WITH lines AS (
+            SELECT doc_id, i - 1 AS i, l[i] AS line, i = len(l) AS is_last
+            FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i
+                  FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE coalesce(text, '') <> ''))),
+        hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h FROM lines),
+        ends AS (
+            SELECT *, is_last OR ((coalesce(lag(h) OVER d, 0) * 65599 + h) % 2147483647) % 3 = 0 AS stops
+            FROM hashed WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+        numbered AS (
+            SELECT *, coalesce(sum(stops::INT) OVER (PARTITION BY doc_id ORDER BY i
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c
+            FROM ends),
+        chunks AS (
+            SELECT doc_id, c, min(i) AS start, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body
+            FROM numbered GROUP BY doc_id, c),
+        gone AS (
+            SELECT doc_id, c, n FROM (
+                SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, start) AS nth
+                FROM chunks WHERE n > 1 AND regexp_matches(body, '[^\x20\x09-\x0D]'))
+            WHERE nth > 1),
+        kept AS (
+            SELECT k.doc_id, count(*) AS n_lines, count(g.c) AS n_removed,
+                   coalesce(string_agg(k.line, chr(10) ORDER BY k.i) FILTER (g.c IS NULL), '') AS body
+            FROM numbered k LEFT JOIN gone g ON g.doc_id = k.doc_id AND g.c = k.c
+            GROUP BY k.doc_id)
+        SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(k.body, '')) AS kept_sha256
+        FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id""",
     "op6_warc": """
         WITH payloads AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
