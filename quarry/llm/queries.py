@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontamination, exact_dedup, jaccard_join, line_dedup, packing, quality, substring_dedup, toxicity, warc
+from quarry.llm import decontamination, exact_dedup, jaccard_join, license_scan, line_dedup, packing, quality, substring_dedup, toxicity, warc
 from quarry.llm.common import held_out, staged
 from quarry.session import scratch_path
 
@@ -23,6 +23,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
@@ -93,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_warc": op6_warc,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_license_scan": op8_license_scan,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontamination": op10_decontamination,
 }

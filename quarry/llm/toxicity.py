@@ -273,7 +273,7 @@ def fit_toxicity(
     return ToxicityModel(lexicon, fit_logistic(x[order], y[order]))
 
 
-def _parts(column: pa.Array) -> list[pa.Array]:
+def row_parts(column: pa.Array) -> list[pa.Array]:
     return [column.slice(a, b - a) for a, b in parts(column, 4 << 20)]
 
 
@@ -282,7 +282,7 @@ def _features(lexicon: Lexicon):
     def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hits = Hits(lexicon)
         for batch in batches:
-            rows = [r for part in _parts(batch) for r in hits.features(part).tolist()]
+            rows = [r for part in row_parts(batch) for r in hits.features(part).tolist()]
             yield pa.array(rows, pa.list_(pa.float64()))
 
     return features
@@ -296,7 +296,7 @@ def toxicity_score(model: ToxicityModel, text: Column) -> Column:
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hits = Hits(lexicon)
         for batch in batches:
-            rows = [calibration(hits.features(part)) for part in _parts(batch)]
+            rows = [calibration(hits.features(part)) for part in row_parts(batch)]
             yield pa.array(np.concatenate(rows) if rows else np.zeros(0))
 
     return score(F.coalesce(text, F.lit("")))
