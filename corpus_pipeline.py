@@ -2,15 +2,32 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before
 it kept; `run` writes each stage's result as Parquet to the shared checkpoint
-folder and reads it back as the next stage's docs.
+folder and reads it back as the next stage's docs. All stages but the last
+return the columns of documents.
+
+The stages inherit the defined cases of the operators they call (nulls, empty
+and very long texts, ties, repeated rows, empty tables, clashing names). Tables
+that a stage needs besides its docs (labels, benchmark) are read from sf_dir.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.llm import exact_dedup
+from quarry.llm import decontamination, exact_dedup, jaccard_join, quality
 from quarry.llm.common import staged
+from quarry.llm.queries import packed_digests, table
+
+# A document is rejected when its quality score is below this.
+LEAST_QUALITY = 0.3
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression classifier rejects go."""
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
+    rows = docs.select(F.struct("*").alias("row"), quality.quality_score(model, F.col("text")).alias("score"))
+    return rows.where(F.col("score") >= LEAST_QUALITY).select("row.*")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,8 +35,27 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return exact_dedup.drop_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return jaccard_join.drop_near_copies(docs)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item go."""
+    return decontamination.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the remaining documents, packed into sequences."""
+    return packed_digests(docs)
+
+
 STAGES = [
+    ("quality_filter", quality_filter),
     ("exact_dedup", drop_exact_copies),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_benchmark_leaks),
+    ("packing", pack),
 ]
 
 # No SQL: the classifier and the packing plan are not expressible in it.
@@ -28,7 +64,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`; the last one's rows."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -54,6 +54,7 @@ from quarry.llm.words import Words, portions, shingle_sets
 SHINGLE = 5
 # The threshold 0.75 as 3 / 4, and as 3 / 7 of the sum of the sizes.
 CELLS = 20  # bits: a million cells count the shingles
+_LAST_ID = 9223372036854775807
 _BLOCK = math.log(1.34)  # sizes of linked sets differ by 4 / 3 at most, so blocks by one
 
 
@@ -89,11 +90,13 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int, index: int) -> Iterator[
 
 
 def _members(size: int):
-    """Rows of documents (doc_id, n_shingles, class), and one row of cell counts."""
+    """Rows of documents (doc_id, key, n_shingles, class), and one row of cell counts."""
+
+    names = ["doc_id", "key", "n_shingles", "class", "counts"]
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << CELLS, dtype=np.int64)
-        for part, sets in _sets(batches, size, 1):
+        for part, sets in _sets(batches, size, 2):
             if sets:
                 cells = (np.concatenate(sets) >> np.uint64(64 - CELLS)).astype(np.int64)
                 counts += np.bincount(cells, minlength=1 << CELLS)
@@ -101,16 +104,16 @@ def _members(size: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0),
+                    part.column(1),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([class_of(s) for s in sets], pa.int64()),
                     pa.nulls(n, pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "class", "counts"],
+                names,
             )
         packed = zstandard.compress(counts.tobytes(), 1)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([packed], pa.binary())],
-            ["doc_id", "n_shingles", "class", "counts"],
+            [*(pa.nulls(1, pa.int64()) for _ in names[:-1]), pa.array([packed], pa.binary())], names
         )
 
     return members
@@ -267,16 +270,18 @@ def _index_lists(texts: DataFrame, size: int, levels) -> DataFrame:
     return staged(near.join(lists.drop("list"), ["key", "block"]), "index-lists")
 
 
-def similarity_classes(
-    docs: DataFrame, size: int = SHINGLE, rounds: int = 2, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """doc_id, n_shingles, component_id, component_size per row: its number of
-    shingles, the smallest id it reaches, itself included, and the number of
-    rows in its component."""
+def _row_key(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.col(id_col), text_or_empty(text_col))
+
+
+def _named_members(docs: DataFrame, size: int, rounds: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, key, n_shingles, class, component (a class) of every row."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("body"))
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), _row_key(id_col, text_col).alias("key"), text_or_empty(text_col).alias("body")
+    )
     read = staged(
-        rows.mapInArrow(_members(size), "doc_id long, n_shingles long, class long, counts binary"), "members"
+        rows.mapInArrow(_members(size), "doc_id long, key long, n_shingles long, class long, counts binary"), "members"
     )
     counts = (
         read.where(F.col("counts").isNotNull())
@@ -330,14 +335,31 @@ def similarity_classes(
     named = members.join(components.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class")
     )
-    named = staged(named, "named-members")
-    with_words = named.where("n_shingles > 0")
-    smallest = staged(
-        with_words.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("n")),
+    return staged(named, "named-members")
+
+
+def _smallest(with_words: DataFrame) -> DataFrame:
+    """component, component_id (smallest id), keep (key of one row that has
+    it) and size of each component."""
+    order = F.coalesce("doc_id", F.lit(_LAST_ID))
+    return staged(
+        with_words.groupBy("component").agg(
+            F.min("doc_id").alias("component_id"), F.min_by("key", order).alias("keep"), F.count(F.lit(1)).alias("n")
+        ),
         "smallest",
     )
+
+
+def similarity_classes(
+    docs: DataFrame, size: int = SHINGLE, rounds: int = 2, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """doc_id, n_shingles, component_id, component_size per row: its number of
+    shingles, the smallest id it reaches, itself included, and the number of
+    rows in its component."""
+    named = _named_members(docs, size, rounds, id_col, text_col)
+    with_words = named.where("n_shingles > 0")
     return (
-        with_words.join(smallest, "component")
+        with_words.join(_smallest(with_words), "component")
         .select("doc_id", "n_shingles", "component_id", F.col("n").alias("component_size"))
         .unionByName(
             named.where("n_shingles = 0").select(
@@ -345,3 +367,23 @@ def similarity_classes(
             )
         )
     )
+
+
+def drop_near_copies(
+    docs: DataFrame, size: int = SHINGLE, rounds: int = 2, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of `docs` without near copies, with all their columns: of each
+    component the row with the smallest id stays, and all texts without words."""
+    with_words = _named_members(docs, size, rounds, id_col, text_col).where("n_shingles > 0")
+    gone = (
+        with_words.join(_smallest(with_words), "component")
+        .where(F.col("key") != F.col("keep"))
+        .select("key", "doc_id")
+        .distinct()
+    )
+    gone = staged(gone, "near-copies").withColumnRenamed("doc_id", "gone_id").withColumnRenamed("key", "gone_key")
+    rows = docs.select(
+        F.struct("*").alias("row"), _row_key(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("doc_id")
+    )
+    same = (F.col("key") == F.col("gone_key")) & F.col("doc_id").eqNullSafe(F.col("gone_id"))
+    return rows.join(gone, same, "left_anti").select("row.*")
