@@ -33,6 +33,10 @@ def normalised(column: str) -> Column:
     return F.regexp_replace(text_or_empty(column), SPACE_CLASS + "+", "")
 
 
+def content_hash(body: Column) -> Column:
+    return F.unhex(F.md5(body))
+
+
 def _digests(df: DataFrame, id_col: str, text_col: str, *kept: Column) -> DataFrame:
     return df.select(
         *kept,
@@ -44,7 +48,7 @@ def _digests(df: DataFrame, id_col: str, text_col: str, *kept: Column) -> DataFr
         "id",
         "points",
         "body",
-        F.unhex(F.md5("body")).alias("hash"),
+        content_hash(F.col("body")).alias("hash"),
     )
 
 
