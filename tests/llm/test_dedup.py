@@ -1,0 +1,105 @@
+"""Exact, near, line and substring dedup against brute force on odd input."""
+
+from __future__ import annotations
+
+import brute
+
+from quarry.llm import exact_dedup, jaccard_join, line_dedup, substring_dedup
+
+
+def found(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+
+
+def expected(rows):
+    return sorted(rows, key=repr)
+
+
+def test_exact_marks(odd, odd_docs):
+    marks = exact_dedup.mark_copies(odd_docs)
+    got = found(marks, "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    assert got == expected(brute.exact_copies(odd))
+
+
+def test_exact_drop_keeps_all_columns(odd, odd_docs):
+    kept = exact_dedup.drop_copies(odd_docs)
+    assert kept.columns == odd_docs.columns
+    marks = brute.exact_copies(odd)
+    assert found(kept, "doc_id", "text") == expected(
+        [row for row, mark in zip(odd, marks, strict=True) if mark[3]]
+    )
+
+
+def test_exact_compares_bytes(spark, monkeypatch):
+    """Texts that collide in the hash are told apart by their bytes."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(exact_dedup, "content_hash", lambda body: F.unhex(F.md5(F.lit("same"))))
+    rows = [(1, "a"), (2, "b"), (3, "a ")]
+    marks = exact_dedup.mark_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert found(marks, "doc_id", "keep_id", "group_size") == [(1, 3, 2), (2, 2, 1), (3, 3, 2)]
+
+
+def test_near_components(odd, odd_docs):
+    got = found(jaccard_join.similarity_classes(odd_docs), "doc_id", "n_shingles", "component_id")
+    assert got == expected(brute.near_components(odd))
+
+
+def test_near_threshold_is_exact(spark):
+    """Sets of 6 and 8 shingles that share 6 link (6 / 8); 5 of 7 do not."""
+    eight = [f"w{i}" for i in range(12)]
+    rows = [(1, " ".join(eight)), (2, " ".join(eight[:10])), (3, "v " + " ".join(eight[:9]) + " u")]
+    classes = jaccard_join.similarity_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert found(classes, "doc_id", "n_shingles", "component_id") == expected(brute.near_components(rows))
+
+
+def test_near_drop(odd, odd_docs):
+    kept = jaccard_join.drop_near_copies(odd_docs)
+    assert kept.columns == odd_docs.columns
+    ids = [r.doc_id for r in kept.collect()]
+    components = brute.near_components(odd)
+    for doc_id, n, component in components:
+        if n and component is not None:
+            assert component in ids
+        if not n:
+            assert doc_id in ids
+    single = {c for _, n, c in components if n and c is not None}
+    words = {d for d, n, _ in components if n}
+    assert {i for i in ids if i in words and i is not None} <= single | {11}
+
+
+def test_line_chunks(odd, odd_docs):
+    got = found(line_dedup.remove_repeated_chunks(odd_docs), "doc_id", "n_lines", "n_removed", "kept")
+    assert got == expected(brute.lines_removed(odd))
+    assert any(r[2] for r in got)
+
+
+def test_substring(odd, odd_docs):
+    got = substring_dedup.remove_repeats(odd_docs)
+    rows = [(r.doc_id, r.n_words, r.n_removed, bytes(r.kept).decode()) for r in got.collect()]
+    assert expected(rows) == expected(brute.repeats_removed(odd, 50))
+    assert any(r[2] for r in rows)
+
+
+def test_substring_short_windows(spark):
+    rows = [(3, "a b c d e f"), (1, "z b c d e y a b c"), (2, "b c d e"), (9, "b c d b c d b c d")]
+    got = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), size=3, anchor=2)
+    assert expected([(r.doc_id, r.n_words, r.n_removed, bytes(r.kept).decode()) for r in got.collect()]) == expected(
+        brute.repeats_removed(rows, 3)
+    )
+
+
+def test_removal_intervals_are_maximal():
+    import numpy as np
+
+    starts, counts = np.array([2, 5, 20]), np.array([1, 2, 1])
+    assert substring_dedup.removal_intervals(starts, counts, 4, 30) == [(2, 10), (20, 24)]
+
+
+def test_no_rows(no_docs):
+    assert exact_dedup.mark_copies(no_docs).count() == 0
+    assert exact_dedup.drop_copies(no_docs).count() == 0
+    assert jaccard_join.similarity_classes(no_docs).count() == 0
+    assert jaccard_join.drop_near_copies(no_docs).count() == 0
+    assert line_dedup.remove_repeated_chunks(no_docs).count() == 0
+    assert substring_dedup.remove_repeats(no_docs).count() == 0
