@@ -5,11 +5,9 @@ from quarry.functions.scalar import (  # noqa: F401
     AGE_LABELS_RIGHT,
     age_band,
     bag_to_string,
-    clean_review_text,
     days_between,
     epoch_utc_year,
     fmt2,
-    is_plain_int,
     java_trim,
     money_to_double,
     normalize_label,
@@ -19,6 +17,5 @@ from quarry.functions.scalar import (  # noqa: F401
     round_half_up,
     split_list,
     to_epoch_seconds,
-    tokenize,
     year_range,
 )

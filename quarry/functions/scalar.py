@@ -27,7 +27,6 @@ AGE_EDGES = (18, 35, 50)
 # Characters up to U+0020, the set a Java `String.trim` removes.
 JAVA_TRIM_CHARS = "".join(chr(i) for i in range(0x21))
 # A plain decimal number: what the text parsers accept as a number.
-_PLAIN_INT = r"^\s*[+-]?[0-9]+\s*$"
 _PLAIN_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)\s*$"
 
 
@@ -41,13 +40,6 @@ def normalize_label(c: Column | str) -> Column:
     return F.lower(java_trim(c))
 
 
-def clean_review_text(c: Column | str) -> Column:
-    """Lower-case, then blank out punctuation, then digits and operators."""
-    lowered = F.lower(col(c))
-    step1 = F.regexp_replace(lowered, REVIEW_PUNCT_CLASS, " ")
-    return F.regexp_replace(step1, REVIEW_DIGIT_CLASS, " ")
-
-
 def _fused_token_class() -> str:
     """One character class equal to: blank the two cleaning classes, then
     split on the separators. Every blanked character becomes a space, and a
@@ -66,15 +58,16 @@ def review_tokens(c: Column | str) -> Column:
     return F.split(F.lower(col(c)), REVIEW_TOKEN_SPLIT)
 
 
-def tokenize(c: Column | str, separators: str = TOKEN_SEPARATORS) -> Column:
-    """Split on the separator class; empty pieces are dropped, null gives null."""
-    return F.filter(F.split(col(c), separators), lambda t: t != F.lit(""))
-
-
-def split_list(c: Column | str, sep: str = "|", trim: bool = True) -> Column:
-    """A delimited list in one string as an array (`a|b|c`)."""
+def split_list(c: Column | str, sep: str = "|", trim: bool = True, trailing_empty: bool = True) -> Column:
+    """A delimited list in one string as an array (`a|b|c`). Empty items after
+    the last non-empty one are items too, or (`trailing_empty=False`) dropped;
+    a text of separators alone then has no items, an empty text still has one."""
     pattern = "[" + sep.replace("\\", "\\\\").replace("]", "\\]").replace("^", "\\^") + "]"
-    parts = F.split(col(c), pattern)
+    text = col(c)
+    parts = F.split(text, pattern)
+    if not trailing_empty:
+        kept = F.regexp_replace(text, pattern + "+$", "")
+        parts = F.when((kept == "") & (text != ""), F.array().cast("array<string>")).otherwise(F.split(kept, pattern))
     return F.transform(parts, lambda x: java_trim(x)) if trim else parts
 
 
@@ -119,10 +112,6 @@ def parse_double(c: Column | str, on_bad: str = "null") -> Column:
     return F.when(x.rlike(_PLAIN_NUMBER), x.try_cast("double"))
 
 
-def is_plain_int(c: Column | str) -> Column:
-    return col(c).rlike(_PLAIN_INT)
-
-
 def round_half_up(c: Column | str, digits: int = 2) -> Column:
     """Half-up rounding on the shortest decimal form (Java `%.2f` digits)."""
     return F.round(col(c), digits)

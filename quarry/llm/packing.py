@@ -25,6 +25,7 @@ many full windows; empty input gives no rows. Other columns are never read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -36,70 +37,94 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import staged, text_or_empty
+from quarry.llm.words import Generations, Words, distinct_words, portions
 
 WINDOW = 4096
 SMALL = 256
 STEP = 16
 
-_WORDS_KEPT = 400_000  # of each of two generations of tokenized words in a task
-_LONGEST_WORD = 48
+_WORDS_KEPT = 300_000  # of each of two generations of tokenized words in a task
+_STEMS_KEPT = 200_000
+_LONGEST_WORD = 64
+
+# On a line of its own: a run of letters that lower case and Unicode composition
+# leave in place one by one, then ASCII punctuation without the apostrophe of
+# contractions; or any other word.
+_PLAIN = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]{1,64})([!-&(-/:-@\[-`{-~]{0,16})|.*)$", re.M)
 
 
 class WordTokens:
-    """Token ids of texts, little-endian unsigned 32-bit, by a tokenizer whose
-    tokens never reach across white space: words are tokenized once, many at a
-    time, and remembered."""
+    """Token ids of texts by a tokenizer whose tokens never reach across white
+    space and whose words end in tokens of their own: the distinct words of a
+    batch are looked up by their hash, new ones are tokenized once, and the ids
+    of the texts are put together by array operations."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.young: dict[str, bytes] = {"": b""}
-        self.old: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.words = Generations(_WORDS_KEPT)
+        self.stems = Generations(_STEMS_KEPT)
+        self.tails = {"": b""}
 
     def ids(self, text: str) -> bytes:
-        """All of one text by the tokenizer itself."""
+        """Of one text by the tokenizer itself, little-endian unsigned 32-bit."""
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        """Tokenize the words as one text and deal the ids out by where each
-        token starts in it."""
-        encoding = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids = np.array(encoding.ids, dtype="<u4")
-        starts = np.array([s for s, _ in encoding.offsets], dtype=np.int64)
-        begin = np.cumsum([0] + [len(w) + 1 for w in words])
-        cuts = np.searchsorted(starts, begin)
-        for word, a, b in zip(words, cuts[:-1], cuts[1:], strict=True):
-            self.young[word] = ids[a:b].tobytes()
-
-    def many(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        young, old = self.young, self.old
-        if len(young) > _WORDS_KEPT:
-            old = self.old = young
-            young = self.young = {"": b""}
-        new: dict[str, None] = {}
-        for words in split:
-            for word in set(words):
-                if word not in young:
-                    found = old.get(word)
-                    if found is not None:
-                        young[word] = found
-                    else:
-                        new[word] = None
-        plain = []
-        for word in new:
-            if len(word) > _LONGEST_WORD or "<|" in word:
-                young[word] = self.ids(word)
-            else:
-                plain.append(word)
-        if plain:
-            self._learn(plain)
-        out = [b"".join([young[w] for w in words]) for words in split]
-        for word in new:  # long words are not worth their memory
-            if len(word) > _LONGEST_WORD:
-                del young[word]
-        return out
+    def _stem_ids(self, stems: list[str]) -> dict[str, bytes]:
+        """Ids of runs of letters, tokenized as one text and cut at the tokens
+        that end a word."""
+        found = dict(zip(stems, self.stems.find(stems), strict=True))
+        new = [s for s, ids in found.items() if ids is None]
+        if new:
+            encoding = self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0]
+            ids = np.array(encoding.ids, dtype="<u4")
+            stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(stops) != len(new):
+                raise ValueError("a run of letters is not one word of this tokenizer")
+            data, stops = ids.tobytes(), stops.tolist()
+            learned = [data[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
+            self.stems.add(new, learned)
+            found.update(zip(new, learned, strict=True))
+        return found
+
+    def _learn(self, words: list[str]) -> list[bytes]:
+        parts = _PLAIN.findall("\n".join(words))
+        stems = "\n".join([s for s, _ in parts]).lower().split("\n")
+        known = self._stem_ids(list(dict.fromkeys(s for s in stems if s)))
+        tails = self.tails
+        if len(tails) > _STEMS_KEPT:
+            tails = self.tails = {"": b""}
+        for tail in {t for _, t in parts}:
+            if tail not in tails:
+                tails[tail] = self.ids(tail)
+        return [
+            known[stem] + tails[tail] if stem else self.ids(word)
+            for stem, (_, tail), word in zip(stems, parts, words, strict=True)
+        ]
+
+    def many(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and the n + 1 positions in them where each begins."""
+        words = Words(column)
+        hashes, which, first = distinct_words(words)
+        ids = self.words.find(hashes)
+        new = [i for i, x in enumerate(ids) if x is None]
+        if new:
+            learned = self._learn(words.strings(first[new]))
+            for i, x in zip(new, learned, strict=True):
+                ids[i] = x
+            short = [(hashes[i], x) for i, x in zip(new, learned, strict=True) if len(x) <= 4 * _LONGEST_WORD]
+            self.words.add([h for h, _ in short], [x for _, x in short])
+        pool = np.frombuffer(b"".join(ids), dtype="<u4")
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        begins = np.cumsum(sizes) - sizes
+        size = sizes[which]
+        stops = np.concatenate([[0], np.cumsum(size)])
+        at = np.repeat(begins[which] - stops[:-1], size) + np.arange(stops[-1])
+        return pool[at], stops[words.docs]
 
 
 @lru_cache(maxsize=2)
@@ -129,13 +154,12 @@ def cut_documents(
         tokens, chunk = word_tokens(tokenizer_path), TaskContext.get().partitionId()
         seen = np.zeros(window + 1, dtype=np.int64)
         for batch in batches:
-            for first in range(0, batch.num_rows, 256):
-                part = batch.slice(first, 256)
+            for part in portions(batch, 1):
                 rows = []
-                for doc_id, ids in zip(
-                    part.column(0).to_pylist(), tokens.many(part.column(1).to_pylist()), strict=True
-                ):
-                    ids += end
+                found, stops = tokens.many(part.column(1))
+                data, stops = found.tobytes(), stops.tolist()
+                for doc_id, a, b in zip(part.column(0).to_pylist(), stops[:-1], stops[1:], strict=True):
+                    ids = data[4 * a : 4 * b] + end
                     total = len(ids) // 4
                     for start in range(0, total, window):
                         piece = ids[4 * start : 4 * (start + window)]

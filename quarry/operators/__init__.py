@@ -19,6 +19,5 @@ from quarry.operators.rank import (  # noqa: F401
     attach_rank,
     collect_top_k,
     dense_rank_table,
-    global_dense_rank,
     top_k_per_group,
 )

@@ -140,10 +140,14 @@ def best_of(
 ) -> DataFrame:
     """The best `n` rows by `by` (optionally among rows with
     `count_col >= min_count`); ties go to the smallest `tie` key. Planned as
-    a top-n (`TakeOrderedAndProject`): each partition keeps n rows."""
+    a top-n (`TakeOrderedAndProject`): each partition keeps n rows. A NaN is
+    compared like a missing value: never better than a number."""
     if min_count is not None:
         df = df.filter(F.col(count_col) >= min_count)
-    primary = F.col(by).asc_nulls_last() if ascending else F.col(by).desc_nulls_last()
+    value = F.col(by)
+    if df.schema[by].dataType.typeName() in ("double", "float"):
+        value = F.nanvl(value, F.lit(None).cast("double"))
+    primary = value.asc_nulls_last() if ascending else value.desc_nulls_last()
     ties = [F.col(t).asc_nulls_last() for t in _cols(tie or [])]
     return df.orderBy(primary, *ties).limit(n)
 

@@ -1,14 +1,12 @@
 """Lookup joins: attach with drop/default semantics, de-duplicated lookups,
 anti joins for term lists.
 
-Broadcast policy: data-derived input is broadcast only behind a size check.
-`skew_safe_lookup` counts the lookup and broadcasts it only under a row
-bound. `broadcast=None` leaves the choice to the planner, which broadcasts a side
-only when its estimated size is under `spark.sql.autoBroadcastJoinThreshold`
-and, under adaptive execution, re-checks the measured shuffle size against
-`spark.sql.adaptive.autoBroadcastJoinThreshold`; above either bound the join
-is a shuffled sort-merge join, split by skew handling when one key is hot.
-`broadcast=True` is meant for lookups whose size is bounded by definition.
+Broadcast policy: no operator asks for a broadcast. The planner broadcasts a
+side only when its estimated size is under
+`spark.sql.autoBroadcastJoinThreshold` and, under adaptive execution, re-checks
+the measured shuffle size against
+`spark.sql.adaptive.autoBroadcastJoinThreshold`; above either bound the join is
+a shuffled sort-merge join, split by skew handling when one key is hot.
 """
 
 from __future__ import annotations
@@ -20,9 +18,6 @@ from pyspark.sql import functions as F
 
 _HIT = "__quarry_hit"
 
-# Largest lookup (in rows, counted) that `skew_safe_lookup` broadcasts.
-SKEW_SAFE_BROADCAST_ROWS = 1_000_000
-
 
 def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
@@ -34,19 +29,18 @@ def attach(
     on: str | Sequence[str],
     missing: str = "drop",
     defaults: Mapping[str, object] | None = None,
-    broadcast: bool | None = None,
 ) -> DataFrame:
     """Add the lookup's columns to every row of `df` by key.
 
     missing='drop'    -> rows without a lookup match disappear (inner join).
     missing='default' -> they stay; the looked-up columns named in `defaults`
-                         get the default (a literal or a Column over `df`).
+                         get the default (a literal or a Column over `df`),
+                         cast to the looked-up column's type (a number as
+                         default leaves text ids as they are).
                          A matched row keeps its value even when it is null,
                          as a dictionary `get(key, default)` would.
     """
     keys = _keys(on)
-    if broadcast:
-        lookup = F.broadcast(lookup)
     if missing == "drop":
         return df.join(lookup, keys, "inner")
     if missing != "default":
@@ -56,6 +50,7 @@ def attach(
     fills = {}
     for name, value in (defaults or {}).items():
         fill = value if isinstance(value, Column) else F.lit(value)
+        fill = fill.cast(lookup.schema[name].dataType)
         fills[name] = F.when(F.col(_HIT).isNull(), fill).otherwise(F.col(name))
     return joined.withColumns(fills).drop(_HIT) if fills else joined.drop(_HIT)
 
@@ -87,7 +82,6 @@ def exclude_terms(
     terms: DataFrame,
     column: str,
     term_column: str | None = None,
-    broadcast: bool | None = None,
 ) -> DataFrame:
     """Rows of `df` whose `column` is not in the term list (anti join).
 
@@ -95,36 +89,23 @@ def exclude_terms(
     multiply rows, as with `LEFT OUTER` + `IS NULL` on a term list."""
     term_column = term_column or column
     right = terms.select(F.col(term_column).alias(column))
-    if broadcast:
-        right = F.broadcast(right)
     return df.join(right, column, "left_anti")
 
 
-def skew_safe_lookup(
-    lookup: DataFrame,
-    key: str | Sequence[str],
-    max_broadcast_rows: int | None = None,
-) -> DataFrame:
+def skew_safe_lookup(lookup: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """A de-duplicated lookup for a join whose fact side may hold a hot key
     (one key with a large share of all facts).
 
-    The size is checked first (a row count of the lookup):
-      * up to `max_broadcast_rows` rows: broadcast. The facts are not
-        shuffled for this join, so a hot key costs nothing; the broadcast is
-        bounded by the count just taken.
-      * larger: the de-duplicated lookup is written to the shared checkpoint
-        folder and read back. Read back it carries no partitioning, so the
-        join gets a plain shuffle on both sides, which is the shape adaptive
-        execution needs to split a hot key's partition into several tasks.
-        (Joined straight onto the de-duplicating aggregate, the lookup side
-        would not be a plain shuffle and the hot partition would stay whole.)
-    """
+    The lookup is written to the shared checkpoint folder and read back. Read
+    back it carries no partitioning, so the join gets a plain shuffle on both
+    sides, the shape in which adaptive execution splits a hot key's partition
+    into several tasks. (Joined straight onto the de-duplicating aggregate, the
+    lookup side would not be a plain shuffle and the hot partition would stay
+    whole.) Its size on disk is known, so the planner broadcasts it while it is
+    under the broadcast threshold, and then the facts are not shuffled at all."""
     from quarry.session import scratch_path
 
-    limit = SKEW_SAFE_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
     unique = unique_lookup(lookup, key)
-    if lookup.count() <= limit:
-        return F.broadcast(unique)
     path = scratch_path(lookup.sparkSession, "lookup")
-    unique.write.mode("overwrite").parquet(path)
-    return lookup.sparkSession.read.parquet(path)
+    unique.write.parquet(path)
+    return lookup.sparkSession.read.schema(unique.schema).parquet(path)

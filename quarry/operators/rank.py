@@ -5,7 +5,7 @@ turns the pair into a `WindowGroupLimit` that already keeps only k rows per
 group inside each map partition, so a group with millions of candidates
 shuffles at most k rows per partition.
 
-`global_dense_rank` avoids Spark's un-partitioned window (which moves every
+`dense_rank_table` avoids Spark's un-partitioned window (which moves every
 row to a single task): the distinct values are range-partitioned and
 sorted, each value's position is its partition's offset plus its position
 inside the partition, and the offsets come from one count per partition.
@@ -70,54 +70,33 @@ def collect_top_k(
     )
 
 
-# Largest relation ranked in one window task; above it the range path runs.
-LOCAL_RANK_MAX_ROWS = 200_000
-
-
 def dense_rank_table(
     df: DataFrame,
     by: str,
     out: str,
     ascending: bool = False,
     num_partitions: int | None = None,
-    local_max_rows: int | None = -1,
 ) -> DataFrame:
     """(`__v`, out): the dense rank of every distinct value of `by`, as
-    `dense_rank() OVER (ORDER BY by)` gives it.
-
-    Size check first: when `df` has at most `local_max_rows` rows (counted;
-    pass a materialised relation; -1 means `LOCAL_RANK_MAX_ROWS`, None never),
-    its distinct values are ranked by one window in one task and the
-    (value, rank) table is small enough to broadcast. Otherwise, without any
-    single-partition window over rows:
+    `dense_rank() OVER (ORDER BY by)` gives it, by one plan at every size:
 
     1. distinct values of `by` (shuffle by value, partial aggregation);
-    2. range partitioning on the value + sort inside each partition; each
-       row gets partition index and position from `monotonically_increasing_id`;
-       the ranged values are written as a parquet table in the shared
-       checkpoint folder (one job; lineage cut, survives executor loss) so
-       both uses below read the same partition ids;
-    3. one count per partition -> running offsets (as many rows as
-       partitions: a bounded, broadcastable table);
+    2. range partitioning on the value + sort inside each partition (adaptive
+       execution chooses the number of partitions unless `num_partitions` is
+       given); each row gets partition index and position from
+       `monotonically_increasing_id`; the ranged values are written as a
+       parquet table in the shared checkpoint folder (one job; lineage cut,
+       survives executor loss) so both uses below read the same partition ids;
+    3. one count per written partition -> running offsets, by a window over as
+       many rows as there are partitions (values never pass through it);
     4. rank = offset + position + 1.
     """
     spark = df.sparkSession
-    if local_max_rows == -1:
-        local_max_rows = LOCAL_RANK_MAX_ROWS
     order = _order("__v", ascending)
     values = df.select(F.col(by).alias("__v")).distinct()
-    if local_max_rows is not None and df.count() <= local_max_rows:
-        # bounded by the count just taken: one task, one broadcastable table
-        return F.broadcast(values.withColumn(out, F.dense_rank().over(Window.orderBy(order))))
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = values.repartitionByRange(*([num_partitions] if num_partitions else []), order)
     path = scratch_path(spark, f"rank-{out}")
-    (
-        values.repartitionByRange(n, order)
-        .sortWithinPartitions(order)
-        .withColumn("__mid", F.monotonically_increasing_id())
-        .write.mode("overwrite")
-        .parquet(path)
-    )
+    ranged.sortWithinPartitions(order).withColumn("__mid", F.monotonically_increasing_id()).write.parquet(path)
     ranged = spark.read.parquet(path).select(
         "__v",
         F.shiftright(F.col("__mid"), 33).alias("__pid"),
@@ -130,24 +109,10 @@ def dense_rank_table(
         .withColumn("__off", F.coalesce(F.sum("__cnt").over(before), F.lit(0)))
         .select("__pid", "__off")
     )
-    return ranged.join(F.broadcast(offsets), "__pid").select("__v", (F.col("__off") + F.col("__pos") + 1).alias(out))
+    return ranged.join(offsets, "__pid").select("__v", (F.col("__off") + F.col("__pos") + 1).alias(out))
 
 
 def attach_rank(df: DataFrame, by: str, ranks: DataFrame) -> DataFrame:
     """Join a `dense_rank_table` back to the rows on the value (null-safe,
     so a null value gets the rank Spark gives nulls)."""
     return df.join(ranks, df[by].eqNullSafe(ranks["__v"]), "left").drop("__v")
-
-
-def global_dense_rank(
-    df: DataFrame,
-    by: str,
-    out: str,
-    ascending: bool = False,
-    num_partitions: int | None = None,
-    local_max_rows: int | None = -1,
-) -> DataFrame:
-    """`df` with `out` = dense rank of `by` over the whole relation. `df` is
-    read more than once (size check, values, rows): pass a materialised
-    relation when it is expensive to compute."""
-    return attach_rank(df, by, dense_rank_table(df, by, out, ascending, num_partitions, local_max_rows))

@@ -33,10 +33,13 @@ def ratings_lines(ratings_epoch: DataFrame) -> DataFrame:
 
 def junk_lines(events: DataFrame, scores: DataFrame) -> DataFrame:
     """Lines from other sources in the same folder: four fields with a
-    non-numeric second field, and two-field lines."""
+    non-numeric second field, two-field lines, and lines whose rating is a
+    number only to a lenient parser (`NaN`, `1e3`, `4d`)."""
     ev = to_lines(events.select("user_id", "event_type", "value", "event_id"), ",")
     sc = to_lines(scores.select("review_id", "review_score"), ",")
-    return ev.unionByName(sc)
+    spelled = F.get(F.array(F.lit("NaN"), F.lit("1e3"), F.lit("4d")), F.pmod("event_id", F.lit(3)).cast("int"))
+    odd = to_lines(events.select("user_id", "event_id", spelled.alias("rating"), F.lit(0).alias("at")), ",")
+    return ev.unionByName(sc).unionByName(odd)
 
 
 def write_ratings_text(spark: SparkSession, ratings_epoch: DataFrame, junk: DataFrame | None = None) -> str:
@@ -62,15 +65,14 @@ def bad_record_counts(spark: SparkSession, ratings_epoch: DataFrame, junk: DataF
 
 
 def union_sources(spark: SparkSession, ratings_epoch: DataFrame, split_year: int) -> DataFrame:
-    """Ratings written as two sources (before / from `split_year`) in one
-    pass (a partitioned write), read back as one relation from the list of
-    the two folders."""
+    """Ratings written as two sources (before / from `split_year`), read back
+    as one relation from the list of the two folders; either may be empty."""
     path = scratch_path(spark, "ratings-two-sources")
-    source = F.when(F.year("rated_at") < split_year, "first").otherwise("second")
-    tagged = ratings_epoch.withColumn("source", source)
-    fields = ("user_id", "movie_id", "rating", "rated_epoch")
-    to_lines(tagged, ", ", fields, keep=("source",)).write.mode("overwrite").partitionBy("source").text(path)
-    return read_delimited(spark, [f"{path}/source=first", f"{path}/source=second"], RATINGS_SCHEMA, ",")
+    early = F.year("rated_at") < split_year
+    folders = {f"{path}/first": early, f"{path}/second": F.coalesce(~early, F.lit(True))}
+    for folder, rows in folders.items():
+        ratings_lines(ratings_epoch.where(rows)).write.mode("overwrite").text(folder)
+    return read_delimited(spark, list(folders), RATINGS_SCHEMA, ",")
 
 
 def scan_reviews(spark: SparkSession, reviews: DataFrame) -> DataFrame:
@@ -136,3 +138,77 @@ def reference_files_movie_stats(spark: SparkSession, ratings_epoch: DataFrame, m
     movies_path = scratch_path(spark, "movies-text")
     to_lines(movies.select("movie_id", "title", "genres"), ",").write.mode("overwrite").text(movies_path)
     return movie_rating_stats(read_ratings(spark, ratings_path), read_movies(spark, movies_path))
+
+
+def scan_csv_inferred(spark: SparkSession, items: DataFrame) -> DataFrame:
+    """Order items as `;` CSV with a header, read back with inferred types."""
+    path = write_csv(items, scratch_path(spark, "items-csv"), sep=";")
+    return read_csv_table(spark, path, sep=";")
+
+
+def overwritten(spark: SparkSession, first: DataFrame, second: DataFrame, schema) -> DataFrame:
+    """Two reports written one after the other to the same folder, read once:
+    the second one's rows."""
+    path = scratch_path(spark, "report-overwritten")
+    for report in (first, second):
+        write_delimited(report, path, sep="\t")
+    return read_delimited(spark, path, schema, "\t", on_bad="fail", trim=False)
+
+
+def sampled(spark: SparkSession, tokens: DataFrame, n: int = 10) -> DataFrame:
+    """(n_rows, n_found) of a preview of n token rows."""
+    from quarry.plans.text_insights import sample_check, sample_tokens
+
+    return sample_check(staged(spark, sample_tokens(tokens, n), "token-sample"), tokens)
+
+
+def clean_reviews_with_header(spark: SparkSession, reviews: DataFrame) -> DataFrame:
+    """Clean reviews of a `;` text that starts with a line of column names and
+    whose id is read as text: the header row goes by its value."""
+    from quarry.plans.text_insights import clean_reviews
+    from quarry.sources.formats import read_reviews
+
+    names = [n for n, _ in REVIEWS_SCHEMA]
+    flat = reviews.withColumn("review", F.regexp_replace("review", "[;\r\n]", " "))
+    header = spark.createDataFrame([(";".join(names),)], "value string")
+    path = scratch_path(spark, "reviews-with-header")
+    header.unionByName(to_lines(flat.select(*names), ";")).write.mode("overwrite").text(path)
+    return clean_reviews(read_reviews(spark, path, id_type="string"))
+
+
+def movies_with_commas(spark: SparkSession, movies: DataFrame) -> DataFrame:
+    """Movies whose genres hold the field separator, read with a split limit."""
+    from quarry.sources.formats import read_movies
+
+    path = scratch_path(spark, "movies-text")
+    commas = movies.withColumn("genres", F.regexp_replace("genres", "[|]", ","))
+    to_lines(commas.select("movie_id", "title", "genres"), ",").write.mode("overwrite").text(path)
+    return read_movies(spark, path, max_fields=3)
+
+
+def write_users_text(spark: SparkSession, users: DataFrame) -> str:
+    """Users in the reference's layout; a user without an occupation is a line
+    of two fields, one without an age has that field blank."""
+    path = scratch_path(spark, "users-text")
+    short = F.col("occupation_id").isNull()
+    fields = users.select("user_id", "gender", "age", "occupation_id", F.lit("70000").alias("zip"))
+    full = to_lines(fields.where(~short), ",")
+    full.unionByName(to_lines(fields.where(short).select("user_id", "gender"), ",")).write.mode("overwrite").text(path)
+    return path
+
+
+def reference_files(
+    spark: SparkSession, ratings_epoch: DataFrame, users: DataFrame, others: DataFrame, name: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Ratings, users and movies (or occupations) written in the reference's
+    text layouts and read back with the library's readers."""
+    from quarry.sources.formats import read_movies, read_occupations, read_ratings, read_users
+
+    path = scratch_path(spark, f"{name}-text")
+    to_lines(others, ",").write.mode("overwrite").text(path)
+    reader = {"movies": read_movies, "occupations": read_occupations}[name]
+    return (
+        read_ratings(spark, write_ratings_text(spark, ratings_epoch)),
+        read_users(spark, write_users_text(spark, users)),
+        reader(spark, path),
+    )

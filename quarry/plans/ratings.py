@@ -141,13 +141,14 @@ def genre_rating(
     trim: bool = True,
     raw_name: str | None = None,
     order: bool = True,
+    trailing_empty: bool = True,
 ) -> DataFrame:
     """Mean rating and count per genre, best first; a rating counts once for
     every genre of its movie. Ratings of movies without a genre row
-    disappear."""
+    disappear. `trailing_empty` says whether `A|B|` holds a last, empty genre."""
     state = movie_state(ratings)
     genres = unique_lookup(movies.select("movie_id", "genres"), "movie_id").select(
-        "movie_id", split_list("genres", "|", trim).alias("genre_list")
+        "movie_id", split_list("genres", "|", trim, trailing_empty).alias("genre_list")
     )
     joined = state.join(genres, "movie_id", "inner")
     exploded = joined.select(F.explode("genre_list").alias("genre"), "rating_sum", "n_ratings")
@@ -157,11 +158,13 @@ def genre_rating(
     return out.orderBy(F.desc("avg_rating"), "genre") if order else out
 
 
-def best_genre(ratings: DataFrame, movies: DataFrame, digits: int = 2, rank_on: str = "raw") -> DataFrame:
+def best_genre(
+    ratings: DataFrame, movies: DataFrame, digits: int = 2, rank_on: str = "raw", trailing_empty: bool = True
+) -> DataFrame:
     """Genre with the highest mean; ties to the smallest name. rank_on='raw'
     compares unrounded means, 'rounded' the means rounded to `digits` (two
     genres equal after rounding then tie)."""
-    stats = genre_rating(ratings, movies, digits, raw_name="avg_raw", order=False)
+    stats = genre_rating(ratings, movies, digits, raw_name="avg_raw", order=False, trailing_empty=trailing_empty)
     key = "avg_raw" if rank_on == "raw" else "avg_rating"
     return best_of(stats, key, tie="genre").select("genre", "avg_rating", "n_ratings")
 
@@ -235,8 +238,8 @@ def age_report_lines(ratings: DataFrame, users: DataFrame, movies: DataFrame) ->
 
 def _rated_with(ratings: DataFrame, users: DataFrame, attr: Column, name: str, missing: str) -> DataFrame:
     # Ratings are joined to users row by row, so a user holding a large share
-    # of all ratings is a hot key here: broadcast a small user table, or give
-    # the join plain shuffles that adaptive execution can split.
+    # of all ratings is a hot key here: the written lookup gives the join
+    # plain shuffles that adaptive execution can split.
     lookup = skew_safe_lookup(users.select("user_id", attr.alias(name)), "user_id")
     rated = ratings.filter(F.col("rating").isNotNull())
     return attach(rated, lookup, "user_id", missing, {name: F.lit(UNKNOWN_GROUP)})

@@ -17,6 +17,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry import roles
+from quarry.functions.scalar import (
+    AGE_EDGES,
+    AGE_LABELS_LEFT,
+    AGE_LABELS_RIGHT,
+    REVIEW_DIGIT_CLASS,
+    REVIEW_PUNCT_CLASS,
+    TOKEN_SEPARATORS,
+)
 from quarry.plans import commerce, files, ratings, text_insights
 from quarry.roles import role, role_cte
 
@@ -41,11 +49,27 @@ def JT(expr: str) -> str:
 def CLEAN(expr: str) -> str:
     """Oracle-side review cleaning: lower, then the two character classes."""
     return (
-        f"regexp_replace(regexp_replace(lower({expr}), '[@''\\^!?,.]', ' ', 'g'), "
-        f"'[0-9%\\-?+/&:~<>=]', ' ', 'g')"
+        f"regexp_replace(regexp_replace(lower({expr}), '{_PUNCT}', ' ', 'g'), "
+        f"'{_DIGITS}', ' ', 'g')"
     )
 
 
+# ---------------------------------------------------------------------------
+# Fixed values of the oracle side, taken from the marked blocks of the library:
+# report patterns (the two-decimal numbers are formatted by F2), labels and
+# character classes.
+def _pattern(text: str) -> str:
+    return "'" + text.replace("%.2f", "%s").replace("'", "''") + "'"
+
+
+_GENRE_LINE, _BEST_GENRE_LINE = _pattern(ratings.GENRE_LINE), _pattern(ratings.BEST_GENRE_LINE)
+_MOVIE_LINE, _BEST_MOVIE_LINE = _pattern(ratings.MOVIE_LINE), _pattern(ratings.BEST_MOVIE_LINE)
+_GENDER_LINE, _GAP_LINE, _AGE_LINE = (_pattern(x) for x in (ratings.GENDER_LINE, ratings.GAP_LINE, ratings.AGE_LINE))
+_AGE_RIGHT, _AGE_LEFT = AGE_LABELS_RIGHT, AGE_LABELS_LEFT
+_PUNCT, _DIGITS = REVIEW_PUNCT_CLASS.replace("'", "''"), REVIEW_DIGIT_CLASS
+_SEPARATORS = TOKEN_SEPARATORS
+# ---------------------------------------------------------------------------
+
 _JAVA_TRIM_SQL = " || ".join(f"chr({i})" for i in range(0x21))
 
 # Lookups reduced to one row per key (the greatest value wins), as the Spark
@@ -132,10 +156,9 @@ register(
     "genre_report_with_best",
     role_cte("ratings", "movies")
     + f""", {_MOVIE_STATE}, {_GENRES}
-    SELECT genre AS key, printf('Average rating: %s (Total ratings: %d)', {F2('a')}, n) AS line FROM gst
+    SELECT genre AS key, printf({_GENRE_LINE}, {F2('a')}, n) AS line FROM gst
     UNION ALL
-    SELECT '*** BEST GENRE ***' AS key,
-           printf('"%s" is the highest rated genre with average rating %s over %d rating(s).', genre, {F2('a')}, n) AS line
+    SELECT '{ratings.BEST_GENRE_LABEL}' AS key, printf({_BEST_GENRE_LINE}, genre, {F2('a')}, n) AS line
     FROM (SELECT * FROM gst ORDER BY a DESC NULLS LAST, genre ASC LIMIT 1)""",
 )(lambda spark, d: ratings.genre_report_with_best(*_r(spark, d, "ratings", "movies")))
 
@@ -176,14 +199,12 @@ register(
     FROM w LEFT JOIN {_MT} m ON w.movie_id = m.movie_id""",
 )(lambda spark, d: ratings.movie_gender_long(*_r(spark, d, "ratings", "users", "movies")))
 
-_BAND_RIGHT = (
-    "CASE WHEN {a} IS NULL THEN NULL WHEN {a} <= 18 THEN '0-18' WHEN {a} <= 35 THEN '18-35' "
-    "WHEN {a} <= 50 THEN '35-50' ELSE '50+' END"
-)
-_BAND_LEFT = (
-    "CASE WHEN {a} IS NULL THEN NULL WHEN {a} < 18 THEN '0 - 18' WHEN {a} < 35 THEN '18 - 35' "
-    "WHEN {a} < 50 THEN '35 -50' ELSE '50+' END"
-)
+_BAND_RIGHT = "CASE WHEN {a} IS NULL THEN NULL" + "".join(
+    f" WHEN {{a}} <= {edge} THEN '{label}'" for edge, label in zip(AGE_EDGES, _AGE_RIGHT)
+) + f" ELSE '{_AGE_RIGHT[-1]}' END"
+_BAND_LEFT = "CASE WHEN {a} IS NULL THEN NULL" + "".join(
+    f" WHEN {{a}} < {edge} THEN '{label}'" for edge, label in zip(AGE_EDGES, _AGE_LEFT)
+) + f" ELSE '{_AGE_LEFT[-1]}' END"
 
 
 _UA_RIGHT = (
@@ -202,14 +223,17 @@ def _band_avg(label: str) -> str:
     )
 
 
+_BAND_MEANS = ", ".join(
+    f"{_band_avg(label)} AS avg_{suffix}" for suffix, label in zip(ratings.AGE_SUFFIXES, _AGE_RIGHT)
+)
+
 register(
     "movie_age_wide",
     role_cte("ratings", "users", "movies")
     + f""",
     rb AS (SELECT r.movie_id, r.rating, u.b AS b FROM ratings r
            JOIN {_UA_RIGHT} u ON r.user_id = u.user_id WHERE r.rating IS NOT NULL),
-    w AS (SELECT movie_id, {_band_avg('0-18')} AS avg_0_18, {_band_avg('18-35')} AS avg_18_35,
-                 {_band_avg('35-50')} AS avg_35_50, {_band_avg('50+')} AS avg_50p FROM rb GROUP BY movie_id)
+    w AS (SELECT movie_id, {_BAND_MEANS} FROM rb GROUP BY movie_id)
     SELECT w.movie_id, {_title('MovieID:')}, avg_0_18, avg_18_35, avg_35_50, avg_50p
     FROM w LEFT JOIN {_MT} m ON w.movie_id = m.movie_id""",
 )(lambda spark, d: ratings.movie_age_wide(*_r(spark, d, "ratings", "users", "movies")))
@@ -265,7 +289,7 @@ register(
     "movie_report_lines",
     role_cte("ratings", "movies")
     + f""", {_MOVIE_STATE}
-    SELECT m.title, printf('AverageRating: %s (TotalRatings: %d)', {F2('w.rs / w.n')}, w.n) AS line
+    SELECT m.title, printf({_MOVIE_LINE}, {F2('w.rs / w.n')}, w.n) AS line
     FROM ms w JOIN {_MT} m ON w.movie_id = m.movie_id WHERE w.n > 0""",
 )(lambda spark, d: ratings.movie_report_lines(*_r(spark, d, "ratings", "movies")))
 
@@ -309,7 +333,7 @@ register(
 
 _TOKENS = (
     "tok AS (SELECT id, word, topic, aspect, sentiment FROM ("
-    f"SELECT id, unnest(string_split_regex({CLEAN('review')}, '[ \",()*]+')) AS word, topic, aspect, sentiment "
+    f"SELECT id, unnest(string_split_regex({CLEAN('review')}, '{_SEPARATORS}')) AS word, topic, aspect, sentiment "
     "FROM reviews) t WHERE word <> '' AND NOT EXISTS (SELECT 1 FROM stopwords s WHERE s.word = t.word))"
 )
 
@@ -415,9 +439,13 @@ register(
     FROM r WHERE rn <= 5 GROUP BY sentiment, topic""",
 )(lambda spark, d: text_insights.topk_words_by_sentiment(_tokens(spark, d)))
 
-# A preview: any 10 token rows. No order is implied, so only the row count
-# is comparable (no oracle).
-register("sample_tokens")(lambda spark, d: text_insights.sample_tokens(_tokens(spark, d), 10))
+# A preview: any 10 token rows. No order is implied: compared are the number
+# of rows and how many of them are rows of the token relation.
+register(
+    "sample_tokens",
+    role_cte("reviews", "stopwords")
+    + f", {_TOKENS}, n AS (SELECT least(count(*), 10) AS n FROM tok)\n    SELECT n AS n_rows, n AS n_found FROM n",
+)(lambda spark, d: files.sampled(spark, _tokens(spark, d), 10))
 
 # --------------------------------------------------------------------------
 # Commerce (C12-C18)
@@ -429,20 +457,19 @@ register(
     "\n    UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in _SHOP_TABLES),
 )(lambda spark, d: commerce.table_row_counts({t: roles.table(spark, d, t) for t in _SHOP_TABLES}))
 
-def _columns_of(name: str) -> list[str]:
-    return [part.strip().split(" ")[0] for part in roles.TABLE_SCHEMAS[name].split(",")]
-
-
 _PROFILED = _SHOP_TABLES + ("documents", "labels")
 
 register(
     "table_profile",
-    "\n    UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS n_rows, "
-        f"CAST({len(_columns_of(t))} AS BIGINT) AS n_columns, '{','.join(_columns_of(t))}' AS column_names"
-        for t in _PROFILED
-    ),
-)(lambda spark, d: commerce.table_profile({t: roles.table(spark, d, t) for t in _PROFILED}))
+    "WITH n AS ("
+    + " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in _PROFILED)
+    + """),
+    c AS (SELECT table_name, count(*) AS n_columns, string_agg(column_name, ',' ORDER BY ordinal_position) AS column_names,
+                 string_agg(data_type, ',' ORDER BY ordinal_position) AS column_types
+          FROM information_schema.columns GROUP BY table_name)
+    SELECT n.table_name, n.n_rows, c.n_columns, c.column_names, c.column_types
+    FROM n JOIN c ON n.table_name = c.table_name""",
+)(lambda spark, d: commerce.table_profile({t: spark.read.parquet(f"{d.rstrip('/')}/{t}.parquet") for t in _PROFILED}))
 
 
 register(
@@ -527,7 +554,8 @@ register(
     "delivery_classes",
     role_cte("shop_orders", "shop_items")
     + f""", {_DELIVERY}
-    SELECT CASE WHEN diff < 0 THEN 'Giao som' WHEN diff = 0 THEN 'Dung han' ELSE 'Giao tre' END AS status,
+    SELECT CASE WHEN diff < 0 THEN '{commerce.STATUS_EARLY}' WHEN diff = 0 THEN '{commerce.STATUS_ON_TIME}'
+                ELSE '{commerce.STATUS_LATE}' END AS status,
            count(*) AS count, {R('sum(diff)::DOUBLE / count(diff)')} AS avg_diff_days
     FROM dl GROUP BY 1""",
 )(lambda spark, d: commerce.delivery_classes(*_r(spark, d, "shop_orders", "shop_items")))
@@ -571,7 +599,8 @@ register(
     role_cte("shop_reviews")
     + """
     SELECT 'unparsable movie_id' AS reject_reason, count(*) AS n_lines FROM events
-    UNION ALL SELECT 'too few fields', count(*) FROM shop_reviews""",
+    UNION ALL SELECT 'too few fields', count(*) FROM shop_reviews
+    UNION ALL SELECT 'unparsable rating', count(*) FROM events""",
 )(lambda spark, d: files.bad_record_counts(spark, _ratings_epoch(spark, d), _junk(spark, d)))
 
 register("union_sources", _RATINGS_EPOCH_SQL)(
@@ -617,11 +646,9 @@ register(
     + f""", {_MOVIE_STATE},
     st AS (SELECT ms.movie_id, m.title, ms.rs / ms.n AS a, ms.n FROM ms JOIN {_MT} m ON ms.movie_id = m.movie_id
            WHERE ms.n > 0)
-    SELECT title AS key, printf('AverageRating: %s (TotalRatings: %d)', {F2('a')}, n) AS line FROM st
+    SELECT title AS key, printf({_MOVIE_LINE}, {F2('a')}, n) AS line FROM st
     UNION ALL
-    SELECT '*** BEST MOVIE ***' AS key,
-           printf('%s is the highest rated movie with an average rating of %s among movies with at least %d ratings.',
-                  title, {F2('a')}, 5) AS line
+    SELECT '{ratings.BEST_MOVIE_LABEL}' AS key, printf({_BEST_MOVIE_LINE}, title, {F2('a')}, 5) AS line
     FROM (SELECT * FROM st WHERE n >= 5 ORDER BY a DESC NULLS LAST, movie_id ASC LIMIT 1)""",
 )(lambda spark, d: ratings.movie_report_with_best(*_r(spark, d, "ratings", "movies")))
 
@@ -631,11 +658,10 @@ register(
     + f""", {_GENDER_WIDE},
     named AS (SELECT w.*, {_title('MovieID:')} FROM gw w LEFT JOIN {_MT} m ON w.movie_id = m.movie_id)
     SELECT title AS key,
-           printf('Male_Avg: %s (count: %d), Female_Avg: %s (count: %d)',
-                  COALESCE({F2('sm / nm')}, '0.00'), nm, COALESCE({F2('sf / nf')}, '0.00'), nf) AS line
+           printf({_GENDER_LINE}, COALESCE({F2('sm / nm')}, '0.00'), nm, COALESCE({F2('sf / nf')}, '0.00'), nf) AS line
     FROM named
     UNION ALL
-    SELECT '*** BIGGEST GENDER GAP ***' AS key, printf('"%s" gap=%s', title, {F2('gap')}) AS line
+    SELECT '{ratings.GAP_LABEL}' AS key, printf({_GAP_LINE}, title, {F2('gap')}) AS line
     FROM (SELECT title, movie_id, abs(sm / nm - sf / nf) AS gap FROM named WHERE nm > 0 AND nf > 0
           ORDER BY gap DESC NULLS LAST, movie_id ASC LIMIT 1)""",
 )(lambda spark, d: ratings.gender_report_with_gap(*_r(spark, d, "ratings", "users", "movies")))
@@ -645,20 +671,20 @@ def _p2(expr: str) -> str:
     return f"printf('%.2f', COALESCE({R(expr)}, 0.0))"
 
 
+_RAW_BAND_MEANS = ", ".join(
+    f"sum(CASE WHEN b = '{x}' THEN rating END) / count(CASE WHEN b = '{x}' THEN rating END) AS a{i}"
+    for i, x in enumerate(_AGE_RIGHT, 1)
+)
+
 register(
     "age_report_lines",
     role_cte("ratings", "users", "movies")
     + f""",
     rb AS (SELECT r.movie_id, r.rating, u.b AS b FROM ratings r
            JOIN {_UA_RIGHT} u ON r.user_id = u.user_id WHERE r.rating IS NOT NULL),
-    w AS (SELECT movie_id,
-                 sum(CASE WHEN b = '0-18' THEN rating END) / count(CASE WHEN b = '0-18' THEN rating END) AS a1,
-                 sum(CASE WHEN b = '18-35' THEN rating END) / count(CASE WHEN b = '18-35' THEN rating END) AS a2,
-                 sum(CASE WHEN b = '35-50' THEN rating END) / count(CASE WHEN b = '35-50' THEN rating END) AS a3,
-                 sum(CASE WHEN b = '50+' THEN rating END) / count(CASE WHEN b = '50+' THEN rating END) AS a4
-          FROM rb GROUP BY movie_id)
+    w AS (SELECT movie_id, {_RAW_BAND_MEANS} FROM rb GROUP BY movie_id)
     SELECT {_title('MovieID:').replace(' AS title', '')} AS key,
-           printf('[0-18: %s, 18-35: %s, 35-50: %s, 50+: %s]', {_p2('a1')}, {_p2('a2')}, {_p2('a3')}, {_p2('a4')}) AS line
+           printf({_AGE_LINE}, {_p2('a1')}, {_p2('a2')}, {_p2('a3')}, {_p2('a4')}) AS line
     FROM w LEFT JOIN {_MT} m ON w.movie_id = m.movie_id""",
 )(lambda spark, d: ratings.age_report_lines(*_r(spark, d, "ratings", "users", "movies")))
 
@@ -671,3 +697,103 @@ register(
     FROM ratings r JOIN {_MT} m ON r.movie_id = m.movie_id
     GROUP BY r.movie_id, m.title HAVING count(r.rating) > 0""",
 )(lambda spark, d: files.reference_files_movie_stats(spark, _ratings_epoch(spark, d), role(spark, d, "movies")))
+
+# --------------------------------------------------------------------------
+# More of the reference's own file layouts and their edge cases.
+
+register(
+    "genre_rating_trailing_delimiter",
+    role_cte("ratings", "movies")
+    + f""", {_MOVIE_STATE}, {_GENRES}
+    SELECT genre, {R('a')} AS avg_rating, n AS n_ratings FROM gst""",
+)(
+    lambda spark, d: ratings.genre_rating(
+        role(spark, d, "ratings"),
+        role(spark, d, "movies").selectExpr("movie_id", "title", "concat(genres, '|', if(movie_id % 2 = 0, '|', '')) AS genres"),
+        trailing_empty=False,
+    )
+)
+
+register(
+    "movies_with_commas",
+    role_cte("movies")
+    + """
+    SELECT CAST(movie_id AS VARCHAR) AS movie_id, title, replace(genres, '|', ',') AS genres FROM movies""",
+)(lambda spark, d: files.movies_with_commas(spark, role(spark, d, "movies")))
+
+register(
+    "scan_csv_inferred",
+    role_cte("shop_items")
+    + """
+    SELECT order_id, product_id, seller_id, CAST(price AS DOUBLE) AS price, CAST(freight AS DOUBLE) AS freight,
+           strftime(shipping_limit_date, '%Y-%m-%d') AS shipping_day
+    FROM shop_items""",
+)(
+    lambda spark, d: files.scan_csv_inferred(spark, role(spark, d, "shop_items")).selectExpr(
+        "order_id", "product_id", "seller_id", "CAST(price AS DOUBLE) AS price", "CAST(freight AS DOUBLE) AS freight",
+        "date_format(shipping_limit_date, 'yyyy-MM-dd') AS shipping_day",
+    )
+)
+
+register("overwrite_report", ORACLE["aspect_counts"])(
+    lambda spark, d: files.overwritten(
+        spark, QUERIES["topic_counts"](spark, d), QUERIES["aspect_counts"](spark, d),
+        [("aspect", "string"), ("num_comments", "bigint")],
+    )
+)
+
+register(
+    "clean_reviews_with_header",
+    role_cte("reviews")
+    + f""", {_CLEAN_REVIEWS}
+    SELECT CAST(id AS VARCHAR) AS id, aspect, sentiment FROM cr""",
+)(lambda spark, d: files.clean_reviews_with_header(spark, role(spark, d, "reviews")))
+
+_TEXT_USERS = role_cte("ratings", "text_users", "movies") + """,
+    r AS (SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(movie_id AS VARCHAR) AS movie_id, rating FROM ratings),
+    t AS (SELECT CAST(movie_id AS VARCHAR) AS movie_id, max(title) AS title FROM movies GROUP BY ALL)"""
+
+
+def _from_files(spark, d, others: str):
+    columns = {"movies": ("movie_id", "title", "genres"), "text_occupations": ("occupation_id", "occupation")}[others]
+    return files.reference_files(
+        spark, _ratings_epoch(spark, d), role(spark, d, "text_users"), role(spark, d, others).select(*columns),
+        others.replace("text_", ""),
+    )
+
+
+register(
+    "reference_files_gender_wide",
+    _TEXT_USERS
+    + f""",
+    g AS (SELECT r.movie_id, sum(CASE WHEN u.gender = 'M' THEN rating END) AS sm, count(CASE WHEN u.gender = 'M' THEN 1 END) AS nm,
+                 sum(CASE WHEN u.gender = 'F' THEN rating END) AS sf, count(CASE WHEN u.gender = 'F' THEN 1 END) AS nf
+          FROM r JOIN text_users u ON r.user_id = u.user_id GROUP BY r.movie_id)
+    SELECT g.movie_id, coalesce(t.title, 'MovieID:' || g.movie_id) AS title,
+           coalesce({R('sm / nm')}, 0.0) AS avg_male, nm AS n_male, coalesce({R('sf / nf')}, 0.0) AS avg_female, nf AS n_female
+    FROM g LEFT JOIN t ON t.movie_id = g.movie_id""",
+)(lambda spark, d: ratings.movie_gender_wide(*_from_files(spark, d, "movies")))
+
+register(
+    "reference_files_age_wide",
+    _TEXT_USERS
+    + f""",
+    rb AS (SELECT r.movie_id, rating, {_BAND_RIGHT.format(a='u.age')} AS b
+           FROM r JOIN text_users u ON r.user_id = u.user_id WHERE u.age IS NOT NULL),
+    w AS (SELECT movie_id, {_BAND_MEANS} FROM rb GROUP BY movie_id)
+    SELECT w.movie_id, coalesce(t.title, 'MovieID:' || w.movie_id) AS title, avg_0_18, avg_18_35, avg_35_50, avg_50p
+    FROM w LEFT JOIN t ON t.movie_id = w.movie_id""",
+)(lambda spark, d: ratings.movie_age_wide(*_from_files(spark, d, "movies")))
+
+register(
+    "reference_files_occupation_rating",
+    role_cte("ratings", "text_users", "text_occupations")
+    + f""",
+    pu AS (SELECT CAST(user_id AS VARCHAR) AS user_id, sum(rating) AS rs, count(rating) AS n FROM ratings GROUP BY ALL),
+    wo AS (SELECT pu.rs, pu.n, CASE WHEN u.user_id IS NULL THEN '0' ELSE u.occupation_id END AS occupation_id
+           FROM pu LEFT JOIN text_users u ON pu.user_id = u.user_id),
+    wn AS (SELECT wo.rs, wo.n, coalesce(o.occupation, 'Unknown') AS occupation
+           FROM wo LEFT JOIN text_occupations o ON wo.occupation_id = o.occupation_id)
+    SELECT occupation, {R('sum(rs) / sum(n)')} AS avg_rating, CAST(sum(n) AS BIGINT) AS n_ratings
+    FROM wn GROUP BY occupation""",
+)(lambda spark, d: ratings.occupation_rating(*_from_files(spark, d, "text_occupations")))

@@ -18,14 +18,15 @@ k x partitions rows, never a whole topic.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import bag_to_string, normalize_label, review_tokens
 from quarry.operators.agg import best_of, count_by
 from quarry.operators.lookup import exclude_terms
 from quarry.operators.rank import collect_top_k, top_k_per_group
-from quarry.sources.delimited import spread_small_input
 
 TOKEN_COLUMNS = ("id", "word", "topic", "aspect", "sentiment")
 
@@ -33,7 +34,6 @@ TOKEN_COLUMNS = ("id", "word", "topic", "aspect", "sentiment")
 def explode_tokens(df: DataFrame, text: str = "review", out: str = "word", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per token of the cleaned text (with the `keep` columns of its
     row); null text gives no rows."""
-    df = spread_small_input(df)
     return df.select(*keep, F.explode(review_tokens(text)).alias(out)).filter(F.col(out) != "")
 
 
@@ -134,3 +134,13 @@ def topk_words_by_sentiment(
 def sample_tokens(tokens: DataFrame, n: int = 10) -> DataFrame:
     """Any n token rows (a preview: no order is implied)."""
     return tokens.limit(n)
+
+
+def sample_check(sample: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(n_rows, n_found): rows of a written sample, and how many of them are
+    rows of the token relation."""
+    same = [sample[c].eqNullSafe(tokens[c]) for c in tokens.columns]
+    found = sample.join(tokens, reduce(Column.__and__, same), "left_semi")
+    return sample.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(0).alias("n_found")).unionByName(
+        found.agg(F.lit(0).alias("n_rows"), F.count(F.lit(1)).alias("n_found"))
+    ).agg(F.sum("n_rows").alias("n_rows"), F.sum("n_found").alias("n_found"))

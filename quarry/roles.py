@@ -4,10 +4,10 @@ expressed over the driver's parquet tables.
 Each role is one SQL text with `{table}` placeholders. Spark runs it through
 `spark.sql(text, table=DataFrame)`; the DuckDB oracle runs the same text with
 the placeholders replaced by the pre-registered view names, so both engines
-see identical inputs. The modulo predicates are part of the fixture design:
-they create lookup keys without a match, genders outside M/F, boundary ages
-and junk scores that the clean tables lack. They never thin out the fact
-tables (lineitem, orders, documents, events are read whole).
+see identical inputs. Every role keeps every row of its tables. The modulo
+expressions are part of the fixture design: they change some lookup keys so
+that facts without a match occur, and make genders outside M/F, boundary and
+missing ages and junk scores that the clean tables lack.
 """
 
 from __future__ import annotations
@@ -21,16 +21,29 @@ ROLE_SQL: dict[str, str] = {
         SELECT o_custkey AS user_id, l_partkey AS movie_id, l_quantity AS rating, o_orderdate AS rated_at
         FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""",
     "movies": """
-        SELECT p_partkey AS movie_id, concat(p_name, ' #', CAST(p_partkey AS STRING)) AS title,
+        SELECT CASE WHEN p_partkey % 11 = 0 THEN -1 - p_partkey ELSE p_partkey END AS movie_id,
+               concat(p_name, ' #', CAST(p_partkey AS STRING)) AS title,
                concat_ws('|', p_type, p_brand, split_part(p_name, ' ', 1)) AS genres
-        FROM {part} WHERE p_partkey % 11 <> 0""",
+        FROM {part}""",
     "users": """
-        SELECT c_custkey AS user_id,
+        SELECT CASE WHEN c_custkey % 13 = 0 THEN -1 - c_custkey ELSE c_custkey END AS user_id,
                CASE c_custkey % 3 WHEN 0 THEN 'M' WHEN 1 THEN 'F' ELSE 'X' END AS gender,
                CAST(10 + c_custkey % 60 AS INT) AS age, c_nationkey AS occupation_id
-        FROM {customer} WHERE c_custkey % 13 <> 0""",
+        FROM {customer}""",
     "occupations": """
-        SELECT n_nationkey AS occupation_id, n_name AS occupation FROM {nation} WHERE n_nationkey % 7 <> 0""",
+        SELECT CASE WHEN n_nationkey % 7 = 0 THEN -1 - n_nationkey ELSE n_nationkey END AS occupation_id,
+               n_name AS occupation
+        FROM {nation}""",
+    "text_users": """
+        SELECT CAST(c_custkey AS STRING) AS user_id, CASE c_custkey % 3 WHEN 0 THEN 'M' WHEN 1 THEN 'F' ELSE 'X' END AS gender,
+               CASE WHEN c_custkey % 5 = 0 OR c_custkey % 7 = 0 THEN NULL ELSE CAST(10 + c_custkey % 60 AS INT) END AS age,
+               CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 3 = 0 THEN lpad(CAST(c_nationkey AS STRING), 3, '0')
+                    WHEN c_custkey % 3 = 1 THEN CAST(c_nationkey AS STRING) ELSE concat('K', CAST(c_nationkey AS STRING)) END AS occupation_id
+        FROM {customer}""",
+    "text_occupations": """
+        SELECT CAST(n_nationkey AS STRING) AS occupation_id, concat(n_name, ' 1') AS occupation FROM {nation}
+        UNION ALL SELECT lpad(CAST(n_nationkey AS STRING), 3, '0'), concat(n_name, ' 2') FROM {nation}
+        UNION ALL SELECT concat('K', CAST(n_nationkey AS STRING)), concat(n_name, ' 3') FROM {nation}""",
     "reviews": """
         SELECT d.doc_id AS id, d.text AS review, d.lang AS topic, d.source AS aspect,
                CASE WHEN l.quality = 1 AND d.doc_id % 5 = 0 THEN ' Positive ' WHEN l.quality = 1 THEN 'positive'
@@ -44,15 +57,16 @@ ROLE_SQL: dict[str, str] = {
                CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + INTERVAL 30 DAY END AS carrier_date
         FROM {orders}""",
     "shop_customers": """
-        SELECT c_custkey AS customer_trx_id, n_name AS country
-        FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey WHERE c_custkey % 17 <> 0""",
+        SELECT CASE WHEN c_custkey % 17 = 0 THEN -1 - c_custkey ELSE c_custkey END AS customer_trx_id, n_name AS country
+        FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey""",
     "shop_items": """
         SELECT l_orderkey AS order_id, l_partkey AS product_id, l_suppkey AS seller_id,
                CAST(l_extendedprice AS DECIMAL(18,2)) AS price, CAST(l_quantity AS DECIMAL(18,2)) AS freight,
                CASE WHEN l_linenumber <> 7 THEN l_shipdate END AS shipping_limit_date
         FROM {lineitem}""",
     "shop_products": """
-        SELECT p_partkey AS product_id, p_type AS category FROM {part} WHERE p_partkey % 19 <> 0""",
+        SELECT CASE WHEN p_partkey % 19 = 0 THEN -1 - p_partkey ELSE p_partkey END AS product_id, p_type AS category
+        FROM {part}""",
     "shop_reviews": """
         SELECT event_id AS review_id,
                CASE WHEN event_id % 10 = 0 THEN 'n/a' ELSE regexp_extract(props, '([0-9]+)', 1) END AS review_score

@@ -12,7 +12,6 @@ output (adaptive planner).
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -40,25 +39,6 @@ PLAN_DEFAULTS: dict[str, str] = {
 }
 
 
-def settings_for_input(
-    input_bytes: float,
-    executor_cores: int,
-    target_partition_bytes: int = 128 << 20,
-) -> dict[str, str]:
-    """Planner settings sized for a given input volume (e.g. 100 TB on a
-    1000-executor cluster): enough initial shuffle partitions that each holds
-    about `target_partition_bytes` of the largest shuffle (adaptive execution
-    then coalesces the small ones), scan splits of the same size, and at
-    least two tasks per core so a lost executor costs little rework."""
-    partitions = max(int(input_bytes // target_partition_bytes), 2 * executor_cores, 1)
-    return {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-    }
-
-
 def get_session(
     master: str | None = None,
     app_name: str = "quarry",
@@ -87,28 +67,14 @@ def get_session(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting one only for local runs.
-
-    On a cluster the folder must be the shared one named by
-    `spark.checkpoint.dir` (or already set on the context); a machine-local
-    temporary folder would be lost with the executor that wrote it, so a
-    non-local master without one is an error.
-    """
+    """The shared checkpoint folder: the one already set on the context, else
+    the one that `spark.checkpoint.dir` names, else a sub-folder of the
+    session's warehouse (which every executor of the session can reach)."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at a folder shared by the cluster"
-        )
-    local = tempfile.mkdtemp(prefix="quarry-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    if not sc.getCheckpointDir():
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", f"{warehouse}/checkpoints"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

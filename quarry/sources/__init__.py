@@ -6,11 +6,9 @@ from quarry.sources.delimited import (  # noqa: F401
     read_delimited_rejects,
     read_terms,
     split_fields,
-    spread_small_input,
 )
 from quarry.sources.sinks import (  # noqa: F401
     format_report,
-    read_stage,
     stage,
     to_lines,
     write_csv,

@@ -7,6 +7,7 @@ missing ones are null. Bad-record policy:
 
   on_bad='drop'  lines with too few fields, or a required field that does
                  not parse as its type, are skipped (`try_cast` + filter);
+                 a number is plain decimal (`NaN`, `1e3`, `4d` are none);
   on_bad='null'  unparsable fields become null, the line is kept;
   on_bad='fail'  the first bad line fails the query (ANSI cast /
                  `raise_error`).
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions.scalar import java_trim
+from quarry.functions.scalar import java_trim, parse_double
 
 FieldSpec = Sequence[tuple[str, str]] | T.StructType
 
@@ -43,6 +44,8 @@ def _paths(paths: str | Sequence[str]) -> list[str]:
 def _parse(raw: Column, typ: str, on_bad: str) -> Column:
     if typ == "string":
         return raw
+    if typ in ("double", "float"):
+        return parse_double(raw, "fail" if on_bad == "fail" else "null").cast(typ)
     return raw.cast(typ) if on_bad == "fail" else raw.try_cast(typ)
 
 
@@ -175,20 +178,3 @@ def read_csv_table(
     elif infer:
         reader = reader.option("inferSchema", True).option("samplingRatio", sampling_ratio)
     return reader.csv(_paths(paths))
-
-
-def spread_small_input(df: DataFrame, min_files: int | None = None) -> DataFrame:
-    """Spread rows over the cores before CPU-heavy per-row work when the
-    input comes in fewer files than there are cores.
-
-    A parquet row group is read by one task, so a table stored as one or two
-    files with a single row group each keeps all downstream per-row work in
-    one task until the first shuffle. With fewer input files than
-    `min_files` (default: the default parallelism) the rows are spread
-    round-robin. A large table arrives in many files and is left as it is,
-    so the full-size case never pays this extra shuffle."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= (min_files or cores):
-        return df
-    return df.repartition(cores)

@@ -46,27 +46,39 @@ def read_movies(
                           max_fields=max_fields)
 
 
-def read_users(spark: SparkSession, path: str | Sequence[str], on_bad: str = "drop", trim: bool = True) -> DataFrame:
-    """(user_id, gender, age, occupation_id, zip): a line needs user, gender
-    and a numeric age."""
+def read_users(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    on_bad: str = "drop",
+    trim: bool = True,
+    required: Sequence[str] = ("user_id", "gender"),
+) -> DataFrame:
+    """(user_id, gender, age, occupation_id, zip). A line needs the `required`
+    fields: user and gender, unless an analysis needs more. A missing or
+    unparsable age is null, and the age analyses leave those users out."""
     schema = [("user_id", "string"), ("gender", "string"), ("age", "int"), ("occupation_id", "string"),
               ("zip", "string")]
-    return read_delimited(spark, path, schema, ",", on_bad, trim, required=["user_id", "gender", "age"])
+    return read_delimited(spark, path, schema, ",", on_bad, trim, required=required)
 
 
-def read_occupations(spark: SparkSession, path: str | Sequence[str], trim: bool = True) -> DataFrame:
+def read_occupations(
+    spark: SparkSession, path: str | Sequence[str], trim: bool = True, on_bad: str = "drop"
+) -> DataFrame:
     """(occupation_id, occupation)."""
     schema = [("occupation_id", "string"), ("occupation", "string")]
-    return read_delimited(spark, path, schema, ",", "drop", trim)
+    return read_delimited(spark, path, schema, ",", on_bad, trim)
 
 
-def read_reviews(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def read_reviews(
+    spark: SparkSession, path: str | Sequence[str], on_bad: str = "null", id_type: str = "int"
+) -> DataFrame:
     """(id, review, topic, aspect, sentiment) from `;` text with a declared
     schema: fields untrimmed, an empty field is null, an id that is not a
-    number is null (the row stays), extra fields are ignored."""
-    schema = [("id", "int"), ("review", "string"), ("topic", "string"), ("aspect", "string"),
+    number is null (the row stays), extra fields are ignored. With
+    `id_type='string'` the id is taken as written."""
+    schema = [("id", id_type), ("review", "string"), ("topic", "string"), ("aspect", "string"),
               ("sentiment", "string")]
-    return read_delimited(spark, path, schema, ";", on_bad="null", trim=False, empty_as_null=True)
+    return read_delimited(spark, path, schema, ";", on_bad=on_bad, trim=False, empty_as_null=True)
 
 
 def read_stopwords(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

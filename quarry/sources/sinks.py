@@ -51,7 +51,3 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     the whole directory back (every part file, not just the first)."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def read_stage(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

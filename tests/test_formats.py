@@ -72,3 +72,24 @@ def test_shop_csv_files(spark):
     assert rows(C.revenue_by_category(t["orders"], t["items"], t["products"], 2024)) == [("Toys", 11.75, 1)]
     assert rows(C.score_distribution(t["reviews"])) == [(5, 1)]
     assert rows(C.delivery_classes(t["orders"], t["items"])) == [("Giao tre", 1, 1.0)]
+
+
+def test_users_by_need(spark):
+    """Lines without an age, an occupation or both still hold a gender."""
+    d = folder_with({"users.txt": "1,F,,7,1\n2,F\n3,M,old,K1,3\n4,M,30,07,4\n5\n"})
+    users = X.read_users(spark, f"{d}/users.txt")
+    assert rows(users, "user_id", "gender", "age", "occupation_id") == [
+        ("1", "F", None, "7"), ("2", "F", None, None), ("3", "M", None, "K1"), ("4", "M", 30, "07")]
+    ratings = spark.sql("SELECT CAST(id AS STRING) AS user_id, 'm' AS movie_id, 4.0D AS rating FROM range(1, 6)")
+    movies = spark.sql("SELECT 'm' AS movie_id, 'M' AS title, 'g' AS genres")
+    wide = R.movie_gender_wide(ratings, users, movies).first()
+    assert (wide.n_male, wide.n_female) == (2, 2)
+    ages = R.movie_age_wide(ratings, users, movies).first()
+    assert (ages.avg_18_35, ages.avg_0_18, ages.avg_35_50) == (4.0, 0.0, 0.0)
+
+
+def test_text_occupation_ids_stay_apart(spark):
+    d = folder_with({"users.txt": "1,F,20,07,1\n2,F,20,7,1\n3,F,20,K1,1\n", "occ.txt": "07,Cook\n7,Pilot\nK1,Guard\n"})
+    ratings = spark.sql("SELECT CAST(id AS STRING) AS user_id, 'm' AS movie_id, CAST(id AS DOUBLE) AS rating FROM range(1, 5)")
+    got = R.occupation_rating(ratings, X.read_users(spark, f"{d}/users.txt"), X.read_occupations(spark, f"{d}/occ.txt"))
+    assert rows(got) == [("Cook", 1.0, 1), ("Guard", 3.0, 1), ("Pilot", 2.0, 1), ("Unknown", 4.0, 1)]

@@ -116,28 +116,28 @@ def _spark_dense_rank(df, by, ascending):
     return df.withColumn("expected", F.dense_rank().over(Window.orderBy(order)))
 
 
-def test_global_dense_rank_equals_window(spark):
+def test_dense_rank_equals_window(spark):
     rnd = random.Random(7)
     data = [(i, rnd.choice([None] + list(range(40)))) for i in range(600)]
     df = spark.createDataFrame(data, "id int, v int")
     for ascending in (False, True):
         want = rows(_spark_dense_rank(df, "v", ascending), "id", "expected")
-        ranged = K.global_dense_rank(df, "v", "r", ascending=ascending, num_partitions=7, local_max_rows=None)
-        assert rows(ranged, "id", "r") == want
-        local = K.global_dense_rank(df, "v", "r", ascending=ascending)
-        assert rows(local, "id", "r") == want
+        for parts in (7, None):
+            ranks = K.dense_rank_table(df, "v", "r", ascending=ascending, num_partitions=parts)
+            assert rows(K.attach_rank(df, "v", ranks), "id", "r") == want
 
 
-def test_global_dense_rank_all_equal_and_single_row(spark):
+def test_dense_rank_all_equal_and_single_row(spark):
     df = spark.createDataFrame([(i, 5) for i in range(20)], "id int, v int")
-    assert {r.r for r in K.global_dense_rank(df, "v", "r", num_partitions=4, local_max_rows=None).collect()} == {1}
+    ranks = K.dense_rank_table(df, "v", "r", num_partitions=4)
+    assert {r.r for r in K.attach_rank(df, "v", ranks).collect()} == {1}
     one = spark.createDataFrame([(1, 2.5)], "id int, v double")
-    assert K.global_dense_rank(one, "v", "r").first().r == 1
+    assert K.attach_rank(one, "v", K.dense_rank_table(one, "v", "r")).first().r == 1
 
 
-def test_global_dense_rank_has_no_single_partition_window_over_rows(spark):
+def test_dense_rank_has_no_single_partition_window_over_rows(spark):
     df = spark.range(1000).withColumn("v", F.col("id") % 37)
-    ranks = K.dense_rank_table(df, "v", "r", num_partitions=8, local_max_rows=None)
+    ranks = K.dense_rank_table(df, "v", "r", num_partitions=8)
     ranked = K.attach_rank(df, "v", ranks)
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     # the only un-partitioned window runs over the per-partition counts
@@ -145,13 +145,20 @@ def test_global_dense_rank_has_no_single_partition_window_over_rows(spark):
     assert ranked.count() == 1000
 
 
-def test_broadcast_hints_keep_results(spark):
-    facts = spark.createDataFrame([(1, "the"), (2, "cat"), (3, None)], "k int, word string")
-    look = spark.createDataFrame([(1, "one")], "k int, name string")
-    assert rows(L.attach(facts, look, "k", "default", {"name": "-"}, broadcast=True), "k", "name") == [
-        (1, "one"), (2, "-"), (3, "-")]
-    terms = spark.createDataFrame([("the",)], "word string")
-    assert rows(L.exclude_terms(facts, terms, "word", broadcast=True), "k") == [(2,), (3,)]
+def test_default_takes_the_type_of_the_column(spark):
+    facts = spark.createDataFrame([(1,), (2,), (3,), (4,)], "k int")
+    look = spark.createDataFrame([(1, "07"), (2, "7"), (3, "K1")], "k int, code string")
+    got = L.attach(facts, look, "k", "default", {"code": 0})
+    assert rows(got, "k", "code") == [(1, "07"), (2, "7"), (3, "K1"), (4, "0")]
+
+
+def test_nan_is_never_best(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1, nan, 1.0), (2, 5.0, 2.0), (3, 4.0, nan)], "k int, v double, w double")
+    assert A.best_of(df, "v", tie="k").first().k == 2
+    assert A.best_of(df, "v", tie="k", ascending=True).first().k == 3
+    gaps = df.selectExpr("k", "v", "w", "1 AS nv", "1 AS nw")
+    assert A.biggest_gap(gaps, "v", "w", "nv", "nw", tie="k").first().k == 2
 
 
 def test_best_of_n_and_ascending(spark):

@@ -68,14 +68,8 @@ LARGE_PATH_QUERIES = ["seller_ranking", "movie_gender_wide", "movie_gender_long"
 
 
 @pytest.mark.parametrize("name", LARGE_PATH_QUERIES)
-def test_full_scale_paths_match_oracle(spark, con, monkeypatch, name):
-    """The plans large inputs take: no broadcast joins, the user lookup
-    written and re-shuffled, the dense rank over range partitions."""
-    from quarry.operators import lookup as L
-    from quarry.operators import rank as K
-
-    monkeypatch.setattr(L, "SKEW_SAFE_BROADCAST_ROWS", 0)
-    monkeypatch.setattr(K, "LOCAL_RANK_MAX_ROWS", 0)
+def test_without_broadcasts_matches_oracle(spark, con, name):
+    """The joins that large inputs take: no side is broadcast."""
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     old = {k: spark.conf.get(k) for k in keys}
     try:

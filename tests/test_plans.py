@@ -61,17 +61,44 @@ def test_dense_rank_window_only_over_partition_counts(spark):
     from quarry.operators.rank import attach_rank, dense_rank_table
 
     df = spark.range(5000).withColumn("v", F.col("id") % 97)
-    ranked = attach_rank(df, "v", dense_rank_table(df, "v", "r", num_partitions=8, local_max_rows=None))
+    ranked = attach_rank(df, "v", dense_rank_table(df, "v", "r", num_partitions=8))
     windows = [ln for ln in plan_text(ranked).splitlines() if ln.startswith("Arguments:") and "windowspecdefinition" in ln]
     assert windows and all("__cnt" in ln for ln in windows)
 
 
-def test_dense_rank_local_path_is_bounded(spark):
-    from quarry.operators.rank import LOCAL_RANK_MAX_ROWS, dense_rank_table
+def simple_plan(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
 
-    small = spark.range(100).withColumn("v", F.col("id") % 7)
-    assert "BroadcastExchange" in plan_text(small.join(dense_rank_table(small, "v", "r"), F.col("v") == F.col("__v")))
-    assert LOCAL_RANK_MAX_ROWS <= 1_000_000
+def test_seller_ranking_moves_no_values_to_one_task(spark, q):
+    """What passes through a single-partition exchange of the registered query
+    is counted rows per partition (two ranks, two such counts), never values."""
+    plan = simple_plan(q["seller_ranking"](spark, SF_SMALL)).splitlines()
+    single = [i for i, line in enumerate(plan) if "Exchange SinglePartition" in line]
+    assert len(single) == 2
+    for i in single:
+        assert "HashAggregate(keys=[__pid" in plan[i + 1] and "functions=[count(1)]" in plan[i + 1]
+    windows = [line for line in plan if "windowspecdefinition" in line]
+    assert len(windows) == 2 and all("__cnt" in line for line in windows)
+
+
+def test_roles_keep_every_row(spark):
+    """Unmatched keys come from changed keys, not from dropped rows."""
+    from quarry.roles import role, table
+
+    for name, source in (("movies", "part"), ("users", "customer"), ("occupations", "nation"),
+                         ("shop_customers", "customer"), ("shop_products", "part"), ("text_users", "customer")):
+        assert role(spark, SF_SMALL, name).count() == table(spark, SF_SMALL, source).count()
+    ratings, users = role(spark, SF_SMALL, "ratings"), role(spark, SF_SMALL, "users")
+    unknown = ratings.join(users, "user_id", "left_anti").count()
+    assert 0 < unknown < ratings.count()
+    for facts, lookup, key in (("ratings", "movies", "movie_id"), ("shop_orders", "shop_customers", "customer_trx_id"),
+                               ("shop_items", "shop_products", "product_id"), ("users", "occupations", "occupation_id")):
+        missing = role(spark, SF_SMALL, facts).join(role(spark, SF_SMALL, lookup), key, "left_anti")
+        assert missing.count() > 0
 
 
 def test_invariants(spark, q):

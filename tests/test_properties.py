@@ -86,7 +86,7 @@ def test_age_bands_match_rule(spark, ages):
 )
 def test_dense_rank_range_path_matches_window(spark, values, parts, ascending):
     df = spark.createDataFrame(list(enumerate(values)), "id int, v int")
-    ours = K.global_dense_rank(df, "v", "r", ascending=ascending, num_partitions=parts, local_max_rows=None)
+    ours = K.attach_rank(df, "v", K.dense_rank_table(df, "v", "r", ascending=ascending, num_partitions=parts))
     order = F.col("v").asc() if ascending else F.col("v").desc()
     want = df.withColumn("r", F.dense_rank().over(Window.orderBy(order)))
     assert sorted(tuple(r) for r in ours.select("id", "r").collect()) == sorted(

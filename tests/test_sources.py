@@ -119,23 +119,23 @@ def test_split_limit_keeps_rest_of_line(spark):
     assert full == [(1, "Heat", "The (1995)"), (2, "Up", "Animation")]
 
 
-def test_spread_small_input_only_for_few_files(spark):
-    import contextlib
-    import io
-
-    def plan(df):
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            df.explain()
-        return buf.getvalue()
-
-    one = D.read_terms(spark, write_text(["a", "b", "c"]))
-    assert "RoundRobinPartitioning" in plan(D.spread_small_input(one))
-    folder = tempfile.mkdtemp(prefix="quarry-many-")
-    spark.range(0, 1000, numPartitions=12).selectExpr("CAST(id AS STRING) AS value").write.mode("overwrite").text(folder)
-    many = D.read_terms(spark, folder)
-    assert len(many.inputFiles()) >= 8
-    assert "RoundRobinPartitioning" not in plan(D.spread_small_input(many, min_files=8))
+def test_numbers_are_plain_decimal(spark):
+    path = write_text(["a,1.5", "b,NaN", "c,1e3", "d,4d", "e,Infinity", "f,-2"])
+    schema = [("k", "string"), ("v", "double")]
+    assert rows(D.read_delimited(spark, path, schema)) == [("a", 1.5), ("f", -2.0)]
+    rejects = D.read_delimited_rejects(spark, path, schema)
+    assert {r.reject_reason for r in rejects.collect()} == {"unparsable v"} and rejects.count() == 4
+    with pytest.raises(Exception):
+        D.read_delimited(spark, path, schema, on_bad="fail").collect()
+
+
+def test_one_of_two_sources_may_be_empty(spark):
+    from quarry.plans import files
+
+    one = spark.sql("SELECT 1L AS user_id, 2L AS movie_id, 3.0D AS rating, 4L AS rated_epoch, "
+                    "TIMESTAMP_NTZ'2020-01-01 00:00:00' AS rated_at")
+    assert rows(files.union_sources(spark, one, 1990)) == [(1, 2, 3.0, 4)]
+    assert rows(files.union_sources(spark, one, 2030)) == [(1, 2, 3.0, 4)]
 
 
 def test_multi_character_and_special_separators(spark):

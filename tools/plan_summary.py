@@ -17,11 +17,11 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 COUNTED = {
-    "Exchange": r"\bExchange\b(?! SinglePartition)",
+    "Exchange": r"\bExchange (?!SinglePartition)",
     "BHJ": r"BroadcastHashJoin",
     "SMJ": r"SortMergeJoin",
     "SHJ": r"ShuffledHashJoin",
-    "partial agg": r"^Functions \[\d+\]: \[partial_",
+    "partial agg": r"functions=\[partial_",
     "WindowGroupLimit": r"WindowGroupLimit",
     "TopN": r"TakeOrderedAndProject",
     "Generate": r"\bGenerate\b",
@@ -31,22 +31,37 @@ COUNTED = {
 def plan_text(df) -> str:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        df.explain("formatted")
+        df.explain()
     return buf.getvalue()
 
 
+def through_one_task(lines: list[str]) -> list[str]:
+    """The operator below each single-partition exchange."""
+    found = []
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            below = re.sub(r"^[\s:|+*()\d-]*", "", lines[i + 1])
+            kind = re.match(r"\w+", below)[0]
+            detail = re.search(r"keys=\[([^\]]*)\], functions=\[([^\]]*)\]", below)
+            if detail and not detail[1]:
+                found.append("partial sums (a row a task)")
+            elif detail:
+                found.append(f"{kind} by {re.sub(r'#[0-9]+L?', '', detail[1])}")
+            else:
+                found.append(kind)
+    return found
+
+
 def summarise(text: str) -> dict[str, int | str]:
-    tree, _, details = text.partition("\n\n")
-    out: dict[str, int | str] = {}
-    for name, pattern in COUNTED.items():
-        source = details if name == "partial agg" else tree
-        out[name] = len(re.findall(pattern, source, flags=re.M))
+    lines = text.splitlines()
+    out: dict[str, int | str] = {name: len(re.findall(pattern, text)) for name, pattern in COUNTED.items()}
     pushed = [
-        f for m in re.findall(r"PushedFilters: \[(.*?)\]$", details, flags=re.M) for f in re.split(r", (?=[A-Z])", m)
+        f for m in re.findall(r"PushedFilters: \[(.*?)\]", text) for f in re.split(r", (?=[A-Z])", m)
         if f and not f.startswith("IsNotNull")
     ]
     out["pushed ranges/equalities"] = "yes" if pushed else ""
-    out["single-partition exchange"] = len(re.findall(r"Exchange SinglePartition", tree))
+    single = through_one_task(lines)
+    out["single-partition exchange"] = f"{len(single)}: " + ", ".join(sorted(set(single))) if single else 0
     return out
 
 
