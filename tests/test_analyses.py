@@ -150,7 +150,8 @@ def test_summary_metrics_and_delivery(spark):
     assert metrics == {"total_orders": 3, "distinct_customers": 3, "distinct_sellers": 3}
     assert rows(C.orders_by_country(orders, customers)) == [("DE", 2), (None, 1)]
     summary = C.delivery_summary(orders, items).first()
-    assert tuple(summary) == (3, 0.0, -1, 1, 2, 1)
+    assert (summary.total_orders, summary.avg_diff_days, summary.min_diff_days, summary.max_diff_days,
+            summary.on_time_or_early, summary.late_deliveries) == (3, 0.0, -1, 1, 2, 1)
     classes = rows(C.delivery_classes(orders, items))
     assert classes == [("Dung han", 1, 0.0), ("Giao som", 1, -1.0), ("Giao tre", 1, 1.0)]
     rev = rows(C.revenue_by_category(orders, items, spark.createDataFrame([(5, "X"), (6, "Y")],
