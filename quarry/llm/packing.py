@@ -43,9 +43,9 @@ WINDOW = 4096
 SMALL = 256
 STEP = 16
 
-_WORDS_KEPT = 300_000  # of each of two generations of tokenized words in a task
-_STEMS_KEPT = 200_000
-_LONGEST_WORD = 64
+_WORDS_KEPT = 2_500_000  # tokenized words that a worker process remembers
+_IDS_KEPT = 16_000_000  # and their ids
+_STEMS_KEPT = 200_000  # of each of two generations
 
 # On a line of its own: a run of letters that lower case and Unicode composition
 # leave in place one by one, then ASCII punctuation without the apostrophe of
@@ -53,6 +53,48 @@ _LONGEST_WORD = 64
 _PLAIN = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]{1,64})([!-&(-/:-@\[-`{-~]{0,16})|.*)$", re.M)
 
 
+class Store:
+    """Ids by the hash of their word, in sorted arrays: 20 bytes a word and 4
+    an id. A full store starts anew."""
+
+    def __init__(self):
+        self.hashes = np.zeros(0, np.uint64)
+        self.begins = np.zeros(0, np.int64)
+        self.sizes = np.zeros(0, np.int32)
+        self.pool = np.zeros(1 << 16, np.uint32)
+        self.used = 0
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Begin and size in the pool of each word's ids, and whether it is known."""
+        if not len(self.hashes):
+            n = len(hashes)
+            return np.zeros(n, np.int64), np.zeros(n, np.int32), np.zeros(n, bool)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return self.begins[at], self.sizes[at], self.hashes[at] == hashes
+
+    def add(self, hashes: np.ndarray, ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and size of each of the new words' ids."""
+        data = np.frombuffer(b"".join(ids), dtype="<u4")
+        sizes = (np.fromiter(map(len, ids), np.int64, len(ids)) // 4).astype(np.int32)
+        begins = self.used + np.cumsum(sizes, dtype=np.int64) - sizes
+        if self.used + len(data) > len(self.pool):
+            grown = np.zeros(max(2 * len(self.pool), self.used + len(data)), np.uint32)
+            grown[: self.used] = self.pool[: self.used]
+            self.pool = grown
+        self.pool[self.used : self.used + len(data)] = data
+        self.used += len(data)
+        merged = np.concatenate([self.hashes, hashes])
+        order = np.argsort(merged, kind="stable")
+        self.hashes = merged[order]
+        self.begins = np.concatenate([self.begins, begins])[order]
+        self.sizes = np.concatenate([self.sizes, sizes])[order]
+        return begins, sizes
+
+    @property
+    def full(self) -> bool:
+        return len(self.hashes) > _WORDS_KEPT or self.used > _IDS_KEPT
+
+
 class WordTokens:
     """Token ids of texts by a tokenizer whose tokens never reach across white
     space and whose words end in tokens of their own: the distinct words of a
@@ -66,7 +108,7 @@ class WordTokens:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words = Generations(_WORDS_KEPT)
+        self.words = Store()
         self.stems = Generations(_STEMS_KEPT)
         self.tails = {"": b""}
 
@@ -110,21 +152,16 @@ class WordTokens:
         """Ids of all texts, and the n + 1 positions in them where each begins."""
         words = Words(column)
         hashes, which, first = distinct_words(words)
-        ids = self.words.find(hashes)
-        new = [i for i, x in enumerate(ids) if x is None]
-        if new:
-            learned = self._learn(words.strings(first[new]))
-            for i, x in zip(new, learned, strict=True):
-                ids[i] = x
-            short = [(hashes[i], x) for i, x in zip(new, learned, strict=True) if len(x) <= 4 * _LONGEST_WORD]
-            self.words.add([h for h, _ in short], [x for _, x in short])
-        pool = np.frombuffer(b"".join(ids), dtype="<u4")
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        begins = np.cumsum(sizes) - sizes
+        if self.words.full:
+            self.words = Store()
+        begins, sizes, known = self.words.find(hashes)
+        new = np.flatnonzero(~known)
+        if len(new):
+            begins[new], sizes[new] = self.words.add(hashes[new], self._learn(words.strings(first[new])))
         size = sizes[which]
-        stops = np.concatenate([[0], np.cumsum(size)])
+        stops = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
         at = np.repeat(begins[which] - stops[:-1], size) + np.arange(stops[-1])
-        return pool[at], stops[words.docs]
+        return self.words.pool[at], stops[words.docs]
 
 
 @lru_cache(maxsize=2)
@@ -154,7 +191,7 @@ def cut_documents(
         tokens, chunk = word_tokens(tokenizer_path), TaskContext.get().partitionId()
         seen = np.zeros(window + 1, dtype=np.int64)
         for batch in batches:
-            for part in portions(batch, 1):
+            for part in portions(batch, 1, 8 << 20):
                 rows = []
                 found, stops = tokens.many(part.column(1))
                 data, stops = found.tobytes(), stops.tolist()

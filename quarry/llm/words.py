@@ -121,14 +121,14 @@ class Words:
         return [data[a:b].decode() for a, b in spans]
 
 
-def distinct_words(words: Words) -> tuple[list[int], np.ndarray, np.ndarray]:
+def distinct_words(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct hashes of a batch's words, for each word the index of its
     hash among them, and for each of them the position of its first word."""
     coded = pa.array(words.hashes).dictionary_encode()
     which = coded.indices.to_numpy()
     first = np.empty(len(coded.dictionary), dtype=np.int64)
     first[which[::-1]] = np.arange(len(which) - 1, -1, -1)
-    return coded.dictionary.to_pylist(), which, first
+    return coded.dictionary.to_numpy(), which, first
 
 
 class Generations:
