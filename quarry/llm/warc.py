@@ -255,7 +255,8 @@ def _parsed(cut: bool):
                     if (number is not None) != cut:
                         continue
                     kind, own = fields["warc-type"], fields["warc-record-id"]
-                    body = block if cut else payload_of(block)
+                    # a revisit's block is a head without the body it stands for
+                    body = block if cut else b"" if kind == "revisit" else payload_of(block)
                     out.append(
                         (
                             own,
