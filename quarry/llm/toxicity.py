@@ -5,7 +5,8 @@ many endings together mark toxic text. It is a trie, and a word is looked up by
 the intersection of the trie with the word's Levenshtein automaton: the states
 are sets of (trie node, edits so far), made as words need them and remembered,
 so a word costs one step per letter until no term can be near it. Terms of 5
-letters or more allow one edit, of 9 or more two; shorter ones must match.
+letters or more allow one edit, of 9 or more two; shorter ones must match, and
+so must the first letter.
 
 Each hit is weighed by a window of words around it: a hit between quotation
 marks, or near words that report speech, counts as quotation and less than
@@ -13,7 +14,8 @@ abuse. Sums of weights of exact and of misspelled hits, overall and per word,
 become a score by logistic calibration.
 
 Fitting reads at most `per_class` labelled documents of each class (smallest
-hash of the id, held-out fold excluded) and keeps at most `most_terms` entries.
+hash of the id, held-out fold excluded), leaves out near copies among them, and
+keeps at most `most_terms` entries.
 Scoring is a map over all whole texts; its memory is one portion of a batch.
 
 Defined cases: a null text is empty; a text without words has no hits and the
@@ -34,9 +36,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import label_sample, text_or_empty
+from quarry.llm.common import label_sample, staged, text_or_empty
 from quarry.llm.scoring import Logistic, fit_logistic
-from quarry.llm.words import Generations, Words, distinct_words, parts
+from quarry.llm.words import Generations, Words, _stream, distinct_words, parts, portions, shingle_sets
 
 CONTEXT = 6  # words on each side
 QUOTED = 0.25  # weight of a hit that is quoted or reported
@@ -49,6 +51,7 @@ REPORTS = frozenset(
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _STATES_KEPT = 50_000
+_ODD = _stream(8, 5) | np.uint64(1)
 _WORDS_KEPT = 300_000
 LONGEST_TERM = 40
 
@@ -97,7 +100,7 @@ class Automaton:
 
     def _closed(self, least: dict[int, int]) -> frozenset:
         """Adds the nodes that skipping letters of a term reaches."""
-        todo = list(least)
+        todo = [node for node in least if node]  # the first letter is never skipped
         while todo:
             node = todo.pop()
             edits = least[node] + 1
@@ -117,6 +120,10 @@ class Automaton:
     def _step(self, name: int, letter: str) -> int:
         least: dict[int, int] = {}
         for node, edits in self.sets[name]:
+            if not node:
+                if letter in self.children[0]:
+                    least[self.children[0][letter]] = 0
+                continue
             if edits < self.most[node] and edits + 1 < least.get(node, 99):
                 least[node] = edits + 1  # a letter too many
             for other, child in self.children[node].items():
@@ -174,6 +181,7 @@ class Hits:
         the share of hits among its words."""
         words = Words(column)
         hashes, which, first = distinct_words(words)
+        hashes = hashes.tolist()
         near = self.known.find(hashes)
         new = [i for i, x in enumerate(near) if x is None]
         if new:
@@ -208,6 +216,33 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+BANDS = 3
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """y, body and MinHash values of the body's word shingles."""
+    for batch in batches:
+        for part in portions(batch, 1):
+            sets = shingle_sets(Words(part.column(1), lower=True))
+            marks = [[int(s[0] if k == 0 else (s * _ODD[k]).min()) >> 1 if len(s) else 0 for s in sets] for k in range(BANDS)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), *(pa.array(m, pa.int64()) for m in marks)],
+                ["y", "body", *(f"m{k}" for k in range(BANDS))],
+            )
+
+
+def _without_near_copies(rows: DataFrame) -> DataFrame:
+    """(y, body): of texts of one class that share a MinHash value, one stays,
+    so that the odd words of one text copied with small changes do not look
+    like words of many toxic texts."""
+    names = [f"m{k}" for k in range(BANDS)]
+    thin = rows.mapInArrow(_marks, "y int, body string, " + ", ".join(f"{m} long" for m in names))
+    for m in names:
+        one = F.min(F.struct(F.xxhash64("body").alias("h"), "body", *names)).alias("one")
+        thin = thin.groupBy("y", F.col(m).alias("by")).agg(one).select("y", "one.body", *[f"one.{x}" for x in names])
+    return thin.select("y", "body")
+
+
 def choose_entries(counts: list[tuple[str, int]], most_terms: int) -> Lexicon:
     """Terms and stems from (entry, toxic texts that hold it): a stem counts
     only if no single word explains it, the longest of equal ones is taken, and
@@ -247,15 +282,11 @@ def fit_toxicity(
     text_col: str = "text",
 ) -> ToxicityModel:
     sample = label_sample(labels, label, per_class, id_col)
-    # at most 2 * per_class rows; many copies of one text count once
-    chosen = (
-        docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("body"))
-        .join(F.broadcast(sample), "id")
-        .select("y", "body")
-        .distinct()
-    )
+    # at most 2 * per_class rows
+    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("body")).join(F.broadcast(sample), "id")
+    chosen = staged(_without_near_copies(rows.select("y", "body")), "toxicity-sample")
     n_toxic = chosen.where("y = 1").count()
-    least = max(4, int(least_share * n_toxic))
+    least = max(5, int(least_share * n_toxic))
     counts = (
         chosen.mapInArrow(_entries, "entry string, y int")
         .groupBy("entry")
@@ -270,7 +301,11 @@ def fit_toxicity(
     x = np.array([r.x for r in measured], dtype=float).reshape(len(measured), 3)
     y = np.array([r.y for r in measured], dtype=float)
     order = np.lexsort([*x.T, y])  # the sums do not depend on the order of arrival
-    return ToxicityModel(lexicon, fit_logistic(x[order], y[order]))
+    x, y = x[order], y[order]
+    # A hit never speaks for a text: what would is left out of the calibration.
+    while min((calibration := fit_logistic(x, y)).weights[1:]) < 0:
+        x[:, int(np.argmin(calibration.weights[1:]))] = 0.0
+    return ToxicityModel(lexicon, calibration)
 
 
 def row_parts(column: pa.Array) -> list[pa.Array]:
