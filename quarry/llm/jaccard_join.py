@@ -10,8 +10,9 @@ between sets:
   shingles in a fixed number of hash cells) and a set is listed under its
   prefix, the shingles of which a linked set must hold one.
 * Block skips: a list is cut into blocks of set sizes, and a set meets only
-  its own block and the next; positions in the two prefixes bound the overlap,
-  and pairs whose bound is too small are skipped. Lists with the same members
+  its own block and the next; positions in the two prefixes and the number of
+  shared prefix shingles bound the overlap, and pairs whose bound is too small
+  are skipped. Lists with the same members
   are one list, that of their first shingle.
 * Derived answers: in each list all sets are first compared with one pivot,
   the set with the fewest shingles before the list's. The sets that link with
@@ -21,17 +22,19 @@ between sets:
   copies costs one comparison for each copy, not one for each pair.
 
 Scale: five passes over the texts, none shuffles text. Prefix shingles are
-shuffled once (24 bytes each) to find those that two classes share; a Bloom
-filter of these lets the later passes emit little more than what meets. Hot
-lists are aggregated before their shuffle and joined through written tables.
-Pairs, links and components stay distributed.
+shuffled once (16 bytes each) to find those that two classes share; a Bloom
+filter of these lets the next pass emit little more than what meets, and one of
+row keys lets the comparisons read again only the texts they need. Hot lists
+are aggregated before their shuffle and joined through written tables. Pairs,
+links and components stay distributed.
 
 Defined cases: a null text is empty; a text without words links with nothing
 and is its own component; fewer than five words are one shingle; a null id
 never is a component's smallest id unless no other id is there (then the
 component is null); rows that repeat id or text are documents like any other;
 very long texts are sets like any other. Other columns are never read.
-Classes and shingles are told apart by 64-bit hashes.
+Classes are told apart by 64-bit hashes, shingles within a text too, and in the
+comparison of two texts by 40 of these bits.
 """
 
 from __future__ import annotations
@@ -53,7 +56,7 @@ from quarry.llm.words import Words, portions, shingle_sets
 
 SHINGLE = 5
 # The threshold 0.75 as 3 / 4, and as 3 / 7 of the sum of the sizes.
-CELLS = 20  # bits: a million cells count the shingles
+CELLS = 21  # bits: two million cells count the shingles
 _LAST_ID = 9223372036854775807
 _BLOCK = math.log(1.34)  # sizes of linked sets differ by 4 / 3 at most, so blocks by one
 
@@ -68,10 +71,6 @@ def prefix_length(n: int) -> int:
     return n - -(-3 * n // 4) + 1
 
 
-def needed_overlap(a: Column, b: Column) -> Column:
-    return F.ceil((a + b) * 3 / F.lit(7))
-
-
 def _sizes_fit(a: str, b: str) -> Column:
     return (F.col(a) * 4 >= F.col(b) * 3) & (F.col(b) * 4 >= F.col(a) * 3)
 
@@ -95,11 +94,12 @@ def _members(size: int):
     names = ["doc_id", "key", "n_shingles", "class", "counts"]
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << CELLS, dtype=np.int64)
+        counts = np.zeros(1 << CELLS, dtype=np.int32)
         for part, sets in _sets(batches, size, 2):
             if sets:
                 cells = (np.concatenate(sets) >> np.uint64(64 - CELLS)).astype(np.int64)
-                counts += np.bincount(cells, minlength=1 << CELLS)
+                cells, times = np.unique(cells, return_counts=True)
+                counts[cells] += times.astype(np.int32)
             n = len(sets)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -119,9 +119,14 @@ def _members(size: int):
     return members
 
 
+def capped_sum(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sum of two arrays of counts, at most 2**31 - 1 each."""
+    return np.minimum(a.astype(np.int64) + b, np.iinfo(np.int32).max).astype(np.int32)
+
+
 def _levels(counts: np.ndarray) -> np.ndarray:
     """Frequency of each cell in quarters of an octave, from 0 to 127."""
-    return np.minimum(np.round(4 * np.log2(counts + 1)), 127).astype(np.uint64)
+    return np.minimum(np.round(4 * np.log2(counts.astype(np.float64) + 1)), 127).astype(np.uint64)
 
 
 def ordered(shingles: np.ndarray, levels: np.ndarray) -> np.ndarray:
@@ -165,23 +170,32 @@ def _prefixes(size: int, levels, shared):
     return prefixes
 
 
-def _wanted_sets(size: int, wanted):
-    """(class, shingles) of texts whose class the filter lets pass."""
+def packed(shingles: np.ndarray) -> bytes:
+    """A sorted set's leading 40 bits, 5 bytes each."""
+    return (shingles >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
 
-    def wanted_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for _, sets in _sets(batches, size, 0):
-            names = np.array([class_of(s) for s in sets], dtype=np.int64)
-            rows = []
-            for i in np.flatnonzero(contains(wanted.value, names)).tolist() if len(names) else []:
-                if len(sets[i]) and int(names[i]) not in seen:
-                    seen.add(int(names[i]))
-                    rows.append(i)
-            yield pa.RecordBatch.from_pydict(
-                {"class": names[rows], "shingles": pa.array([sets[i].tobytes() for i in rows], pa.binary())}
-            )
 
-    return wanted_sets
+def unpacked(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // 5, 8), dtype=np.uint8)
+    wide[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    return wide.view("<u8").ravel()
+
+
+def _near_sets(size: int, wanted):
+    """(class, shingles) of the texts whose row key the filter lets pass."""
+
+    def near_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = batch.filter(pa.array(contains(wanted.value, batch.column(0).to_numpy())))
+            for _, sets in _sets(iter([near]), size, 1):
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "class": pa.array([class_of(s) for s in sets], pa.int64()),
+                        "shingles": pa.array([packed(s) for s in sets], pa.binary()),
+                    }
+                )
+
+    return near_sets
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -196,18 +210,18 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
-        for x, y in zip(batch.column(2), batch.column(3), strict=True):
-            rows.append(linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)))
+        rows = [linked(unpacked(x.as_py()), unpacked(y.as_py())) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(rows, pa.bool_())], ["a", "b", "linked"]
         )
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, linked of every pair, by the whole sets."""
-    names = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    near = staged(sets.where(maybe_in(bloom(names, "class"), F.col("class"))).dropDuplicates(["class"]), "near-sets")
+def _verified(pairs: DataFrame, members: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """a, b, linked of every pair, by the whole sets. One text of each class is
+    read again; the filter lets only those texts pass, and few others."""
+    names = staged(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "compared-classes")
+    keys = members.join(names, "class").groupBy("class").agg(F.min("key").alias("key"))
+    near = staged(texts.mapInArrow(_near_sets(size, bloom(keys, "key")), "class long, shingles binary"), "near-sets")
     one = near.select(F.col("class").alias("a"), F.col("shingles").alias("x"))
     two = near.select(F.col("class").alias("b"), F.col("shingles").alias("y"))
     return staged(
@@ -233,9 +247,33 @@ def _labelled(lists: DataFrame, components: DataFrame | None) -> DataFrame:
     return staged(named.join(staged(still_open, "open"), ["key", "block"]), "open-lists")
 
 
+def _block(size: str) -> Column:
+    return F.floor(F.log(F.col(size)) / _BLOCK).cast("int")
+
+
+def _near(pairs: DataFrame, lists: DataFrame) -> DataFrame:
+    """The pairs whose shared prefix shingles leave the needed overlap possible.
+    All shared shingles up to the end of the prefix that ends first are in both
+    prefixes, so the overlap is at most the number of shared prefix shingles
+    and what one of the sets has after its prefix."""
+    one = lists.select("key", "block", "weight", F.col("class").alias("a"), F.col("size").alias("size_a"))
+    two = lists.select("key", "block", F.col("class").alias("b"), F.col("size").alias("size_b"))
+    rest = F.greatest(F.ceil(F.col("size_a") * 3 / 4), F.ceil(F.col("size_b") * 3 / 4)) - 1
+    return (
+        pairs.join(one, "a")
+        .join(two, ["b", "key", "block"])
+        .where(F.col("block") == F.greatest(_block("size_a"), _block("size_b")))  # each shingle once
+        .groupBy("a", "b", "size_a", "size_b")
+        .agg(F.sum("weight").alias("shared"))
+        .where((F.col("shared") + rest) * 7 >= (F.col("size_a") + F.col("size_b")) * 3)
+        .select("a", "b")
+    )
+
+
 def _index_lists(texts: DataFrame, size: int, levels) -> DataFrame:
-    """key, block, class, size, at: the index lists with two classes or more,
-    one of each group of lists with the same members."""
+    """key, block, weight, class, size, at: the index lists with two classes or
+    more, one of each group of lists with the same members, and how many lists
+    it stands for."""
     shared = staged(
         texts.mapInArrow(_prefixes(size, levels, None), "key long, class long")
         .groupBy("key")
@@ -244,7 +282,7 @@ def _index_lists(texts: DataFrame, size: int, levels) -> DataFrame:
         .select("key"),
         "shared-shingles",
     )
-    block = F.floor(F.log(F.col("size")) / _BLOCK).cast("int")
+    block = _block("size")
     postings = staged(
         texts.mapInArrow(_prefixes(size, levels, bloom(shared, "key")), "key long, class long, size int, at int")
         .groupBy("key", "class")
@@ -256,14 +294,13 @@ def _index_lists(texts: DataFrame, size: int, levels) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.bit_xor("class").alias("x"),
-            F.bit_xor(F.xxhash64("class")).alias("y"),
             F.min("class").alias("low"),
             F.max("class").alias("high"),
         )
         .where("low < high")
-        .groupBy("block", "n", "x", "y", "low", "high")
-        .agg(F.min("key").alias("key"))
-        .select("key", "block")
+        .groupBy("block", "n", "x", "low", "high")
+        .agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("weight"))
+        .select("key", "block", "weight")
     )
     lists = staged(lists, "lists").withColumn("list", F.xxhash64("key", "block"))
     near = postings.where(maybe_in(bloom(lists, "list"), F.xxhash64("key", "block")))
@@ -286,16 +323,14 @@ def _named_members(docs: DataFrame, size: int, rounds: int, id_col: str, text_co
     counts = (
         read.where(F.col("counts").isNotNull())
         .select("counts")
-        .rdd.map(lambda r: np.frombuffer(zstandard.decompress(r.counts), np.int64))
+        .rdd.map(lambda r: np.frombuffer(zstandard.decompress(r.counts), np.int32))
     )
-    zero = np.zeros(1 << CELLS, dtype=np.int64)
-    levels = spark.sparkContext.broadcast(_levels(counts.treeAggregate(zero, np.add, np.add)))
+    zero = np.zeros(1 << CELLS, dtype=np.int32)
+    levels = spark.sparkContext.broadcast(_levels(counts.treeAggregate(zero, capped_sum, capped_sum)))
     members = read.where(F.col("counts").isNull()).drop("counts")
 
-    texts = rows.select("body")
-    lists = _index_lists(texts, size, levels)
-    wanted = bloom(lists.select("class").distinct(), "class")
-    sets = staged(texts.mapInArrow(_wanted_sets(size, wanted), "class long, shingles binary"), "sets")
+    lists = _index_lists(rows.select("body"), size, levels)
+    texts = rows.select("key", "body")
 
     done = links = components = None
     for turn in range(rounds + 1):
@@ -326,8 +361,9 @@ def _named_members(docs: DataFrame, size: int, rounds: int, id_col: str, text_co
         )
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
-        verified = _verified(staged(pairs, "pairs"), sets)
-        done = verified.select("a", "b") if done is None else done.unionByName(verified.select("a", "b"))
+        pairs = staged(pairs, "pairs")
+        done = pairs if done is None else done.unionByName(pairs)
+        verified = _verified(staged(_near(pairs, lists), "near-pairs"), members, texts, size)
         new = verified.where("linked").select("a", "b")
         links = new if links is None else links.unionByName(new)
         components = connected_components(links, "a", "b")
@@ -351,7 +387,7 @@ def _smallest(with_words: DataFrame) -> DataFrame:
 
 
 def similarity_classes(
-    docs: DataFrame, size: int = SHINGLE, rounds: int = 2, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, size: int = SHINGLE, rounds: int = 1, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, component_size per row: its number of
     shingles, the smallest id it reaches, itself included, and the number of
@@ -370,7 +406,7 @@ def similarity_classes(
 
 
 def drop_near_copies(
-    docs: DataFrame, size: int = SHINGLE, rounds: int = 2, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, size: int = SHINGLE, rounds: int = 1, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The rows of `docs` without near copies, with all their columns: of each
     component the row with the smallest id stays, and all texts without words."""
