@@ -1,4 +1,4 @@
-"""Summarise the physical plan of every registered query, twice: with the
+"""Summarise the physical plan of every analysis query, twice: with the
 default broadcast thresholds at sf0.1, and with broadcasts disabled (the
 shape the dimension joins take when the tables are too large to broadcast,
 as at ~100 TB). Writes a markdown table to stdout.
@@ -67,11 +67,10 @@ def summarise(text: str) -> dict[str, int | str]:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    import __spark_entry__ as entry
+    from quarry.plans.registry import QUERIES as queries
     from quarry.session import get_session
 
     spark = get_session("local[8]", shuffle_partitions=16)
-    queries = entry.queries()
     rows = []
     for name in sorted(queries):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
