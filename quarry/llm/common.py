@@ -10,7 +10,7 @@ when its real size on disk is under `spark.sql.autoBroadcastJoinThreshold`.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.session import scratch_path
@@ -20,6 +20,7 @@ SPACES = " \t\n\x0b\f\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 FOLDS = 5
+BATCH_BYTES = 8 << 20
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -29,6 +30,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """`df`, a table that grows with the corpus, as the side of a join with
+    texts: joined by the same shuffle at every size, small inputs included."""
+    return df.hint("merge")
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand texts to Python workers in batches of at most BATCH_BYTES."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -36,16 +36,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import staged, text_or_empty
+from quarry.llm.common import bounded_batches, staged, text_or_empty
 from quarry.llm.words import Generations, Words, distinct_words, portions
 
 WINDOW = 4096
 SMALL = 256
 STEP = 16
 
-_WORDS_KEPT = 2_500_000  # tokenized words that a worker process remembers
-_IDS_KEPT = 16_000_000  # and their ids
-_STEMS_KEPT = 200_000  # of each of two generations
+_WORDS_KEPT = 1_200_000  # tokenized words that a worker process remembers
+_IDS_KEPT = 6_000_000  # and their ids
+_STEMS_KEPT = 150_000  # of each of two generations
+_AT_ONCE = 20_000  # runs of letters tokenized in one call
 
 # On a line of its own: a run of letters that lower case and Unicode composition
 # leave in place one by one, then ASCII punctuation without the apostrophe of
@@ -120,8 +121,9 @@ class WordTokens:
         """Ids of runs of letters, tokenized as one text and cut at the tokens
         that end a word."""
         found = dict(zip(stems, self.stems.find(stems), strict=True))
-        new = [s for s, ids in found.items() if ids is None]
-        if new:
+        unknown = [s for s, ids in found.items() if ids is None]
+        for at in range(0, len(unknown), _AT_ONCE):
+            new = unknown[at : at + _AT_ONCE]
             encoding = self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0]
             ids = np.array(encoding.ids, dtype="<u4")
             stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
@@ -181,6 +183,7 @@ def cut_documents(
     """doc_id, start, length, doc_tokens, ids (little-endian unsigned 32-bit)
     of each piece, and the place it was cut at: chunk, at (a number within the
     chunk and length class)."""
+    bounded_batches(docs.sparkSession)
     end = np.array([end_id], dtype="<u4").tobytes()
     schema = pa.schema(
         [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()),
@@ -191,7 +194,7 @@ def cut_documents(
         tokens, chunk = word_tokens(tokenizer_path), TaskContext.get().partitionId()
         seen = np.zeros(window + 1, dtype=np.int64)
         for batch in batches:
-            for part in portions(batch, 1, 8 << 20):
+            for part in portions(batch, 1, 4 << 20):
                 rows = []
                 found, stops = tokens.many(part.column(1))
                 data, stops = found.tobytes(), stops.tolist()
