@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import SPACES, row_key, staged, text_or_empty
+from quarry.llm.common import SPACES, by_shuffle, row_key, staged, text_or_empty
 
 WINDOW = 2
 DIVISOR = 3
@@ -131,7 +131,7 @@ def remove_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: st
     nothing = F.array().cast("array<struct<start: int, n: int>>")
     gone = lambda i: F.exists("removed", lambda c: (i >= c["start"]) & (i < c["start"] + c["n"]))
     return (
-        texts.join(removed, "key", "left")
+        texts.join(by_shuffle(removed), "key", "left")
         .select("doc_id", "lines", F.coalesce("removed", nothing).alias("removed"))
         .select(
             "doc_id",
