@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import SPACE_CLASS, SPACES, row_key, staged, text_or_empty
+from quarry.llm.common import SPACE_CLASS, SPACES, by_shuffle, row_key, staged, text_or_empty
 
 SHINGLE = 5
 
@@ -134,4 +134,4 @@ def drop_leaks(
         find_leaks(docs, benchmark, id_col, text_col, item_col, item_text_col).select("key").distinct(), "leaks"
     )
     rows = docs.select(F.struct("*").alias("row"), row_key(id_col, text_col).alias("key"))
-    return rows.join(leaks, "key", "left_anti").select("row.*")
+    return rows.join(by_shuffle(leaks), "key", "left_anti").select("row.*")

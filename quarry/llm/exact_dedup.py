@@ -22,7 +22,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import SPACE_CLASS, staged, text_or_empty
+from quarry.llm.common import SPACE_CLASS, by_shuffle, staged, text_or_empty
 
 _LAST_ID = 9223372036854775807
 _ID_SPAN = Decimal(2**65)  # code points weigh more than any id
@@ -91,4 +91,4 @@ def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         "row", "id", "hash", F.sha2("body", 256).alias("sha")
     )
     stays = F.col("group_size").isNull() | F.col("keep_id").eqNullSafe(F.col("id"))
-    return rows.join(groups, ["hash", "sha"], "left").where(stays).select("row.*")
+    return rows.join(by_shuffle(groups), ["hash", "sha"], "left").where(stays).select("row.*")

@@ -49,7 +49,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import staged, text_or_empty
+from quarry.llm.common import bounded_batches, by_shuffle, staged, text_or_empty
 from quarry.llm.components import connected_components
 from quarry.llm.filters import bloom, contains, maybe_in
 from quarry.llm.words import Words, portions, shingle_sets
@@ -126,14 +126,14 @@ def capped_sum(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _levels(counts: np.ndarray) -> np.ndarray:
     """Frequency of each cell in quarters of an octave, from 0 to 127."""
-    return np.minimum(np.round(4 * np.log2(counts.astype(np.float64) + 1)), 127).astype(np.uint64)
+    return np.minimum(np.round(4 * np.log2(counts + 1.0)), 127).astype(np.uint8)
 
 
 def ordered(shingles: np.ndarray, levels: np.ndarray) -> np.ndarray:
     """Keys of a set's shingles in the global order, from rare to frequent; the
     key (positive as a signed number) names the shingle."""
-    key = levels[(shingles >> np.uint64(64 - CELLS)).astype(np.int64)] << np.uint64(56) | shingles >> np.uint64(8)
-    return np.sort(key)
+    level = levels[(shingles >> np.uint64(64 - CELLS)).astype(np.int64)].astype(np.uint64)
+    return np.sort(level << np.uint64(56) | shingles >> np.uint64(8))
 
 
 def _prefixes(size: int, levels, shared):
@@ -210,7 +210,8 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [linked(unpacked(x.as_py()), unpacked(y.as_py())) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+        pairs = zip(batch.column(2), batch.column(3), strict=True)
+        rows = [linked(unpacked(x.as_py()), unpacked(y.as_py())) for x, y in pairs]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(rows, pa.bool_())], ["a", "b", "linked"]
         )
@@ -314,6 +315,7 @@ def _row_key(id_col: str, text_col: str) -> Column:
 def _named_members(docs: DataFrame, size: int, rounds: int, id_col: str, text_col: str) -> DataFrame:
     """doc_id, key, n_shingles, class, component (a class) of every row."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), _row_key(id_col, text_col).alias("key"), text_or_empty(text_col).alias("body")
     )
@@ -422,4 +424,4 @@ def drop_near_copies(
         F.struct("*").alias("row"), _row_key(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("doc_id")
     )
     same = (F.col("key") == F.col("gone_key")) & F.col("doc_id").eqNullSafe(F.col("gone_id"))
-    return rows.join(gone, same, "left_anti").select("row.*")
+    return rows.join(by_shuffle(gone), same, "left_anti").select("row.*")

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import text_or_empty
+from quarry.llm.common import bounded_batches, text_or_empty
 from quarry.llm.toxicity import row_parts
 from quarry.llm.words import _mix, _stream, Words, windows
 
@@ -221,6 +221,8 @@ def scan_licenses(
     """doc_id, license, first_word, last_word (exclusive; words of letters and
     digits, from 0) and containment of every notice found."""
 
+    bounded_batches(docs.sparkSession)
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = length_classes(templates)
         for batch in batches:

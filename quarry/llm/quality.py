@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import FOLDS, label_sample, text_or_empty
+from quarry.llm.common import FOLDS, bounded_batches, label_sample, text_or_empty
 from quarry.llm.scoring import Logistic, fit_logistic
 
 BLOCK = 2048
@@ -109,6 +109,7 @@ def fit_quality(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> QualityModel:
+    bounded_batches(docs.sparkSession)
     sample = label_sample(labels, label, per_class, id_col)
     # at most 2 * per_class rows
     chosen = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("body")).join(

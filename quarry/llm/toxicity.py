@@ -36,9 +36,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import label_sample, staged, text_or_empty
+from quarry.llm.common import bounded_batches, label_sample, staged, text_or_empty
 from quarry.llm.scoring import Logistic, fit_logistic
-from quarry.llm.words import Generations, Words, _stream, distinct_words, parts, portions, shingle_sets
+from quarry.llm.words import Generations, Words, _stream, distinct_words, parts, portions, release, shingle_sets
 
 CONTEXT = 6  # words on each side
 QUOTED = 0.25  # weight of a hit that is quoted or reported
@@ -281,6 +281,7 @@ def fit_toxicity(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> ToxicityModel:
+    bounded_batches(docs.sparkSession)
     sample = label_sample(labels, label, per_class, id_col)
     # at most 2 * per_class rows
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("body")).join(F.broadcast(sample), "id")
@@ -308,8 +309,10 @@ def fit_toxicity(
     return ToxicityModel(lexicon, calibration)
 
 
-def row_parts(column: pa.Array) -> list[pa.Array]:
-    return [column.slice(a, b - a) for a, b in parts(column, 4 << 20)]
+def row_parts(column: pa.Array) -> Iterator[pa.Array]:
+    for a, b in parts(column, 4 << 20):
+        yield column.slice(a, b - a)
+    release()
 
 
 def _features(lexicon: Lexicon):

@@ -9,12 +9,16 @@ different words or shingles share a hash with a chance of about 2**-58.
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
+from collections.abc import Iterator
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 
-_PIECE = 1 << 20  # bytes hashed at a time
+_PIECE = 1 << 18  # bytes hashed at a time
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -205,7 +209,18 @@ def parts(column: pa.Array, most: int) -> list[tuple[int, int]]:
     return list(zip(cuts[:-1], cuts[1:], strict=True))
 
 
-def portions(batch: pa.RecordBatch, text_index: int, most: int = 4 << 20) -> list[pa.RecordBatch]:
+def release() -> None:
+    """Hand the freed memory of this worker process back to the system, which
+    the allocators otherwise keep for the next task."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def portions(batch: pa.RecordBatch, text_index: int, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batch cut into such ranges of rows, so that the arrays made from one
     stay small."""
-    return [batch.slice(a, b - a) for a, b in parts(batch.column(text_index), most)]
+    for a, b in parts(batch.column(text_index), most):
+        yield batch.slice(a, b - a)
+    release()
