@@ -257,16 +257,29 @@ def _near(pairs: DataFrame, lists: DataFrame) -> DataFrame:
     All shared shingles up to the end of the prefix that ends first are in both
     prefixes, so the overlap is at most the number of shared prefix shingles
     and what one of the sets has after its prefix."""
-    one = lists.select("key", "block", "weight", F.col("class").alias("a"), F.col("size").alias("size_a"))
-    two = lists.select("key", "block", F.col("class").alias("b"), F.col("size").alias("size_b"))
+    # one long per list: 38 bits of its name, and its weight (prefix shingles of one text) in 25
+    named = F.xxhash64("key", "block").bitwiseAND(F.lit(((1 << 38) - 1) << 25)) + F.least("weight", F.lit((1 << 25) - 1))
+    own = F.col("block") == _block("size")
+    sets = lists.groupBy("class").agg(
+        F.min("size").alias("size"),
+        F.collect_list(F.when(own, named)).alias("own"),
+        F.collect_list(F.when(~own, named)).alias("next"),
+    )
+    one, two = (
+        sets.select(F.col("class").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("size", "own", "next")]) for x in "ab"
+    )
+    # each shared shingle is in one list of the larger set's block
+    common = (
+        F.when(_block("size_a") == _block("size_b"), F.array_intersect("own_a", "own_b"))
+        .when(_block("size_a") < _block("size_b"), F.array_intersect("next_a", "own_b"))
+        .otherwise(F.array_intersect("own_a", "next_b"))
+    )
+    shared = F.aggregate(common, F.lit(0).cast("long"), lambda n, x: n + x.bitwiseAND(F.lit((1 << 25) - 1)))
     rest = F.greatest(F.ceil(F.col("size_a") * 3 / 4), F.ceil(F.col("size_b") * 3 / 4)) - 1
     return (
         pairs.join(one, "a")
-        .join(two, ["b", "key", "block"])
-        .where(F.col("block") == F.greatest(_block("size_a"), _block("size_b")))  # each shingle once
-        .groupBy("a", "b", "size_a", "size_b")
-        .agg(F.sum("weight").alias("shared"))
-        .where((F.col("shared") + rest) * 7 >= (F.col("size_a") + F.col("size_b")) * 3)
+        .join(two, "b")
+        .where((shared + rest) * 7 >= (F.col("size_a") + F.col("size_b")) * 3)
         .select("a", "b")
     )
 
