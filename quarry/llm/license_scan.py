@@ -45,14 +45,18 @@ SHINGLE = 5
 CONTAINMENT = 0.75
 RETRIEVAL = 0.9999
 
-# Notices of common licences (name, wording).
+# Notices and passages of the texts of common licences (name, wording).
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
     (
         "Apache-2.0-header",
         'you may not use this file except in compliance with the License. You may obtain a copy of the License at',
     ),
+    ("Apache-2.0-text", "TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION"),
     ("MIT", "Released under the MIT License"),
+    ("MIT-licensed", "licensed under the MIT License"),
+    ("MIT-distributed", "distributed under the MIT License"),
+    ("MIT-title", "The MIT License (MIT)"),
     (
         "MIT-grant",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -60,21 +64,135 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
         "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of "
         "the Software",
     ),
+    (
+        "MIT-warranty",
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED '
+        "TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT",
+    ),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
+    ("GPL-2.0", "GNU General Public License, version 2"),
+    ("GPL", "licensed under the GNU General Public License"),
     (
         "GPL-notice",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation",
     ),
+    (
+        "GPL-2.0-text",
+        "take away your freedom to share and change it. By contrast, the GNU General Public License is intended to "
+        "guarantee your freedom",
+    ),
+    (
+        "GPL-3.0-text",
+        "The licenses for most software and other practical works are designed to take away your freedom to share and "
+        "change the works. By contrast, the GNU General Public License is intended to guarantee your freedom",
+    ),
+    ("LGPL", "under the GNU Lesser General Public License"),
+    ("LGPL-notice", "under the terms of the GNU Lesser General Public License"),
+    (
+        "LGPL-2.1-text",
+        "This license, the Lesser General Public License, applies to some specially designated software packages",
+    ),
+    (
+        "LGPL-3.0-text",
+        "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the "
+        "GNU General Public License",
+    ),
+    ("AGPL", "under the GNU Affero General Public License"),
+    ("AGPL-notice", "under the terms of the GNU Affero General Public License"),
+    (
+        "AGPL-3.0-text",
+        "specifically designed to ensure cooperation with the community in the case of network server software",
+    ),
+    (
+        "GFDL",
+        "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free "
+        "Documentation License",
+    ),
     (
         "BSD",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
         "the following conditions are met",
     ),
+    (
+        "BSD-3-Clause",
+        "nor the names of its contributors may be used to endorse or promote products derived from this software "
+        "without specific prior written permission",
+    ),
+    (
+        "BSD-warranty",
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED '
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED",
+    ),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies",
+    ),
+    (
+        "zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be "
+        "held liable for any damages arising from the use of this software",
+    ),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0"),
+    (
+        "EPL",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License",
+    ),
+    ("EPL-text", "THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    (
+        "MPL-2.0-text",
+        "means Source Code Form to which the initial Contributor has attached the notice in Exhibit A",
+    ),
+    ("OFL-1.1", "This Font Software is licensed under the SIL Open Font License, Version 1.1"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain"),
+    ("CC0-1.0", "CC0 1.0 Universal"),
+    (
+        "CC0-1.0-waiver",
+        "has waived all copyright and related or neighboring rights to",
+    ),
+    ("CC-BY-4.0-short", "Licensed under CC BY 4.0"),
+    ("CC-BY-SA-4.0-short", "Licensed under CC BY-SA 4.0"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
+    ("CC-BY-ND-4.0-short", "Licensed under CC BY-ND 4.0"),
+    ("CC-BY-NC-SA-4.0-short", "Licensed under CC BY-NC-SA 4.0"),
+    ("CC-BY-NC-ND-4.0-short", "Licensed under CC BY-NC-ND 4.0"),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("all-rights-reserved", "All rights reserved. No part of this publication may be reproduced"),
+    ("CC-BY-SA-4.0", "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("CC-BY-NC-4.0-name", "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("CC-BY-ND-4.0", "licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License"),
+    (
+        "CC-BY-NC-SA-4.0",
+        "licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License",
+    ),
+    (
+        "CC-BY-NC-ND-4.0",
+        "licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License",
+    ),
+    ("CC-BY-3.0", "Creative Commons Attribution 3.0 Unported License"),
+    ("CC-BY-SA-3.0", "Creative Commons Attribution-ShareAlike 3.0 Unported License"),
+    (
+        "CC-4.0-text",
+        "By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions "
+        "of this Creative Commons",
+    ),
+    ("SPDX-MIT", "SPDX-License-Identifier: MIT"),
+    ("SPDX-ISC", "SPDX-License-Identifier: ISC"),
+    ("SPDX-Unlicense", "SPDX-License-Identifier: Unlicense"),
+    ("SPDX-Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("SPDX-GPL-2.0", "SPDX-License-Identifier: GPL-2.0"),
+    ("SPDX-GPL-3.0", "SPDX-License-Identifier: GPL-3.0"),
+    ("SPDX-LGPL-2.1", "SPDX-License-Identifier: LGPL-2.1"),
+    ("SPDX-LGPL-3.0", "SPDX-License-Identifier: LGPL-3.0"),
+    ("SPDX-AGPL-3.0", "SPDX-License-Identifier: AGPL-3.0"),
+    ("SPDX-BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
+    ("SPDX-BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("SPDX-MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("SPDX-EPL-2.0", "SPDX-License-Identifier: EPL-2.0"),
+    ("all-rights-reserved", "All rights reserved"),
+    ("all-rights-reserved-publication", "All rights reserved. No part of this publication may be reproduced"),
 )
 
 _APART = re.compile(rb"[^0-9A-Za-z\x80-\xff]")

@@ -92,6 +92,43 @@ def test_licenses(spark, odd):
     assert license_scan.scan_licenses(frame(spark, [])).count() == 0
 
 
+# Written independently of TEMPLATES, as files and web pages have them: (licences, text).
+LICENCE_LINES = [
+    ({"all-rights-reserved"}, "(c) 2019 Example Press Ltd.\nAll rights reserved.\nContact us for prices."),
+    ({"all-rights-reserved"}, "ALL RIGHTS RESERVED"),
+    ({"LGPL-notice", "GPL-notice"}, " * This library is free software; you can redistribute it and/or\n * modify it under the terms of "
+     "the GNU Lesser General Public\n * License as published by the Free Software Foundation; either\n * version 2.1"),
+    ({"AGPL-notice", "GPL-notice"}, "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the "
+     "GNU Affero General Public License as\n# published by the Free Software Foundation, either version 3"),
+    ({"GPL-notice"}, "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+     "General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ({"ISC"}, "Permission to use, copy, modify, and distribute this software for any\npurpose with or without fee is hereby "
+     "granted, provided that the above\ncopyright notice and this permission notice appear in all copies."),
+    ({"EPL"}, "This program and the accompanying materials are made\navailable under the terms of the Eclipse Public License 2.0"),
+    ({"CC-BY-SA-4.0"}, "This text is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ({"CC-BY-4.0"}, "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ({"CC-BY-SA-4.0-short"}, "Photo: J. Doe, licensed under CC BY-SA 4.0."),
+    ({"CC0-1.0"}, "Legal code: CC0 1.0 Universal"),
+    ({"Unlicense"}, "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy"),
+    ({"MIT-licensed"}, "This project is licensed under the MIT License - see LICENSE.md"),
+    ({"SPDX-MIT"}, "// SPDX-License-Identifier: MIT"),
+    ({"BSD-3-Clause"}, "3. Neither the name of the University nor the names of its contributors\n   may be used to endorse or "
+     "promote products derived from this software\n   without specific prior written permission."),
+    ({"AGPL-3.0-text"}, "is a free, copyleft license for software and other kinds of works, specifically designed to ensure\n"
+     "cooperation with the community in the case of network server software."),
+    (set(), "She reserved all her rights to the permission that was granted for this software."),
+    (set(), "all rights\nof the reserved seats"),
+]
+
+
+def test_licence_lines_as_they_stand_in_files(spark):
+    rows = [(k, text) for k, (_, text) in enumerate(LICENCE_LINES)]
+    got = {k: set() for k, _ in rows}
+    for r in license_scan.scan_licenses(frame(spark, rows)).collect():
+        got[r.doc_id].add(r.license)
+    assert got == {k: want for k, (want, _) in enumerate(LICENCE_LINES)}
+
+
 def test_license_bands_reach_their_probability():
     for group in license_scan.length_classes():
         for t in group.templates:
