@@ -5,13 +5,16 @@ many endings together mark toxic text. It is a trie, and a word is looked up by
 the intersection of the trie with the word's Levenshtein automaton: the states
 are sets of (trie node, edits so far), made as words need them and remembered,
 so a word costs one step per letter until no term can be near it. Terms of 5
-letters or more allow one edit, of 9 or more two; shorter ones must match, and
-so must the first letter.
+letters or more allow one edit, of 9 or more two; shorter ones must match. The
+first letter is edited like any other; hits whose first letter is not the
+term's, which chance gives more often, have a weight of their own. A word is
+looked up without its outer punctuation, so a digit or sign inside it (id1ot,
+st*pid) is an edit, and each run of letters in it is looked up on its own too.
 
 Each hit is weighed by a window of words around it: a hit between quotation
 marks, or near words that report speech, counts as quotation and less than
-abuse. Sums of weights of exact and of misspelled hits, overall and per word,
-become a score by logistic calibration.
+abuse. Sums of weights of exact and of both kinds of misspelled hits, overall and
+per word, become a score by logistic calibration.
 
 Fitting reads at most `per_class` labelled documents of each class (smallest
 hash of the id, held-out fold excluded), leaves out near copies among them, and
@@ -50,7 +53,9 @@ REPORTS = frozenset(
 )
 
 _LETTERS = re.compile(r"[^\W\d_]+")
+_OUTER = re.compile(r"^[\W_]+|[\W_]+$")
 _STATES_KEPT = 50_000
+_NODES_KEPT = 1_000_000  # in all states
 _ODD = _stream(8, 5) | np.uint64(1)
 _WORDS_KEPT = 300_000
 LONGEST_TERM = 40
@@ -67,9 +72,11 @@ def edits_allowed(term: str) -> int:
 
 
 class Automaton:
-    """Lexicon trie with bounded edits; `distance` runs a word through it."""
+    """Lexicon trie with bounded edits; `distance` runs a word through it. With
+    `first_stands`, words whose first letter is not the term's are no hits."""
 
-    def __init__(self, lexicon: Lexicon):
+    def __init__(self, lexicon: Lexicon, first_stands: bool = True):
+        self.first_stands = first_stands
         self.children: list[dict[str, int]] = [{}]
         self.term: list[int] = [-1]  # edits that a term ending here allows
         self.stem: list[int] = [-1]
@@ -96,11 +103,12 @@ class Automaton:
         self.names: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.steps: list[dict[str, int]] = []
+        self.held = 0
         self.start = self._name(self._closed({0: 0}))
 
     def _closed(self, least: dict[int, int]) -> frozenset:
         """Adds the nodes that skipping letters of a term reaches."""
-        todo = [node for node in least if node]  # the first letter is never skipped
+        todo = [node for node in least if node or not self.first_stands]
         while todo:
             node = todo.pop()
             edits = least[node] + 1
@@ -115,12 +123,13 @@ class Automaton:
             self.names[state] = len(self.sets)
             self.sets.append(state)
             self.steps.append({})
+            self.held += len(state)
         return self.names[state]
 
     def _step(self, name: int, letter: str) -> int:
         least: dict[int, int] = {}
         for node, edits in self.sets[name]:
-            if not node:
+            if not node and self.first_stands:
                 if letter in self.children[0]:
                     least[self.children[0][letter]] = 0
                 continue
@@ -136,7 +145,7 @@ class Automaton:
     def distance(self, word: str) -> int:
         """The least edits to a term, or to a stem that the word begins with;
         -1 if no entry is near enough."""
-        if len(self.sets) > _STATES_KEPT:
+        if len(self.sets) > _STATES_KEPT or self.held > _NODES_KEPT:
             self._forget()
         state, best = self.start, 99
         for letter in word:
@@ -169,16 +178,23 @@ class Hits:
     """Features of the texts of a batch."""
 
     def __init__(self, lexicon: Lexicon):
-        self.automaton = Automaton(lexicon)
-        self.known = Generations(_WORDS_KEPT)  # hash of a word -> least edits or -1
-
-    def _distance(self, word: str) -> int:
-        found = [self.automaton.distance(run) for run in _LETTERS.findall(word.lower()) if run]
-        return min((d for d in found if d >= 0), default=-1)
+        self.automaton = Automaton(lexicon, first_stands=False)
+        self.standing = Automaton(lexicon)
+        self.known = Generations(_WORDS_KEPT)  # hash of a word -> its kind
+
+    def _kind(self, word: str) -> int:
+        """-1: no hit, 0: exact, 1: misspelled, 2: misspelled in the first letter."""
+        word = _OUTER.sub("", word.lower())
+        runs = {word, *_LETTERS.findall(word)} - {""}
+        edits = min((d for run in runs if (d := self.automaton.distance(run)) >= 0), default=-1)
+        if edits <= 0:
+            return edits
+        return 1 if any(self.standing.distance(run) >= 0 for run in runs) else 2
 
     def features(self, column: pa.Array) -> np.ndarray:
-        """Per text: log of the weights of exact and of misspelled hits, and
-        the share of hits among its words."""
+        """Per text: log of the weights of exact hits, of misspelled ones and of
+        those misspelled in the first letter, and the share of hits among its
+        words."""
         words = Words(column)
         hashes, which, first = distinct_words(words)
         hashes = hashes.tolist()
@@ -186,17 +202,17 @@ class Hits:
         new = [i for i, x in enumerate(near) if x is None]
         if new:
             for i, word in zip(new, words.strings(first[new]), strict=True):
-                near[i] = self._distance(word)
+                near[i] = self._kind(word)
             self.known.add([hashes[i] for i in new], [near[i] for i in new])
-        edits = np.array(near, dtype=np.int64)[which] if len(which) else np.zeros(0, np.int64)
-        at = np.flatnonzero(edits >= 0)
+        kinds = np.array(near, dtype=np.int64)[which] if len(which) else np.zeros(0, np.int64)
+        at = np.flatnonzero(kinds >= 0)
         doc = np.searchsorted(words.docs, at, "right") - 1
-        sums = np.zeros((len(column), 2))
+        sums = np.zeros((len(column), 3))
         for i, d in zip(at.tolist(), doc.tolist(), strict=True):
             a, b = max(int(words.docs[d]), i - CONTEXT), min(int(words.docs[d + 1]), i + CONTEXT + 1)
             window = words.strings(np.arange(a, b))
             weight = context_weight(window[: i - a], window[i - a], window[i - a + 1 :])
-            sums[d, int(edits[i] > 0)] += weight
+            sums[d, kinds[i]] += weight
         share = sums.sum(1) / np.maximum(np.diff(words.docs), 1)
         return np.c_[np.log1p(sums), np.minimum(share, 0.2)]
 
@@ -299,7 +315,7 @@ def fit_toxicity(
     )
     lexicon = choose_entries([(r.entry, r.toxic) for r in counts], most_terms)
     measured = chosen.select("y", _features(lexicon)("body").alias("x")).collect()
-    x = np.array([r.x for r in measured], dtype=float).reshape(len(measured), 3)
+    x = np.array([r.x for r in measured], dtype=float).reshape(len(measured), 4)
     y = np.array([r.y for r in measured], dtype=float)
     order = np.lexsort([*x.T, y])  # the sums do not depend on the order of arrival
     x, y = x[order], y[order]

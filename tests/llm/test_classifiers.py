@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import zlib
 
+import pyarrow as pa
 import pytest
 from conftest import frame, sentence
 
@@ -59,6 +60,51 @@ def test_automaton_equals_trying_every_term():
         assert got == want, (word, got, want)
 
 
+def nearest_of_all(lexicon, word):
+    """Least Levenshtein edits to any term or to a stem before any ending; no letter must stand."""
+    found = [d for term in lexicon.terms if (d := edits(term, word)) <= toxicity.edits_allowed(term)]
+    for stem in lexicon.stems:
+        least = min(edits(stem, word[:k]) for k in range(len(word) + 1))
+        if least <= (0 if len(stem) < 8 else 1):
+            found.append(least)
+    return min(found, default=-1)
+
+
+def test_first_letter_is_edited_like_any_other():
+    rng = random.Random(6)
+    terms = ("abba", "badcab", "cabbage", "abracadabra", "bad", "dacabbadca")
+    lexicon = toxicity.Lexicon(terms, ("cabd", "abacadab"))
+    automaton = toxicity.Automaton(lexicon, first_stands=False)
+    for _ in range(3000):
+        word = list(rng.choice([*terms, "cabdxyz", "abacadabqq", "".join(rng.choice("abcd") for _ in range(8))]))
+        for _ in range(rng.randint(0, 3)):
+            at = rng.choice((0, rng.randrange(len(word) + 1)))
+            word[at : at + rng.randint(0, 1)] = rng.choice(["", "a", "b", "c", "d", "0"])
+        word = "".join(word)
+        if word:
+            assert automaton.distance(word) == nearest_of_all(lexicon, word), word
+
+
+def test_misspelled_words_are_hits():
+    hits = toxicity.Hits(toxicity.Lexicon(("idiot", "moron", "stupid", "worthless"), ()))
+    for word in ("idot", "id1ot", "m0ron", "st*pid", "w0rthl3ss,"):
+        assert hits.features(pa.array([f"you {word} there"]))[0, 1] > 0, word
+    for word in ("diot", "adiot", "xworthless", "(1diot!)"):
+        assert hits.features(pa.array([f"you {word} there"]))[0, 2] > 0, word
+    for word in ("Idiot!", "idiot-moron", "a/moron", "idiot2"):
+        assert hits.features(pa.array([f"you {word} there"]))[0, 0] > 0, word
+    for word in ("st**id", "2019", "riots", "--", "m00ron"):
+        assert not hits.features(pa.array([f"you {word} there"])).any(), word
+
+
+def test_states_are_forgotten_within_bounds(monkeypatch):
+    lexicon = toxicity.Lexicon(("badcab", "abracadabra"), ())
+    monkeypatch.setattr(toxicity, "_NODES_KEPT", 10)
+    small = toxicity.Automaton(lexicon, first_stands=False)
+    for word in ("badcab", "adcab", "bracadabra", "zabracadabra", "badcabs", "none"):
+        assert small.distance(word) == nearest_of_all(lexicon, word)
+
+
 def test_context_tells_quotation():
     plain = toxicity.context_weight(["you", "are", "a"], "moron", ["go", "away"])
     assert plain == 1.0
