@@ -1,9 +1,8 @@
 """Benchmark decontamination: short test items inside long documents.
 
-Size-partitioned MinHash containment search. The items are partitioned by the
-size of their shingle set, and each partition is searched with a MinHash
-sketch as long as its sizes need: an item of n shingles is represented by its
-n // 4 + 1 smallest hashes. A document that contains three quarters of the n
+Bottom-k MinHash containment search. In place of a partition of the items by
+size, each item has a sketch as long as its own size needs: an item of n
+shingles is represented by its n // 4 + 1 smallest hashes. A document that contains three quarters of the n
 shingles lacks at most n // 4 of them, so it holds one of the sketch for sure,
 however long it is: the search loses no item at the threshold of 0.75. Each
 document's shingle hashes meet the sketches in one join; candidates are then
@@ -65,8 +64,8 @@ def shingle_texts(words_col: str, size: int = SHINGLE) -> Column:
 def item_sketches(
     benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", size: int = SHINGLE
 ) -> DataFrame:
-    """item_id, item (key of id and text), n_shingles, size_class (the power of
-    two that the size reaches) and the sketch of each item that has words."""
+    """item_id, item (key of id and text), n_shingles, shingles and the
+    sketch of each item that has words."""
     return (
         benchmark.select(F.col(item_col).alias("item_id"), row_key(item_col, text_col).alias("item"), words(text_col).alias("w"))
         .where(F.size("w") > 0)
@@ -76,7 +75,6 @@ def item_sketches(
             "item_id",
             "item",
             F.size("shingles").alias("n_shingles"),
-            F.floor(F.log2(F.size("shingles"))).cast("int").alias("size_class"),
             "shingles",
             F.slice(
                 F.array_sort(F.array_distinct(shingle_hashes("w", size))),

@@ -50,6 +50,16 @@ def test_leaks_without_rows(spark, odd_docs, no_docs):
     assert decontamination.find_leaks(no_docs, frame(spark, [(1, "a b c d e f")], id_name="item_id")).count() == 0
 
 
+def test_sketches_hold_what_the_search_uses(spark):
+    items = decontamination.item_sketches(frame(spark, [(1, sentence_of(43)), (2, "a b")], id_name="item_id"))
+    assert items.columns == ["item_id", "item", "n_shingles", "shingles", "sketch"]
+    assert sorted((r.n_shingles, len(r.sketch)) for r in items.collect()) == [(1, 1), (39, 10)]
+
+
+def sentence_of(n):
+    return " ".join(f"w{i}" for i in range(n))
+
+
 def test_sketch_cannot_miss():
     """Whichever quarter of an item's shingles is missing, one of its sketch is left."""
     for n in range(1, 40):
