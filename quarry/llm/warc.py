@@ -47,6 +47,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 
 _FLUSH = 8 << 20  # bytes of records handed on at a time
+_PIECE = 1 << 16  # compressed bytes inflated at a time
 
 
 def record_id(page_id: int | None, digest: str) -> str:
@@ -234,6 +235,23 @@ _PARSED_ARROW = pa.schema(
 )
 
 
+def inflated(raw: bytes) -> bytes:
+    """All gzip members of a file, joined; zero bytes may stand after a member."""
+    view, at, out = memoryview(raw), 0, []
+    while at < len(raw):
+        if not raw[at]:
+            at += 1
+            continue
+        member = zlib.decompressobj(31)
+        while not member.eof:
+            if at >= len(raw):
+                raise ValueError("a gzip member is cut short")
+            piece = view[at : at + _PIECE]
+            out.append(member.decompress(piece))
+            at += len(piece) - len(member.unused_data)
+    return b"".join(out)
+
+
 def _whole(value: str | None) -> int | None:
     return None if value is None else int(value)
 
@@ -249,7 +267,7 @@ def _parsed(cut: bool):
             for content in batch.column(0):
                 raw = content.as_py()
                 if raw[:2] == b"\x1f\x8b":
-                    raw = zlib.decompress(raw, 31)
+                    raw = inflated(raw)
                 for fields, block in parse_records(raw):
                     number = _whole(fields.get("warc-segment-number"))
                     if (number is not None) != cut:
@@ -308,11 +326,12 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _as_batch([found] * row["copies"])
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
+def read_archive(spark: SparkSession, path: str, names: str = "part-*") -> DataFrame:
     """One row per record: record_id, record_type (response or revisit),
     page_id, url, refers_record, declared (digest), payload (binary; empty for
-    revisits, whose payload the referred record holds)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+    revisits, whose payload the referred record holds), of the files under `path`
+    whose names match the glob `names`."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", names).load(path).select("content")
     whole = files.mapInArrow(_parsed(cut=False), _PARSED)
     first = F.col("segment") == 1
     cut = (

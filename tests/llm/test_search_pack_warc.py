@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 import zlib
@@ -264,6 +265,25 @@ def test_warc_round_trip(spark):
     assert warc.page_digests(warc.read_archive(spark, empty)).count() == 0
 
 
+def test_warc_reads_every_gzip_member(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    bodies = {i: rng.bytes(n) for i, n in ((1, 300), (2, 200_000), (3, 0), (4, 65_536))}
+    records = [
+        r + warc.BREAK
+        for i, body in bodies.items()
+        for r in warc.page_records(i, "u", body, "d", None, 1 << 20, 1 << 20, "2024-01-01T00:00:00Z")
+    ]
+    members = [gzip.compress(r) for r in records]
+    (tmp_path / "crawl.warc.gz").write_bytes(b"".join(members))
+    read = warc.read_archive(spark, str(tmp_path), "*.warc.gz").collect()
+    assert {r.page_id: bytes(r.payload) for r in read} == bodies
+    assert warc.inflated(members[0] + b"\0" * 9 + members[1]) == records[0] + records[1]
+    with pytest.raises(ValueError, match="cut short"):
+        warc.inflated(b"".join(members)[:-5])
+    with pytest.raises(zlib.error):
+        warc.inflated(members[0] + b"rest")
+
+
 def test_warc_checks_what_it_reads():
     records = list(warc.page_records(1, "u", b"z" * 5000, "d", None, 1000, 300, "2024-01-01T00:00:00Z"))
     assert len(records) > 4
