@@ -53,16 +53,16 @@ def _digests(df: DataFrame, id_col: str, text_col: str, *kept: Column) -> DataFr
 
 
 def copy_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """hash, sha, keep_id, group_size of every group of two rows or more."""
+    """hash, sha, keep_id, keep_points, group_size of every group of two rows or more."""
     order = F.col("points").cast("decimal(11,0)") * F.lit(_ID_SPAN).cast("decimal(20,0)") - F.coalesce(
         F.col("id"), F.lit(_LAST_ID)
     ).cast("decimal(20,0)")
     groups = (
         _digests(df, id_col, text_col)
         .groupBy("hash", "body")
-        .agg(F.count(F.lit(1)).alias("group_size"), F.max_by("id", order).alias("keep_id"))
+        .agg(F.count(F.lit(1)).alias("group_size"), F.max_by("id", order).alias("keep_id"), F.max("points").alias("keep_points"))
         .where(F.col("group_size") > 1)
-        .select("hash", F.sha2("body", 256).alias("sha"), "keep_id", "group_size")
+        .select("hash", F.sha2("body", 256).alias("sha"), "keep_id", "keep_points", "group_size")
     )
     return staged(groups, "copy-groups")
 
@@ -85,10 +85,13 @@ def mark_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `df` that stay, with all their columns."""
+    """The rows of `df` that stay, with all their columns. Of rows of the kept id
+    only those with the most code points stay; rows that repeat id and text all
+    do."""
     groups = copy_groups(df, id_col, text_col)
     rows = _digests(df, id_col, text_col, F.struct("*").alias("row")).select(
-        "row", "id", "hash", F.sha2("body", 256).alias("sha")
+        "row", "id", "points", "hash", F.sha2("body", 256).alias("sha")
     )
-    stays = F.col("group_size").isNull() | F.col("keep_id").eqNullSafe(F.col("id"))
+    longest = F.col("keep_id").eqNullSafe(F.col("id")) & (F.col("keep_points") == F.col("points"))
+    stays = F.col("group_size").isNull() | longest
     return rows.join(by_shuffle(groups), ["hash", "sha"], "left").where(stays).select("row.*")

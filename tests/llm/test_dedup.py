@@ -30,6 +30,12 @@ def test_exact_drop_keeps_all_columns(odd, odd_docs):
     )
 
 
+def test_exact_drop_compares_length_within_an_id(spark):
+    rows = [(1, "a b"), (1, "a  b"), (2, "ab"), (3, "c"), (None, "d"), (None, "d ")]
+    kept = exact_dedup.drop_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert found(kept, "doc_id", "text") == expected([(1, "a  b"), (3, "c"), (None, "d ")])
+
+
 def test_exact_compares_bytes(spark, monkeypatch):
     """Texts that collide in the hash are told apart by their bytes."""
     from pyspark.sql import functions as F
