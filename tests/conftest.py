@@ -6,11 +6,10 @@ import tempfile
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
+from quarry_test_helpers import SF_SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -35,9 +34,3 @@ def duck():
     for t in ("nation", "customer", "part", "orders", "lineitem", "documents", "labels", "events"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return con
-
-
-def rows(df, *cols):
-    """Collected rows as sorted tuples (of the given columns, or all)."""
-    picked = df.select(*cols) if cols else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import rows
+from quarry_test_helpers import rows
 
 from quarry.plans import commerce as C
 from quarry.plans import ratings as R

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from quarry_test_helpers import rows
 from pyspark.sql import functions as F
 
 from quarry.functions import scalar as S

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from conftest import rows
+from quarry_test_helpers import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

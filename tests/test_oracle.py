@@ -6,7 +6,7 @@ import datetime as dt
 import decimal
 
 import pytest
-from conftest import SF_SMALL
+from quarry_test_helpers import SF_SMALL
 
 import __spark_entry__ as entry
 

@@ -6,7 +6,7 @@ import contextlib
 import io
 
 import pytest
-from conftest import SF_SMALL
+from quarry_test_helpers import SF_SMALL
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry

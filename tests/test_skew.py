@@ -7,7 +7,7 @@ import contextlib
 import io
 from datetime import datetime
 
-from conftest import rows
+from quarry_test_helpers import rows
 from pyspark.sql import functions as F
 
 from quarry.plans import ratings as R

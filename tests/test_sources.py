@@ -7,7 +7,7 @@ import os
 import tempfile
 
 import pytest
-from conftest import rows
+from quarry_test_helpers import rows
 
 from quarry.sources import delimited as D
 from quarry.sources import sinks as W

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from conftest import rows
+from quarry_test_helpers import rows
 
 from quarry.plans.files import RATINGS_SCHEMA
 from quarry.streaming import movie_state_stream, read_movie_stats, run_movie_stats, text_stream
