@@ -7,7 +7,7 @@ import zlib
 
 import pyarrow as pa
 import pytest
-from conftest import frame, sentence
+from llm_test_helpers import frame, sentence
 
 from quarry.llm import quality, toxicity
 from quarry.llm.common import held_out, label_sample

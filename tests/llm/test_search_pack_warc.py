@@ -11,7 +11,7 @@ import brute
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import frame, sentence
+from llm_test_helpers import frame, sentence
 
 from quarry.llm import decontamination, license_scan, packing, warc
 from quarry.llm.queries import packed_digests, tokenizer_path
