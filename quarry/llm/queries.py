@@ -9,7 +9,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontamination, exact_dedup, jaccard_join, license_scan, line_dedup, packing, quality, substring_dedup, toxicity, warc
+from quarry.llm import (
+    decontamination,
+    divergence,
+    exact_dedup,
+    jaccard_join,
+    language_id,
+    license_scan,
+    line_dedup,
+    packing,
+    quality,
+    substring_dedup,
+    toxicity,
+    warc,
+    whitening,
+)
 from quarry.llm.common import held_out, staged
 from quarry.session import scratch_path
 
@@ -89,6 +103,37 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "n_shingles", "n_shared")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit_whitening(whitening.fit_list(vectors))
+    rows = whitening.whiten(vectors, model).select(
+        "vec_id", F.posexplode("whitened").alias("at", "whitened"), F.col("deviation").try_cast("long").alias("deviation")
+    )
+    shares = model.explained.tolist() if model else []
+    explained = F.array(*[F.lit(x) for x in shares]).cast("array<double>")
+    return rows.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(model.n if model else 0).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("at")).alias("explained"),
+        F.lit(model.identity_error if model else 0.0).alias("identity_error"),
+    )
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit_languages(docs.where(~language_id.held_out("doc_id")))
+    found = language_id.predict_language(model, F.col("text"))
+    rows = docs.select("doc_id", language_id.held_out("doc_id").alias("held_out"), found.alias("found"))
+    return rows.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
@@ -100,6 +145,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_whitening": op11_whitening,
+    "op12_language_id": op12_language_id,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLE: dict[str, str] = {
@@ -194,4 +242,41 @@ ORACLE: dict[str, str] = {
         SELECT d.id AS doc_id, i.id AS item_id, any_value(i.n)::INT AS n_shingles, count(*)::INT AS n_shared
         FROM shingles d JOIN items i ON d.s = i.s AND d.kind = 0
         GROUP BY d.id, i.id HAVING count(*) * 4 >= any_value(i.n) * 3""",
+    "op13_source_divergence": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents),
+        tokens AS (SELECT r, lang, source, unnest(terms) AS term FROM docs),
+        kept AS (
+            SELECT lang, term, count(*)::HUGEINT AS n FROM tokens
+            GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+        langs AS (SELECT lang, sum(n)::HUGEINT AS total, count(*)::HUGEINT AS v FROM kept GROUP BY lang),
+        counts AS (
+            SELECT lang, source, term, count(*)::HUGEINT AS n
+            FROM tokens SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+        groups AS (
+            SELECT g.lang, g.source, coalesce(sum(c.n), 0)::HUGEINT AS total
+            FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN counts c USING (lang, source)
+            GROUP BY g.lang, g.source),
+        cells AS (
+            SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+                   1 + (1000000000 * (coalesce(c.n, 0) + 2)) // (g.total + 2 * l.v) AS p,
+                   1 + (1000000000 * (k.n + 2)) // (l.total + 2 * l.v) AS q
+            FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang)
+            LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+        sums AS (
+            SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+            FROM cells a JOIN cells b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+            GROUP BY a.lang, a.source, b.source),
+        found AS (
+            SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(s.value, 0) AS value
+            FROM groups x JOIN groups y ON x.lang = y.lang AND x.source <> y.source
+            LEFT JOIN sums s ON s.lang = x.lang AND s.source = x.source AND s.item = y.source
+            UNION ALL
+            SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM cells WHERE n > 0 AND p > q)
+        SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank
+        FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+        WHERE part = 'pair' OR rank <= 10""",
 }
