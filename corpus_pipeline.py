@@ -5,9 +5,16 @@ it kept; `run` writes each stage's result as Parquet to the shared checkpoint
 folder and reads it back as the next stage's docs. All stages but the last
 return the columns of documents.
 
-The stages inherit the defined cases of the operators they call (nulls, empty
-and very long texts, ties, repeated rows, empty tables, clashing names). Tables
-that a stage needs besides its docs (labels, benchmark) are read from sf_dir.
+Defined cases, of every stage: a null text is empty; an empty or blank one is
+scored like any text, is one exact group, has no near copies, holds no benchmark
+item and packs as its end token alone. Rows that repeat an id and a text (a file
+read in twice) become one row in `exact_dedup`. A null id sorts after all ids and
+is packed like any other. Very long texts are read whole. Columns beyond those
+of documents pass through all stages but the last, under any name; `packing`
+returns its own. Empty tables give an empty result; without labels of both
+classes every document has the same score, and without benchmark items none
+is dropped. Tables that a stage needs besides its docs (labels, benchmark) are
+read from sf_dir.
 """
 
 from __future__ import annotations
@@ -31,12 +38,12 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays."""
+    """One row of each group of equal texts stays."""
     return exact_dedup.drop_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+    """One row of each group of near copies stays."""
     return jaccard_join.drop_near_copies(docs)
 
 

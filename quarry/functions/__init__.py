@@ -15,6 +15,8 @@ from quarry.functions.scalar import (  # noqa: F401
     parse_double,
     parse_int,
     round_half_up,
+    round_python,
+    rounded,
     split_list,
     to_epoch_seconds,
     year_range,

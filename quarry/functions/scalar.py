@@ -117,6 +117,54 @@ def round_half_up(c: Column | str, digits: int = 2) -> Column:
     return F.round(col(c), digits)
 
 
+def round_python(c: Column | str, digits: int = 2) -> Column:
+    """Python's `round(x, digits)` of a double: the exact binary value is rounded
+    to the nearest decimal, an exact tie to the even one (0.125 -> 0.12,
+    2.675 -> 2.67, since the double nearest to 2.675 is below it).
+
+    All in whole numbers: x = m / 2^s with m below 2^55, so 10^digits * m is a
+    long; its quotient by 2^s and the remainder decide, and the quotient over
+    10^digits is the double nearest to that decimal. Null, NaN and infinities
+    stay, and so does a double that lies further from its neighbours than the
+    step of the last digit (from 2^46 on with two digits)."""
+    if digits not in (0, 1, 2):
+        raise ValueError("digits must be 0, 1 or 2")
+    x = col(c).cast("double")
+    scale, size = 10**digits, F.abs(x)
+    # log2 may be one off at a power of two; m keeps a bit to spare both ways
+    shift = F.lit(53) - F.floor(F.log2(size)).cast("int")
+    unit = _two_to(shift)
+    m = (size * unit.cast("double")).cast("bigint")
+    whole = _shifted_right(m * F.lit(scale), shift)
+    rest = m * F.lit(scale) - whole * unit
+    half = _two_to(shift - 1)
+    up = (rest > half) | ((rest == half) & (whole % 2 == 1))
+    rounded = (whole + up.cast("bigint")).cast("double") / F.lit(float(scale))
+    # below 2^-8 all is nearer to zero than to half a step of the last digit
+    value = F.when(size < F.lit(2.0**-8), F.lit(0.0)).otherwise(rounded)
+    signed = F.when((x < 0) | (F.signum(x) < 0), -value).otherwise(value)
+    plain = x.isNull() | F.isnan(x) | (size >= F.lit(2.0 ** (52 - 3 * digits)))
+    return F.when(plain, x).when(size == 0, x).otherwise(signed)
+
+
+def _two_to(n: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), n)
+
+
+def _shifted_right(x: Column, n: Column) -> Column:
+    return F.call_function("shiftright", x, n)
+
+
+ROUNDINGS = {"half_up": round_half_up, "python": round_python}
+
+
+def rounded(c: Column | str, digits: int = 2, rounding: str = "half_up") -> Column:
+    """`round_half_up` or `round_python`, by name."""
+    if rounding not in ROUNDINGS:
+        raise ValueError(f"rounding must be one of {', '.join(ROUNDINGS)}")
+    return ROUNDINGS[rounding](c, digits)
+
+
 def money_to_double(c: Column | str, digits: int = 2) -> Column:
     """Round an exact decimal sum and hand it out as double."""
     return F.round(col(c), digits).cast("double")

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.scalar import round_half_up
+from quarry.functions.scalar import rounded
 
 
 def _cols(keys: str | Sequence[str]) -> list[str]:
@@ -58,10 +58,12 @@ def mean_count(
     avg_name: str = "avg_rating",
     count_name: str = "n_ratings",
     raw_name: str | None = None,
+    rounding: str = "half_up",
 ) -> DataFrame:
-    """Mean (rounded half-up to `digits`, or raw when None) and count per key."""
+    """Mean (rounded to `digits`, or raw when None) and count per key;
+    `rounding` is 'half_up' or 'python' (see `functions.rounded`)."""
     state = sum_count(df, keys, value, "__s", count_name)
-    out = finish_mean(state, "__s", count_name, digits, avg_name, raw_name)
+    out = finish_mean(state, "__s", count_name, digits, avg_name, raw_name, rounding)
     return out.select(*_cols(keys), avg_name, count_name, *([raw_name] if raw_name else []))
 
 
@@ -72,9 +74,10 @@ def finish_mean(
     digits: int | None = 2,
     avg_name: str = "avg_rating",
     raw_name: str | None = None,
+    rounding: str = "half_up",
 ) -> DataFrame:
     raw = mean_of(sum_col, count_col)
-    out = {avg_name: raw if digits is None else round_half_up(raw, digits)}
+    out = {avg_name: raw if digits is None else rounded(raw, digits, rounding)}
     if raw_name:
         out[raw_name] = raw
     return df.withColumns(out)
@@ -90,6 +93,7 @@ def mean_count_wide(
     fill: float | None = 0.0,
     with_counts: bool = True,
     raw: bool = False,
+    rounding: str = "half_up",
 ) -> DataFrame:
     """Mean and count per key with one column pair per category (a pivot
     with a fixed value list, computed as conditional aggregates in one pass).
@@ -109,7 +113,7 @@ def mean_count_wide(
         m = mean_of(f"__s_{suffix}", f"n_{suffix}")
         if raw:
             out[f"raw_avg_{suffix}"] = m
-        m = m if digits is None else round_half_up(m, digits)
+        m = m if digits is None else rounded(m, digits, rounding)
         out[f"avg_{suffix}"] = F.coalesce(m, F.lit(fill)) if fill is not None else m
     wide = wide.withColumns(out).drop(*[f"__s_{s}" for s in categories])
     if not with_counts:
@@ -174,6 +178,37 @@ def count_distinct_with_null(c: str) -> Column:
     return (F.count_distinct(F.col(c)) + has_null).cast("bigint")
 
 
+def distinct_state(df: DataFrame, keys: str | Sequence[str], value: str) -> DataFrame:
+    """Mergeable exact state of count(distinct value) per key, for whole-number
+    ids: one bitmap of 32,768 ids per key and range of ids (key columns,
+    `bucket`, `bitmap`). Nulls are not counted. Ids that lie close together
+    share bitmaps; of scattered ids each may cost one, mostly zeros, which the
+    shuffle and Parquet compress. Bitmaps are built before the shuffle, so a key
+    that holds a third of all rows sends one bitmap per task and range."""
+    bucket = F.bitmap_bucket_number(F.col(value).cast("bigint"))
+    position = F.bitmap_bit_position(F.col(value).cast("bigint"))
+    return (
+        df.where(F.col(value).isNotNull())
+        .groupBy(*[F.col(k) for k in _cols(keys)], bucket.alias("bucket"))
+        .agg(F.bitmap_construct_agg(position).alias("bitmap"))
+    )
+
+
+def merge_distinct(state: DataFrame, keys: str | Sequence[str] = ()) -> DataFrame:
+    """The state of coarser keys (or, without any, of all rows) from a finer
+    one, or of the union of several days' states."""
+    kept = _cols(keys)
+    return state.groupBy(*kept, "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+
+
+def count_of_distinct_state(state: DataFrame, keys: str | Sequence[str] = (), name: str = "n") -> DataFrame:
+    """The exact distinct counts that a state (one row per key and bucket) stands
+    for; one row in all without keys."""
+    counted = F.coalesce(F.sum(F.bitmap_count("bitmap")), F.lit(0)).alias(name)
+    kept = _cols(keys)
+    return state.groupBy(*kept).agg(counted) if kept else state.agg(counted)
+
+
 def with_summary_row(detail: DataFrame, summary: DataFrame) -> DataFrame:
     """Detail rows followed by summary rows in one relation (UNION ALL)."""
     return detail.unionByName(summary, allowMissingColumns=True)

@@ -11,11 +11,19 @@ a shuffled sort-merge join, split by skew handling when one key is hot.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.session import on_release, scratch_path
+
+# Column in which the text readers carry a line's place in its input
+# (`with_order=True`): file, start of the block, line in the block.
+LINE_ORDER = "line_order"
+
 _HIT = "__quarry_hit"
 
 
@@ -61,20 +69,28 @@ def unique_lookup(
     order: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per key: the row with the greatest `order` wins ("a later
-    duplicate overwrites an earlier one"). Rows tied on `order` (or all
-    rows, without `order`) are decided by their own values, greatest first,
-    so the result never depends on task timing. Partial aggregation keeps a
-    hot key from landing whole in one task."""
+    duplicate overwrites an earlier one"). A lookup that carries its lines'
+    places (`LINE_ORDER`) is ordered by them, and the places are dropped.
+    Rows tied on `order` (or all rows, without one) are decided by their own
+    values, greatest first, so the result never depends on task timing.
+
+    Planned as a top-1 window: `WindowGroupLimit` leaves one row per key and
+    map task before the shuffle, so a hot key does not land whole in one task."""
     keys = _keys(key)
-    values = [c for c in lookup.columns if c not in keys]
-    order_cols = _keys(order) if order is not None else []
-    payload = F.struct(*[F.col(c) for c in values])
-    rank = F.struct(*[F.col(c) for c in order_cols + values])
-    return (
-        lookup.groupBy(*keys)
-        .agg(F.max_by(payload, rank).alias("__row"))
-        .select(*keys, *[F.col("__row")[c].alias(c) for c in values])
-    )
+    placed = LINE_ORDER in lookup.columns and LINE_ORDER not in keys
+    values = [c for c in lookup.columns if c not in keys and c != LINE_ORDER]
+    order_cols = _keys(order) if order is not None else [LINE_ORDER] if placed else []
+    ranks = [F.col(c).desc_nulls_last() for c in order_cols + values]
+    if not ranks:
+        return lookup.select(*keys).distinct()
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*ranks))
+    return lookup.withColumn("__nth", nth).where(F.col("__nth") == 1).select(*keys, *values)
+
+
+def place_of(lookup: DataFrame) -> list[str]:
+    """The column of the lines' places, where the lookup has it; to be selected
+    beside the columns that an analysis needs."""
+    return [LINE_ORDER] if LINE_ORDER in lookup.columns else []
 
 
 def exclude_terms(
@@ -103,9 +119,64 @@ def skew_safe_lookup(lookup: DataFrame, key: str | Sequence[str]) -> DataFrame:
     lookup side would not be a plain shuffle and the hot partition would stay
     whole.) Its size on disk is known, so the planner broadcasts it while it is
     under the broadcast threshold, and then the facts are not shuffled at all."""
-    from quarry.session import scratch_path
-
     unique = unique_lookup(lookup, key)
     path = scratch_path(lookup.sparkSession, "lookup")
     unique.write.parquet(path)
     return lookup.sparkSession.read.schema(unique.schema).parquet(path)
+
+
+@dataclass(frozen=True)
+class JoinLayout:
+    """Facts and a lookup written as two tables bucketed and sorted alike, so
+    that they join bucket by bucket without a shuffle, any number of times."""
+
+    facts: DataFrame
+    lookup: DataFrame
+    on: tuple[str, ...]
+
+    def attach(
+        self, values: Mapping[str, Column], missing: str = "drop", defaults: Mapping[str, object] | None = None
+    ) -> DataFrame:
+        """The facts with columns made from the lookup's (see `attach`)."""
+        lookup = self.lookup.select(*self.on, *[c.alias(name) for name, c in values.items()])
+        return attach(self.facts, lookup, self.on, missing, defaults).drop(_SALT)
+
+
+_SALT = "__salt"
+
+
+def stage_for_join(
+    facts: DataFrame, lookup: DataFrame, key: str | Sequence[str], buckets: int | None = None, salts: int = 8
+) -> JoinLayout:
+    """Write both sides once in one layout for all joins on `key` that follow.
+
+    The lookup is reduced to one row per key (`unique_lookup`). A key is spread
+    over `salts` buckets: each fact has a salt made from its own values, the
+    lookup's rows stand once under every salt, so a key that holds a third of
+    all facts is read by `salts` tasks. `buckets` (default: the session's shuffle
+    partitions) should make a bucket of the facts about 128 MB. Facts are shuffled
+    once, here; joins of the layout have no exchange on either side, or broadcast
+    the lookup where Spark finds it small.
+
+    The tables are registered in the session's catalog under fresh names; their
+    files lie in the shared checkpoint folder (see `scratch_scope`)."""
+    spark = facts.sparkSession
+    keys = _keys(key)
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    on = [*keys, _SALT]
+    own = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salts)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    sides = {
+        "facts": facts.withColumn(_SALT, own),
+        "lookup": unique_lookup(lookup, keys).withColumn(_SALT, every),
+    }
+    tables = {}
+    for name, side in sides.items():
+        table = f"quarry_{name}_{os.urandom(6).hex()}"
+        path = scratch_path(spark, f"bucketed-{name}")
+        # dealt out as the buckets are, so each bucket is one file
+        dealt = side.repartition(buckets, *on)
+        dealt.write.bucketBy(buckets, *on).sortBy(*on).option("path", path).saveAsTable(table, format="parquet")
+        on_release(lambda t=table: spark.sql(f"DROP TABLE IF EXISTS {t}"))
+        tables[name] = spark.table(table)
+    return JoinLayout(tables["facts"], tables["lookup"], tuple(on))

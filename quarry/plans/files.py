@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.session import scratch_path
-from quarry.sources.delimited import read_csv_table, read_delimited, read_delimited_rejects, read_terms
+from quarry.sources.delimited import read_csv_table, read_delimited, read_delimited_rejects, read_terms, sort_out
 from quarry.sources.sinks import stage, to_lines, write_csv, write_delimited
 
 RATINGS_SCHEMA = [("user_id", "bigint"), ("movie_id", "bigint"), ("rating", "double"), ("rated_epoch", "bigint")]
@@ -155,11 +155,16 @@ def overwritten(spark: SparkSession, first: DataFrame, second: DataFrame, schema
     return read_delimited(spark, path, schema, "\t", on_bad="fail", trim=False)
 
 
-def sampled(spark: SparkSession, tokens: DataFrame, n: int = 10) -> DataFrame:
-    """(n_rows, n_found) of a preview of n token rows."""
-    from quarry.plans.text_insights import sample_check, sample_tokens
+def sampled(spark: SparkSession, reviews: DataFrame, stopwords: DataFrame, n: int = 10) -> DataFrame:
+    """(n_rows, n_found) of a preview of n token rows. The preview is looked up
+    among the tokens of its own reviews only: the reviews are restricted to the
+    sampled ids (n at most) before they are split into tokens."""
+    from quarry.plans.text_insights import remove_stopwords, sample_check, sample_tokens
 
-    return sample_check(staged(spark, sample_tokens(tokens, n), "token-sample"), tokens)
+    sample = staged(spark, sample_tokens(remove_stopwords(reviews, stopwords), n), "token-sample")
+    ids = sample.select(F.col("id").alias("sampled_id")).distinct()
+    own = reviews.join(ids, reviews["id"].eqNullSafe(ids["sampled_id"]), "left_semi")
+    return sample_check(sample, remove_stopwords(own, stopwords))
 
 
 def clean_reviews_with_header(spark: SparkSession, reviews: DataFrame) -> DataFrame:
@@ -212,3 +217,44 @@ def reference_files(
         read_users(spark, write_users_text(spark, users)),
         reader(spark, path),
     )
+
+
+def movies_listed_again(spark: SparkSession, ratings_epoch: DataFrame, movies: DataFrame) -> DataFrame:
+    """Per movie title, genres, mean and count, of movies that are listed up to
+    three times: in a first file, and on two lines one after the other in a
+    second one (movies of an even id; the others only in the first). All earlier
+    spellings are greater as text, so only the lines' order tells which wins."""
+    from quarry.plans.ratings import movie_rating_with_genres
+    from quarry.sources.formats import read_movies, read_ratings
+
+    def spelled(mark: str):
+        return F.concat_ws(",", "movie_id", F.concat(F.lit(mark), "title"), F.concat(F.lit(mark), "genres"))
+
+    path = scratch_path(spark, "movies-listed-again")
+    movies.select(spelled("zz ").alias("value")).write.text(f"{path}/first")
+    again = movies.where("movie_id % 2 = 0").select(F.explode(F.array(spelled("yy "), spelled(""))).alias("value"))
+    again.write.text(f"{path}/second")
+    read = read_movies(spark, [f"{path}/first", f"{path}/second"], with_order=True)
+    return movie_rating_with_genres(read_ratings(spark, write_ratings_text(spark, ratings_epoch)), read)
+
+
+def sorted_out(spark: SparkSession, ratings_epoch: DataFrame, junk: DataFrame) -> DataFrame:
+    """Rows and reject counts of the mixed ratings text from one parse of it:
+    the rows with kind 'row', the counts with the reason as kind."""
+    path = write_ratings_text(spark, ratings_epoch, junk)
+    good, _, counts = sort_out(spark, path, RATINGS_SCHEMA, ",")
+    return good.withColumn("kind", F.lit("row")).unionByName(
+        counts.select(F.col("reject_reason").alias("kind"), "n_lines"), allowMissingColumns=True
+    )
+
+
+def replaced_by_rename(spark: SparkSession, report: DataFrame, schema) -> DataFrame:
+    """A report that is replaced by one computed from itself: the first is
+    written, then its rows with the count doubled take its place, committed by
+    rename (the old files are read until the new ones are complete)."""
+    path = scratch_path(spark, "report-replaced")
+    key, count = [n for n, _ in schema]
+    read = lambda: read_delimited(spark, path, schema, "\t", on_bad="fail", trim=False)
+    write_delimited(report.select(key, count), path, commit="rename")
+    write_delimited(read().withColumn(count, F.col(count) * 2), path, commit="rename")
+    return read()

@@ -9,8 +9,9 @@ Input roles (column names):
 Lookups never multiply facts: every lookup projection is reduced to one row
 per key first (`unique_lookup`; among duplicates the greatest value wins,
 deterministically), as a per-key dictionary or a reducer holding one value
-per key would. The de-duplicating aggregate is hash-partitioned on the join
-key, so a sort-merge join reuses it without another shuffle of the lookup.
+per key would; where the reader carries the lines' places, the later line wins).
+The de-duplicated lookup is hash-partitioned on the join key, so a sort-merge
+join reuses it without another shuffle.
 
 Plan shape: where the grouping key determines the lookup key, ratings are
 reduced to (sum, count) per lookup key *before* the join (per movie for
@@ -24,7 +25,7 @@ only when users is under the size threshold).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import (
@@ -49,8 +50,8 @@ from quarry.operators.agg import (
     sum_count,
     with_summary_row,
 )
-from quarry.operators.lookup import attach, skew_safe_lookup, unique_lookup
-from quarry.sources.sinks import format_report
+from quarry.operators.lookup import JoinLayout, attach, place_of, skew_safe_lookup, stage_for_join, unique_lookup
+from quarry.sources.sinks import format_report, stage_observed
 
 # ---------------------------------------------------------------------------
 # Report texts and default labels as the reference prints them.
@@ -78,7 +79,7 @@ def _movie_id_title(prefix: str) -> Column:
 
 
 def _titles(movies: DataFrame) -> DataFrame:
-    return unique_lookup(movies.select("movie_id", "title"), "movie_id")
+    return unique_lookup(movies.select("movie_id", "title", *place_of(movies)), "movie_id")
 
 
 def movie_state(ratings: DataFrame) -> DataFrame:
@@ -92,6 +93,7 @@ def movie_rating_stats(
     digits: int = 2,
     missing: str = "drop",
     default_title: Column | str | None = None,
+    rounding: str = "half_up",
 ) -> DataFrame:
     """Mean rating and count per movie with its title.
 
@@ -101,7 +103,7 @@ def movie_rating_stats(
     if default_title is None:
         default_title = _movie_id_title("MovieID:")
     named = attach(state, _titles(movies), "movie_id", missing, {"title": default_title})
-    return finish_mean(named, "rating_sum", "n_ratings", digits).select(
+    return finish_mean(named, "rating_sum", "n_ratings", digits, rounding=rounding).select(
         "movie_id", "title", "avg_rating", "n_ratings"
     )
 
@@ -114,6 +116,7 @@ def best_movie(
     missing: str = "default",
     default_title: Column | str | None = None,
     rank_on: str = "raw",
+    rounding: str = "half_up",
 ) -> DataFrame:
     """The movie with the highest mean among movies with >= min_count
     ratings; ties go to the smallest movie_id. The title is looked up after
@@ -123,7 +126,7 @@ def best_movie(
     `default_title`, default 'MovieID:<id>'); 'drop' ranks only titled movies.
     rank_on='raw' compares unrounded means, 'rounded' the printed ones."""
     state = movie_state(ratings).filter(F.col("n_ratings") >= min_count)
-    stats = finish_mean(state, "rating_sum", "n_ratings", digits, raw_name="avg_raw")
+    stats = finish_mean(state, "rating_sum", "n_ratings", digits, raw_name="avg_raw", rounding=rounding)
     if default_title is None:
         default_title = _movie_id_title("MovieID:")
     if missing == "drop":
@@ -142,22 +145,32 @@ def genre_rating(
     raw_name: str | None = None,
     order: bool = True,
     trailing_empty: bool = True,
+    rounding: str = "half_up",
 ) -> DataFrame:
     """Mean rating and count per genre, best first; a rating counts once for
     every genre of its movie. Ratings of movies without a genre row
     disappear. `trailing_empty` says whether `A|B|` holds a last, empty genre."""
     state = movie_state(ratings)
-    genres = unique_lookup(movies.select("movie_id", "genres"), "movie_id").select(
+    genres = unique_lookup(movies.select("movie_id", "genres", *place_of(movies)), "movie_id").select(
         "movie_id", split_list("genres", "|", trim, trailing_empty).alias("genre_list")
     )
     joined = state.join(genres, "movie_id", "inner")
     exploded = joined.select(F.explode("genre_list").alias("genre"), "rating_sum", "n_ratings")
     merged = merge_sum_count(exploded, "genre", "rating_sum", "n_ratings").filter(F.col("n_ratings") > 0)
-    out = finish_mean(merged, "rating_sum", "n_ratings", digits, raw_name=raw_name)
+    out = finish_mean(merged, "rating_sum", "n_ratings", digits, raw_name=raw_name, rounding=rounding)
     out = out.select("genre", "avg_rating", "n_ratings", *([raw_name] if raw_name else []))
     return out.orderBy(F.desc("avg_rating"), "genre") if order else out
 
 
+def movie_rating_with_genres(ratings: DataFrame, movies: DataFrame, digits: int = 2) -> DataFrame:
+    """(movie_id, title, genres, avg_rating, n_ratings): the per-movie report with
+    the whole lookup row, title and genres of one line."""
+    lookup = unique_lookup(movies.select("movie_id", "title", "genres", *place_of(movies)), "movie_id")
+    named = attach(movie_state(ratings).filter(F.col("n_ratings") > 0), lookup, "movie_id", "drop")
+    out = finish_mean(named, "rating_sum", "n_ratings", digits)
+    return out.select("movie_id", "title", "genres", "avg_rating", "n_ratings")
+
+
 def best_genre(
     ratings: DataFrame, movies: DataFrame, digits: int = 2, rank_on: str = "raw", trailing_empty: bool = True
 ) -> DataFrame:
@@ -217,6 +230,31 @@ def movie_report_with_best(ratings: DataFrame, movies: DataFrame, min_count: int
     return with_summary_row(detail, format_report(best, "label", BEST_MOVIE_LINE, ["title", "avg_raw", "k"]))
 
 
+def movie_report_observed(ratings: DataFrame, movies: DataFrame, min_count: int = 5) -> tuple[DataFrame, Row]:
+    """`movie_report_with_best` from one pass: the per-movie table is written
+    once, and the number of movies, of ratings and the best movie are metrics of
+    that job. Returns the report lines and the metrics row (`n_movies`,
+    `n_ratings`, `best`: null without a movie of `min_count` ratings)."""
+    state = movie_state(ratings).filter(F.col("n_ratings") > 0)
+    named = attach(state, _titles(movies), "movie_id", "drop")
+    stats = finish_mean(named, "rating_sum", "n_ratings", 2, raw_name="avg_raw")
+    stats = stats.select("movie_id", "title", "avg_raw", "avg_rating", "n_ratings")
+    # the least struct has the highest mean, then the smallest movie
+    ranked = F.struct((-F.col("avg_raw")).alias("minus"), "movie_id", "title", "avg_raw")
+    counts = (F.col("n_ratings") >= min_count) & ~F.isnan("avg_raw")
+    metrics = {
+        "n_movies": F.count(F.lit(1)),
+        "n_ratings": F.sum("n_ratings"),
+        "best": F.min(F.when(counts, ranked)),
+    }
+    written, seen = stage_observed(stats, metrics, "movie-report")
+    detail = written.select("title", fmt2("avg_rating").alias("avg_text"), "n_ratings")
+    detail = format_report(detail, "title", MOVIE_LINE, ["avg_text", "n_ratings"])
+    best = [(BEST_MOVIE_LABEL, seen.best.title, seen.best.avg_raw, min_count)] if seen.best else []
+    summary = ratings.sparkSession.createDataFrame(best, "label string, title string, avg_raw double, k int")
+    return with_summary_row(detail, format_report(summary, "label", BEST_MOVIE_LINE, ["title", "avg_raw", "k"])), seen
+
+
 def gender_report_with_gap(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
     """(key, line): male / female means and counts per movie, then the
     biggest-gap line."""
@@ -236,34 +274,61 @@ def age_report_lines(ratings: DataFrame, users: DataFrame, movies: DataFrame) ->
     return format_report(wide, "title", AGE_LINE, [f"avg_{s}" for s in AGE_SUFFIXES])
 
 
-def _rated_with(ratings: DataFrame, users: DataFrame, attr: Column, name: str, missing: str) -> DataFrame:
+def stage_ratings_with_users(
+    ratings: DataFrame, users: DataFrame, buckets: int | None = None, salts: int = 8
+) -> JoinLayout:
+    """Ratings and users written once in one join layout, for the gender and age
+    analyses (`layout=`); each of them then joins without a shuffle. Users are
+    one row each there, the one `unique_lookup` keeps of all their columns."""
+    rated = ratings.where(F.col("rating").isNotNull()).select("user_id", "movie_id", "rating")
+    return stage_for_join(rated, users, "user_id", buckets, salts)
+
+
+def _rated_with(
+    ratings: DataFrame | None,
+    users: DataFrame | None,
+    attr: Column,
+    name: str,
+    missing: str,
+    layout: JoinLayout | None = None,
+    known: Column | None = None,
+) -> DataFrame:
+    """Ratings with one attribute of their user; `known` says which users count."""
+    if layout is not None:
+        kept = layout if known is None else JoinLayout(layout.facts, layout.lookup.where(known), layout.on)
+        return kept.attach({name: attr}, missing, {name: F.lit(UNKNOWN_GROUP)})
+    if known is not None:
+        users = users.where(known)
     # Ratings are joined to users row by row, so a user holding a large share
     # of all ratings is a hot key here: the written lookup gives the join
     # plain shuffles that adaptive execution can split.
-    lookup = skew_safe_lookup(users.select("user_id", attr.alias(name)), "user_id")
+    lookup = skew_safe_lookup(users.select("user_id", attr.alias(name), *place_of(users)), "user_id")
     rated = ratings.filter(F.col("rating").isNotNull())
     return attach(rated, lookup, "user_id", missing, {name: F.lit(UNKNOWN_GROUP)})
 
 
 def movie_gender_wide(
-    ratings: DataFrame,
-    users: DataFrame,
+    ratings: DataFrame | None,
+    users: DataFrame | None,
     movies: DataFrame,
     digits: int = 2,
     raw: bool = False,
     missing: str = "drop",
     genders: dict[str, str] | None = None,
+    layout: JoinLayout | None = None,
+    rounding: str = "half_up",
 ) -> DataFrame:
     """Per movie: male and female mean and count side by side (0.0 when a
     side is empty). Ratings of unknown users are dropped (missing='drop') or
     count for neither side (missing='default'); genders other than the
     listed ones (compared case-insensitively, default M/F) count for neither
     side but the movie still appears. `genders` maps a column suffix to a
-    gender value; the output columns then follow those suffixes."""
+    gender value; the output columns then follow those suffixes. With `layout`
+    (see `stage_ratings_with_users`) ratings and users are read from there."""
     genders = genders or GENDERS
-    rated = _rated_with(ratings, users, F.upper(java_trim("gender")), "gender", missing)
+    rated = _rated_with(ratings, users, F.upper(java_trim("gender")), "gender", missing, layout)
     wide = mean_count_wide(rated, "movie_id", "gender", "rating",
-                           {k: v.upper() for k, v in genders.items()}, digits, 0.0, raw=raw)
+                           {k: v.upper() for k, v in genders.items()}, digits, 0.0, raw=raw, rounding=rounding)
     named = attach(wide, _titles(movies), "movie_id", "default", {"title": _movie_id_title("MovieID:")})
     pairs = [c for g in genders for c in (f"avg_{g}", f"n_{g}")]
     extra = [f"raw_avg_{g}" for g in genders] if raw else []
@@ -279,39 +344,58 @@ def biggest_gender_gap(ratings: DataFrame, users: DataFrame, movies: DataFrame,
 
 
 def movie_gender_long(
-    ratings: DataFrame, users: DataFrame, movies: DataFrame, digits: int = 2, missing: str = "default"
+    ratings: DataFrame,
+    users: DataFrame,
+    movies: DataFrame,
+    digits: int = 2,
+    missing: str = "default",
+    rounding: str = "half_up",
 ) -> DataFrame:
     """One row per (movie, gender) with mean and count, ordered by movie id
     (as text) and gender; ratings of unknown users form the group 'Unknown'
     (missing='default') or are dropped (missing='drop'); any gender value is
     its own group."""
     rated = _rated_with(ratings, users, F.col("gender"), "gender", missing)
-    stats = mean_count(rated, ["movie_id", "gender"], "rating", digits)
+    stats = mean_count(rated, ["movie_id", "gender"], "rating", digits, rounding=rounding)
     named = attach(stats, _titles(movies), "movie_id", "default", {"title": _movie_id_title("MovieID ")})
     out = named.select("movie_id", "title", "gender", "avg_rating", "n_ratings")
     return out.orderBy(F.col("movie_id").cast("string"), "gender")
 
 
 def movie_age_wide(
-    ratings: DataFrame,
-    users: DataFrame,
+    ratings: DataFrame | None,
+    users: DataFrame | None,
     movies: DataFrame,
     digits: int = 2,
     closed: str = "right",
     missing: str = "drop",
+    layout: JoinLayout | None = None,
+    rounding: str = "half_up",
 ) -> DataFrame:
     """Per movie: mean rating in each age band (0.0 when empty); bands are
     upper-inclusive (closed='right') or lower-inclusive ('left'). Users
     without a usable age are left out of the lookup; ratings of users not in
-    it are dropped (missing='drop') or count for no band ('default')."""
-    banded_users = users.filter(F.col("age").isNotNull())
+    it are dropped (missing='drop') or count for no band ('default'). With
+    `layout` ratings and users are read from there."""
     bands = AGE_BANDS_RIGHT if closed == "right" else AGE_BANDS_LEFT
-    rated = _rated_with(ratings, banded_users, age_band("age", closed), "age_group", missing)
-    wide = mean_count_wide(rated, "movie_id", "age_group", "rating", bands, digits, 0.0, with_counts=False)
+    with_age = F.col("age").isNotNull()
+    rated = _rated_with(ratings, users, age_band("age", closed), "age_group", missing, layout, with_age)
+    wide = mean_count_wide(
+        rated, "movie_id", "age_group", "rating", bands, digits, 0.0, with_counts=False, rounding=rounding
+    )
     named = attach(wide, _titles(movies), "movie_id", "default", {"title": _movie_id_title("MovieID:")})
     return named.select("movie_id", "title", *[f"avg_{s}" for s in AGE_SUFFIXES])
 
 
+def gender_and_age(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
+    """Per movie the wide gender means and the wide age-band means side by side
+    (movies that have both), from one written layout of ratings and users."""
+    layout = stage_ratings_with_users(ratings, users)
+    by_gender = movie_gender_wide(None, None, movies, layout=layout)
+    by_age = movie_age_wide(None, None, movies, layout=layout).drop("title")
+    return by_gender.join(by_age, "movie_id")
+
+
 def movie_age_long(
     ratings: DataFrame,
     users: DataFrame,
@@ -319,13 +403,14 @@ def movie_age_long(
     digits: int = 2,
     closed: str = "left",
     missing: str = "default",
+    rounding: str = "half_up",
 ) -> DataFrame:
     """One row per (movie, age band), bands lower-inclusive (closed='left')
     or upper-inclusive ('right'); unknown users (and users without an age)
     form the group 'Unknown' (missing='default') or are dropped ('drop')."""
     band = F.coalesce(age_band("age", closed), F.lit(UNKNOWN_GROUP))
     rated = _rated_with(ratings, users, band, "age_group", missing)
-    stats = mean_count(rated, ["movie_id", "age_group"], "rating", digits)
+    stats = mean_count(rated, ["movie_id", "age_group"], "rating", digits, rounding=rounding)
     named = attach(stats, _titles(movies), "movie_id", "default", {"title": _movie_id_title("MovieID ")})
     out = named.select("movie_id", "title", "age_group", "avg_rating", "n_ratings")
     return out.orderBy(F.col("movie_id").cast("string"), "age_group")
@@ -351,6 +436,7 @@ def occupation_rating(
     occupations: DataFrame,
     digits: int = 2,
     default_occupation_id: object = 0,
+    rounding: str = "half_up",
 ) -> DataFrame:
     """Mean and count per occupation name, best first. A rating whose user is unknown
     gets occupation id `default_occupation_id`, which is then looked up like
@@ -358,13 +444,14 @@ def occupation_rating(
     user before the two lookups."""
     per_user = sum_count(ratings, "user_id", "rating", "rating_sum", "n_ratings")
     with_occ = attach(
-        per_user, unique_lookup(users.select("user_id", "occupation_id"), "user_id"), "user_id", "default",
+        per_user, unique_lookup(users.select("user_id", "occupation_id", *place_of(users)), "user_id"), "user_id", "default",
         {"occupation_id": default_occupation_id},
     )
-    names = unique_lookup(occupations.select("occupation_id", "occupation"), "occupation_id")
+    names = unique_lookup(occupations.select("occupation_id", "occupation", *place_of(occupations)), "occupation_id")
     named = attach(with_occ, names, "occupation_id", "default", {"occupation": UNKNOWN_GROUP})
     merged = merge_sum_count(named, "occupation", "rating_sum", "n_ratings").filter(F.col("n_ratings") > 0)
-    out = finish_mean(merged, "rating_sum", "n_ratings", digits).select("occupation", "avg_rating", "n_ratings")
+    out = finish_mean(merged, "rating_sum", "n_ratings", digits, rounding=rounding)
+    out = out.select("occupation", "avg_rating", "n_ratings")
     return out.orderBy(F.desc("avg_rating"), "occupation")
 
 
@@ -373,11 +460,12 @@ def rating_by_year(
     ts_col: str = "rated_at",
     epoch: bool = False,
     digits: int = 2,
+    rounding: str = "half_up",
 ) -> DataFrame:
     """Mean and count per calendar year (UTC) of the rating time; `epoch`
     says the column holds Unix seconds."""
     year = epoch_utc_year(ts_col) if epoch else F.year(F.col(ts_col)).cast("bigint")
-    return mean_count(ratings.withColumn("year", year), "year", "rating", digits).orderBy("year")
+    return mean_count(ratings.withColumn("year", year), "year", "rating", digits, rounding=rounding).orderBy("year")
 
 
 def with_epoch_seconds(ratings: DataFrame, ts_col: str = "rated_at", out: str = "rated_epoch") -> DataFrame:

@@ -445,7 +445,7 @@ register(
     "sample_tokens",
     role_cte("reviews", "stopwords")
     + f", {_TOKENS}, n AS (SELECT least(count(*), 10) AS n FROM tok)\n    SELECT n AS n_rows, n AS n_found FROM n",
-)(lambda spark, d: files.sampled(spark, _tokens(spark, d), 10))
+)(lambda spark, d: files.sampled(spark, *_r(spark, d, "reviews", "stopwords"), 10))
 
 # --------------------------------------------------------------------------
 # Commerce (C12-C18)
@@ -797,3 +797,115 @@ register(
     SELECT occupation, {R('sum(rs) / sum(n)')} AS avg_rating, CAST(sum(n) AS BIGINT) AS n_ratings
     FROM wn GROUP BY occupation""",
 )(lambda spark, d: ratings.occupation_rating(*_from_files(spark, d, "text_occupations")))
+
+# --------------------------------------------------------------------------
+# Line order, rounding, layouts of written tables, summaries, single passes.
+
+register(
+    "movies_listed_again",
+    role_cte("ratings", "movies")
+    + f""",
+    last AS (SELECT movie_id, CASE WHEN movie_id % 2 = 0 THEN '' ELSE 'zz ' END AS mark, title, genres FROM movies)
+    SELECT CAST(r.movie_id AS VARCHAR) AS movie_id, m.mark || m.title AS title, m.mark || m.genres AS genres,
+           {R('sum(r.rating) / count(r.rating)')} AS avg_rating, count(r.rating) AS n_ratings
+    FROM ratings r JOIN last m ON r.movie_id = m.movie_id
+    GROUP BY r.movie_id, m.mark, m.title, m.genres HAVING count(r.rating) > 0""",
+)(lambda spark, d: files.movies_listed_again(spark, _ratings_epoch(spark, d), role(spark, d, "movies")))
+
+
+def PY(expr: str) -> str:
+    """Oracle-side rounding as Python's `round(x, 2)`: the text of two decimals
+    of the exact binary value."""
+    return f"CAST(printf('%.2f', {expr}) AS DOUBLE)"
+
+
+register(
+    "movie_rating_stats_python_rounding",
+    role_cte("ratings", "movies")
+    + f"""
+    SELECT r.movie_id, m.title, {PY('sum(r.rating) / count(r.rating)')} AS avg_rating,
+           count(r.rating) AS n_ratings
+    FROM ratings r JOIN {_MT} m ON r.movie_id = m.movie_id
+    GROUP BY r.movie_id, m.title HAVING count(r.rating) > 0""",
+)(lambda spark, d: ratings.movie_rating_stats(*_r(spark, d, "ratings", "movies"), rounding="python"))
+
+register(
+    "genre_rating_python_rounding",
+    role_cte("ratings", "movies")
+    + f""", {_MOVIE_STATE}, {_GENRES}
+    SELECT genre, {PY('a')} AS avg_rating, n AS n_ratings FROM gst""",
+)(lambda spark, d: ratings.genre_rating(*_r(spark, d, "ratings", "movies"), rounding="python"))
+
+# One written layout, two analyses: the gender report's columns beside the age
+# report's, per movie.
+register(
+    "gender_and_age_from_layout",
+    role_cte("ratings", "users", "movies")
+    + f""", {_GENDER_WIDE},
+    rb AS (SELECT r.movie_id, r.rating, u.b AS b FROM ratings r
+           JOIN {_UA_RIGHT} u ON r.user_id = u.user_id WHERE r.rating IS NOT NULL),
+    aw AS (SELECT movie_id, {_BAND_MEANS} FROM rb GROUP BY movie_id)
+    SELECT w.movie_id, {_title('MovieID:')}, COALESCE({R('w.sm / w.nm')}, 0.0) AS avg_male, w.nm AS n_male,
+           COALESCE({R('w.sf / w.nf')}, 0.0) AS avg_female, w.nf AS n_female, avg_0_18, avg_18_35, avg_35_50, avg_50p
+    FROM gw w JOIN aw ON aw.movie_id = w.movie_id LEFT JOIN {_MT} m ON w.movie_id = m.movie_id""",
+)(lambda spark, d: ratings.gender_and_age(*_r(spark, d, "ratings", "users", "movies")))
+
+REVENUE_FROM, REVENUE_TO = "1996-07-01", "1997-04-15"
+
+register(
+    "revenue_by_category_between",
+    role_cte("shop_orders", "shop_items", "shop_products")
+    + f"""
+    SELECT p.category, CAST(round(sum(i.price + i.freight), 2) AS DOUBLE) AS total_revenue,
+           count(o.order_id) AS total_orders
+    FROM shop_orders o JOIN shop_items i ON o.order_id = i.order_id JOIN shop_products p ON i.product_id = p.product_id
+    WHERE o.purchase_ts >= DATE '{REVENUE_FROM}' AND o.purchase_ts < DATE '{REVENUE_TO}' GROUP BY p.category""",
+)(lambda spark, d: _revenue_between(*_r(spark, d, "shop_orders", "shop_items", "shop_products")))
+
+
+def _revenue_between(orders, items, products):
+    lines = commerce.stage_lines_by_year(orders, items)
+    return commerce.revenue_by_category_between(orders, lines, products, REVENUE_FROM, REVENUE_TO)
+
+
+register("frequent_words_over", ORACLE["word_freq_over"])(
+    lambda spark, d: text_insights.frequent_words_over(_tokens(spark, d), 500)
+)
+register("frequent_topk_words_all", ORACLE["topk_words_all"])(
+    lambda spark, d: text_insights.frequent_topk_words(_tokens(spark, d), None, 5, "top_words")
+)
+register("frequent_topk_words_positive", ORACLE["topk_words_positive"])(
+    lambda spark, d: text_insights.frequent_topk_words(_tokens(spark, d), "positive", 5, "top_positive_words")
+)
+
+register(
+    "distinct_orders",
+    role_cte("shop_items")
+    + """
+    SELECT seller_id, count(DISTINCT order_id) AS total_orders FROM shop_items WHERE seller_id IS NOT NULL GROUP BY seller_id
+    UNION ALL SELECT NULL, count(DISTINCT order_id) FROM shop_items""",
+)(lambda spark, d: commerce.distinct_orders(role(spark, d, "shop_items")))
+
+register("movie_report_observed", ORACLE["movie_report_with_best"])(
+    lambda spark, d: ratings.movie_report_observed(*_r(spark, d, "ratings", "movies"))[0]
+)
+
+register(
+    "replaced_report",
+    role_cte("reviews") + "\n    SELECT topic, 2 * count(id) AS num_comments FROM reviews GROUP BY topic",
+)(
+    lambda spark, d: files.replaced_by_rename(
+        spark, QUERIES["topic_counts"](spark, d), [("topic", "string"), ("num_comments", "bigint")]
+    )
+)
+
+register(
+    "sort_out_ratings",
+    role_cte("ratings", "shop_reviews")
+    + """
+    SELECT 'row' AS kind, user_id, movie_id, rating, CAST(epoch(rated_at) AS BIGINT) AS rated_epoch, NULL::BIGINT AS n_lines
+    FROM ratings
+    UNION ALL SELECT 'unparsable movie_id', NULL, NULL, NULL, NULL, count(*) FROM events HAVING count(*) > 0
+    UNION ALL SELECT 'too few fields', NULL, NULL, NULL, NULL, count(*) FROM shop_reviews HAVING count(*) > 0
+    UNION ALL SELECT 'unparsable rating', NULL, NULL, NULL, NULL, count(*) FROM events HAVING count(*) > 0""",
+)(lambda spark, d: files.sorted_out(spark, _ratings_epoch(spark, d), _junk(spark, d)))

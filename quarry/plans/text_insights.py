@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.scalar import bag_to_string, normalize_label, review_tokens
 from quarry.operators.agg import best_of, count_by
+from quarry.operators.heavy import frequent_over, frequent_top_k
 from quarry.operators.lookup import exclude_terms
 from quarry.operators.rank import collect_top_k, top_k_per_group
 
@@ -131,6 +132,27 @@ def topk_words_by_sentiment(
     return top.select("sentiment", "topic", bag_to_string("__bag", ["word", "count"]).alias(out))
 
 
+def frequent_words_over(tokens: DataFrame, min_freq: int = 500) -> DataFrame:
+    """`word_freq_over` from a summary: only words of hash buckets with more than
+    `min_freq` tokens are counted one by one (see `operators.heavy`)."""
+    found = frequent_over(tokens.where(F.col("id").isNotNull()), "word", min_freq, "frequency")
+    return found.orderBy(F.desc("frequency"), "word")
+
+
+def frequent_topk_words(
+    tokens: DataFrame, sentiment: str | None = None, k: int = 5, out: str = "top_words"
+) -> DataFrame:
+    """`topk_words` from a summary: the tail of rare words is neither shuffled nor
+    counted. A word none of whose tokens counts is never listed."""
+    counter = "topic" if sentiment is None else "id"
+    if sentiment is not None:
+        tokens = tokens.where(F.col("sentiment") == sentiment)
+    counted = tokens.where(F.col(counter).isNotNull()).select("topic", "word")
+    found = frequent_top_k(counted, "topic", "word", k, "count")
+    top = collect_top_k(found.drop("rank"), "topic", "count", k, ["word", "count"], tie="word", out="__bag")
+    return top.select("topic", bag_to_string("__bag", ["word", "count"]).alias(out))
+
+
 def sample_tokens(tokens: DataFrame, n: int = 10) -> DataFrame:
     """Any n token rows (a preview: no order is implied)."""
     return tokens.limit(n)

@@ -12,6 +12,9 @@ output (adaptive planner).
 from __future__ import annotations
 
 import os
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -78,7 +81,56 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written tables."""
+    """A fresh sub-folder of the shared checkpoint folder for written tables;
+    inside a `scratch_scope` it is removed with the scope."""
     base = checkpoint_dir(spark).rstrip("/")
-    token = os.urandom(6).hex()
-    return f"{base}/quarry-{name}-{token}"
+    path = f"{base}/quarry-{name}-{os.urandom(6).hex()}"
+    on_release(lambda: remove_folder(spark, path))
+    return path
+
+
+_RELEASES: ContextVar[list[Callable[[], None]] | None] = ContextVar("quarry_releases", default=None)
+
+
+def on_release(action: Callable[[], None]) -> None:
+    """Run `action` when the innermost `scratch_scope` ends (never without one)."""
+    actions = _RELEASES.get()
+    if actions is not None:
+        actions.append(action)
+
+
+@contextmanager
+def scratch_scope() -> Iterator[None]:
+    """Every folder and table that the library writes for itself inside the
+    scope is removed when it ends, also after an error, the last one first. The
+    DataFrames made inside read them lazily: consume them before the end.
+
+        with scratch_scope():
+            seller_ranking(items).write.parquet(target)
+    """
+    actions: list[Callable[[], None]] = []
+    token = _RELEASES.set(actions)
+    try:
+        yield
+    finally:
+        _RELEASES.reset(token)
+        failed = []
+        for action in reversed(actions):
+            try:
+                action()
+            except Exception as e:  # noqa: BLE001 - the other folders go all the same
+                failed.append(e)
+        if failed:
+            raise failed[0]
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of the path, and the path in its terms."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete the folder if it is there."""
+    fs, where = file_system(spark, path)
+    fs.delete(where, True)

@@ -36,14 +36,21 @@ def read_ratings(
 
 
 def read_movies(
-    spark: SparkSession, path: str | Sequence[str], max_fields: int = -1, on_bad: str = "drop", trim: bool = True
+    spark: SparkSession,
+    path: str | Sequence[str],
+    max_fields: int = -1,
+    on_bad: str = "drop",
+    trim: bool = True,
+    with_order: bool = False,
 ) -> DataFrame:
     """(movie_id, title, genres). `max_fields=3` keeps everything after the
     second comma in `genres` (a split with a limit); the default splits on
-    every comma. Genres may be missing (title-only lines are kept)."""
+    every comma. Genres may be missing (title-only lines are kept). With
+    `with_order` the later of two lines of one movie wins in every analysis,
+    for title and genres alike; without it the greater value wins."""
     schema = [("movie_id", "string"), ("title", "string"), ("genres", "string")]
     return read_delimited(spark, path, schema, ",", on_bad, trim, required=["movie_id", "title"],
-                          max_fields=max_fields)
+                          max_fields=max_fields, with_order=with_order)
 
 
 def read_users(
@@ -52,21 +59,27 @@ def read_users(
     on_bad: str = "drop",
     trim: bool = True,
     required: Sequence[str] = ("user_id", "gender"),
+    with_order: bool = False,
 ) -> DataFrame:
     """(user_id, gender, age, occupation_id, zip). A line needs the `required`
     fields: user and gender, unless an analysis needs more. A missing or
-    unparsable age is null, and the age analyses leave those users out."""
+    unparsable age is null, and the age analyses leave those users out. With
+    `with_order` the later of two lines of one user wins."""
     schema = [("user_id", "string"), ("gender", "string"), ("age", "int"), ("occupation_id", "string"),
               ("zip", "string")]
-    return read_delimited(spark, path, schema, ",", on_bad, trim, required=required)
+    return read_delimited(spark, path, schema, ",", on_bad, trim, required=required, with_order=with_order)
 
 
 def read_occupations(
-    spark: SparkSession, path: str | Sequence[str], trim: bool = True, on_bad: str = "drop"
+    spark: SparkSession,
+    path: str | Sequence[str],
+    trim: bool = True,
+    on_bad: str = "drop",
+    with_order: bool = False,
 ) -> DataFrame:
-    """(occupation_id, occupation)."""
+    """(occupation_id, occupation); `with_order` as in `read_users`."""
     schema = [("occupation_id", "string"), ("occupation", "string")]
-    return read_delimited(spark, path, schema, ",", on_bad, trim)
+    return read_delimited(spark, path, schema, ",", on_bad, trim, with_order=with_order)
 
 
 def read_reviews(

@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 
 from quarry.operators.agg import finish_mean, sum_count
 from quarry.operators.lookup import attach, unique_lookup
-from quarry.session import scratch_path
+from quarry.session import file_system, scratch_path
 from quarry.sources.delimited import split_fields
+from quarry.sources.sinks import replace_folder
 
 
 def text_stream(
@@ -55,6 +56,7 @@ def run_movie_stats(
     out_path: str,
     checkpoint: str | None = None,
     available_now: bool = True,
+    compact_every: int = 100,
 ):
     """Start the incremental per-movie state; returns the StreamingQuery.
 
@@ -62,13 +64,18 @@ def run_movie_stats(
     (sum, count) changed, written to `out_path/batch_id=<n>` (overwrite, so
     a replayed batch rewrites the same folder). Work per batch grows with
     the keys touched, not with all keys seen so far. `read_movie_stats`
-    turns the folders into the report. With `available_now` the query
+    turns the folders into the report. Every `compact_every` batches the
+    folders of committed batches become one (see `compact_batches`), so the
+    report reads each movie at most `compact_every` times, however long the
+    query has been running. With `available_now` the query
     processes every file present and stops (a catch-up run); otherwise it
     keeps running on new files."""
     spark = state.sparkSession
     checkpoint = checkpoint or scratch_path(spark, "stream-ckpt")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        if batch_id and batch_id % compact_every == 0:
+            compact_batches(batch.sparkSession, out_path, batch_id - 1)
         batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
     writer = (
@@ -80,6 +87,23 @@ def run_movie_stats(
     return writer.start()
 
 
+def compact_batches(spark: SparkSession, out_path: str, up_to: int) -> None:
+    """Replace the folders of batches up to `up_to`, all committed, by one that
+    holds the latest state of each movie under that number. The new folder takes
+    its place by a rename and the older ones are removed after it; should that
+    be cut short, their states are older than the new one's and change nothing."""
+    fs, base = file_system(spark, f"{out_path}/batch_id=*")
+    folders = {int(s.getPath().getName().split("=")[1]): s.getPath() for s in fs.globStatus(base) or []}
+    older = sorted(n for n in folders if n <= up_to)
+    if len(older) < 2:
+        return
+    changes = spark.read.option("basePath", out_path).parquet(*[folders[n].toString() for n in older])
+    latest = unique_lookup(changes, "movie_id", order="batch_id").drop("batch_id")
+    replace_folder(spark, f"{out_path}/batch_id={older[-1]}", lambda folder: latest.write.parquet(folder))
+    for n in older[:-1]:
+        fs.delete(folders[n], True)
+
+
 def read_movie_stats(spark: SparkSession, out_path: str, movies: DataFrame, digits: int = 2) -> DataFrame:
     """The per-movie report from the batch folders: the latest state of each
     movie (highest batch id), titled (movies without a title dropped)."""

@@ -9,6 +9,7 @@ from quarry_test_helpers import rows
 
 from quarry.plans.files import RATINGS_SCHEMA
 from quarry.streaming import movie_state_stream, read_movie_stats, run_movie_stats, text_stream
+from quarry.streaming.incremental import compact_batches
 
 
 def test_state_carries_across_runs(spark):
@@ -31,3 +32,20 @@ def test_state_carries_across_runs(spark):
     # the second batch wrote only the movies it touched
     second = spark.read.parquet(out).filter("batch_id = 1")
     assert sorted(r.movie_id for r in second.collect()) == [10, 11, 99]
+
+
+def test_compaction_keeps_the_latest_states(spark, tmp_path):
+    src, out, ckpt = (tmp_path / n for n in ("src", "out", "ckpt"))
+    src.mkdir()
+    movies = spark.createDataFrame([(m, f"m{m}") for m in range(5)], "movie_id bigint, title string")
+    for n in range(7):
+        (src / f"{n}.txt").write_text(f"1,{n % 5},{n + 1}.0,0\n2,0,1.0,0\n")
+        stream = text_stream(spark, str(src), RATINGS_SCHEMA)
+        run_movie_stats(movie_state_stream(stream), str(out), checkpoint=str(ckpt), compact_every=3).awaitTermination()
+    left = sorted(x for x in os.listdir(out) if x.startswith("batch_id="))
+    assert left == ["batch_id=5", "batch_id=6"]  # batches 0 to 2 and then 2 to 5 became one
+    got = rows(read_movie_stats(spark, str(out), movies))
+    assert got == [(0, "m0", 1.56, 9), (1, "m1", 4.5, 2), (2, "m2", 3.0, 1), (3, "m3", 4.0, 1), (4, "m4", 5.0, 1)]
+    compact_batches(spark, str(out), 6)
+    assert rows(read_movie_stats(spark, str(out), movies)) == got
+    assert [x for x in os.listdir(out) if x.startswith("batch_id=")] == ["batch_id=6"]
