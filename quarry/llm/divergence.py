@@ -281,7 +281,7 @@ def audit_sources(
     each source to each other source of its language, and the `top_terms` terms
     that mark it against the whole language."""
     texts = collapsed(docs, lang_col, source_col, text_col)
-    kept = staged(kept_counts(staged(count_terms(texts), "term-counts"), least_docs), "kept-terms")
+    kept = staged(kept_counts(count_terms(texts), least_docs), "kept-terms")
     entries = kept.select("lang", "term", "lang_n", F.explode("held").alias("h")).select(
         "lang", "term", "lang_n", "h.source", "h.n"
     )
