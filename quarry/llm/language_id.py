@@ -10,11 +10,13 @@ A text gets the language whose prototype is nearest by cosine, after the mean
 of the unit prototypes, which is what all languages share, has been taken off
 both sides.
 
-Plan. Learning: at most `per_language` distinct texts of each of at most
-`most_languages` languages, those with the smallest hash of the text, so that
-copies of one text, however many, count once and the choice is the same on
-any cluster. Hashes alone are shuffled to choose; the chosen texts (bounded)
-are bundled in tasks, one long vector per task and language, added by Spark.
+Plan. Learning: about `per_language` distinct texts of each of the (at most
+`most_languages`) languages with the most documents, those whose hash lies below
+the share that gives this number; languages with fewer texts give all. Copies
+of one text, however many, count once, and the choice is the same on any
+cluster. Nothing but counts is shuffled to choose, and then the chosen texts
+(bounded); these are bundled in tasks, one long vector per task and language,
+added by Spark.
 The model is `most_languages` * `dims` numbers at most. Predicting is a map
 over all whole texts without a shuffle: a batch's distinct trigrams are found
 once, and the texts' vectors are the product of their count matrix with the
@@ -38,7 +40,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -175,20 +177,14 @@ def fit_languages(
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("body")).where(
         "lang is not null and body is not null"
     )
-    hashed = rows.select("lang", F.xxhash64("body").alias("h"))
-    names = hashed.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages)
-    by_hash = Window.partitionBy("lang").orderBy("h")
-    chosen = (
-        hashed.distinct()
-        .join(F.broadcast(names.select("lang")), "lang")  # at most most_languages rows
-        .withColumn("nth", F.row_number().over(by_hash))
-        .where(F.col("nth") <= per_language)
-        .select("lang", "h")
-    )
-    # at most most_languages * per_language rows of a name and a hash
-    sample = (
-        rows.withColumn("h", F.xxhash64("body")).join(F.broadcast(chosen), ["lang", "h"]).dropDuplicates(["lang", "h", "body"])
-    )
+    hashed = rows.withColumn("h", F.xxhash64("body"))
+    known = hashed.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("h", 0.02).alias("texts"))
+    # at most most_languages rows
+    names = known.orderBy(F.desc("n"), "lang").limit(most_languages).select("lang", (per_language / F.col("texts")).alias("share"))
+    place = F.col("h") / F.lit(2.0**64) + F.lit(0.5)  # from 0 to 1, by the text alone
+    chosen = hashed.join(F.broadcast(names), "lang").where(place < F.col("share"))
+    # about most_languages * per_language rows at most
+    sample = chosen.select("lang", "h", "body").dropDuplicates(["lang", "h", "body"])
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
