@@ -1,26 +1,35 @@
 """Line dedup by content-defined chunks.
 
-A text's lines are hashed, and a rolling polynomial over the hashes of WINDOW
-consecutive lines chooses the chunk boundaries: a chunk ends after a line whose
-rolling value is 0 modulo DIVISOR, and at the end of the text. Boundaries depend
-on nothing but the lines next to them, so a passage that stands elsewhere in
-another text, after other lines, is cut at the same places. Chunks of two or
-more lines that occur again anywhere are removed, but for their first
-occurrence (smallest document id, then first line).
-
-Plan, DataFrame functions only. (1) Chunks meet in one aggregate keyed by
-(SHA-256, bytes): the comparison of the key is the byte comparison, and each
-task sends one row per distinct chunk, so a chunk that a third of all texts
-hold costs a row per task. (2) Repeated chunks, without their bytes, are
-written and joined to the (narrow) chunks; a hot chunk's rows are split by
-adaptive execution. (3) The removed chunks of each text, bounded by its own
-length, are joined to it.
-
-Defined cases: a null or empty text has no lines; chunks of white space alone
-stay; a null id sorts after all ids; rows that repeat an id are one document,
+A chunk is a run of lines between two boundaries, and boundaries are chosen by
+rolling hashes over the line hashes: the window slides over two consecutive
+lines (blank lines are passed over), and a boundary lies between two lines whose
+window's value occurs nowhere else in the corpus. What is left between two
+boundaries is a passage that recurs, from its first line to its last, wherever
+it stands: a boundary depends on the lines beside it alone, so text inserted
+before a passage shifts nothing. In a recurring chunk every line goes that a
+window covers which, compared byte by byte, occurs before (in a document of a
+smaller id, or on an earlier line); its first occurrence stays. Blank lines go
+with the lines around them. A single line that recurs between other lines is no
+chunk and stays.
+
+(Boundaries where a rolling value is 0 modulo a divisor, the rule this one
+replaced, cut every passage's first and last lines off, as these share a chunk
+with what stands around it, and missed most short passages whole.)
+
+Plan, DataFrame functions only. (1) Windows are counted by 128-bit rolling
+values, without text, combined before the shuffle: a line pair that a third of
+all texts hold is a row per task. (2) Windows that recur are named per text
+(bounded by its own length), joined to the text, and their bytes written. (3)
+One aggregate keyed by (SHA-256, bytes) finds each window's first occurrence: the
+comparison of the key is the byte comparison. (4) Later occurrences are marked
+and joined to the texts. Joins meet written tables, so adaptive execution splits
+a hot window's rows. Work per text grows linearly with its lines.
+
+Defined cases: a null or empty text has no lines; lines of white space alone are
+blank; a null id sorts after all ids; rows that repeat an id are one document,
 and what is first in one of them is first in all of them; ties within a
-document are decided by the line number. Columns other than id and text are
-not read.
+document are decided by the line number; texts of one long line keep it. Columns
+other than id and text are not read.
 """
 
 from __future__ import annotations
@@ -30,11 +39,8 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import SPACES, by_shuffle, row_key, staged, text_or_empty
 
-WINDOW = 2
-DIVISOR = 3
-BASE = 65599
-PRIME = 2147483647
 _LAST_ID = 9223372036854775807
+_SPAN = "array<struct<a: int, b: int>>"
 
 
 def lines(column: str) -> Column:
@@ -42,102 +48,97 @@ def lines(column: str) -> Column:
     return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, "\n", -1))
 
 
-def line_hash(line: Column) -> Column:
-    """The first 28 bits of the line's MD5."""
-    return F.conv(F.substring(F.md5(line), 1, 7), 16, 10).cast("long")
-
-
-def chunk_stops(hashes: str) -> Column:
-    """Number (from 0) of the last line of each chunk, from the line hashes."""
+def windows(lines_col: str) -> Column:
+    """a, b (numbers of two lines that follow one another, blank ones passed
+    over), h1 and h2 (their 128-bit rolling value) of every window of the lines."""
+    marked = F.transform(
+        lines_col,
+        lambda x, i: F.struct(
+            i.alias("i"), (F.btrim(x, F.lit(SPACES)) == "").alias("blank"), F.xxhash64(x).alias("h1"), F.xxhash64(x, F.lit(1)).alias("h2")
+        ),
+    )
+    full = F.filter(marked, lambda x: ~x["blank"])
+    following = F.slice(full, F.lit(2), F.greatest(F.size(full) - 1, F.lit(0)))
+    leading = F.slice(full, F.lit(1), F.greatest(F.size(full) - 1, F.lit(0)))
+    return F.zip_with(
+        leading,
+        following,
+        lambda x, y: F.struct(
+            x["i"].alias("a"), y["i"].alias("b"), F.xxhash64(x["h1"], y["h1"]).alias("h1"), F.xxhash64(x["h2"], y["h2"]).alias("h2")
+        ),
+    )
 
-    def rolling(i: Column) -> Column:
-        value = F.lit(0).cast("long")
-        for back in range(WINDOW - 1, -1, -1):
-            term = F.when(i >= back, F.get(hashes, i - back)).otherwise(F.lit(0))
-            value = F.pmod(value * BASE + term, F.lit(PRIME))
-        return value
 
-    last = F.size(hashes) - 1
-    numbers = F.when(F.size(hashes) == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), last))
-    return F.filter(numbers, lambda i: (i == last) | (F.pmod(rolling(i), F.lit(DIVISOR)) == 0))
+def _place(line: str) -> Column:
+    """Order of occurrence: document id, then line."""
+    wide = F.coalesce("id", F.lit(_LAST_ID)).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)")
+    return wide + F.col(line).cast("decimal(11,0)")
 
 
-def _chunked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """key, id, lines, stops (number of the last line of each chunk)."""
-    return (
-        docs.select(
-            row_key(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("id"), lines(text_col).alias("lines")
-        )
-        .withColumn("hashes", F.transform("lines", line_hash))
-        .select("key", "id", "lines", chunk_stops("hashes").alias("stops"))
+def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """key (of the row), id, a, b, sha of every window whose value recurs, and
+    `body`, its two lines."""
+    rows = docs.select(
+        row_key(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("id"), lines(text_col).alias("lines")
     )
-
-
-def _chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """key, id, start, n, body of each chunk of two lines or more that is not blank."""
-    start = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.get("stops", k - 1) + 1)
-    spans = F.transform(
-        "stops", lambda stop, k: F.struct(start(k).alias("start"), (stop + 1 - start(k)).alias("n"))
+    met = rows.select("key", F.explode(windows("lines")).alias("w")).select("key", "w.*")
+    recurring = staged(
+        met.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h1", "h2"),
+        "recurring-windows",
     )
-    return (
-        _chunked(docs, id_col, text_col)
-        .select("key", "id", "lines", F.filter(spans, lambda c: c["n"] > 1).alias("spans"))
-        .select(
-            "key",
-            "id",
-            F.explode(
-                F.transform(
-                    "spans",
-                    lambda c: F.struct(
-                        c["start"].alias("start"),
-                        c["n"].alias("n"),
-                        F.array_join(F.slice("lines", c["start"] + 1, c["n"]), "\n").alias("body"),
-                    ),
-                )
-            ).alias("c"),
-        )
-        .select("key", "id", "c.start", "c.n", "c.body")
-        .where(F.btrim("body", F.lit(SPACES)) != "")
-        .withColumn("sha", F.unhex(F.sha2("body", 256)))
+    spans = staged(
+        met.join(recurring, ["h1", "h2"]).groupBy("key").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "spans"
     )
+    named = rows.join(by_shuffle(spans), "key").select("key", "id", "lines", F.explode("spans").alias("s"))
+    body = F.concat_ws("\n", F.get("lines", F.col("s.a")), F.get("lines", F.col("s.b")))
+    return named.select("key", "id", "s.a", "s.b", body.alias("body")).withColumn("sha", F.unhex(F.sha2("body", 256)))
 
 
 def remove_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_lines, n_removed, removed (array of start and n of the removed
-    chunks), kept (the lines that stay, joined by line breaks) per row."""
-    chunks = _chunks(docs, id_col, text_col)
-    # order of occurrence: document id, then line
-    place = F.coalesce("id", F.lit(_LAST_ID)).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col(
-        "start"
-    ).cast("decimal(11,0)")
-    repeated = staged(
-        chunks.groupBy("sha", "body")
-        .agg(F.count(F.lit(1)).alias("times"), F.min(place).alias("first"))
+    runs of lines, in order), kept (the lines that stay, joined by line breaks)
+    per row."""
+    found = staged(repeated_windows(docs, id_col, text_col), "repeated-windows")
+    first = staged(
+        found.groupBy("sha", "body")
+        .agg(F.count(F.lit(1)).alias("times"), F.min(_place("a")).alias("first"))
         .where("times > 1")
         .select("sha", "first"),
-        "repeated-chunks",
+        "first-windows",
     )
-    removed = staged(
-        chunks.select("key", "sha", "start", "n", place.alias("place"))
-        .join(repeated, "sha")
+    later = staged(
+        found.select("key", "sha", "a", "b", _place("a").alias("place"))
+        .join(first, "sha")
         .where("place > first")
         .groupBy("key")
-        .agg(F.array_sort(F.collect_set(F.struct("start", "n"))).alias("removed")),
-        "removed-chunks",
+        .agg(F.collect_set(F.struct("a", "b")).alias("later")),
+        "later-windows",
     )
     texts = docs.select(
         row_key(id_col, text_col).alias("key"), F.col(id_col).alias("doc_id"), lines(text_col).alias("lines")
     )
-    nothing = F.array().cast("array<struct<start: int, n: int>>")
-    gone = lambda i: F.exists("removed", lambda c: (i >= c["start"]) & (i < c["start"] + c["n"]))
+    # hash sets of line numbers: linear in the lines of the text
+    covered = F.flatten(F.transform(F.coalesce("later", F.array().cast(_SPAN)), lambda s: F.sequence(s["a"], s["b"])))
+    numbers = F.when(F.size("lines") == 0, F.array().cast("array<int>")).otherwise(
+        F.sequence(F.lit(0), F.size("lines") - 1)
+    )
     return (
-        texts.join(by_shuffle(removed), "key", "left")
-        .select("doc_id", "lines", F.coalesce("removed", nothing).alias("removed"))
+        texts.join(by_shuffle(later), "key", "left")
+        .select("doc_id", "lines", F.array_sort(F.array_distinct(covered)).alias("gone"), numbers.alias("numbers"))
+        .select("doc_id", "lines", "gone", F.array_except("numbers", "gone").alias("stay"))
         .select(
             "doc_id",
             F.size("lines").cast("long").alias("n_lines"),
-            F.aggregate("removed", F.lit(0).cast("long"), lambda s, c: s + c["n"]).alias("n_removed"),
-            "removed",
-            F.array_join(F.filter("lines", lambda x, i: ~gone(i)), "\n").alias("kept"),
+            F.size("gone").cast("long").alias("n_removed"),
+            _runs("gone").alias("removed"),
+            F.array_join(F.transform("stay", lambda i: F.get("lines", i)), "\n").alias("kept"),
         )
     )
+
+
+def _runs(numbers: str) -> Column:
+    """Ascending numbers as runs: start and n of each."""
+    shifted = lambda by: F.transform(numbers, lambda x: x + by)
+    starts = F.array_except(numbers, shifted(1))
+    stops = F.array_except(shifted(1), numbers)
+    return F.zip_with(starts, stops, lambda a, b: F.struct(a.alias("start"), (b - a).alias("n")))
