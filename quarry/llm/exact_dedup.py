@@ -1,18 +1,20 @@
 """Exact duplicates: group by a 128-bit content hash, compare the bytes inside
 each group, keep one row of each group.
 
-Plan. (1) One aggregate keyed by (hash, normalised text): rows meet by their
+Plan of `mark_copies`. (1) One aggregate keyed by (hash, normalised text): rows meet by their
 128-bit hash, and the aggregate's key comparison is the byte comparison, so
 two texts that collide in the hash form two groups. It is combined before the
 shuffle: of a group that holds a third of all rows each task sends one row.
 Only groups with copies are written, without their text. (2) The rows are
 joined to those groups on both digests; the groups are a plain file scan, so
 a hot group's rows are split by adaptive execution. Nothing is collected.
+`drop_copies` takes the kept rows out of that aggregate itself.
 
 Defined cases: a null text is empty; empty texts are equal to each other; a
 null id sorts after all ids; rows that repeat id and text are one document and
-get the same verdict, as nothing tells them apart. Other columns are never read
-by `mark_copies` and pass through `drop_copies` under any names.
+get the same mark, as nothing tells them apart, but `drop_copies` keeps one
+row only. Other columns are never read by `mark_copies` and pass through
+`drop_copies` under any names (but `__tie`).
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import SPACE_CLASS, by_shuffle, staged, text_or_empty
+from quarry.llm.common import SPACE_CLASS, staged, text_or_empty
 
 _LAST_ID = 9223372036854775807
 _ID_SPAN = Decimal(2**65)  # code points weigh more than any id
@@ -52,17 +54,20 @@ def _digests(df: DataFrame, id_col: str, text_col: str, *kept: Column) -> DataFr
     )
 
 
+def _order() -> Column:
+    """The row with the most code points first, then the smallest id; no id last."""
+    points = F.col("points").cast("decimal(11,0)") * F.lit(_ID_SPAN).cast("decimal(20,0)")
+    return points - F.coalesce(F.col("id"), F.lit(_LAST_ID)).cast("decimal(20,0)")
+
+
 def copy_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """hash, sha, keep_id, keep_points, group_size of every group of two rows or more."""
-    order = F.col("points").cast("decimal(11,0)") * F.lit(_ID_SPAN).cast("decimal(20,0)") - F.coalesce(
-        F.col("id"), F.lit(_LAST_ID)
-    ).cast("decimal(20,0)")
+    """hash, sha, keep_id, group_size of every group of two rows or more."""
     groups = (
         _digests(df, id_col, text_col)
         .groupBy("hash", "body")
-        .agg(F.count(F.lit(1)).alias("group_size"), F.max_by("id", order).alias("keep_id"), F.max("points").alias("keep_points"))
+        .agg(F.count(F.lit(1)).alias("group_size"), F.max_by("id", _order()).alias("keep_id"))
         .where(F.col("group_size") > 1)
-        .select("hash", F.sha2("body", 256).alias("sha"), "keep_id", "keep_points", "group_size")
+        .select("hash", F.sha2("body", 256).alias("sha"), "keep_id", "group_size")
     )
     return staged(groups, "copy-groups")
 
@@ -85,13 +90,16 @@ def mark_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `df` that stay, with all their columns. Of rows of the kept id
-    only those with the most code points stay; rows that repeat id and text all
-    do."""
-    groups = copy_groups(df, id_col, text_col)
-    rows = _digests(df, id_col, text_col, F.struct("*").alias("row")).select(
-        "row", "id", "points", "hash", F.sha2("body", 256).alias("sha")
-    )
-    longest = F.col("keep_id").eqNullSafe(F.col("id")) & (F.col("keep_points") == F.col("points"))
-    stays = F.col("group_size").isNull() | longest
-    return rows.join(by_shuffle(groups), ["hash", "sha"], "left").where(stays).select("row.*")
+    """One row of each group of equal normalised texts, with all its columns: the
+    one with the most code points, then the one with the smallest id. Of rows
+    that repeat both (a file read in twice) one stays, chosen by a hash of its
+    columns.
+
+    The rows are the value of one aggregate keyed by (hash, normalised text), so
+    the comparison of its key is the byte comparison. Each task sends one row of a
+    group, however many it holds."""
+    hashable = [F.col(name) for name, kind in df.dtypes if "map<" not in kind]
+    rows = _digests(df, id_col, text_col, F.struct("*", F.xxhash64(*hashable).alias("__tie")).alias("row"))
+    order = F.struct(_order(), F.col("row.__tie"))
+    kept = rows.groupBy("hash", "body").agg(F.max_by("row", order).alias("row"))
+    return kept.select(*[F.col(f"row.`{c}`") for c in df.columns])

@@ -6,10 +6,12 @@
    above that rounded up to a multiple of STEP. The histogram has a few hundred
    rows at any input size, and only it goes to the driver.
 3. `packing_plan` enumerates the ways to fill a window exactly with up to
-   `depth` of the large classes, solves the repeat counts by non-negative least
-   squares against the histogram, rounds them down to what the histogram
+   `depth` of the large classes, solves the repeat counts by
+   non-negative least squares against the histogram (active set, rows weighed
+   by the classes' counts), rounds them down to what the histogram
    holds, and packs the residual and all small classes greedily, longest
-   first, into the smallest gap that takes them.
+   first, into the smallest gap that takes them. It is never worse than packing
+   everything greedily, which is planned too.
 4. `pack` numbers the pieces of each class without a global sort (count per
    class and chunk of the input, running sums of these counts, position within
    the chunk) and reads each piece's sequence from the plan by its number.
@@ -244,21 +246,36 @@ def fillings(window: int, depth: int) -> list[tuple[int, ...]]:
     return sorted(set(found))
 
 
-def non_negative_least_squares(a: np.ndarray, b: np.ndarray, rounds: int = 400) -> np.ndarray:
-    """x >= 0 that minimises |a x - b|: accelerated projected gradient steps of
-    the inverse of the largest eigenvalue of a' a."""
-    v = np.ones(a.shape[1])
-    for _ in range(30):
-        v = a.T @ (a @ v)
-        v /= np.linalg.norm(v)
-    step = 1.0 / (1.01 * float(np.sum((a @ v) ** 2)))
-    x = y = np.zeros(a.shape[1])
-    t = 1.0
-    for _ in range(rounds):
-        new = np.maximum(0.0, y - step * (a.T @ (a @ y - b)))
-        following = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        y = new + (t - 1) / following * (new - x)
-        x, t = new, following
+def non_negative_least_squares(a: np.ndarray, b: np.ndarray, entering: int = 8) -> np.ndarray:
+    """x >= 0 that minimises |a x - b|, by the active-set method: the variables
+    that would lower the residual most (`entering` at a time) join the free ones,
+    the free ones are solved for, and those that would turn negative leave at
+    the first point where one reaches 0. It ends where no variable gains."""
+    m, n = a.shape
+    x, free = np.zeros(n), np.zeros(n, dtype=bool)
+    limit = 1e-9 * max(float(np.abs(a.T @ b).max(initial=0)), 1e-300)
+    before = np.inf
+    for _ in range(3 * m + 10):
+        residual = b - a @ x
+        gain = np.where(free, -np.inf, a.T @ residual)
+        best = np.argsort(-gain, kind="stable")[: min(entering, n)]
+        best = best[gain[best] > limit]
+        norm = float(residual @ residual)
+        if not len(best) or norm >= before * (1 - 1e-12):
+            break
+        before = norm
+        free[best] = True
+        while free.any():
+            at = np.flatnonzero(free)
+            solved = np.linalg.lstsq(a[:, at], b, rcond=None)[0]
+            if (solved > 0).all():
+                x[at] = solved
+                break
+            falling = solved <= 0
+            ratio = x[at][falling] / np.maximum(x[at][falling] - solved[falling], 1e-300)
+            x[at] += float(ratio.min(initial=1.0)) * (solved - x[at])
+            out = at[falling & (x[at] <= 1e-12 * max(float(x.max(initial=0)), 1e-300))]
+            x[out], free[out] = 0.0, False
     return x
 
 
@@ -273,6 +290,13 @@ class Plan:
 
 
 def packing_plan(histogram: dict[int, int], window: int = WINDOW, depth: int = 3) -> Plan:
+    """The plan with the solved repeats of fillings and the rest packed greedily, or
+    the greedy plan alone where that takes fewer sequences."""
+    solved, greedy = (_plan(histogram, window, d) for d in (depth, 0))
+    return solved if solved.sequences <= greedy.sequences else greedy
+
+
+def _plan(histogram: dict[int, int], window: int, depth: int) -> Plan:
     left = {c: n for c, n in histogram.items() if n > 0}
     used: dict[int, int] = {}
     rows: list[tuple[int, int, int, int, int, int]] = []
@@ -289,7 +313,7 @@ def packing_plan(histogram: dict[int, int], window: int = WINDOW, depth: int = 3
         place(window, 0, 1, sequences, n)
         sequences += n
     large = [c for c in left if SMALL < c < window and left[c]]
-    if large:
+    if large and depth:
         ways = [w for w in fillings(window, depth) if all(left.get(c) for c in w)]
         if ways:
             index = {c: i for i, c in enumerate(sorted(large))}
@@ -298,8 +322,9 @@ def packing_plan(histogram: dict[int, int], window: int = WINDOW, depth: int = 3
                 for c in way:
                     a[index[c], k] += 1
             b = np.array([left[c] for c in index], dtype=float)
-            scale = b.max()
-            repeats = non_negative_least_squares(a, b / scale) * scale
+            # every class counts by its share left over, not the common ones alone
+            weight = 1.0 / np.sqrt(b)
+            repeats = non_negative_least_squares(a * weight[:, None], b * weight)
             for k in np.argsort(-repeats, kind="stable"):
                 counts = {c: ways[k].count(c) for c in ways[k]}
                 n = min(int(repeats[k]), *(left[c] // m for c, m in counts.items()))

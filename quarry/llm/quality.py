@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import FOLDS, bounded_batches, label_sample, text_or_empty
+from quarry.llm.common import FOLDS, bounded_batches, label_sample, staged, text_or_empty
 from quarry.llm.scoring import Logistic, fit_logistic
 
 BLOCK = 2048
@@ -111,10 +111,9 @@ def fit_quality(
 ) -> QualityModel:
     bounded_batches(docs.sparkSession)
     sample = label_sample(labels, label, per_class, id_col)
-    # at most 2 * per_class rows
-    chosen = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("body")).join(
-        F.broadcast(sample), "id"
-    )
+    # at most 2 * per_class rows; written, as both dictionaries and the features read them
+    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("body"))
+    chosen = staged(rows.join(F.broadcast(sample), "id"), "quality-sample")
     fold = F.crc32(F.col("id").cast("string").cast("binary")) % FOLDS
     starts = F.sequence(F.lit(0), F.greatest(F.char_length("body") - 1, F.lit(0)), F.lit(PASSAGE))
     pieces = (

@@ -18,7 +18,9 @@ per word, become a score by logistic calibration.
 
 Fitting reads at most `per_class` labelled documents of each class (smallest
 hash of the id, held-out fold excluded), leaves out near copies among them, and
-keeps at most `most_terms` entries.
+keeps at most `most_terms` entries, chosen from the 20 * `most_terms` that stand
+in most toxic documents of the sample. Terms of more than LONGEST_TERM (40)
+letters are not learned. All three bounds concern fitting alone.
 Scoring is a map over all whole texts; its memory is one portion of a batch.
 
 Defined cases: a null text is empty; a text without words has no hits and the

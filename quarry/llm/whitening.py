@@ -46,7 +46,7 @@ from pyspark.sql import types as T
 from quarry.llm.common import staged
 
 MOST = 1 << 53  # grid numbers up to here are exact as doubles
-LEAST_SHARE = 1e-12
+LEAST_SHARE = 1e-18
 ROUNDING = float(np.finfo(float).eps)
 PASSES = 8  # three are enough for any full rank
 _ROWS = 4096  # rows of one block of a pass
