@@ -1,23 +1,69 @@
-"""Bloom filters over 64-bit keys, built by Spark tasks and sent to all tasks.
+"""Arrays that all tasks of a job fill together, and Bloom filters made so.
 
-They only spare work: a row that a filter lets through by chance is dropped by
-the join that follows, and no wanted row is ever lost. Their size is bounded
-by MOST_BITS; with more keys they let more rows through.
+Each task fills an array of its own and sends it in slices; slices meet by
+number, a reducer adds up (or joins) the ones it is dealt as they arrive, and
+the driver receives each slice once. What it receives is the array's size,
+whatever the number of tasks, and no reducer holds more than that.
+
+Bloom filters only spare work: a row that a filter lets through by chance is
+dropped by the join that follows, and no wanted row is ever lost. Their size is
+bounded by MOST_BITS; of more keys they let more rows through, at last all, and
+the join that follows is then a plain join by shuffle.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MOST_BITS = 1 << 28
 LEAST_BITS = 1 << 16
+SLICES = 256
+SLICE_COLUMNS = "slice int, data binary"
+
+
+def sliced(array: np.ndarray) -> pa.RecordBatch:
+    """A task's array as one row per slice that is not all zero."""
+    parts = array.reshape(SLICES, -1)
+    some = np.flatnonzero(parts.any(1))
+    packed = [zstandard.compress(parts[i].tobytes(), 1) for i in some]
+    return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(packed, pa.binary())], ["slice", "data"])
+
+
+def merged(
+    slices: DataFrame,
+    size: int,
+    dtype: np.dtype,
+    add: Callable[[np.ndarray, np.ndarray], np.ndarray],
+    finish: Callable[[np.ndarray], np.ndarray] = lambda x: x,
+) -> np.ndarray:
+    """The array of `size` values that the tasks' slices (slice, data) make
+    together, `finish` applied to each whole slice."""
+    width = size // SLICES
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for number, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                part = np.frombuffer(zstandard.decompress(data.as_py()), dtype)
+                have[number] = add(have[number], part) if number in have else part
+        for number, part in have.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number], pa.int32()), pa.array([finish(part).tobytes()], pa.binary())], ["slice", "data"]
+            )
+
+    nothing = finish(np.zeros(width, dtype))
+    out = np.tile(nothing, (SLICES, 1))
+    for row in slices.repartition("slice").mapInArrow(meet, SLICE_COLUMNS).collect():
+        out[row.slice] = np.frombuffer(row.data, nothing.dtype)
+    return out.ravel()
 
 
 def _places(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -43,14 +89,10 @@ def bloom(df: DataFrame, key: str) -> Broadcast:
         for batch in batches:
             for place in _places(batch.column(0).to_numpy(), bits):
                 np.bitwise_or.at(bitmap, place >> np.uint64(3), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
-        yield pa.RecordBatch.from_pydict({"bitmap": pa.array([bitmap.tobytes()], pa.binary())})
-
-    parts = df.select(F.col(key).cast("long")).mapInArrow(build, "bitmap binary").rdd
-    nothing = np.zeros(bits >> 3, dtype=np.uint8)
-    merged = parts.map(lambda row: np.frombuffer(row.bitmap, np.uint8)).treeAggregate(
-        nothing, np.bitwise_or, np.bitwise_or
-    )
-    return df.sparkSession.sparkContext.broadcast(merged)
+        yield sliced(bitmap)
+
+    slices = df.select(F.col(key).cast("long")).mapInArrow(build, SLICE_COLUMNS)
+    return df.sparkSession.sparkContext.broadcast(merged(slices, bits >> 3, np.dtype(np.uint8), np.bitwise_or))
 
 
 def maybe_in(sent: Broadcast, key: Column) -> Column:

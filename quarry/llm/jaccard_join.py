@@ -17,24 +17,29 @@ between sets:
 * Derived answers: in each list all sets are first compared with one pivot,
   the set with the fewest shingles before the list's. The sets that link with
   it share their answers: they are in reach of each other whatever their own
-  similarity. Only pairs of sets that the pivots did not bring together, and
-  that no bound excludes, are then compared one by one. So a group of near
-  copies costs one comparison for each copy, not one for each pair.
+  similarity. Only sets that the pivots did not bring together meet again, in
+  cells: a set's position in the list bounds the sizes of the sets that it can
+  still link with, so it skips to the size cells within that bound and meets
+  only the sets of these. So a group of near copies costs one comparison for
+  each copy, not one for each pair.
 
 Scale: five passes over the texts, none shuffles text. Prefix shingles are
 shuffled once (16 bytes each) to find those that two classes share; a Bloom
 filter of these lets the next pass emit little more than what meets, and one of
-row keys lets the comparisons read again only the texts they need. Hot lists
-are aggregated before their shuffle and joined through written tables. Pairs,
-links and components stay distributed.
+row keys lets the comparisons read again only the texts they need (see
+`filters`: past their size both become plain joins by shuffle). Hot lists
+are aggregated before their shuffle and joined through written tables, which
+adaptive execution splits. Pairs, links and components stay distributed; the
+driver receives arrays of fixed size, once each.
 
 Defined cases: a null text is empty; a text without words links with nothing
 and is its own component; fewer than five words are one shingle; a null id
 never is a component's smallest id unless no other id is there (then the
 component is null); rows that repeat id or text are documents like any other;
 very long texts are sets like any other. Other columns are never read.
-Classes are told apart by 64-bit hashes, shingles within a text too, and in the
-comparison of two texts by 40 of these bits.
+Classes are told apart by 128 bits: a 64-bit name, and where two sets share one,
+which a second hash shows, that hash in its place. Shingles are 64-bit hashes,
+compared whole.
 """
 
 from __future__ import annotations
@@ -45,13 +50,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import bounded_batches, by_shuffle, staged, text_or_empty
 from quarry.llm.components import connected_components
-from quarry.llm.filters import bloom, contains, maybe_in
+from quarry.llm.filters import bloom, contains, maybe_in, merged, sliced
 from quarry.llm.words import Words, portions, shingle_sets
 
 SHINGLE = 5
@@ -61,9 +65,17 @@ _LAST_ID = 9223372036854775807
 _BLOCK = math.log(1.34)  # sizes of linked sets differ by 4 / 3 at most, so blocks by one
 
 
-def class_of(shingles: np.ndarray) -> int:
-    """Signed 64-bit name of a set of shingles."""
-    return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).astype(np.int64))
+def digests(shingles: np.ndarray) -> tuple[int, int]:
+    """Two independent signed 64-bit hashes of a set of shingles."""
+    wide = xxhash.xxh3_128_intdigest(shingles.tobytes())
+    low, high = np.array([wide & 0xFFFFFFFFFFFFFFFF, wide >> 64], dtype=np.uint64).view(np.int64).tolist()
+    return low, high
+
+
+def class_of(shingles: np.ndarray, collided: frozenset[int] = frozenset()) -> int:
+    """Name of a set: its first hash, or the second where sets share the first."""
+    low, high = digests(shingles)
+    return high if low in collided else low
 
 
 def prefix_length(n: int) -> int:
@@ -88,42 +100,43 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int, index: int) -> Iterator[
             yield part, shingle_sets(Words(part.column(index), lower=True), size)
 
 
+_MEMBER = "doc_id long, key long, n_shingles long, class long, other long, slice int, data binary"
+
+
 def _members(size: int):
-    """Rows of documents (doc_id, key, n_shingles, class), and one row of cell counts."""
+    """Rows of documents (doc_id, key, n_shingles and both hashes of the set), and
+    rows of slices of the task's cell counts."""
 
-    names = ["doc_id", "key", "n_shingles", "class", "counts"]
+    names = ["doc_id", "key", "n_shingles", "class", "other", "slice", "data"]
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << CELLS, dtype=np.int32)
+        counts = np.zeros(1 << CELLS, dtype=np.int64)
         for part, sets in _sets(batches, size, 2):
             if sets:
                 cells = (np.concatenate(sets) >> np.uint64(64 - CELLS)).astype(np.int64)
                 cells, times = np.unique(cells, return_counts=True)
-                counts[cells] += times.astype(np.int32)
+                counts[cells] += times
             n = len(sets)
+            low, high = zip(*map(digests, sets), strict=True) if n else ((), ())
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0),
                     part.column(1),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([class_of(s) for s in sets], pa.int64()),
+                    pa.array(low, pa.int64()),
+                    pa.array(high, pa.int64()),
+                    pa.nulls(n, pa.int32()),
                     pa.nulls(n, pa.binary()),
                 ],
                 names,
             )
-        packed = zstandard.compress(counts.tobytes(), 1)
-        yield pa.RecordBatch.from_arrays(
-            [*(pa.nulls(1, pa.int64()) for _ in names[:-1]), pa.array([packed], pa.binary())], names
-        )
+        slices = sliced(counts)
+        empty = [pa.nulls(slices.num_rows, pa.int64())] * 5
+        yield pa.RecordBatch.from_arrays([*empty, *slices.columns], names)
 
     return members
 
 
-def capped_sum(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Sum of two arrays of counts, at most 2**31 - 1 each."""
-    return np.minimum(a.astype(np.int64) + b, np.iinfo(np.int32).max).astype(np.int32)
-
-
 def _levels(counts: np.ndarray) -> np.ndarray:
     """Frequency of each cell in quarters of an octave, from 0 to 127."""
     return np.minimum(np.round(4 * np.log2(counts + 1.0)), 127).astype(np.uint8)
@@ -136,7 +149,7 @@ def ordered(shingles: np.ndarray, levels: np.ndarray) -> np.ndarray:
     return np.sort(level << np.uint64(56) | shingles >> np.uint64(8))
 
 
-def _prefixes(size: int, levels, shared):
+def _prefixes(size: int, levels, shared, collided: frozenset[int]):
     """(key, class, size, position) of prefix shingles; without `shared` all of
     them, and only key and class."""
 
@@ -146,7 +159,7 @@ def _prefixes(size: int, levels, shared):
             keys, classes, sizes, at = [], [], [], []
             for shingles in sets:
                 n = len(shingles)
-                if not n or (name := class_of(shingles)) in seen:
+                if not n or (name := class_of(shingles, collided)) in seen:
                     continue
                 seen.add(name)  # one text of each class in a task is enough
                 key = ordered(shingles, level)[: prefix_length(n)]
@@ -171,17 +184,14 @@ def _prefixes(size: int, levels, shared):
 
 
 def packed(shingles: np.ndarray) -> bytes:
-    """A sorted set's leading 40 bits, 5 bytes each."""
-    return (shingles >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+    return shingles.astype("<u8").tobytes()
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    wide = np.zeros((len(data) // 5, 8), dtype=np.uint8)
-    wide[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
-    return wide.view("<u8").ravel()
+    return np.frombuffer(data, "<u8")
 
 
-def _near_sets(size: int, wanted):
+def _near_sets(size: int, wanted, collided: frozenset[int]):
     """(class, shingles) of the texts whose row key the filter lets pass."""
 
     def near_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +200,7 @@ def _near_sets(size: int, wanted):
             for _, sets in _sets(iter([near]), size, 1):
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "class": pa.array([class_of(s) for s in sets], pa.int64()),
+                        "class": pa.array([class_of(s, collided) for s in sets], pa.int64()),
                         "shingles": pa.array([packed(s) for s in sets], pa.binary()),
                     }
                 )
@@ -217,12 +227,15 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _verified(pairs: DataFrame, members: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+def _verified(
+    pairs: DataFrame, members: DataFrame, texts: DataFrame, size: int, collided: frozenset[int]
+) -> DataFrame:
     """a, b, linked of every pair, by the whole sets. One text of each class is
     read again; the filter lets only those texts pass, and few others."""
     names = staged(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "compared-classes")
     keys = members.join(names, "class").groupBy("class").agg(F.min("key").alias("key"))
-    near = staged(texts.mapInArrow(_near_sets(size, bloom(keys, "key")), "class long, shingles binary"), "near-sets")
+    wanted = bloom(staged(keys, "compared-keys"), "key")
+    near = staged(texts.mapInArrow(_near_sets(size, wanted, collided), "class long, shingles binary"), "near-sets")
     one = near.select(F.col("class").alias("a"), F.col("shingles").alias("x"))
     two = near.select(F.col("class").alias("b"), F.col("shingles").alias("y"))
     return staged(
@@ -252,44 +265,78 @@ def _block(size: str) -> Column:
     return F.floor(F.log(F.col(size)) / _BLOCK).cast("int")
 
 
-def _near(pairs: DataFrame, lists: DataFrame) -> DataFrame:
+def _listed(lists: DataFrame) -> DataFrame:
+    """class, size, and per class the names of the lists in its own block and in
+    the next (`own`, `next`), with those that stand for several shingles beside
+    them (`own_many`, `next_many`: name and weight). Written, so that joins on a
+    pivot that a whole group shares are split."""
+    named = F.xxhash64("key", "block")
+    many = F.struct(named.alias("name"), F.col("weight"))
+    aggs = [F.min("size").alias("size")]
+    for name, here in (("own", F.col("block") == _block("size")), ("next", F.col("block") != _block("size"))):
+        aggs.append(F.collect_list(F.when(here, named)).alias(name))
+        aggs.append(F.collect_list(F.when(here & (F.col("weight") > 1), many)).alias(f"{name}_many"))
+    return staged(lists.groupBy("class").agg(*aggs), "listed-sets")
+
+
+def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose shared prefix shingles leave the needed overlap possible.
     All shared shingles up to the end of the prefix that ends first are in both
     prefixes, so the overlap is at most the number of shared prefix shingles
     and what one of the sets has after its prefix."""
-    # one long per list: 38 bits of its name, and its weight (prefix shingles of one text) in 25
-    named = F.xxhash64("key", "block").bitwiseAND(F.lit(((1 << 38) - 1) << 25)) + F.least("weight", F.lit((1 << 25) - 1))
-    own = F.col("block") == _block("size")
-    sets = lists.groupBy("class").agg(
-        F.min("size").alias("size"),
-        F.collect_list(F.when(own, named)).alias("own"),
-        F.collect_list(F.when(~own, named)).alias("next"),
-    )
-    one, two = (
-        sets.select(F.col("class").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("size", "own", "next")]) for x in "ab"
-    )
-    # each shared shingle is in one list of the larger set's block
-    common = (
-        F.when(_block("size_a") == _block("size_b"), F.array_intersect("own_a", "own_b"))
-        .when(_block("size_a") < _block("size_b"), F.array_intersect("next_a", "own_b"))
-        .otherwise(F.array_intersect("own_a", "next_b"))
-    )
-    shared = F.aggregate(common, F.lit(0).cast("long"), lambda n, x: n + x.bitwiseAND(F.lit((1 << 25) - 1)))
-    rest = F.greatest(F.ceil(F.col("size_a") * 3 / 4), F.ceil(F.col("size_b") * 3 / 4)) - 1
-    return (
+    columns = ("size", "own", "own_many", "next", "next_many")
+    one, two = (sets.select(F.col("class").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in columns]) for x in "ab")
+    larger_a, larger_b = _block("size_a") > _block("size_b"), _block("size_a") < _block("size_b")
+
+    def side(x: str, smaller: Column, kind: str) -> Column:
+        # each shared shingle is in one list of the larger set's block
+        return F.when(smaller, F.col(f"next{kind}_{x}")).otherwise(F.col(f"own{kind}_{x}"))
+
+    common = F.array_intersect(side("a", larger_b, ""), side("b", larger_a, ""))
+    met = (
         pairs.join(one, "a")
         .join(two, "b")
-        .where((shared + rest) * 7 >= (F.col("size_a") + F.col("size_b")) * 3)
-        .select("a", "b")
+        .select("a", "b", "size_a", "size_b", common.alias("common"), side("a", larger_b, "_many").alias("many"))
+    )
+    more = F.aggregate(
+        "many",
+        F.lit(0).cast("long"),
+        lambda n, x: n + F.when(F.array_contains("common", x["name"]), x["weight"] - 1).otherwise(F.lit(0)),
     )
+    shared = F.size("common") + more
+    rest = F.greatest(F.ceil(F.col("size_a") * 3 / 4), F.ceil(F.col("size_b") * 3 / 4)) - 1
+    return met.where((shared + rest) * 7 >= (F.col("size_a") + F.col("size_b")) * 3).select("a", "b")
+
+
+# Size cells: a sixteenth of the range in which linked sets' sizes lie.
+_CELL = math.log(4 / 3) / 16
+
+
+def _cell(size: Column) -> Column:
+    return F.floor(F.log(size) / _CELL).cast("int")
+
+
+def _meeting_cells(open_lists: DataFrame) -> DataFrame:
+    """key, block, cell and p_ columns: every set of an open list under the size
+    cells of the sets, no larger than itself, that it can still link with. With
+    `at` shingles before the list's first common one, an overlap of three sevenths
+    of both sizes needs a partner of at most (7 / 3) (size - at) - size shingles;
+    the further down its list a set stands, the fewer cells it meets."""
+    size, at = F.col("size"), F.col("at")
+    least = F.ceil(size * 3 / 4).cast("long")
+    most = F.least(size.cast("long"), F.floor((size - at) * 7 / 3).cast("long") - size)
+    # a cell to spare on both sides, as logarithms are rounded
+    cells = F.explode(F.sequence(_cell(least) - 1, _cell(most) + 1))
+    columns = [F.col(c).alias(f"p_{c}") for c in ("class", "component", "size", "at")]
+    return open_lists.where(most >= least).select("key", "block", cells.alias("cell"), *columns)
 
 
-def _index_lists(texts: DataFrame, size: int, levels) -> DataFrame:
+def _index_lists(texts: DataFrame, size: int, levels, collided: frozenset[int]) -> DataFrame:
     """key, block, weight, class, size, at: the index lists with two classes or
     more, one of each group of lists with the same members, and how many lists
     it stands for."""
     shared = staged(
-        texts.mapInArrow(_prefixes(size, levels, None), "key long, class long")
+        texts.mapInArrow(_prefixes(size, levels, None, collided), "key long, class long")
         .groupBy("key")
         .agg(F.min("class").alias("low"), F.max("class").alias("high"))
         .where("low < high")
@@ -298,7 +345,9 @@ def _index_lists(texts: DataFrame, size: int, levels) -> DataFrame:
     )
     block = _block("size")
     postings = staged(
-        texts.mapInArrow(_prefixes(size, levels, bloom(shared, "key")), "key long, class long, size int, at int")
+        texts.mapInArrow(
+            _prefixes(size, levels, bloom(shared, "key"), collided), "key long, class long, size int, at int"
+        )
         .groupBy("key", "class")
         .agg(F.min("size").alias("size"), F.min("at").alias("at")),
         "postings",
@@ -325,6 +374,18 @@ def _row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), text_or_empty(text_col))
 
 
+def _named(read: DataFrame) -> tuple[DataFrame, frozenset[int]]:
+    """The members with their class's name, and the first hashes that different
+    sets share. Of n sets n^2 / 2^65 such hashes are to be expected, some tens of
+    3 * 10^10; these only come to the driver."""
+    shared = read.groupBy("class").agg(F.min("other").alias("low"), F.max("other").alias("high")).where("low < high")
+    collided = frozenset(r[0] for r in shared.select("class").collect())
+    if collided:
+        named = F.when(F.col("class").isin(list(collided)), F.col("other")).otherwise(F.col("class"))
+        read = read.withColumn("class", named)
+    return read.drop("other"), collided
+
+
 def _named_members(docs: DataFrame, size: int, rounds: int, id_col: str, text_col: str) -> DataFrame:
     """doc_id, key, n_shingles, class, component (a class) of every row."""
     spark = docs.sparkSession
@@ -332,19 +393,15 @@ def _named_members(docs: DataFrame, size: int, rounds: int, id_col: str, text_co
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), _row_key(id_col, text_col).alias("key"), text_or_empty(text_col).alias("body")
     )
-    read = staged(
-        rows.mapInArrow(_members(size), "doc_id long, key long, n_shingles long, class long, counts binary"), "members"
-    )
-    counts = (
-        read.where(F.col("counts").isNotNull())
-        .select("counts")
-        .rdd.map(lambda r: np.frombuffer(zstandard.decompress(r.counts), np.int32))
+    read = staged(rows.mapInArrow(_members(size), _MEMBER), "members")
+    counted = merged(
+        read.where(F.col("slice").isNotNull()).select("slice", "data"), 1 << CELLS, np.dtype(np.int64), np.add, _levels
     )
-    zero = np.zeros(1 << CELLS, dtype=np.int32)
-    levels = spark.sparkContext.broadcast(_levels(counts.treeAggregate(zero, capped_sum, capped_sum)))
-    members = read.where(F.col("counts").isNull()).drop("counts")
+    levels = spark.sparkContext.broadcast(counted)
+    members, collided = _named(read.where(F.col("slice").isNull()).drop("slice", "data"))
 
-    lists = _index_lists(rows.select("body"), size, levels)
+    lists = _index_lists(rows.select("body"), size, levels, collided)
+    listed = _listed(lists)
     texts = rows.select("key", "body")
 
     done = links = components = None
@@ -357,20 +414,16 @@ def _named_members(docs: DataFrame, size: int, rounds: int, id_col: str, text_co
             pivots = open_lists.groupBy("key", "block").agg(
                 *[F.min_by(c, order).alias(f"p_{c}") for c in ("class", "component", "size", "at")]
             )
-            partners = staged(pivots, "pivots")
-            condition = F.col("component") != F.col("p_component")
+            partners, on = staged(pivots, "pivots"), ["key", "block"]
+            sides = F.col("component") != F.col("p_component")
         else:
-            partners = open_lists.select("key", "block", *[F.col(c).alias(f"p_{c}") for c in ("class", "component", "size", "at")])
-            condition = (F.col("class") < F.col("p_class")) & (F.col("component") != F.col("p_component"))
+            # sets of one list that no pivot brought together, by size cells
+            open_lists = open_lists.withColumn("cell", _cell(F.col("size")))
+            partners, on = staged(_meeting_cells(open_lists), "meeting-cells"), ["key", "block", "cell"]
+            sides = (F.col("class") != F.col("p_class")) & (F.col("component") != F.col("p_component"))
         pairs = (
-            open_lists.join(
-                partners.withColumnRenamed("key", "p_key").withColumnRenamed("block", "p_block"),
-                (F.col("key") == F.col("p_key"))
-                & (F.col("block") == F.col("p_block"))
-                & condition
-                & _sizes_fit("size", "p_size")
-                & _bounds_fit("size", "at", "p_size", "p_at"),
-            )
+            open_lists.join(partners, on)
+            .where(sides & _sizes_fit("size", "p_size") & _bounds_fit("size", "at", "p_size", "p_at"))
             .select(F.least("class", "p_class").alias("a"), F.greatest("class", "p_class").alias("b"))
             .distinct()
         )
@@ -378,7 +431,7 @@ def _named_members(docs: DataFrame, size: int, rounds: int, id_col: str, text_co
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
         done = pairs if done is None else done.unionByName(pairs)
-        verified = _verified(staged(_near(pairs, lists), "near-pairs"), members, texts, size)
+        verified = _verified(staged(_near(pairs, listed), "near-pairs"), members, texts, size, collided)
         new = verified.where("linked").select("a", "b")
         links = new if links is None else links.unionByName(new)
         components = connected_components(links, "a", "b")
@@ -424,17 +477,28 @@ def drop_near_copies(
     docs: DataFrame, size: int = SHINGLE, rounds: int = 1, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The rows of `docs` without near copies, with all their columns: of each
-    component the row with the smallest id stays, and all texts without words."""
+    component the row with the smallest id stays (one row, also where id and text
+    are repeated), and all texts without words."""
     with_words = _named_members(docs, size, rounds, id_col, text_col).where("n_shingles > 0")
-    gone = (
-        with_words.join(_smallest(with_words), "component")
-        .where(F.col("key") != F.col("keep"))
+    named = with_words.join(_smallest(with_words), "component")
+    gone = named.where(F.col("key") != F.col("keep")).select("key", "doc_id").distinct()
+    # rows that repeat the id and the text of a row that stays, usually none
+    again = (
+        named.where(F.col("key") == F.col("keep"))
+        .groupBy("key", "doc_id")
+        .agg(F.count(F.lit(1)).alias("times"))
+        .where("times > 1")
         .select("key", "doc_id")
-        .distinct()
     )
-    gone = staged(gone, "near-copies").withColumnRenamed("doc_id", "gone_id").withColumnRenamed("key", "gone_key")
+    again = staged(again, "repeated-rows")
+    marked = staged(gone.unionByName(again), "near-copies")
     rows = docs.select(
         F.struct("*").alias("row"), _row_key(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("doc_id")
     )
-    same = (F.col("key") == F.col("gone_key")) & F.col("doc_id").eqNullSafe(F.col("gone_id"))
-    return rows.join(by_shuffle(gone), same, "left_anti").select("row.*")
+
+    def same(side: DataFrame) -> Column:
+        return (rows["key"] == side["key"]) & rows["doc_id"].eqNullSafe(side["doc_id"])
+
+    stay = rows.join(by_shuffle(marked), same(marked), "left_anti").select("row.*")
+    one_each = rows.join(again, same(again), "left_semi").dropDuplicates(["key", "doc_id"]).select("row.*")
+    return stay.unionByName(one_each)
