@@ -1,8 +1,10 @@
 """Repeated passages: every word inside a window of `size` consecutive words
 whose word sequence also starts in a document with a smaller id is removed.
 
-Windows are told apart by their Rabin-Karp hash. Most windows occur once, so
-the windows are first met in runs, by content:
+Windows are told apart by Rabin-Karp hashes of their words. Two
+independent ones, 128 bits together, name a window or a run of words; the
+chance that two different ones among 10^12 share a name is below 10^-14. Most
+windows occur once, so the windows are first met in runs, by content:
 
 1. Each window has an anchor, the smallest hash of the ANCHOR-word sequences
    inside it; equal windows have equal anchors. A block is a run of windows of
@@ -67,10 +69,11 @@ def anchors(words: Words, size: int, anchor: int) -> tuple[np.ndarray, np.ndarra
     return start, lowest[start] if len(start) else lowest[:0], doc[start] if len(doc) else doc
 
 
-def _spans_hash(words: Words, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    up, down = _powers(len(words.hashes) + 1)
-    sums = np.zeros(len(words.hashes) + 1, dtype=np.uint64)
-    np.cumsum(words.hashes * up[: len(words.hashes)], out=sums[1:])
+def _spans_hash(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Rabin-Karp hash of the words a to b - 1, from running sums."""
+    up, down = _powers(len(hashes) + 1)
+    sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
+    np.cumsum(hashes * up[: len(hashes)], out=sums[1:])
     return _mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64))
 
 
@@ -88,7 +91,8 @@ def _blocks(size: int, anchor: int):
                 yield pa.RecordBatch.from_pydict(
                     {
                         "anchor": value[head].view(np.int64),
-                        "content": _spans_hash(words, s, s + count + size - 1).view(np.int64),
+                        "content": _spans_hash(words.hashes, s, s + count + size - 1).view(np.int64),
+                        "check": _spans_hash(words.second, s, s + count + size - 1).view(np.int64),
                         "id": part.column(0).take(pa.array(rows)),
                         "key": part.column(1).take(pa.array(rows)),
                         "start": (s - words.docs[rows]).astype(np.int32),
@@ -108,12 +112,13 @@ def _windows(size: int):
         for batch in batches:
             for doc_id, key, packed, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = Words(pa.array([reader.decompress(packed).decode()]))
-                hashes = rolling(words.hashes, size)
+                hashes, checks = rolling(words.hashes, size), rolling(words.second, size)
                 at = np.unique(np.concatenate([np.arange(s["start"], s["start"] + s["count"]) for s in spans]))
                 n = len(at)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "window": hashes[at].view(np.int64),
+                        "check": checks[at].view(np.int64),
                         "id": np.full(n, doc_id, np.int64),
                         "key": np.full(n, key, np.int64),
                         "start": at.astype(np.int32),
@@ -189,7 +194,7 @@ def remove_repeats(
     )
     blocks = staged(
         rows.select("id", "key", "body").mapInArrow(
-            _blocks(size, anchor), "anchor long, content long, id long, key long, start int, count int"
+            _blocks(size, anchor), "anchor long, content long, check long, id long, key long, start int, count int"
         ),
         "blocks",
     )
@@ -201,15 +206,15 @@ def remove_repeats(
         "shared-anchors",
     )
     met = staged(blocks.join(shared, "anchor"), "shared-blocks")
-    firsts = met.groupBy("anchor", "content").agg(F.min("id").alias("first"))
-    several = (
-        firsts.groupBy("anchor")
-        .agg(F.min("content").alias("a"), F.max("content").alias("b"))
-        .select("anchor", (F.col("a") < F.col("b")).alias("several"))
-    )
+    # Written, so that the joins on the anchor are joins of plain scans, which
+    # adaptive execution splits: the blocks of a passage that a third of all
+    # documents hold share one anchor.
+    firsts = staged(met.groupBy("anchor", "content", "check").agg(F.min("id").alias("first")), "first-contents")
+    differ = (F.min("content") < F.max("content")) | (F.min("check") < F.max("check"))
+    several = staged(firsts.groupBy("anchor").agg(differ.alias("several")), "anchors-of-several")
     told = staged(firsts.join(several, "anchor"), "first-blocks")
     labelled = staged(
-        met.join(told, ["anchor", "content"])
+        met.join(told, ["anchor", "content", "check"])
         .where((F.col("id") > F.col("first")) | F.col("several"))
         .select("id", "key", "start", "count", (F.col("id") > F.col("first")).alias("whole")),
         "repeated-blocks",
@@ -220,16 +225,16 @@ def remove_repeats(
     windows = staged(
         packed.join(staged(open_blocks, "open-blocks"), ["id", "key"])
         .select("id", "key", "packed", "spans")
-        .mapInArrow(_windows(size), "window long, id long, key long, start int"),
+        .mapInArrow(_windows(size), "window long, check long, id long, key long, start int"),
         "windows",
     )
     smallest = (
-        windows.groupBy("window")
+        windows.groupBy("window", "check")
         .agg(F.min("id").alias("low"), F.max("id").alias("high"))
         .where("low < high")
         .drop("high")
     )
-    repeated = windows.join(staged(smallest, "first-windows"), "window").where("id > low")
+    repeated = windows.join(staged(smallest, "first-windows"), ["window", "check"]).where("id > low")
     cuts = (
         labelled.where("whole")
         .select("id", "key", "start", "count")

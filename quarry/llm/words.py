@@ -42,6 +42,8 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _EXACT = _stream(256, 11)
 _FOLDED = _EXACT.copy()
 _FOLDED[65:91] = _EXACT[97:123]  # A-Z as a-z
+_EXACT_2, _FOLDED_2 = _stream(256, 57), _stream(256, 57)
+_FOLDED_2[65:91] = _EXACT_2[97:123]
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -92,6 +94,7 @@ class Words:
         self.starts = np.flatnonzero(begin)
         self.ends = np.flatnonzero(ends) + 1
         self.docs = np.searchsorted(self.starts, at)
+        self.lower = lower
         self.hashes = self._hash(_FOLDED if lower else _EXACT)
 
     def _hash(self, values: np.ndarray) -> np.ndarray:
@@ -109,6 +112,12 @@ class Words:
             first = last
         return _mix(out)
 
+    @cached_property
+    def second(self) -> np.ndarray:
+        """Hashes of the words by another table, independent of `hashes`: both
+        together are a 128-bit name."""
+        return self._hash(_FOLDED_2 if self.lower else _EXACT_2)
+
     def text(self, a: int, b: int) -> bytes:
         """Words a to b - 1 joined by one space."""
         data, starts, ends = self.data, self.starts, self.ends
