@@ -175,29 +175,22 @@ ORACLE: dict[str, str] = {
         JOIN (SELECT x, min(r) AS component_id FROM reach GROUP BY x) r ON r.x = d.doc_id""",
     "op4_line_dedup": r"""
         WITH lines AS (
-            SELECT doc_id, i - 1 AS i, l[i] AS line, i = len(l) AS is_last
+            SELECT doc_id, i - 1 AS i, l[i] AS line
             FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i
                   FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE coalesce(text, '') <> ''))),
-        hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h FROM lines),
-        ends AS (
-            SELECT *, is_last OR ((coalesce(lag(h) OVER d, 0) * 65599 + h) % 2147483647) % 3 = 0 AS stops
-            FROM hashed WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
-        numbered AS (
-            SELECT *, coalesce(sum(stops::INT) OVER (PARTITION BY doc_id ORDER BY i
-                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c
-            FROM ends),
-        chunks AS (
-            SELECT doc_id, c, min(i) AS start, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body
-            FROM numbered GROUP BY doc_id, c),
-        gone AS (
-            SELECT doc_id, c, n FROM (
-                SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, start) AS nth
-                FROM chunks WHERE n > 1 AND regexp_matches(body, '[^\x20\x09-\x0D]'))
-            WHERE nth > 1),
+        full AS (
+            SELECT *, lead(i) OVER d AS b, lead(line) OVER d AS next
+            FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+            WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+        windows AS (
+            SELECT doc_id, i AS a, b,
+                   row_number() OVER (PARTITION BY line || chr(10) || next ORDER BY doc_id, i) AS nth
+            FROM full WHERE b IS NOT NULL),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS i FROM windows WHERE nth > 1),
         kept AS (
-            SELECT k.doc_id, count(*) AS n_lines, count(g.c) AS n_removed,
-                   coalesce(string_agg(k.line, chr(10) ORDER BY k.i) FILTER (g.c IS NULL), '') AS body
-            FROM numbered k LEFT JOIN gone g ON g.doc_id = k.doc_id AND g.c = k.c
+            SELECT k.doc_id, count(*) AS n_lines, count(g.i) AS n_removed,
+                   coalesce(string_agg(k.line, chr(10) ORDER BY k.i) FILTER (g.i IS NULL), '') AS body
+            FROM lines k LEFT JOIN gone g ON g.doc_id = k.doc_id AND g.i = k.i
             GROUP BY k.doc_id)
         SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
                sha256(coalesce(k.body, '')) AS kept_sha256
@@ -227,20 +220,21 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256
         FROM ranked""",
     "op10_decontamination": r"""
-        WITH words AS (
-            SELECT 0 AS kind, doc_id AS id,
-                   regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w
-            FROM documents
-            UNION ALL
-            SELECT 1, item_id,
-                   regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+')
-            FROM benchmark),
+        WITH docs AS (
+            SELECT doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        benches AS (
+            SELECT item_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
+        wanted AS (
+            SELECT DISTINCT id, k, array_to_string(w[i:i + k - 1], ' ') AS s
+            FROM (SELECT id, w, least(len(w), 5) AS k, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i
+                  FROM benches WHERE len(w) > 0)),
+        items AS (SELECT id, k, s, count(*) OVER (PARTITION BY id) AS n FROM wanted),
         shingles AS (
-            SELECT DISTINCT kind, id, array_to_string(w[i:i + 4], ' ') AS s
-            FROM (SELECT kind, id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
-        items AS (SELECT id, s, count(*) OVER (PARTITION BY id) AS n FROM shingles WHERE kind = 1)
+            SELECT DISTINCT id, k, array_to_string(w[i:i + k - 1], ' ') AS s
+            FROM (SELECT id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+                  FROM docs, (SELECT DISTINCT k FROM wanted) WHERE len(w) >= k))
         SELECT d.id AS doc_id, i.id AS item_id, any_value(i.n)::INT AS n_shingles, count(*)::INT AS n_shared
-        FROM shingles d JOIN items i ON d.s = i.s AND d.kind = 0
+        FROM shingles d JOIN items i ON d.s = i.s AND d.k = i.k
         GROUP BY d.id, i.id HAVING count(*) * 4 >= any_value(i.n) * 3""",
     "op13_source_divergence": r"""
         WITH docs AS (
