@@ -85,59 +85,39 @@ def repeats_removed(rows, size):
 
 
 def leaks(docs, items):
-    """(doc_id, item_id, n_shingles, n_shared)."""
+    """(doc_id, item_id, n_shingles, n_shared); an item of fewer than five words
+    is one shingle of its own length."""
     out = []
     for doc_id, text in docs:
-        have = {s for s in _lower_shingles(text)}
         for item_id, item in items:
-            wanted = _lower_shingles(item)
-            shared = len(wanted & have)
+            k = min(5, len(words(item)))
+            wanted = _runs(item, k)
+            shared = len(wanted & _runs(text, k)) if wanted else 0
             if wanted and 4 * shared >= 3 * len(wanted):
                 out.append((doc_id, item_id, len(wanted), shared))
     return out
 
 
-def _lower_shingles(text):
+def _runs(text, k):
     w = words((text or "").lower())
-    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
-
-
-def chunked_lines(text, window=2, divisor=3, base=65599, prime=2147483647):
-    """Lists of (start, lines) of the content-defined chunks."""
-    if not text:
-        return []
-    lines = text.split("\n")
-    h = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
-    chunks, start = [], 0
-    for i in range(len(lines)):
-        value = 0
-        for back in range(window - 1, -1, -1):
-            value = (value * base + (h[i - back] if i >= back else 0)) % prime
-        if i == len(lines) - 1 or value % divisor == 0:
-            chunks.append((start, lines[start : i + 1]))
-            start = i + 1
-    return chunks
+    return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if k else set()
 
 
 def lines_removed(rows):
-    """(doc_id, n_lines, n_removed, kept) per row."""
-    first, times = {}, defaultdict(int)
+    """(doc_id, n_lines, n_removed, kept) per row: lines go that stand in two
+    successive lines, blank ones passed over, which occur before."""
+
+    def pairs(text):
+        numbered = [(i, x) for i, x in enumerate((text or "").split("\n")) if words(x)] if text else []
+        return [(a, b, (x, y)) for (a, x), (b, y) in zip(numbered, numbered[1:], strict=False)]
+
+    first = {}
     for doc_id, text in rows:
-        for start, lines in chunked_lines(text):
-            body = "\n".join(lines)
-            if len(lines) > 1 and words(body):
-                times[body] += 1
-                place = (order(doc_id), start)
-                first[body] = min(first.get(body, place), place)
+        for a, _, both in pairs(text):
+            first[both] = min(first.get(both, (order(doc_id), a)), (order(doc_id), a))
     out = []
     for doc_id, text in rows:
-        kept, gone, n = [], 0, 0
-        for start, lines in chunked_lines(text):
-            body = "\n".join(lines)
-            n += len(lines)
-            if body in first and times[body] > 1 and (order(doc_id), start) > first[body]:
-                gone += len(lines)
-            else:
-                kept += lines
-        out.append((doc_id, n, gone, "\n".join(kept)))
+        gone = {i for a, b, both in pairs(text) if (order(doc_id), a) > first[both] for i in range(a, b + 1)}
+        lines = text.split("\n") if text else []
+        out.append((doc_id, len(lines), len(gone), "\n".join(x for i, x in enumerate(lines) if i not in gone)))
     return out

@@ -25,9 +25,8 @@ def test_exact_drop_keeps_all_columns(odd, odd_docs):
     kept = exact_dedup.drop_copies(odd_docs)
     assert kept.columns == odd_docs.columns
     marks = brute.exact_copies(odd)
-    assert found(kept, "doc_id", "text") == expected(
-        [row for row, mark in zip(odd, marks, strict=True) if mark[3]]
-    )
+    want = {row for row, mark in zip(odd, marks, strict=True) if mark[3]}  # repeated rows once
+    assert found(kept, "doc_id", "text") == expected(want)
 
 
 def test_exact_drop_compares_length_within_an_id(spark):
@@ -36,6 +35,22 @@ def test_exact_drop_compares_length_within_an_id(spark):
     assert found(kept, "doc_id", "text") == expected([(1, "a  b"), (3, "c"), (None, "d ")])
 
 
+TWICE = [(1, "one two three", "x"), (1, "one two three", "x"), (2, "one  two three", "y"), (3, "four", "z"), (3, "four", "w")]
+
+
+def test_exact_drop_keeps_one_row_of_a_file_read_twice(spark):
+    docs = spark.createDataFrame(TWICE * 3, "doc_id long, text string, source string").repartition(4)
+    kept = found(exact_dedup.drop_copies(docs), "doc_id", "text")
+    assert kept == [(2, "one  two three"), (3, "four")]
+
+
+def test_near_drop_keeps_one_row_of_a_file_read_twice(spark):
+    more = [(9, None, "n"), (9, None, "n"), (8, " ", "b")]
+    docs = spark.createDataFrame(TWICE * 3 + more, "doc_id long, text string, source string").repartition(4)
+    kept = found(jaccard_join.drop_near_copies(docs), "doc_id", "text")
+    assert kept == expected([(1, "one two three"), (3, "four"), (8, " "), (9, None), (9, None)])
+
+
 def test_exact_compares_bytes(spark, monkeypatch):
     """Texts that collide in the hash are told apart by their bytes."""
     from pyspark.sql import functions as F
@@ -80,6 +95,71 @@ def test_line_chunks(odd, odd_docs):
     assert any(r[2] for r in got)
 
 
+def passages(rng, n_lines, n_docs=60):
+    """Documents of random lines, each with one of six passages of n_lines lines."""
+    line = lambda: " ".join(str(rng.randrange(10**6)) for _ in range(5))
+    known = [[line() for _ in range(n_lines)] for _ in range(6)]
+    rows = []
+    for i in range(n_docs):
+        before, after = ([line() for _ in range(rng.randint(0, 6))] for _ in range(2))
+        rows.append((i, "\n".join(before + known[i % 6] + after)))
+    return rows
+
+
+def lines_in_repeats(rows, least=3):
+    """(doc_id, line number) in `least` or more different lines found in a row in
+    an earlier document, by a search that knows nothing of the operator."""
+    seen, out = set(), set()
+    for doc_id, text in sorted(rows):
+        lines = text.split("\n")
+        runs = {(doc_id, i): tuple(lines[i : i + least]) for i in range(len(lines) - least + 1)}
+        runs = {k: r for k, r in runs.items() if len(set(r)) == least and all(x.strip() for x in r)}
+        out |= {(doc_id, i + j) for (_, i), r in runs.items() if r in seen for j in range(least)}
+        seen |= set(runs.values())
+    return out
+
+
+def test_repeated_passages_of_any_length_go(spark):
+    import random
+
+    for n_lines in (3, 4, 8, 12):
+        rows = passages(random.Random(n_lines), n_lines)
+        wanted = lines_in_repeats(rows)
+        assert len(wanted) == 54 * n_lines
+        got = line_dedup.remove_repeated_chunks(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        gone = {(r.doc_id, i) for r in got for x in r.removed for i in range(x.start, x.start + x.n)}
+        assert gone == wanted  # every one, and no line more
+
+
+def test_repeated_passages_of_the_tables_go(spark):
+    docs = exact_dedup.drop_copies(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("text is not null")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    wanted = lines_in_repeats(rows)
+    got = line_dedup.remove_repeated_chunks(docs).collect()
+    gone = {(r.doc_id, i) for r in got for x in r.removed for i in range(x.start, x.start + x.n)}
+    assert wanted and len(wanted & gone) >= 0.9 * len(wanted)
+
+
+def test_single_repeated_lines_stay(spark):
+    rows = [(1, "a\nhead\nb"), (2, "c\nhead\nd\n\nhead"), (3, "head"), (4, "a\n \n\nhead\nx"), (5, "p\np\np")]
+    got = line_dedup.remove_repeated_chunks(spark.createDataFrame(rows, "doc_id long, text string"))
+    kept = {r.doc_id: (r.n_removed, r.kept) for r in got.collect()}
+    assert kept == {1: (0, rows[0][1]), 2: (0, rows[1][1]), 3: (0, "head"), 4: (4, "x"), 5: (2, "p")}
+
+
+def test_lines_equal_in_hash_are_told_apart_by_their_bytes(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    plain = line_dedup.windows
+    def colliding(lines):
+        return F.transform(plain(lines), lambda w: F.struct(w["a"], w["b"], F.lit(1).cast("long").alias("h1"), F.lit(2).cast("long").alias("h2")))
+
+    monkeypatch.setattr(line_dedup, "windows", colliding)
+    rows = [(1, "a\nb\nc"), (2, "x\ny\na\nb"), (3, "q\nr")]
+    got = line_dedup.remove_repeated_chunks(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert found(got, "doc_id", "kept") == expected([(1, "a\nb\nc"), (2, "x\ny"), (3, "q\nr")])
+
+
 def test_substring(odd, odd_docs):
     got = substring_dedup.remove_repeats(odd_docs)
     rows = [(r.doc_id, r.n_words, r.n_removed, bytes(r.kept).decode()) for r in got.collect()]
@@ -109,3 +189,169 @@ def test_no_rows(no_docs):
     assert jaccard_join.drop_near_copies(no_docs).count() == 0
     assert line_dedup.remove_repeated_chunks(no_docs).count() == 0
     assert substring_dedup.remove_repeats(no_docs).count() == 0
+
+
+def test_names_of_windows_hold_two_independent_hashes():
+    """Words whose first hashes are forced to be equal keep different names."""
+    import numpy as np
+    import pyarrow as pa
+
+    from quarry.llm.words import Words, rolling
+
+    words = Words(pa.array(["a b c d e f", "g h i j k l", "a b c d e f"]))
+    words.hashes = np.zeros_like(words.hashes)
+    assert len(set(rolling(words.hashes, 3).tolist())) == 1
+    first, second = rolling(words.second[:6], 3), rolling(words.second[6:12], 3)
+    assert not set(first.tolist()) & set(second.tolist())
+    assert (rolling(words.second[12:], 3) == first).all()
+    lower = Words(pa.array(["AB Cd", "ab cd"]), lower=True).second
+    assert (lower[:2] == lower[2:]).all() and lower[0] != lower[1]
+
+
+def test_substring_on_the_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    got = substring_dedup.remove_repeats(docs)
+    found_rows = [(r.doc_id, r.n_words, r.n_removed, bytes(r.kept).decode()) for r in got.collect()]
+    assert expected(found_rows) == expected(brute.repeats_removed(rows, 50))
+
+
+def test_hot_passage_is_split(spark):
+    """A passage in every document, after words of its own: one anchor holds a
+    third of all blocks or more; the join on it is split, the result whole."""
+    import random
+
+    from llm_test_helpers import sentence
+
+    rng = random.Random(12)
+    passage = sentence(rng, 70)
+    rows = [(i, f"{sentence(rng, 12)} {passage} {sentence(rng, 12)}") for i in range(1500)]
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    plans = []
+    plain = substring_dedup.staged
+
+    def watched(df, name):
+        out = plain(df, name)
+        if name == "first-blocks":
+            df.collect()
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    substring_dedup.staged = watched
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+        got = substring_dedup.remove_repeats(docs)
+        removed = {r.doc_id: r.n_removed for r in got.collect()}
+    finally:
+        substring_dedup.staged = plain
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    # a word beside the passage may be the same by chance
+    assert removed[0] == 0 and all(70 <= removed[i] <= 73 for i in range(1, 1500))
+    assert "skew=true" in plans[0]
+
+
+SPLIT = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.shuffle.partitions": "8",
+}
+
+
+def near_group(n):
+    """n near copies of one text, all different, and as many texts of their own."""
+    import random
+
+    from llm_test_helpers import sentence
+
+    rng = random.Random(13)
+    base = sentence(rng, 120).split()
+    group = [" ".join([*base[:-1], f"v{i}"]) for i in range(n)]
+    return [(i, t) for i, t in enumerate(group)] + [(10_000 + i, sentence(rng, 40)) for i in range(n)]
+
+
+def test_hot_near_group_is_split_and_whole(spark, monkeypatch):
+    rows = near_group(800)
+    plans, plain = [], jaccard_join.staged
+
+    def watched(df, name):
+        if name == "near-pairs":
+            df.collect()
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, name)
+
+    monkeypatch.setattr(jaccard_join, "staged", watched)
+    old = {k: spark.conf.get(k, None) for k in SPLIT}
+    try:
+        for k, v in SPLIT.items():
+            spark.conf.set(k, v)
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+        classes = jaccard_join.similarity_classes(docs).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert {r.doc_id: r.component_id for r in classes} == {i: 0 if i < 10_000 else i for i, _ in rows}
+    assert "skew=true" in plans[0]
+
+
+def test_chains_and_sizes_in_lists(spark):
+    """Groups whose members link in chains, subsets of many sizes, and texts that
+    share a rare passage without being alike."""
+    import random
+
+    from llm_test_helpers import sentence
+
+    rng = random.Random(14)
+    rows, base = [], sentence(rng, 200).split()
+    shared = sentence(rng, 12)
+    for i in range(60):
+        rows.append((i, " ".join(base[i : i + rng.randint(60, 120)])))
+        rows.append((100 + i, " ".join(base[: 200 - 2 * i])))
+        rows.append((200 + i, sentence(rng, rng.randint(20, 60)) + " " + shared))
+    rng.shuffle(rows)
+    for rounds in (0, 1, 2):
+        classes = jaccard_join.similarity_classes(spark.createDataFrame(rows, "doc_id long, text string"), rounds=rounds)
+        assert found(classes, "doc_id", "n_shingles", "component_id") == expected(brute.near_components(rows))
+
+
+def test_sets_that_share_a_hash_keep_their_own_names(spark):
+    import numpy as np
+
+    a, b = np.arange(1, 9, dtype=np.uint64), np.arange(2, 10, dtype=np.uint64)
+    low = jaccard_join.digests(a)[0]
+    assert jaccard_join.class_of(a) == low
+    assert jaccard_join.class_of(a, frozenset([low])) == jaccard_join.digests(a)[1]
+    assert jaccard_join.class_of(b, frozenset([low])) == jaccard_join.class_of(b)
+    read = spark.createDataFrame(
+        [(1, 7, 3, 50, 1), (2, 8, 3, 50, 2), (3, 9, 3, 60, 5)], "doc_id long, key long, n_shingles long, class long, other long"
+    )
+    members, collided = jaccard_join._named(read)
+    assert collided == {50} and found(members, "doc_id", "class") == [(1, 1), (2, 2), (3, 60)]
+
+
+def test_arrays_that_tasks_fill_together(spark):
+    import numpy as np
+
+    from quarry.llm import filters
+
+    keys = [int(x) for x in np.random.default_rng(2).integers(-(1 << 63), (1 << 63) - 1, 5000)]
+    df = spark.createDataFrame([(k,) for k in keys[:2500]], "k long").repartition(5)
+    bitmap = filters.bloom(df, "k").value
+    assert filters.contains(bitmap, np.array(keys[:2500])).all()
+    assert filters.contains(bitmap, np.array(keys[2500:])).mean() < 0.05
+    assert not filters.contains(filters.bloom(df.limit(0), "k").value, np.array(keys)).any()

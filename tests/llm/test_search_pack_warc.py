@@ -53,7 +53,7 @@ def test_leaks_without_rows(spark, odd_docs, no_docs):
 
 def test_sketches_hold_what_the_search_uses(spark):
     items = decontamination.item_sketches(frame(spark, [(1, sentence_of(43)), (2, "a b")], id_name="item_id"))
-    assert items.columns == ["item_id", "item", "n_shingles", "shingles", "sketch"]
+    assert items.columns == ["item_id", "item", "k", "n_shingles", "size_class", "shingles", "sketch"]
     assert sorted((r.n_shingles, len(r.sketch)) for r in items.collect()) == [(1, 1), (39, 10)]
 
 
@@ -61,6 +61,52 @@ def sentence_of(n):
     return " ".join(f"w{i}" for i in range(n))
 
 
+def test_items_shorter_than_a_shingle_are_found_inside_documents(spark):
+    import random
+
+    rng = random.Random(9)
+    items = [(1, "the capital of France"), (2, "Paris"), (3, "two words"), (4, "one two three"), (5, "a b c d e f g h")]
+    rows = [
+        (1, sentence(rng, 50) + " The capital  of\nFRANCE " + sentence(rng, 50)),
+        (2, "the capital of"),
+        (3, "paris"),
+        (4, sentence(rng, 30) + " two words one two three"),
+        (5, "two  one words"),
+        (6, "x a b c d e f g h y"),
+        (7, "a b c d"),
+        (8, "the capital of France"),
+        (9, sentence(rng, 3000) + " paris " + sentence(rng, 3000)),
+    ]
+    got = decontamination.find_leaks(frame(spark, rows), frame(spark, items, id_name="item_id"))
+    found = sorted((r.doc_id, r.item_id) for r in got.collect())
+    assert found == [(1, 1), (3, 2), (4, 3), (4, 4), (6, 5), (8, 1), (9, 2)]
+    assert found == sorted(x[:2] for x in brute.leaks(rows, items))
+
+
+def test_items_of_every_size_at_the_threshold(spark):
+    """Items of all size classes with three quarters of their shingles, and just less, in long documents."""
+    import random
+
+    rng = random.Random(10)
+    items, rows = [], []
+    for k, n in enumerate((5, 6, 8, 9, 12, 20, 33, 64, 70, 130, 300)):
+        item = sentence(rng, n).split()
+        items.append((k, " ".join(item)))
+        shingles = max(1, n - 4)
+        for extra, keep in enumerate((-(-3 * shingles // 4), -(-3 * shingles // 4) - 1)):
+            part = item[: keep + 4] if keep else item[:1]
+            rows.append((100 * extra + k, " ".join(sentence(rng, 200).split() + part + sentence(rng, 300).split())))
+    bench = frame(spark, items, id_name="item_id")
+    got = sorted(tuple(r)[1:] for r in decontamination.find_leaks(frame(spark, rows), bench).collect())
+    assert got == sorted(brute.leaks(rows, items))
+    assert {d for d, *_ in got} >= set(range(len(items)))
+    sketched = decontamination.item_sketches(bench)
+    bounds = decontamination.class_bounds(sketched)
+    assert len(bounds) >= 6
+    for r in sketched.collect():
+        assert all(h <= bounds[r.size_class] for h in r.sketch) and len(r.sketch) == r.n_shingles // 4 + 1
+
+
 def test_sketch_cannot_miss():
     """Whichever quarter of an item's shingles is missing, one of its sketch is left."""
     for n in range(1, 40):
@@ -300,3 +346,38 @@ def test_warc_checks_what_it_reads():
     with pytest.raises(ValueError):
         list(warc.parse_records(records[0][:-3] + warc.BREAK))
     assert warc.unchunked(warc.chunked(b"abc" * 10, 7), 0) == b"abc" * 10
+
+
+def test_least_squares_solution_is_the_best_one():
+    """No entry is negative, no entry at 0 would gain, free ones have no slope."""
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    for m, n in ((5, 3), (12, 40), (30, 200), (4, 1)):
+        a, b = rng.integers(0, 3, (m, n)).astype(float), rng.uniform(0, 50, m)
+        x = packing.non_negative_least_squares(a, b)
+        slope = a.T @ (a @ x - b)
+        assert (x >= 0).all() and (slope > -1e-5).all() and np.abs(slope[x > 1e-9]).max(initial=0) < 1e-5
+    assert not packing.non_negative_least_squares(np.ones((3, 2)), -np.ones(3)).any()
+
+
+def test_plan_is_never_worse_than_greedy_alone():
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    for lengths in (
+        rng.integers(1, 4096, 3000),
+        rng.integers(1200, 2800, 3000),
+        np.minimum(rng.lognormal(6, 1, 5000).astype(int) + 1, 4095),
+        np.full(1000, 1365),
+    ):
+        histogram = {}
+        for x in lengths.tolist():
+            kind = packing.length_class(x)
+            histogram[kind] = histogram.get(kind, 0) + 1
+        plan = packing.packing_plan(dict(histogram))
+        assert plan.sequences <= packing._plan(dict(histogram), 4096, 0).sequences
+        placed = {}
+        for kind, _, _, count, _, _ in plan.rows:
+            placed[kind] = placed.get(kind, 0) + count
+        assert placed == histogram
