@@ -116,15 +116,18 @@ def class_bounds(items: DataFrame) -> dict[int, int]:
 def document_sketches(words_col: str, bounds: dict[int, int], size: int = SHINGLE) -> Column:
     """(size_class, hash) of a document for every class: its distinct hashes up
     to the class's bound."""
-    empty = F.array().cast("array<struct<size_class: int, hash: bigint>>")
-    parts = [empty]
+    parts = [F.array().cast("array<struct<size_class: int, hash: bigint>>")]
     for name, bound in bounds.items():
         hashes = F.array_distinct(shingle_hashes(words_col, -name if name < 0 else size))
-        low = F.filter(hashes, lambda h, b=bound: h <= F.lit(b))
-        parts.append(F.transform(low, lambda h, c=name: F.struct(F.lit(c).alias("size_class"), h.alias("hash"))))
+        parts.append(_up_to(hashes, name, bound))
     return F.concat(*parts)
 
 
+def _up_to(hashes: Column, name: int, bound: int) -> Column:
+    low = F.filter(hashes, lambda h: h <= F.lit(bound).cast("long"))
+    return F.transform(low, lambda h: F.struct(F.lit(name).alias("size_class"), h.alias("hash")))
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,

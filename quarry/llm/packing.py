@@ -267,7 +267,10 @@ def non_negative_least_squares(a: np.ndarray, b: np.ndarray, entering: int = 8)
         free[best] = True
         while free.any():
             at = np.flatnonzero(free)
-            solved = np.linalg.lstsq(a[:, at], b, rcond=None)[0]
+            some = a[:, at]
+            gram = some.T @ some
+            gram[np.diag_indices_from(gram)] *= 1 + 1e-12  # equal columns
+            solved = np.linalg.solve(gram, some.T @ b)
             if (solved > 0).all():
                 x[at] = solved
                 break

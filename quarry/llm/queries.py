@@ -178,14 +178,14 @@ ORACLE: dict[str, str] = {
             SELECT doc_id, i - 1 AS i, l[i] AS line
             FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i
                   FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE coalesce(text, '') <> ''))),
-        full AS (
+        filled AS (
             SELECT *, lead(i) OVER d AS b, lead(line) OVER d AS next
             FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
             WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
         windows AS (
             SELECT doc_id, i AS a, b,
                    row_number() OVER (PARTITION BY line || chr(10) || next ORDER BY doc_id, i) AS nth
-            FROM full WHERE b IS NOT NULL),
+            FROM filled WHERE b IS NOT NULL),
         gone AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS i FROM windows WHERE nth > 1),
         kept AS (
             SELECT k.doc_id, count(*) AS n_lines, count(g.i) AS n_removed,
