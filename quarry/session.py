@@ -11,10 +11,13 @@ output (adaptive planner).
 
 from __future__ import annotations
 
+import io
 import os
+import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -124,6 +127,26 @@ def scratch_scope() -> Iterator[None]:
             raise failed[0]
 
 
+def ship_package(spark: SparkSession) -> str:
+    """Make this package (and `corpus_pipeline.py`, where it lies beside it)
+    importable in the Python workers of all executors, for jobs that were not
+    submitted with `--py-files`. The archive is written to the shared checkpoint
+    folder, where every executor fetches it. Returns its path."""
+    root = Path(__file__).resolve().parent
+    files = sorted(root.rglob("*.py")) + [p for p in [root.parent / "corpus_pipeline.py"] if p.exists()]
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in files:
+            archive.write(file, file.relative_to(root.parent))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/quarry-package-{os.urandom(6).hex()}.zip"
+    fs, where = file_system(spark, path)
+    out = fs.create(where)
+    out.write(packed.getvalue())
+    out.close()
+    spark.sparkContext.addPyFile(path)
+    return path
+
+
 def file_system(spark: SparkSession, path: str):
     """Hadoop's file system of the path, and the path in its terms."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -108,3 +110,25 @@ def test_scopes_nest_and_survive_errors(spark):
         assert folders(spark) - before == outer
         raise ZeroDivisionError
     assert folders(spark) == before
+
+
+def test_shipped_package_is_found_by_the_workers(tmp_path):
+    """From another folder, without PYTHONPATH, as on a cluster's nodes."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from quarry.session import get_session, ship_package
+spark = get_session("local[1]", "ship", 1, {{"spark.checkpoint.dir": {str(tmp_path)!r}}})
+work = lambda _: __import__("quarry.functions.scalar").__name__
+try:
+    spark.range(1).rdd.map(work).collect()
+    print("found before")
+except Exception:
+    pass
+ship_package(spark)
+print(spark.range(1).rdd.map(work).collect())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=200)
+    assert done.stdout.strip().splitlines()[-1] == "['quarry']", done.stderr[-2000:]
