@@ -113,17 +113,18 @@ def class_bounds(items: DataFrame) -> dict[int, int]:
     return {r.size_class: r.bound for r in sorted(rows, key=lambda r: r.size_class)}
 
 
-def document_sketches(words_col: str, bounds: dict[int, int], size: int = SHINGLE) -> Column:
-    """(size_class, hash) of a document for every class: its distinct hashes up
-    to the class's bound."""
+def document_sketches(words_col: str, bounds: dict[int, int], size: int, rows: DataFrame) -> DataFrame:
+    """key, size_class, hash: the sketches of the documents `rows` (key and their
+    words) for every class, the distinct hashes up to the class's bound. A
+    document's hashes are made once for each shingle length that items have."""
+    lengths = sorted({-name if name < 0 else size for name in bounds})
+    hashed = rows.select("key", *[F.array_distinct(shingle_hashes(words_col, j)).alias(f"hashes_{j}") for j in lengths])
     parts = [F.array().cast("array<struct<size_class: int, hash: bigint>>")]
-    for name, bound in bounds.items():
-        hashes = F.array_distinct(shingle_hashes(words_col, -name if name < 0 else size))
-        parts.append(_up_to(hashes, name, bound))
-    return F.concat(*parts)
+    parts += [_up_to(f"hashes_{-name if name < 0 else size}", name, bound) for name, bound in bounds.items()]
+    return hashed.select("key", F.explode(F.concat(*parts)).alias("s")).select("key", "s.size_class", "s.hash")
 
 
-def _up_to(hashes: Column, name: int, bound: int) -> Column:
+def _up_to(hashes: str, name: int, bound: int) -> Column:
     low = F.filter(hashes, lambda h: h <= F.lit(bound).cast("long"))
     return F.transform(low, lambda h: F.struct(F.lit(name).alias("size_class"), h.alias("hash")))
 
@@ -144,11 +145,7 @@ def find_leaks(
     bounds = class_bounds(items)
     lengths = sorted({-c if c < 0 else size for c in bounds})
     texts = docs.select(row_key(id_col, text_col).alias("key"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
-    asked = (
-        texts.select("key", words("t").alias("w"))
-        .select("key", F.explode(document_sketches("w", bounds, size)).alias("s"))
-        .select("key", "s.size_class", "s.hash")
-    )
+    asked = document_sketches("w", bounds, size, texts.select("key", words("t").alias("w")))
     candidates = staged(
         asked.join(sketches, ["size_class", "hash"])
         .select("key", "item")
