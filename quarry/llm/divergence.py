@@ -20,9 +20,9 @@ so only terms that both hold are met pairwise. The first two sums depend on a
 term's count alone and run over the histogram of counts, not over terms.
 
 Plan. (1) Copies per (lang, SHA-256 of the text, source), without texts; one
-text per (lang, SHA-256): the only shuffle of texts, combined before it, so a
-text that a third of all rows share is one row per task. The two meet on
-the partitioning they have. (2) `mapInArrow` tokenizes a batch in numpy over
+text per (lang, SHA-256): the only shuffle of texts, compressed and combined
+before it, so a text that a third of all rows share is one row per task. The two
+meet on the partitioning they have. (2) `mapInArrow` tokenizes a batch in numpy over
 its UTF-8 buffer and sends one row per term and source of the batch; Spark sums
 them. (3) Kept terms are one row with the list of sources that hold it (no
 longer than a language has sources); its pairs of sources are evaluated in
@@ -42,6 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,7 +54,8 @@ LEAST_DOCS = 10
 TOP_TERMS = 10
 SALTS = 32
 _PAIRS = 1 << 18  # pairs evaluated at a time
-_PIECE = 1 << 21  # bytes of text counted at a time
+_PIECE = 1 << 21  # bytes of text split at a time
+_TEXTS = 8 << 20  # bytes of text counted at a time
 
 # Bytes of a term: ASCII letters and all bytes of other characters; A-Z as a-z.
 _TERM = np.zeros(256, dtype=bool)
@@ -83,8 +85,8 @@ def _name(column: str) -> Column:
 
 
 def collapsed(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """One row per language and text: lang, body, and `copies`, its number of
-    documents in each source."""
+    """One row per language and text: lang, packed (the text, compressed), and
+    `copies`, its number of documents in each source."""
     rows = docs.select(
         _name(lang_col).alias("lang"),
         _name(source_col).alias("source"),
@@ -92,8 +94,28 @@ def collapsed(docs: DataFrame, lang_col: str = "lang", source_col: str = "source
     ).withColumn("sha", F.unhex(F.sha2("body", 256)))
     per_source = rows.groupBy("lang", "sha", "source").agg(F.count(F.lit(1)).alias("n"))
     copies = per_source.groupBy("lang", "sha").agg(F.collect_list(F.struct("source", "n")).alias("copies"))
-    texts = rows.groupBy("lang", "sha").agg(F.first("body").alias("body"))
-    return texts.join(copies.hint("merge"), ["lang", "sha"]).select("lang", "body", "copies")
+    texts = rows.select("lang", "sha", F.arrow_udf(_packed, "binary")("body").alias("packed"))
+    texts = texts.groupBy("lang", "sha").agg(F.first("packed").alias("packed"))
+    return texts.join(copies.hint("merge"), ["lang", "sha"]).select("lang", "packed", "copies")
+
+
+def _packed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    writer = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        yield pa.array([writer.compress(x.as_py().encode()) for x in batch], pa.binary())
+
+
+def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """The batch in portions of about `_TEXTS` bytes of text, with their texts."""
+    reader, texts, size, first = zstandard.ZstdDecompressor(), [], 0, 0
+    for row, data in enumerate(batch.column(1)):
+        texts.append(reader.decompress(data.as_py()))
+        size += len(texts[-1])
+        if size >= _TEXTS:
+            yield batch.slice(first, len(texts)), pa.array(texts, pa.binary()).cast(pa.large_string())
+            texts, size, first = [], 0, row + 1
+    if texts:
+        yield batch.slice(first, len(texts)), pa.array(texts, pa.binary()).cast(pa.large_string())
 
 
 def _pieces(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -153,7 +175,7 @@ def count_terms(texts: DataFrame) -> DataFrame:
     bounded_batches(texts.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch, body in (part for whole in batches for part in _unpacked(whole)):
             langs = batch.column(0).dictionary_encode()
             lists = batch.column(2)
             sources = lists.flatten().field("source").dictionary_encode()
@@ -163,7 +185,7 @@ def count_terms(texts: DataFrame) -> DataFrame:
             n_sources = max(len(sources.dictionary), 1)
             # a long text comes in several pieces; it is one document of each of its terms
             pending: list[pa.Table] = []
-            for rows, words in terms_of(batch.column(1)):
+            for rows, words in terms_of(body):
                 row, dictionary, word, n = _counted(rows, words)
                 pending.append(pa.table({"row": row, "term": dictionary.take(pa.array(word)), "n": n}))
             if not pending:
@@ -198,7 +220,7 @@ def count_terms(texts: DataFrame) -> DataFrame:
         release()
 
     kind = "lang string, source string, term string, n long, docs long"
-    parts = texts.select("lang", "body", "copies").mapInArrow(count, kind)
+    parts = texts.select("lang", "packed", "copies").mapInArrow(count, kind)
     return parts.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
