@@ -180,17 +180,17 @@ def count_distinct_with_null(c: str) -> Column:
 
 def distinct_state(df: DataFrame, keys: str | Sequence[str], value: str) -> DataFrame:
     """Mergeable exact state of count(distinct value) per key, for whole-number
-    ids: one bitmap of 32,768 ids per key and range of ids (key columns,
-    `bucket`, `bitmap`). Nulls are not counted. Ids that lie close together
-    share bitmaps; of scattered ids each may cost one, mostly zeros, which the
-    shuffle and Parquet compress. Bitmaps are built before the shuffle, so a key
-    that holds a third of all rows sends one bitmap per task and range."""
-    bucket = F.bitmap_bucket_number(F.col(value).cast("bigint"))
-    position = F.bitmap_bit_position(F.col(value).cast("bigint"))
+    ids: one 64-bit word per key and range of 64 ids (key columns, `bucket`,
+    `bitmap`). Nulls are not counted. Ids that lie close together share a word;
+    of scattered ids each costs one, so a state has never more rows than there
+    are distinct pairs of key and id. Words are built before the shuffle, so a
+    key that holds a third of all rows sends one word per task and range."""
+    ids = F.col(value).cast("bigint")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), ids.bitwiseAND(63).cast("int"))
     return (
         df.where(F.col(value).isNotNull())
-        .groupBy(*[F.col(k) for k in _cols(keys)], bucket.alias("bucket"))
-        .agg(F.bitmap_construct_agg(position).alias("bitmap"))
+        .groupBy(*[F.col(k) for k in _cols(keys)], F.shiftright(ids, 6).alias("bucket"))
+        .agg(F.bit_or(bit).alias("bitmap"))
     )
 
 
@@ -198,13 +198,13 @@ def merge_distinct(state: DataFrame, keys: str | Sequence[str] = ()) -> DataFram
     """The state of coarser keys (or, without any, of all rows) from a finer
     one, or of the union of several days' states."""
     kept = _cols(keys)
-    return state.groupBy(*kept, "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    return state.groupBy(*kept, "bucket").agg(F.bit_or("bitmap").alias("bitmap"))
 
 
 def count_of_distinct_state(state: DataFrame, keys: str | Sequence[str] = (), name: str = "n") -> DataFrame:
     """The exact distinct counts that a state (one row per key and bucket) stands
     for; one row in all without keys."""
-    counted = F.coalesce(F.sum(F.bitmap_count("bitmap")), F.lit(0)).alias(name)
+    counted = F.coalesce(F.sum(F.bit_count("bitmap")), F.lit(0)).alias(name)
     kept = _cols(keys)
     return state.groupBy(*kept).agg(counted) if kept else state.agg(counted)
 

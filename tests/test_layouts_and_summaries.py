@@ -160,6 +160,34 @@ def test_distinct_states_merge_exactly(spark):
     assert rows(count_of_distinct_state(distinct_state(df.limit(0), "k", "v"))) == [(0,)]
 
 
+def test_distinct_state_of_scattered_ids_is_no_larger_than_its_pairs(spark):
+    rng = random.Random(6)
+    edges = [0, 62, 63, 64, -1, -63, -64, -65, 2**63 - 1, -(2**63)]
+    pairs = {(rng.randrange(40), rng.randrange(-(2**62), 2**62)) for _ in range(2000)} | {(1, v) for v in edges}
+    df = spark.createDataFrame([*pairs, *list(pairs)[:500]], "k int, v bigint")
+    state = distinct_state(df, "k", "v")
+    assert state.toArrow().nbytes < 40 * len(pairs)
+    assert merge_distinct(state).toArrow().nbytes < 40 * len(pairs)
+    assert "SortAggregate" not in plan_of(merge_distinct(state))  # words are combined in place, nothing is sorted first
+    assert dict(rows(count_of_distinct_state(state, "k"))) == Counter(k for k, _ in pairs)
+    assert rows(count_of_distinct_state(merge_distinct(state))) == [(len({v for _, v in pairs}),)]
+
+
+def test_distinct_state_packs_ids_that_lie_close(spark):
+    hot = spark.range(0, 64_000, 1, 3).selectExpr("'hot' AS k", "id AS v")
+    state = distinct_state(hot.unionAll(hot), "k", "v")
+    assert state.count() == 1000 and rows(count_of_distinct_state(state, "k")) == [("hot", 64_000)]
+
+
+def test_distinct_orders_of_scattered_sellers(spark):
+    rng = random.Random(7)
+    lines = [(rng.choice([None, *range(300)]), rng.choice([None, *range(0, 10**9, 10**6)])) for _ in range(4000)]
+    with scratch_scope():
+        got = rows(commerce.distinct_orders(spark.createDataFrame([*lines, *lines[:900]], "seller_id bigint, order_id bigint")))
+    per_seller = Counter(s for s, o in {x for x in lines if None not in x})
+    assert got == sorted([*per_seller.items(), (None, len({o for _, o in lines} - {None}))], key=repr)
+
+
 def test_observed_report_reads_its_rows_once(spark):
     rated, _, movies = hot_ratings(spark, 3000)
     report, seen = ratings.movie_report_observed(rated, movies)
