@@ -35,7 +35,7 @@ differs from the columns it adds, and are not read.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +49,7 @@ MOST = 1 << 53  # grid numbers up to here are exact as doubles
 LEAST_SHARE = 1e-18
 ROUNDING = float(np.finfo(float).eps)
 PASSES = 8  # three are enough for any full rank
+UNRESOLVED = 1e-10  # identity errors above are rounding of the components, which one more factor takes out
 _ROWS = 4096  # rows of one block of a pass
 
 
@@ -61,6 +62,7 @@ class WhiteningModel:
     trace: float
     identity_error: float  # largest entry of |covariance of whitened rows - identity|
     passes: int
+    last: np.ndarray | None = None  # k x k, upper triangular: factor that the projected rows are solved against
 
     @property
     def explained(self) -> np.ndarray:
@@ -201,13 +203,24 @@ def fit_whitening(fit: DataFrame, components: int = 4) -> WhiteningModel | None:
     model = WhiteningModel(n, sums, v * signs, values[:k], trace, 0.0, passes)
     if not k:
         return model
-    covariance = _gram(fit, d, k, lambda x: whitened(model, x)) / n
-    error = float(np.abs(covariance - np.eye(k)).max())
-    return WhiteningModel(n, sums, model.components, model.eigenvalues, trace, error, passes)
+    model, covariance = _measured(fit, model)
+    if not UNRESOLVED < model.identity_error < 0.5:
+        return model
+    # Rounded entries of a component let large components into small ones; solved in falling order, the large ones stay.
+    solved, _ = _measured(fit, replace(model, last=_factor(covariance, 0.0)))
+    return min(model, solved, key=lambda m: m.identity_error)
+
+
+def _measured(fit: DataFrame, model: WhiteningModel) -> tuple[WhiteningModel, np.ndarray]:
+    """The model with its identity error, and the covariance of its whitened rows."""
+    d, k = model.components.shape
+    covariance = _gram(fit, d, k, lambda x: whitened(model, x)) / model.n
+    return replace(model, identity_error=float(np.abs(covariance - np.eye(k)).max())), covariance
 
 
 def whitened(model: WhiteningModel, x: np.ndarray) -> np.ndarray:
-    return centred(x, model.n, model.sums) @ model.components / np.sqrt(model.eigenvalues)
+    rows = centred(x, model.n, model.sums) @ model.components / np.sqrt(model.eigenvalues)
+    return rows if model.last is None else _solved(rows, [model.last])
 
 
 def deviations(model: WhiteningModel, x: np.ndarray) -> list[int]:
